@@ -46,6 +46,85 @@ HOURS = DAU + """,
 hc AS (SELECT dt, hr, count(*) AS cnt FROM dau GROUP BY dt, hr)"""
 
 
+# Orders (oi) from orders + customer.
+OI = """oi AS (
+  SELECT o.o_orderkey AS id, CAST(c.c_nationkey AS BIGINT) AS province_id,
+         o.o_custkey AS user_id, o.o_orderstatus AS order_status,
+         o.o_totalprice AS final_total_amount,
+         CAST(o.o_orderkey % 50 AS DOUBLE) AS benefit_reduce_amount,
+         round(o.o_totalprice + CAST(o.o_orderkey % 50 AS DOUBLE)
+               - CAST(o.o_orderkey % 20 AS DOUBLE), 2) AS original_total_amount,
+         CAST(o.o_orderkey % 20 AS DOUBLE) AS feight_fee,
+         CAST(NULL AS VARCHAR) AS expire_time,
+         strftime(o.o_orderdate + to_seconds(o.o_orderkey % 86400), '%Y-%m-%d %H:%M:%S')
+           AS create_time,
+         CAST(NULL AS VARCHAR) AS operate_time
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+oit AS (
+  SELECT *, split_part(create_time, ' ', 1) AS create_date,
+         split_part(split_part(create_time, ' ', 2), ':', 1) AS create_hour
+  FROM oi)"""
+
+# Order details (od) from lineitem + orders + part.
+OD = """li AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY
+      l_linenumber NULLS FIRST, l_partkey NULLS FIRST, l_suppkey NULLS FIRST,
+      l_extendedprice NULLS FIRST, l_quantity NULLS FIRST, l_discount NULLS FIRST,
+      l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST,
+      l_shipdate NULLS FIRST) AS rn
+  FROM lineitem),
+od AS (
+  SELECT li.l_orderkey * 100 + li.rn AS id, li.l_orderkey AS order_id,
+         li.l_partkey AS sku_id, CAST(trunc(li.l_quantity) AS BIGINT) AS sku_num,
+         li.l_extendedprice AS order_price, p.p_name AS sku_name,
+         strftime(o.o_orderdate + to_seconds(li.l_orderkey % 86400 + 4 * li.rn),
+                  '%Y-%m-%d %H:%M:%S') AS create_time
+  FROM li JOIN orders o ON li.l_orderkey = o.o_orderkey
+  LEFT JOIN part p ON li.l_partkey = p.p_partkey)"""
+
+PROV = """prov AS (
+  SELECT CAST(n_nationkey AS VARCHAR) AS id,
+         CASE WHEN n_nationkey % 2 = 0 THEN n_name ELSE 'OLD_' || n_name END AS name,
+         CAST(n_regionkey AS VARCHAR) AS area_code,
+         'CN-' || CAST(n_nationkey AS VARCHAR) AS iso_code,
+         'ISO-' || CAST(n_nationkey AS VARCHAR) AS iso_3166_2
+  FROM nation)"""
+
+STATE = OI + """,
+st AS (SELECT DISTINCT user_id FROM oi WHERE create_time < '1996-01-01'),
+b AS (SELECT * FROM oit WHERE create_time >= '1996-01-01')"""
+
+# First-order flag of all orders against an empty state.
+FLAG_ALL = OI + """,
+fl AS (
+  SELECT *, CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY create_time, id) = 1
+                 THEN '1' ELSE '0' END AS if_first_order
+  FROM oit)"""
+
+DWD = FLAG_ALL + ",\n" + PROV + """,
+dwd AS (
+  SELECT fl.*, prov.name AS province_name, prov.area_code AS province_area_code,
+         prov.iso_3166_2 AS province_3166_2_code
+  FROM fl LEFT JOIN prov ON fl.province_id = CAST(prov.id AS BIGINT))"""
+
+
+def _quoted_json(alias: str, cols: list[str]) -> str:
+    parts = ", ".join(f"'{c}', CAST({alias}.{c} AS VARCHAR)" for c in cols)
+    return f"json_object({parts})::VARCHAR"
+
+
+def _typed_json(alias: str, cols: list[str]) -> str:
+    parts = ", ".join(f"'{c}', {alias}.{c}" for c in cols)
+    return f"json_object({parts})::VARCHAR"
+
+
+_OI_COLS = ["id", "province_id", "user_id", "order_status", "final_total_amount",
+            "benefit_reduce_amount", "original_total_amount", "feight_fee", "create_time"]
+_OD_COLS = ["id", "order_id", "sku_id", "sku_num", "order_price", "sku_name", "create_time"]
+_DWD_COLS = _OI_COLS + ["create_date", "create_hour", "if_first_order", "province_name",
+                        "province_area_code", "province_3166_2_code"]
+
+
 def _w(ctes: str, body: str) -> str:
     return "WITH " + ctes + "\n" + body
 
@@ -90,6 +169,71 @@ FULL OUTER JOIN (SELECT dt, count(*) AS dau_rows FROM dau GROUP BY dt) d ON r.dt
 
     "raw_log_archive": _w(AL, """
 SELECT strftime(ts_raw, '%Y-%m-%d') AS dt, count(*) AS n_lines FROM al GROUP BY 1"""),
+
+    "cdc_route_canal": _w(OI + ",\n" + OD, f"""
+SELECT 'ODS_ORDER_INFO' AS topic, {_quoted_json('oi', _OI_COLS)} AS value
+FROM oi WHERE oi.order_status <> 'P'
+UNION ALL
+SELECT 'ODS_ORDER_DETAIL' AS topic, {_quoted_json('od', _OD_COLS)} AS value
+FROM od JOIN oi ON od.order_id = oi.id WHERE oi.order_status <> 'P'"""),
+
+    "cdc_route_maxwell": _w(OI + ",\n" + OD, f"""
+SELECT 'ODS_ORDER_INFO' AS topic, {_typed_json('oi', _OI_COLS)} AS value
+FROM oi WHERE oi.order_status <> 'P'
+UNION ALL
+SELECT 'ODS_ORDER_DETAIL', {_typed_json('od', _OD_COLS)}
+FROM od JOIN oi ON od.order_id = oi.id WHERE oi.order_status <> 'P'
+UNION ALL
+SELECT 'ODS_BASE_PROVINCE', json_object('id', CAST(n_nationkey AS VARCHAR), 'name', n_name,
+       'area_code', CAST(n_regionkey AS VARCHAR))::VARCHAR FROM nation
+UNION ALL
+SELECT 'ODS_USER_INFO', json_object('id', CAST(c_custkey AS VARCHAR), 'name', c_name)::VARCHAR
+FROM customer WHERE c_custkey % 100 <> 0
+UNION ALL
+SELECT 'ODS_SKU_INFO', json_object('id', CAST(p_partkey AS VARCHAR), 'sku_name', p_name,
+       'tm_id', p_brand, 'category3_id', p_type)::VARCHAR FROM part
+UNION ALL
+SELECT 'ODS_BASE_TRADEMARK', json_object('id', p_brand, 'tm_name', p_brand)::VARCHAR
+FROM (SELECT DISTINCT p_brand FROM part)
+UNION ALL
+SELECT 'ODS_BASE_CATEGORY3', json_object('id', p_type, 'name', p_type)::VARCHAR
+FROM (SELECT DISTINCT p_type FROM part)"""),
+
+    "order_info_typed": _w(OI, "SELECT * FROM oit"),
+
+    "order_detail_typed": _w(OD, "SELECT * FROM od"),
+
+    "dim_province_latest": _w(PROV, "SELECT * FROM prov"),
+
+    "user_state_lookup": _w(STATE, """
+SELECT u.user_id, CASE WHEN st.user_id IS NULL THEN '0' ELSE '1' END AS if_consumed
+FROM (SELECT DISTINCT user_id FROM b) u LEFT JOIN st ON u.user_id = st.user_id"""),
+
+    "first_order_flag": _w(STATE, """
+SELECT r.id, r.user_id, r.create_time,
+       CASE WHEN r.rn = 1 AND st.user_id IS NULL THEN '1' ELSE '0' END AS if_first_order
+FROM (SELECT id, user_id, create_time,
+             row_number() OVER (PARTITION BY user_id ORDER BY create_time, id) AS rn
+      FROM b) r
+LEFT JOIN st ON r.user_id = st.user_id"""),
+
+    "first_order_flag_empty_state": _w(FLAG_ALL, """
+SELECT id, user_id, create_time, if_first_order FROM fl"""),
+
+    "province_enrich": _w(OI + ",\n" + PROV, """
+SELECT oi.id, oi.province_id, prov.name AS province_name, prov.area_code AS province_area_code,
+       prov.iso_3166_2 AS province_3166_2_code
+FROM oi LEFT JOIN prov ON oi.province_id = CAST(prov.id AS BIGINT)"""),
+
+    "user_state_upsert": _w(OI, """
+SELECT CAST(user_id AS VARCHAR) AS user_id, '1' AS if_consumed,
+       CASE WHEN min(create_time) < '1996-01-01' THEN 0 ELSE 1 END AS batch_id
+FROM oi GROUP BY user_id"""),
+
+    "dwd_order_info_messages": _w(DWD, f"""
+SELECT 'DWD_ORDER_INFO' AS topic, CAST(user_id AS VARCHAR) AS key,
+       {_typed_json('dwd', _DWD_COLS)} AS value
+FROM dwd"""),
 }
 
 

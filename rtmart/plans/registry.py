@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rtmart.operators import dau as D
+from rtmart.operators import orders as O
 from rtmart.operators import routing as R
+from rtmart.operators.upsert import read_latest, write_version
 from rtmart.sinks.files import archive_log_lines
 from rtmart.session import shared_path
 from rtmart.sources import fixtures as FX
@@ -80,6 +82,99 @@ def q_raw_log_archive(spark, sf):
         F.count(F.lit(1)).alias("n_lines"))
 
 
+# ---------------------------------------------------------------- change data / orders
+
+def oi_rows(spark, sf):
+    return FX.order_info_rows(_t(spark, sf, "orders"), _t(spark, sf, "customer"))
+
+
+def od_rows(spark, sf):
+    return FX.order_detail_rows(_t(spark, sf, "lineitem"), _t(spark, sf, "orders"),
+                                _t(spark, sf, "part"))
+
+
+def orders_typed(spark, sf):
+    return O.order_info_typed(FX.order_info_text(oi_rows(spark, sf)))
+
+
+def details_typed(spark, sf):
+    return O.order_detail_typed(FX.order_detail_text(od_rows(spark, sf)))
+
+
+def provinces(spark, sf):
+    return O.province_latest(FX.province_versions(_t(spark, sf, "nation")))
+
+
+def state_and_batch(spark, sf):
+    before, batch = FX.split_orders_by_state_cutoff(orders_typed(spark, sf))
+    return O.user_state_from_orders(before), batch
+
+
+def dwd_orders(spark, sf):
+    """All orders as one batch against an empty state: flagged and enriched."""
+    return O.dwd_order_info(orders_typed(spark, sf), None, provinces(spark, sf))
+
+
+def q_cdc_route_canal(spark, sf):
+    env = FX.canal_envelopes(oi_rows(spark, sf), od_rows(spark, sf), _t(spark, sf, "customer"))
+    return R.route_canal(env)
+
+
+def q_cdc_route_maxwell(spark, sf):
+    env = FX.maxwell_envelopes(oi_rows(spark, sf), od_rows(spark, sf), _t(spark, sf, "nation"),
+                               _t(spark, sf, "customer"), _t(spark, sf, "part"),
+                               _t(spark, sf, "region"))
+    return R.route_maxwell(env)
+
+
+def q_order_info_typed(spark, sf):
+    return orders_typed(spark, sf)
+
+
+def q_order_detail_typed(spark, sf):
+    return details_typed(spark, sf)
+
+
+def q_dim_province_latest(spark, sf):
+    return provinces(spark, sf)
+
+
+def q_user_state_lookup(spark, sf):
+    state, batch = state_and_batch(spark, sf)
+    return O.user_state_lookup(batch, state)
+
+
+def q_first_order_flag(spark, sf):
+    state, batch = state_and_batch(spark, sf)
+    return O.first_order_flag(batch, state).select("id", "user_id", "create_time",
+                                                   "if_first_order")
+
+
+def q_first_order_flag_empty_state(spark, sf):
+    return O.first_order_flag(orders_typed(spark, sf)).select(
+        "id", "user_id", "create_time", "if_first_order")
+
+
+def q_province_enrich(spark, sf):
+    return O.province_enrich(orders_typed(spark, sf), provinces(spark, sf)).select(
+        "id", "province_id", "province_name", "province_area_code", "province_3166_2_code")
+
+
+def q_user_state_upsert(spark, sf):
+    """K3 for real: version 0 = prior state, version 1 = the batch's new users,
+    both written to the shared folder; the read takes the latest per user."""
+    state, batch = state_and_batch(spark, sf)
+    path = shared_path(spark, "user_state")
+    write_version(state, path, 0)
+    prior = read_latest(spark, path, ["user_id"], []).drop("batch_id")
+    write_version(O.new_user_state(batch, prior), path, 1)
+    return read_latest(spark, path, ["user_id"], []).select("user_id", "if_consumed", "batch_id")
+
+
+def q_dwd_order_info_messages(spark, sf):
+    return O.order_info_messages(dwd_orders(spark, sf))
+
+
 _REGISTRY: dict[str, Query] = {
     "parse_app_log": q_parse_app_log,
     "route_app_log": q_route_app_log,
@@ -91,6 +186,17 @@ _REGISTRY: dict[str, Query] = {
     "dau_distinct_check": q_dau_distinct_check,
     "report_hour_json": q_report_hour_json,
     "raw_log_archive": q_raw_log_archive,
+    "cdc_route_canal": q_cdc_route_canal,
+    "cdc_route_maxwell": q_cdc_route_maxwell,
+    "order_info_typed": q_order_info_typed,
+    "order_detail_typed": q_order_detail_typed,
+    "dim_province_latest": q_dim_province_latest,
+    "user_state_lookup": q_user_state_lookup,
+    "first_order_flag": q_first_order_flag,
+    "first_order_flag_empty_state": q_first_order_flag_empty_state,
+    "province_enrich": q_province_enrich,
+    "user_state_upsert": q_user_state_upsert,
+    "dwd_order_info_messages": q_dwd_order_info_messages,
 }
 
 
