@@ -125,6 +125,15 @@ _DWD_COLS = _OI_COLS + ["create_date", "create_hour", "if_first_order", "provinc
                         "province_area_code", "province_3166_2_code"]
 
 
+WIDE_SELECT = """
+SELECT od.id AS order_detail_id, dwd.id AS order_id, dwd.order_status, dwd.create_time,
+       dwd.user_id, od.sku_id, od.order_price AS sku_price, od.sku_num, od.sku_name,
+       dwd.benefit_reduce_amount, dwd.feight_fee, dwd.original_total_amount,
+       dwd.final_total_amount, dwd.if_first_order, dwd.province_name,
+       dwd.province_area_code, dwd.create_date AS dt
+FROM dwd JOIN od ON od.order_id = dwd.id"""
+
+
 def _w(ctes: str, body: str) -> str:
     return "WITH " + ctes + "\n" + body
 
@@ -234,6 +243,59 @@ FROM oi GROUP BY user_id"""),
 SELECT 'DWD_ORDER_INFO' AS topic, CAST(user_id AS VARCHAR) AS key,
        {_typed_json('dwd', _DWD_COLS)} AS value
 FROM dwd"""),
+
+    "order_wide": _w(DWD + ",\n" + OD, WIDE_SELECT),
+
+    # Net effect of the 15 s / 5 s sliding-window join plus pair dedup: the
+    # two rows' 5-second arrival batches are at most two apart.
+    "order_wide_dedup": _w(DWD + ",\n" + OD, WIDE_SELECT + """
+WHERE abs(floor(epoch(CAST(od.create_time AS TIMESTAMP)) / 5)
+          - floor(epoch(CAST(dwd.create_time AS TIMESTAMP)) / 5)) <= 2"""),
+
+    "order_wide_interval": _w(DWD + ",\n" + OD, WIDE_SELECT + """
+WHERE abs(epoch(CAST(od.create_time AS TIMESTAMP))
+          - epoch(CAST(dwd.create_time AS TIMESTAMP))) <= 10"""),
+
+    "sliding_window_counts": """
+SELECT strftime(make_timestamp(s * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(make_timestamp((s + 15) * 1000000), '%Y-%m-%d %H:%M:%S') AS window_end,
+       count(*) AS cnt
+FROM (SELECT (epoch_us(ts) // 5000000) * 5 - k AS s
+      FROM events, (SELECT unnest([0, 5, 10]) AS k))
+GROUP BY s""",
+
+    "detail_amount_split": _w(OI + ",\n" + OD, """
+SELECT order_detail_id, order_id, cents, cents / 100.0 AS final_detail_amount FROM (
+  SELECT od.id AS order_detail_id, od.order_id,
+         (fc * w) // tw
+         + CASE WHEN od.id = max(od.id) OVER (PARTITION BY od.order_id)
+                THEN fc - sum((fc * w) // tw) OVER (PARTITION BY od.order_id) ELSE 0 END
+           AS cents
+  FROM (SELECT od.*, CAST(round(order_price * 100) AS BIGINT) * sku_num AS w,
+               sum(CAST(round(order_price * 100) AS BIGINT) * sku_num)
+                 OVER (PARTITION BY order_id) AS tw
+        FROM od) od
+  JOIN (SELECT id, CAST(round(final_total_amount * 100) AS BIGINT) AS fc FROM oi) o
+    ON od.order_id = o.id)"""),
+
+    "match_top20": """
+SELECT p_partkey, p_name, p_retailprice FROM part
+WHERE list_has_any(string_split_regex(lower(p_name), '[^a-z0-9]+'), ['red'])
+ORDER BY p_retailprice NULLS FIRST, p_partkey LIMIT 20""",
+
+    "bulk_upsert_latest": _w(AL, """
+SELECT mid, uid, ar, ch, vc, dt, hr, mi, ts FROM (
+  SELECT mid, uid, ar, ch, vc, strftime(ts_raw, '%Y-%m-%d') AS dt, strftime(ts_raw, '%H') AS hr,
+         strftime(ts_raw, '%M') AS mi, ts_ms AS ts,
+         row_number() OVER (PARTITION BY mid, strftime(ts_raw, '%Y-%m-%d')
+                            ORDER BY ts_ms DESC, event_id DESC) AS rn
+  FROM al) WHERE rn = 1"""),
+
+    "rows_as_json": """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+       json_object('c_custkey', c_custkey, 'c_name', c_name, 'c_nationkey', c_nationkey,
+                   'c_acctbal', c_acctbal, 'c_mktsegment', c_mktsegment)::VARCHAR AS value
+FROM customer""",
 }
 
 

@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rtmart.operators import dau as D
 from rtmart.operators import orders as O
 from rtmart.operators import routing as R
+from rtmart.operators import search as SE
+from rtmart.operators import wide as W
+from rtmart.operators.upsert import latest_per_key
+from rtmart.functions import to_json_row
 from rtmart.operators.upsert import read_latest, write_version
 from rtmart.sinks.files import archive_log_lines
 from rtmart.session import shared_path
@@ -175,6 +179,56 @@ def q_dwd_order_info_messages(spark, sf):
     return O.order_info_messages(dwd_orders(spark, sf))
 
 
+# ---------------------------------------------------------------- wide order
+
+def q_order_wide(spark, sf):
+    return W.order_wide(dwd_orders(spark, sf), details_typed(spark, sf))
+
+
+def q_order_wide_dedup(spark, sf):
+    return W.order_wide_windowed(dwd_orders(spark, sf), details_typed(spark, sf))
+
+
+def q_order_wide_interval(spark, sf):
+    return W.order_wide_interval(dwd_orders(spark, sf), details_typed(spark, sf), bound_s=10)
+
+
+def q_sliding_window_counts(spark, sf):
+    return W.sliding_window_counts(_t(spark, sf, "events"), "ts")
+
+
+def q_detail_amount_split(spark, sf):
+    return W.detail_amount_split(orders_typed(spark, sf), details_typed(spark, sf))
+
+
+# ---------------------------------------------------------------- lookup / upsert
+
+def q_match_top20(spark, sf):
+    part = _t(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice")
+    return SE.match_sorted(part, "p_name", "red", "p_retailprice", "p_partkey")
+
+
+def q_bulk_upsert_latest(spark, sf):
+    """K4: every log record indexed as a document with id (dt, mid), in
+    arrival order; the last write of each id wins."""
+    from rtmart.functions import millis_to_day, millis_to_hour, millis_to_minute
+    logs = app_logs(spark, sf)
+    docs = logs.select("mid", "uid", "ar", "ch", "vc", millis_to_day("ts").alias("dt"),
+                       millis_to_hour("ts").alias("hr"), millis_to_minute("ts").alias("mi"),
+                       "ts", "event_id")
+    latest = latest_per_key(docs, ["dt", "mid"], ["ts", "event_id"])
+    return latest.select("mid", "uid", "ar", "ch", "vc", "dt", "hr", "mi", "ts")
+
+
+def q_rows_as_json(spark, sf):
+    """P16 + S6: table rows as JSON objects by column name, read back."""
+    cust = _t(spark, sf, "customer")
+    js = cust.select(to_json_row(*[F.col(c) for c in cust.columns]).alias("value"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cust.schema.fields)
+    back = js.select(F.from_json("value", schema).alias("r"), "value")
+    return back.select("r.*", "value")
+
+
 _REGISTRY: dict[str, Query] = {
     "parse_app_log": q_parse_app_log,
     "route_app_log": q_route_app_log,
@@ -197,6 +251,14 @@ _REGISTRY: dict[str, Query] = {
     "province_enrich": q_province_enrich,
     "user_state_upsert": q_user_state_upsert,
     "dwd_order_info_messages": q_dwd_order_info_messages,
+    "order_wide": q_order_wide,
+    "order_wide_dedup": q_order_wide_dedup,
+    "order_wide_interval": q_order_wide_interval,
+    "sliding_window_counts": q_sliding_window_counts,
+    "detail_amount_split": q_detail_amount_split,
+    "match_top20": q_match_top20,
+    "bulk_upsert_latest": q_bulk_upsert_latest,
+    "rows_as_json": q_rows_as_json,
 }
 
 
