@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from rtmart.schemas import ORDER_WIDE_COLUMNS
 
+__all__ = ["ORDER_WIDE_COLUMNS", "order_wide", "order_wide_windowed", "order_wide_interval",
+           "sliding_window_counts", "detail_amount_split"]
+
 # Fixed values of the reference's wide-order job (seconds).
 BATCH_SECONDS = 5
 WINDOW_SECONDS = 15

@@ -298,6 +298,13 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
 FROM customer""",
 }
 
+# Streaming jobs end in the same table as their batch counterparts.
+_SQL["stream_dau"] = _SQL["dau_first_touch"]
+_SQL["stream_restart"] = _SQL["dau_first_touch"]
+_SQL["stream_first_order"] = _SQL["first_order_flag"]
+_SQL["stream_replay"] = _SQL["first_order_flag"]
+_SQL["stream_order_wide"] = _SQL["order_wide_interval"]
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)

@@ -14,6 +14,9 @@ from rtmart.operators import search as SE
 from rtmart.operators import wide as W
 from rtmart.operators.upsert import latest_per_key
 from rtmart.functions import to_json_row
+from rtmart.sources.streams import file_stream
+from rtmart.streaming import jobs as J
+from rtmart.streaming.staging import stage_time_slices
 from rtmart.operators.upsert import read_latest, write_version
 from rtmart.sinks.files import archive_log_lines
 from rtmart.session import shared_path
@@ -229,6 +232,108 @@ def q_rows_as_json(spark, sf):
     return back.select("r.*", "value")
 
 
+# ---------------------------------------------------------------- streaming
+
+N_SLICES = 4            # time slices of the staged stream input
+FILES_PER_SLICE = 4     # files per slice = files read per micro-batch
+
+
+def _stage_app_logs(spark, sf, path, only=None):
+    cols = FX.app_log_columns(_t(spark, sf, "events"))
+    msgs = cols.select(to_json_row("common", "start", "ts", "event_id").alias("value"),
+                       F.col("ts").alias("_ts"), F.col("common.mid").alias("_mid"))
+    return stage_time_slices(msgs, "_ts", "_mid", path, N_SLICES, FILES_PER_SLICE,
+                             keep=["value"], only=only)
+
+
+def q_stream_dau(spark, sf):
+    """D1 as a stream: staged log files -> windowed min per device-day ->
+    versioned table; the final table equals ``dau_first_touch``."""
+    base = shared_path(spark, "stream_dau")
+    _stage_app_logs(spark, sf, f"{base}/in")
+    raw = file_stream(spark, f"{base}/in", "value string", FILES_PER_SLICE)
+    J.start_dau(raw, f"{base}/table", f"{base}/ckpt", available_now=True).awaitTermination()
+    return J.read_dau_table(spark, f"{base}/table")
+
+
+def q_stream_restart(spark, sf):
+    """Run on the first half of the input, stop, add the rest, restart
+    from the checkpoint; nothing is lost or counted twice."""
+    base = shared_path(spark, "stream_restart")
+    half = range(0, N_SLICES // 2)
+    rest = range(N_SLICES // 2, N_SLICES)
+    _stage_app_logs(spark, sf, f"{base}/in", only=half)
+    raw = file_stream(spark, f"{base}/in", "value string", FILES_PER_SLICE)
+    J.start_dau(raw, f"{base}/table", f"{base}/ckpt", available_now=True).awaitTermination()
+    _stage_app_logs(spark, sf, f"{base}/in", only=rest)
+    raw = file_stream(spark, f"{base}/in", "value string", FILES_PER_SLICE)
+    J.start_dau(raw, f"{base}/table", f"{base}/ckpt", available_now=True).awaitTermination()
+    return J.read_dau_table(spark, f"{base}/table")
+
+
+def _stage_order_batch(spark, sf, base):
+    """Seed user state (version 0) from orders before the cutoff; stage the
+    later orders as ODS messages in create-time slices keyed by user."""
+    before, batch = FX.split_orders_by_state_cutoff(oi_rows(spark, sf))
+    write_version(O.user_state_from_orders(before), f"{base}/state", 0)
+    msgs = FX.order_info_text(batch).withColumn("_t", F.unix_timestamp(
+        F.to_timestamp(F.get_json_object("value", "$.create_time"), "yyyy-MM-dd HH:mm:ss"))) \
+        .withColumn("_u", F.get_json_object("value", "$.user_id"))
+    stage_time_slices(msgs, "_t", "_u", f"{base}/in", N_SLICES, FILES_PER_SLICE, keep=["value"])
+    return file_stream(spark, f"{base}/in", "value string", FILES_PER_SLICE)
+
+
+def q_stream_first_order(spark, sf):
+    """D3-D5 as a stream: foreachBatch with versioned user state; equals the
+    batch ``first_order_flag`` because each user's orders arrive in time order."""
+    base = shared_path(spark, "stream_first_order")
+    stream = _stage_order_batch(spark, sf, base)
+    J.start_first_order(stream, spark, f"{base}/state", f"{base}/out", f"{base}/ckpt",
+                        lambda: provinces(spark, sf), available_now=True).awaitTermination()
+    return J.read_flagged_orders(spark, f"{base}/out").select(
+        "id", "user_id", "create_time", "if_first_order")
+
+
+def q_stream_replay(spark, sf):
+    """Every micro-batch is applied twice (an at-least-once redelivery);
+    the versioned writes make the second run a no-op."""
+    base = shared_path(spark, "stream_replay")
+    stream = _stage_order_batch(spark, sf, base)
+    fn = J.first_order_batch_fn(spark, f"{base}/state", f"{base}/out",
+                                lambda: provinces(spark, sf))
+
+    def twice(df, batch_id):
+        fn(df, batch_id)
+        fn(df, batch_id)
+
+    (stream.writeStream.option("checkpointLocation", f"{base}/ckpt").foreachBatch(twice)
+        .trigger(availableNow=True).start().awaitTermination())
+    return J.read_flagged_orders(spark, f"{base}/out").select(
+        "id", "user_id", "create_time", "if_first_order")
+
+
+def q_stream_order_wide(spark, sf):
+    """J1/J5 + D2 as a stream-stream join of the detail-layer messages, with
+    every detail message delivered twice; equals ``order_wide_interval``."""
+    base = shared_path(spark, "stream_order_wide")
+    info = O.order_info_messages(dwd_orders(spark, sf)).select("value")
+    det = O.order_detail_messages(details_typed(spark, sf)).select("value")
+    det = det.unionByName(det)      # redelivered messages, removed by the dedup
+    t = lambda: F.unix_timestamp(F.to_timestamp(
+        F.get_json_object("value", "$.create_time"), "yyyy-MM-dd HH:mm:ss"))
+    info = info.withColumn("_t", t()).withColumn("_k", F.get_json_object("value", "$.id"))
+    det = det.withColumn("_t", t()).withColumn("_k", F.get_json_object("value", "$.order_id"))
+    bounds = stage_time_slices(info, "_t", "_k", f"{base}/info", N_SLICES, FILES_PER_SLICE,
+                               keep=["value"])
+    stage_time_slices(det, "_t", "_k", f"{base}/detail", N_SLICES, FILES_PER_SLICE,
+                      bounds=bounds, keep=["value"])
+    i = file_stream(spark, f"{base}/info", "value string", FILES_PER_SLICE)
+    d = file_stream(spark, f"{base}/detail", "value string", FILES_PER_SLICE)
+    J.start_wide(i, d, f"{base}/wide", f"{base}/ckpt", available_now=True,
+                 bound_s=10, watermark="1 hour").awaitTermination()
+    return spark.read.parquet(f"{base}/wide").select(*W.ORDER_WIDE_COLUMNS)
+
+
 _REGISTRY: dict[str, Query] = {
     "parse_app_log": q_parse_app_log,
     "route_app_log": q_route_app_log,
@@ -259,6 +364,11 @@ _REGISTRY: dict[str, Query] = {
     "match_top20": q_match_top20,
     "bulk_upsert_latest": q_bulk_upsert_latest,
     "rows_as_json": q_rows_as_json,
+    "stream_dau": q_stream_dau,
+    "stream_restart": q_stream_restart,
+    "stream_first_order": q_stream_first_order,
+    "stream_replay": q_stream_replay,
+    "stream_order_wide": q_stream_order_wide,
 }
 
 

@@ -65,3 +65,9 @@ ORDER_WIDE_COLUMNS = [
     "feight_fee", "original_total_amount", "final_total_amount",
     "if_first_order", "province_name", "province_area_code", "dt",
 ]
+
+# Detail-layer order message (the order record after flag and enrichment).
+DWD_ORDER_INFO_FIELDS = ORDER_INFO_FIELDS + [
+    ("create_date", S), ("create_hour", S), ("if_first_order", S), ("province_name", S),
+    ("province_area_code", S), ("province_3166_2_code", S),
+]
