@@ -1,11 +1,11 @@
-from rtmart.functions.jsonio import (parse_json_strings, typed_from_json,
+from rtmart.functions.jsonio import (json_fields, typed_fields, parse_typed,
                                      to_json_row, json_field)
 from rtmart.functions.timefmt import (epoch_millis, millis_to_day, millis_to_hour,
                                       millis_to_minute, create_date, create_hour,
                                       previous_day, day_key, timestamp_to_text)
 
 __all__ = [
-    "parse_json_strings", "typed_from_json", "to_json_row", "json_field",
+    "json_fields", "typed_fields", "parse_typed", "to_json_row", "json_field",
     "epoch_millis", "millis_to_day", "millis_to_hour", "millis_to_minute",
     "create_date", "create_hour", "previous_day", "day_key", "timestamp_to_text",
 ]

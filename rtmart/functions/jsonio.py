@@ -1,37 +1,47 @@
-"""JSON text <-> columns, all JVM-side built-ins (no Python UDF)."""
+"""JSON text <-> columns, all JVM-side built-ins (no Python UDF).
+
+Parsing uses ``json_tuple``: one streaming parse per row that returns the
+requested fields as text -- quoted ("22") and bare (22) numbers alike, nested
+objects as compact JSON. Being a generator it is also a plan barrier: filters
+on parsed fields (including the not-null filters Catalyst infers for join
+keys) stay above it instead of being pushed down and re-parsing the text once
+per referenced field, and each field is not parsed separately.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
-def parse_json_strings(text: Column | str, schema: T.StructType) -> Column:
-    """``from_json`` with a schema whose leaves are strings.
+def _c(x) -> Column:
+    return x if isinstance(x, Column) else F.col(x)
 
-    Malformed text gives a null struct (PERMISSIVE), which callers route to a
-    quarantine output instead of failing the task.
-    """
-    return F.from_json(text if isinstance(text, Column) else F.col(text), schema)
 
+def json_fields(df: DataFrame, text, names: list[str], keep=(), prefix: str = "") -> DataFrame:
+    """``keep`` columns plus one string column per top-level field ``names``
+    (named ``prefix + name``); a missing field or malformed text gives null."""
+    keep = list(keep)
+    out = df.select(*keep, F.json_tuple(_c(text), *names))
+    return out.toDF(*keep, *[prefix + n for n in names])
 
-def typed_from_json(text: Column | str, fields) -> list[Column]:
-    """Parse ``text`` and return typed columns for ``fields`` [(name, type)].
 
-    Leaves are read as strings and ``try_cast`` to the target type, so quoted
-    ("22") and bare (22) numbers both work and bad values give null instead of
-    an ANSI error. Missing numeric fields become 0 because the original records
-    were primitive-typed; missing strings stay null.
-    """
-    schema = T.StructType([T.StructField(n, T.StringType()) for n, _ in fields])
-    parsed = parse_json_strings(text, schema)
-    out = []
+def typed_fields(df: DataFrame, fields, keep=()) -> DataFrame:
+    """Cast string fields to their types: ``try_cast`` (bad values -> null
+    instead of an ANSI error); missing numerics become 0 because the original
+    records were primitive-typed; missing strings stay null."""
+    cols = []
     for name, typ in fields:
-        raw = parsed.getField(name)
         if isinstance(typ, T.StringType):
-            out.append(raw.alias(name))
+            cols.append(F.col(name))
         else:
-            out.append(F.coalesce(raw.try_cast(typ), F.lit(0).cast(typ)).alias(name))
-    return out
+            cols.append(F.coalesce(F.col(name).try_cast(typ), F.lit(0).cast(typ)).alias(name))
+    return df.select(*keep, *cols)
+
+
+def parse_typed(df: DataFrame, text, fields, keep=()) -> DataFrame:
+    """Parse JSON text into typed top-level ``fields`` [(name, type)]."""
+    raw = json_fields(df, text, [n for n, _ in fields], keep)
+    return typed_fields(raw, fields, keep)
 
 
 def to_json_row(*cols, keep_nulls: bool = False) -> Column:
@@ -40,5 +50,5 @@ def to_json_row(*cols, keep_nulls: bool = False) -> Column:
     return F.to_json(F.struct(*cols), opts)
 
 
-def json_field(text: Column | str, path: str) -> Column:
-    return F.get_json_object(text if isinstance(text, Column) else F.col(text), path)
+def json_field(text, path: str) -> Column:
+    return F.get_json_object(_c(text), path)

@@ -10,10 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rtmart.functions import (day_key, millis_to_day, millis_to_hour, millis_to_minute,
-                              parse_json_strings, previous_day)
-from rtmart.schemas import APP_LOG_JSON
-from pyspark.sql import types as T
+from rtmart.functions import (day_key, json_fields, millis_to_day, millis_to_hour,
+                              millis_to_minute, previous_day)
 
 # Fixed values of the report surface (names as the reference's report emits them).
 DAU_ID = "dau"
@@ -22,8 +20,7 @@ NEW_MID_ID = "new_mid"
 NEW_MID_NAME = "新增设备"
 HOUR_BUCKETS = 24
 
-_CORRUPT = "_corrupt_record"
-_PARSE_SCHEMA = T.StructType(APP_LOG_JSON.fields + [T.StructField(_CORRUPT, T.StringType())])
+_COMMON = ["mid", "uid", "ar", "ch", "vc"]
 
 
 def parse_app_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
@@ -32,22 +29,17 @@ def parse_app_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
     Columns: mid, uid, ar, ch, vc, ts (epoch ms), event_id, has_start, is_valid.
     Invalid rows (malformed JSON, no device id, no numeric ts) are kept with
     ``is_valid = false`` so callers can quarantine them instead of failing.
+    A JSON ``null`` start counts as absent.
     """
-    p = F.from_json(F.col(value_col), _PARSE_SCHEMA,
-                    {"columnNameOfCorruptRecord": _CORRUPT})
-    df = raw.select(p.alias("j"))
-    ts = F.col("j.ts").try_cast("bigint")
-    return df.select(
-        F.col("j.common.mid").alias("mid"),
-        F.col("j.common.uid").alias("uid"),
-        F.col("j.common.ar").alias("ar"),
-        F.col("j.common.ch").alias("ch"),
-        F.col("j.common.vc").alias("vc"),
+    top = json_fields(raw, value_col, ["common", "start", "ts", "event_id"], prefix="_")
+    both = json_fields(top, "_common", _COMMON, keep=["_start", "_ts", "_event_id"])
+    ts = F.col("_ts").try_cast("bigint")
+    return both.select(
+        *_COMMON,
         ts.alias("ts"),
-        F.col("j.event_id").try_cast("bigint").alias("event_id"),
-        (F.col("j.start").isNotNull() & (F.col("j.start") != "null")).alias("has_start"),
-        (F.col("j").isNotNull() & F.col(f"j.{_CORRUPT}").isNull()
-         & F.col("j.common.mid").isNotNull() & ts.isNotNull()).alias("is_valid"),
+        F.col("_event_id").try_cast("bigint").alias("event_id"),
+        F.col("_start").isNotNull().alias("has_start"),
+        (F.col("mid").isNotNull() & ts.isNotNull()).alias("is_valid"),
     )
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rtmart.functions import create_date, create_hour, to_json_row, typed_from_json
+from rtmart.functions import create_date, create_hour, parse_typed, to_json_row
 from rtmart.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
 from rtmart.operators.upsert import latest_per_key
 from rtmart.schemas import ORDER_DETAIL_FIELDS, ORDER_INFO_FIELDS, PROVINCE_FIELDS
@@ -27,21 +27,21 @@ DWD_ORDER_DETAIL_TOPIC = "DWD_ORDER_DETAIL"
 
 def order_info_typed(ods: DataFrame, value_col: str = "value") -> DataFrame:
     """P2 + P6: ODS order JSON -> typed order with create_date / create_hour."""
-    typed = ods.select(*typed_from_json(F.col(value_col), ORDER_INFO_FIELDS))
+    typed = parse_typed(ods, value_col, ORDER_INFO_FIELDS)
     return typed.select("*", create_date("create_time").alias("create_date"),
                         create_hour("create_time").alias("create_hour"))
 
 
 def order_detail_typed(ods: DataFrame, value_col: str = "value") -> DataFrame:
     """ODS order-detail JSON -> typed detail."""
-    return ods.select(*typed_from_json(F.col(value_col), ORDER_DETAIL_FIELDS))
+    return parse_typed(ods, value_col, ORDER_DETAIL_FIELDS)
 
 
 def province_typed(ods: DataFrame, value_col: str = "value") -> DataFrame:
     """Province change row JSON -> the five string fields (plus any version
     columns the input carries)."""
     extra = [c for c in ods.columns if c != value_col]
-    return ods.select(*extra, *typed_from_json(F.col(value_col), PROVINCE_FIELDS))
+    return parse_typed(ods, value_col, PROVINCE_FIELDS, keep=extra)
 
 
 def province_latest(versions: DataFrame, order_cols=("batch_id", "seq")) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rtmart.schemas import CANAL_ENVELOPE, MAXWELL_ENVELOPE
+from rtmart.functions import json_fields
 
 # Topic names and the change-data whitelists of the reference.
 START_TOPIC = "GMALL_START"
@@ -44,15 +44,15 @@ def route_canal(envelopes: DataFrame, value_col: str = "value",
     Elements stay raw JSON text. Unparseable envelopes are dropped, or sent to
     QUARANTINE when ``with_quarantine``.
     """
-    env = F.from_json(F.col(value_col), CANAL_ENVELOPE)
-    parsed = envelopes.select(env.alias("e"), F.col(value_col).alias("raw"))
-    keep = (F.col("e.table").isin(*CANAL_TABLES)) & (F.col("e.type") == CANAL_TYPE)
+    raw = envelopes.select(F.col(value_col).alias("raw"))
+    parsed = json_fields(raw, "raw", ["table", "type", "data"], keep=["raw"], prefix="e_")
+    keep = (F.col("e_table").isin(*CANAL_TABLES)) & (F.col("e_type") == CANAL_TYPE)
     routed = (parsed.where(keep)
-              .select(ods_topic(F.col("e.table")).alias("topic"),
-                      F.explode(F.col("e.data")).alias("value")))
+              .select(ods_topic(F.col("e_table")).alias("topic"),
+                      F.explode(F.from_json("e_data", "array<string>")).alias("value")))
     if not with_quarantine:
         return routed
-    bad = parsed.where(F.col("e.table").isNull()).select(
+    bad = parsed.where(F.col("e_table").isNull()).select(
         F.lit(QUARANTINE_TOPIC).alias("topic"), F.col("raw").alias("value"))
     return routed.unionByName(bad)
 
@@ -65,16 +65,16 @@ def route_maxwell(envelopes: DataFrame, value_col: str = "value",
     type (deletes included, as in the reference). A payload must be longer than
     3 characters, which drops ``{}``.
     """
-    env = F.from_json(F.col(value_col), MAXWELL_ENVELOPE)
-    parsed = envelopes.select(env.alias("e"), F.col(value_col).alias("raw"))
-    data = F.col("e.data")
+    raw = envelopes.select(F.col(value_col).alias("raw"))
+    parsed = json_fields(raw, "raw", ["table", "type", "data"], keep=["raw"], prefix="e_")
+    data = F.col("e_data")
     keep = (data.isNotNull() & (F.length(data) > 3) & (
-        (F.col("e.table").isin(*MAXWELL_FACT_TABLES) & (F.col("e.type") == MAXWELL_FACT_TYPE))
-        | F.col("e.table").isin(*MAXWELL_DIM_TABLES)))
-    routed = parsed.where(keep).select(ods_topic(F.col("e.table")).alias("topic"),
+        (F.col("e_table").isin(*MAXWELL_FACT_TABLES) & (F.col("e_type") == MAXWELL_FACT_TYPE))
+        | F.col("e_table").isin(*MAXWELL_DIM_TABLES)))
+    routed = parsed.where(keep).select(ods_topic(F.col("e_table")).alias("topic"),
                                        data.alias("value"))
     if not with_quarantine:
         return routed
-    bad = parsed.where(F.col("e.table").isNull()).select(
+    bad = parsed.where(F.col("e_table").isNull()).select(
         F.lit(QUARANTINE_TOPIC).alias("topic"), F.col("raw").alias("value"))
     return routed.unionByName(bad)

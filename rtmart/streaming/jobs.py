@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rtmart.functions import millis_to_hour, millis_to_minute, typed_from_json
+from rtmart.functions import millis_to_hour, millis_to_minute, parse_typed
 from rtmart.operators import dau as D
 from rtmart.operators import orders as O
 from rtmart.operators.upsert import read_latest, write_version
@@ -125,10 +125,10 @@ def wide_stream(info_msgs: DataFrame, detail_msgs: DataFrame, bound_s: int = 10,
     bound_s. Watermarks on both sides bound the join state; each matching
     pair is emitted once.
     """
-    info = info_msgs.select(*typed_from_json(F.col("value"), DWD_ORDER_INFO_FIELDS))
+    info = parse_typed(info_msgs, "value", DWD_ORDER_INFO_FIELDS)
     info = (info.withColumn("_it", F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss"))
                 .withWatermark("_it", watermark).dropDuplicatesWithinWatermark(["id"]))
-    det = detail_msgs.select(*typed_from_json(F.col("value"), ORDER_DETAIL_FIELDS))
+    det = parse_typed(detail_msgs, "value", ORDER_DETAIL_FIELDS)
     det = (det.withColumn("_dt", F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss"))
               .withWatermark("_dt", watermark).dropDuplicatesWithinWatermark(["id"]))
     i = info.select(F.col("id").alias("order_id"), "order_status", "create_time", "user_id",
