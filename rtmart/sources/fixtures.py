@@ -8,9 +8,10 @@ here is repeated as a CTE in the matching oracle SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from rtmart.functions import epoch_millis, timestamp_to_text, to_json_row
+from rtmart.operators.numbering import row_number_within
 
 # Fixed values of the adapters.
 START_TOPIC_EVENT_TYPE = "signup"       # events of this type carry a `start` object
@@ -76,15 +77,15 @@ def order_detail_rows(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -
     """lineitem + orders + part -> typed order-detail records (``od``).
 
     ``(l_orderkey, l_linenumber)`` is not unique in the test data, so the
-    detail id numbers the lines of an order in a fixed order.
+    detail id numbers the lines of an order in a fixed order -- without
+    putting a whole order into one task (``row_number_within``).
     """
     li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                          "l_quantity", "l_extendedprice", "l_discount", "l_tax",
                          "l_returnflag", "l_linestatus", "l_shipdate")
-    w = Window.partitionBy("l_orderkey").orderBy(
+    li = row_number_within(li, "l_orderkey", [
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
-    li = li.withColumn("rn", F.row_number().over(w))
+        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"])
     o = orders.select("o_orderkey", "o_orderdate")
     p = part.select("p_partkey", "p_name")
     j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")

@@ -87,7 +87,7 @@ def first_order_batch_fn(spark: SparkSession, state_path: str, out_path: str,
     """
     def run(batch: DataFrame, batch_id: int):
         version = int(batch_id) + version_offset
-        orders = O.order_info_typed(batch)
+        orders = O.order_info_typed(batch).persist()   # parsed once, used twice
         state = None
         if path_exists(spark, state_path):
             state = read_latest(spark, state_path, ["user_id"], [], before=version) \
@@ -99,6 +99,7 @@ def first_order_batch_fn(spark: SparkSession, state_path: str, out_path: str,
             write_version(O.new_user_state(orders, state), state_path, version)
         finally:
             flagged.unpersist()
+            orders.unpersist()
     return run
 
 

@@ -2,9 +2,11 @@
 
 In production the input is a Kafka topic keyed by the entity (user, device),
 which keeps each key's records in order. Here a DataFrame derived from the
-given tables is cut into time slices written one after another (increasing
-file times, so the file source reads them in order), each slice hash-
-partitioned by the key so one key's rows of a slice are in one file.
+given tables is first written once to the shared folder (cutting its lineage,
+so the upstream joins run once), then cut into time slices appended one after
+another (increasing file times, so the file source reads them in order). Each
+slice is hash-partitioned by the key, so one key's rows of a slice share a
+file.
 """
 
 from __future__ import annotations
@@ -12,6 +14,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
+def materialize(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` (shared folder) and read it back."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def stage_time_slices(df: DataFrame, time_col, key_col: str, path: str, n_slices: int,
                       files_per_slice: int, bounds: tuple | None = None,
                       keep: list[str] | None = None, only: range | None = None) -> tuple:
@@ -23,7 +31,10 @@ def stage_time_slices(df: DataFrame, time_col, key_col: str, path: str, n_slices
     the columns written (default: all); ``only`` writes a subset of slices.
     """
     t = F.col(time_col) if isinstance(time_col, str) else time_col
-    staged = df.withColumn("_t", t.cast("double"))
+    cols = keep or list(df.columns)
+    staged = materialize(df.select(*cols, F.col(key_col).alias("_key"),
+                                   t.cast("double").alias("_t")),
+                         f"{path.rstrip('/')}_staged")
     if bounds is None:
         row = staged.agg(F.min("_t").alias("lo"), F.max("_t").alias("hi")).first()
         bounds = (float(row["lo"] or 0.0), float(row["hi"] or 0.0))
@@ -31,15 +42,7 @@ def stage_time_slices(df: DataFrame, time_col, key_col: str, path: str, n_slices
     width = (hi - lo) / n_slices if hi > lo else 1.0
     idx = F.least(F.greatest(F.floor((F.col("_t") - lo) / width), F.lit(0)),
                   F.lit(n_slices - 1))
-    staged = staged.withColumn("_slice", idx.cast("int"))
-    cols = keep or [c for c in df.columns]
     for k in (only if only is not None else range(n_slices)):
-        part = staged.where(F.col("_slice") == k).repartition(files_per_slice, key_col)
+        part = staged.where(idx == k).repartition(files_per_slice, "_key")
         part.select(*cols).write.mode("append").parquet(path)
     return bounds
-
-
-def slice_bounds_for(df: DataFrame, time_col) -> tuple:
-    t = F.col(time_col) if isinstance(time_col, str) else time_col
-    row = df.agg(F.min(t).cast("double").alias("lo"), F.max(t).cast("double").alias("hi")).first()
-    return float(row["lo"] or 0.0), float(row["hi"] or 0.0)
