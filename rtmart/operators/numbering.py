@@ -7,8 +7,8 @@ group holding a third of the data becomes one enormous task. Here:
    boundaries come from a sample of the full key, so a hot group is spread
    over many partitions in key order;
 2. number rows by position: ``monotonically_increasing_id`` after the sort
-   encodes (partition, position); the result is checkpointed so the numbers
-   are fixed;
+   encodes (partition, position); the result is written to the shared
+   folder so the numbers are fixed (and the plan is computed once);
 3. turn positions into a global index with per-partition offsets (one row
    per partition: a proven-small broadcast);
 4. subtract each group's first global index (a min aggregate, combined
@@ -19,6 +19,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from rtmart.operators.lineage import cut_lineage
+
 _LOCAL_BITS = 33   # monotonically_increasing_id: partition id << 33 | position
 
 
@@ -30,7 +32,7 @@ def row_number_within(df: DataFrame, group_col: str, order_cols: list[str],
     ranged = (df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys])
                 .sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys])
                 .withColumn("_pos", F.monotonically_increasing_id()))
-    staged = ranged.checkpoint(eager=True)      # fixes positions; cuts lineage
+    staged = cut_lineage(ranged, "rownum")      # fixes positions; cuts lineage
 
     pid = F.shiftright(F.col("_pos"), _LOCAL_BITS)
     local = F.col("_pos").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from rtmart.operators.lineage import cut_lineage
 from rtmart.schemas import ORDER_WIDE_COLUMNS
 
 __all__ = ["ORDER_WIDE_COLUMNS", "order_wide", "order_wide_windowed", "order_wide_interval",
@@ -111,11 +112,13 @@ def detail_amount_split(info: DataFrame, detail: DataFrame) -> DataFrame:
     lines = detail.select(F.col("id").alias("order_detail_id"), "order_id",
                           (cents("order_price") * F.col("sku_num")).alias("w"))
     orders = info.select(F.col("id").alias("order_id"), cents("final_total_amount").alias("fc"))
-    per_order = lines.groupBy("order_id").agg(F.sum("w").alias("tw"),
-                                              F.max("order_detail_id").alias("last_id"))
-    shared = (lines.join(per_order, "order_id").join(orders, "order_id")
-                   .withColumn("share", F.when(F.col("tw") == 0, F.lit(0).cast("bigint"))
-                               .otherwise(F.expr("(fc * w) div tw"))))
+    # four consumers below: parse and join once, narrow, in the shared folder
+    base = cut_lineage(lines.join(orders, "order_id"), "amount_split")
+    per_order = base.groupBy("order_id").agg(F.sum("w").alias("tw"),
+                                             F.max("order_detail_id").alias("last_id"))
+    shared = (base.join(per_order, "order_id")
+                  .withColumn("share", F.when(F.col("tw") == 0, F.lit(0).cast("bigint"))
+                              .otherwise(F.expr("(fc * w) div tw"))))
     rem = (shared.groupBy("order_id")
                  .agg((F.max("fc") - F.sum("share")).alias("rem")))
     out = shared.join(rem, "order_id").withColumn(

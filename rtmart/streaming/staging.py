@@ -13,11 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-
-def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` to ``path`` (shared folder) and read it back."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+from rtmart.operators.lineage import write_and_read
 
 
 def stage_time_slices(df: DataFrame, time_col, key_col: str, path: str, n_slices: int,
@@ -32,7 +28,7 @@ def stage_time_slices(df: DataFrame, time_col, key_col: str, path: str, n_slices
     """
     t = F.col(time_col) if isinstance(time_col, str) else time_col
     cols = keep or list(df.columns)
-    staged = materialize(df.select(*cols, F.col(key_col).alias("_key"),
+    staged = write_and_read(df.select(*cols, F.col(key_col).alias("_key"),
                                    t.cast("double").alias("_t")),
                          f"{path.rstrip('/')}_staged")
     if bounds is None:
