@@ -148,12 +148,12 @@ def dau_distinct_check(logs: DataFrame, dau: DataFrame) -> DataFrame:
 def report_hour_json(dau: DataFrame) -> DataFrame:
     """A3/R2 as JSON text per day: {"yesterday":{hr:n,..},"today":{hr:n,..}}.
 
-    The maps are built from at most 24 aggregated rows per day.
+    The maps are built from at most 24 aggregated rows per day, hours in
+    ascending order (a missing hour is absent; no hours gives ``{}``).
     """
     cmp = dau_hour_compare(dau)
     entry = lambda c: F.when(F.col(c).isNotNull(), F.struct("hr", F.col(c)))
-    g = cmp.groupBy("dt").agg(
-        F.map_from_entries(F.coalesce(F.collect_list(entry("yesterday")),
-                                      F.array())).alias("yesterday"),
-        F.map_from_entries(F.coalesce(F.collect_list(entry("today")), F.array())).alias("today"))
+    as_map = lambda c: F.map_from_entries(F.array_sort(F.collect_list(entry(c))))
+    g = cmp.groupBy("dt").agg(as_map("yesterday").alias("yesterday"),
+                              as_map("today").alias("today"))
     return g.select("dt", F.to_json(F.struct("yesterday", "today")).alias("report"))

@@ -90,6 +90,23 @@ PROV = """prov AS (
          'ISO-' || CAST(n_nationkey AS VARCHAR) AS iso_3166_2
   FROM nation)"""
 
+DIMS = """c3 AS (
+  SELECT CAST(dense_rank() OVER (ORDER BY p_type) AS VARCHAR) AS id, p_type AS name
+  FROM (SELECT DISTINCT p_type FROM part)),
+tm AS (
+  SELECT regexp_extract(p_brand, '#(\\d+)', 1) AS id, p_brand AS tm_name
+  FROM (SELECT DISTINCT p_brand FROM part)),
+sku AS (
+  SELECT CAST(p.p_partkey AS VARCHAR) AS id, p.p_name AS sku_name,
+         regexp_extract(p.p_brand, '#(\\d+)', 1) AS tm_id, c3.id AS category3_id
+  FROM part p LEFT JOIN c3 ON p.p_type = c3.name),
+usr AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name,
+         printf('%d-%02d-15', CAST(c_custkey % 60 + 1940 AS INTEGER),
+                CAST(c_custkey % 12 + 1 AS INTEGER)) AS birthday,
+         CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender
+  FROM customer)"""
+
 STATE = OI + """,
 st AS (SELECT DISTINCT user_id FROM oi WHERE create_time < '1996-01-01'),
 b AS (SELECT * FROM oit WHERE create_time >= '1996-01-01')"""
@@ -176,6 +193,20 @@ SELECT r.dt, r.distinct_mids, d.dau_rows FROM
    FROM al GROUP BY 1) r
 FULL OUTER JOIN (SELECT dt, count(*) AS dau_rows FROM dau GROUP BY dt) d ON r.dt = d.dt"""),
 
+    "report_hour_json": _w(HOURS + """,
+cmp AS (
+  SELECT coalesce(t.dt, y.dt) AS dt, coalesce(t.hr, y.hr) AS hr, t.cnt AS today, y.cnt AS yesterday
+  FROM hc t
+  FULL OUTER JOIN (SELECT strftime(CAST(dt AS DATE) + INTERVAL 1 DAY, '%Y-%m-%d') AS dt, hr, cnt
+                   FROM hc) y
+    ON t.dt = y.dt AND t.hr = y.hr)""", """
+SELECT dt,
+  '{"yesterday":{' || coalesce(string_agg(CASE WHEN yesterday IS NOT NULL
+        THEN '"' || hr || '":' || yesterday END, ',' ORDER BY hr), '')
+  || '},"today":{' || coalesce(string_agg(CASE WHEN today IS NOT NULL
+        THEN '"' || hr || '":' || today END, ',' ORDER BY hr), '') || '}}' AS report
+FROM cmp GROUP BY dt"""),
+
     "raw_log_archive": _w(AL, """
 SELECT strftime(ts_raw, '%Y-%m-%d') AS dt, count(*) AS n_lines FROM al GROUP BY 1"""),
 
@@ -186,7 +217,7 @@ UNION ALL
 SELECT 'ODS_ORDER_DETAIL' AS topic, {_quoted_json('od', _OD_COLS)} AS value
 FROM od JOIN oi ON od.order_id = oi.id WHERE oi.order_status <> 'P'"""),
 
-    "cdc_route_maxwell": _w(OI + ",\n" + OD, f"""
+    "cdc_route_maxwell": _w(OI + ",\n" + OD + ",\n" + DIMS, f"""
 SELECT 'ODS_ORDER_INFO' AS topic, {_typed_json('oi', _OI_COLS)} AS value
 FROM oi WHERE oi.order_status <> 'P'
 UNION ALL
@@ -196,17 +227,16 @@ UNION ALL
 SELECT 'ODS_BASE_PROVINCE', json_object('id', CAST(n_nationkey AS VARCHAR), 'name', n_name,
        'area_code', CAST(n_regionkey AS VARCHAR))::VARCHAR FROM nation
 UNION ALL
-SELECT 'ODS_USER_INFO', json_object('id', CAST(c_custkey AS VARCHAR), 'name', c_name)::VARCHAR
-FROM customer WHERE c_custkey % 100 <> 0
+SELECT 'ODS_USER_INFO', json_object('id', id, 'name', name, 'birthday', birthday,
+       'gender', gender)::VARCHAR
+FROM usr WHERE CAST(id AS BIGINT) % 100 <> 0
 UNION ALL
-SELECT 'ODS_SKU_INFO', json_object('id', CAST(p_partkey AS VARCHAR), 'sku_name', p_name,
-       'tm_id', p_brand, 'category3_id', p_type)::VARCHAR FROM part
+SELECT 'ODS_SKU_INFO', json_object('id', id, 'sku_name', sku_name, 'tm_id', tm_id,
+       'category3_id', category3_id)::VARCHAR FROM sku
 UNION ALL
-SELECT 'ODS_BASE_TRADEMARK', json_object('id', p_brand, 'tm_name', p_brand)::VARCHAR
-FROM (SELECT DISTINCT p_brand FROM part)
+SELECT 'ODS_BASE_TRADEMARK', json_object('id', id, 'tm_name', tm_name)::VARCHAR FROM tm
 UNION ALL
-SELECT 'ODS_BASE_CATEGORY3', json_object('id', p_type, 'name', p_type)::VARCHAR
-FROM (SELECT DISTINCT p_type FROM part)"""),
+SELECT 'ODS_BASE_CATEGORY3', json_object('id', id, 'name', name)::VARCHAR FROM c3"""),
 
     "order_info_typed": _w(OI, "SELECT * FROM oit"),
 
@@ -278,6 +308,25 @@ SELECT order_detail_id, order_id, cents, cents / 100.0 AS final_detail_amount FR
   JOIN (SELECT id, CAST(round(final_total_amount * 100) AS BIGINT) AS fc FROM oi) o
     ON od.order_id = o.id)"""),
 
+    "detail_dims": _w(OD + ",\n" + DIMS, """
+SELECT od.id AS order_detail_id, od.sku_id,
+       CASE WHEN sku.id IS NULL THEN NULL ELSE CAST(0 AS BIGINT) END AS spu_id,
+       CAST(sku.tm_id AS BIGINT) AS tm_id, CAST(sku.category3_id AS BIGINT) AS category3_id,
+       CAST(NULL AS VARCHAR) AS spu_name, tm.tm_name, c3.name AS category3_name
+FROM od
+LEFT JOIN sku ON od.sku_id = CAST(sku.id AS BIGINT)
+LEFT JOIN tm ON CAST(sku.tm_id AS BIGINT) = CAST(tm.id AS BIGINT)
+LEFT JOIN c3 ON CAST(sku.category3_id AS BIGINT) = CAST(c3.id AS BIGINT)"""),
+
+    "order_user_dim": _w(OI + ",\n" + DIMS, """
+SELECT oit.id, oit.user_id, oit.create_date,
+       CASE WHEN usr.birthday IS NULL THEN NULL
+            WHEN a <= 20 THEN '<=20' WHEN a <= 30 THEN '21-30' ELSE '>30' END AS user_age_group,
+       usr.gender AS user_gender
+FROM oit LEFT JOIN usr ON oit.user_id = CAST(usr.id AS BIGINT),
+LATERAL (SELECT date_sub('year', CAST(usr.birthday AS DATE),
+                         CAST(oit.create_date AS DATE)) AS a)"""),
+
     "match_top20": """
 SELECT p_partkey, p_name, p_retailprice FROM part
 WHERE list_has_any(string_split_regex(lower(p_name), '[^a-z0-9]+'), ['red'])

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rtmart.operators import dau as D
+from rtmart.operators import dims as DM
 from rtmart.operators import orders as O
 from rtmart.operators import routing as R
 from rtmart.operators import search as SE
@@ -204,6 +205,29 @@ def q_detail_amount_split(spark, sf):
     return W.detail_amount_split(orders_typed(spark, sf), details_typed(spark, sf))
 
 
+def _dim_msgs(rows):
+    return rows.select(to_json_row(*[F.col(c) for c in rows.columns]).alias("value"))
+
+
+def q_detail_dims(spark, sf):
+    """Details with SKU, trademark and category dimensions (ODS JSON ->
+    latest per id -> lookups)."""
+    part = _t(spark, sf, "part")
+    sku = DM.dim_latest(_dim_msgs(FX.sku_rows(part)), DM.SKU_FIELDS)
+    tm = DM.dim_latest(_dim_msgs(FX.trademark_rows(part)), DM.TRADEMARK_FIELDS)
+    c3 = DM.dim_latest(_dim_msgs(FX.category3_rows(part)), DM.CATEGORY3_FIELDS)
+    out = DM.detail_dims(details_typed(spark, sf), sku, tm, c3)
+    return out.select(F.col("id").alias("order_detail_id"), "sku_id", "spu_id", "tm_id",
+                      "category3_id", "spu_name", "tm_name", "category3_name")
+
+
+def q_order_user_dim(spark, sf):
+    """Orders with the user's age group and gender."""
+    users = DM.dim_latest(_dim_msgs(FX.user_rows(_t(spark, sf, "customer"))), DM.USER_FIELDS)
+    out = DM.order_user_dim(orders_typed(spark, sf), users)
+    return out.select("id", "user_id", "create_date", "user_age_group", "user_gender")
+
+
 # ---------------------------------------------------------------- lookup / upsert
 
 def q_match_top20(spark, sf):
@@ -361,6 +385,8 @@ _REGISTRY: dict[str, Query] = {
     "order_wide_interval": q_order_wide_interval,
     "sliding_window_counts": q_sliding_window_counts,
     "detail_amount_split": q_detail_amount_split,
+    "detail_dims": q_detail_dims,
+    "order_user_dim": q_order_user_dim,
     "match_top20": q_match_top20,
     "bulk_upsert_latest": q_bulk_upsert_latest,
     "rows_as_json": q_rows_as_json,

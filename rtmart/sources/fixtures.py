@@ -153,6 +153,52 @@ def split_orders_by_state_cutoff(oi: DataFrame, cutoff: str = STATE_CUTOFF):
     return before, batch
 
 
+# ---------------------------------------------------------------- dimensions from part / customer
+
+SKU_COLUMNS = ["id", "sku_name", "tm_id", "category3_id"]
+USER_COLUMNS = ["id", "name", "birthday", "gender"]
+
+
+def _brand_id(col) -> F.Column:
+    return F.regexp_extract(col, r"#(\d+)", 1)
+
+
+def sku_rows(part: DataFrame) -> DataFrame:
+    """SKU dimension rows: id, name, trademark id (the brand number) and
+    category id (rank of the type among the distinct types)."""
+    cats = category3_rows(part).select(F.col("name").alias("_type"), F.col("id").alias("_cid"))
+    p = part.select("p_partkey", "p_name", "p_brand", "p_type")
+    j = p.join(F.broadcast(cats), p.p_type == cats._type, "left")   # one row per type
+    return j.select(F.col("p_partkey").cast("string").alias("id"),
+                    F.col("p_name").alias("sku_name"),
+                    _brand_id(F.col("p_brand")).alias("tm_id"),
+                    F.col("_cid").alias("category3_id"))
+
+
+def trademark_rows(part: DataFrame) -> DataFrame:
+    return (part.select("p_brand").distinct()
+                .select(_brand_id(F.col("p_brand")).alias("id"), F.col("p_brand").alias("tm_name")))
+
+
+def category3_rows(part: DataFrame) -> DataFrame:
+    """Category rows; the id is the rank of the type name among the distinct
+    types (the distinct set of a small dimension, ranked in one task)."""
+    from pyspark.sql import Window
+    types = part.select("p_type").distinct()
+    return types.select(F.dense_rank().over(Window.orderBy("p_type")).cast("string").alias("id"),
+                        F.col("p_type").alias("name"))
+
+
+def user_rows(customer: DataFrame) -> DataFrame:
+    """User dimension rows: birthday and gender derived from the key."""
+    k = F.col("c_custkey")
+    return customer.select(
+        k.cast("string").alias("id"), F.col("c_name").alias("name"),
+        F.format_string("%d-%02d-15", (k % 60 + 1940).cast("int"), (k % 12 + 1).cast("int"))
+        .alias("birthday"),
+        F.when(k % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("gender"))
+
+
 # ---------------------------------------------------------------- change data
 
 def _change_type(status_col, insert_word, update_word):
@@ -225,23 +271,17 @@ def maxwell_envelopes(oi: DataFrame, od: DataFrame, nation: DataFrame, customer:
         obj(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name"),
             F.col("n_regionkey").cast("string").alias("area_code")),
         F.lit("bootstrap-insert")))
-    user_env = customer.select(envelope(
-        "user_info",
-        # an empty payload `{}` every 100th customer (all fields null are dropped)
-        obj(F.when(F.col("c_custkey") % 100 != 0, F.col("c_custkey").cast("string")).alias("id"),
-            F.when(F.col("c_custkey") % 100 != 0, F.col("c_name")).alias("name")),
+    # an empty payload `{}` every 100th customer (all fields null are dropped)
+    users = user_rows(customer)
+    keep = F.col("id").cast("bigint") % 100 != 0
+    user_env = users.select(envelope(
+        "user_info", obj(*[F.when(keep, F.col(c)).alias(c) for c in USER_COLUMNS]),
         F.lit("update")))
-    sku_env = part.select(envelope(
-        "sku_info",
-        obj(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("sku_name"),
-            F.col("p_brand").alias("tm_id"), F.col("p_type").alias("category3_id")),
-        F.lit("insert")))
-    tm_env = part.select("p_brand").distinct().select(envelope(
-        "base_trademark", obj(F.col("p_brand").alias("id"), F.col("p_brand").alias("tm_name")),
-        F.lit("insert")))
-    cat_env = part.select("p_type").distinct().select(envelope(
-        "base_category3", obj(F.col("p_type").alias("id"), F.col("p_type").alias("name")),
-        F.lit("insert")))
+    sku_env = sku_rows(part).select(envelope("sku_info", obj(*SKU_COLUMNS), F.lit("insert")))
+    tm_env = trademark_rows(part).select(envelope("base_trademark", obj("id", "tm_name"),
+                                                  F.lit("insert")))
+    cat_env = category3_rows(part).select(envelope("base_category3", obj("id", "name"),
+                                                   F.lit("insert")))
     region_env = region.select(envelope(
         "base_region", obj(F.col("r_regionkey").cast("string").alias("id"),
                            F.col("r_name").alias("region_name")),
