@@ -17,7 +17,7 @@ from rtmart.operators.numbering import row_number_within
 START_TOPIC_EVENT_TYPE = "signup"       # events of this type carry a `start` object
 STATE_CUTOFF = "1996-01-01"             # orders before: prior user state; from it on: the batch
 CANAL_MAX_ROWS_PER_ENVELOPE = 16        # one change envelope carries at most this many rows
-DB_NAME = "gmall"
+DB_NAME = "shop"
 
 
 # ---------------------------------------------------------------- app logs
