@@ -89,23 +89,33 @@ def dau_hour_count(dau: DataFrame, date: str | None = None) -> DataFrame:
              .where(F.col("_r") <= HOUR_BUCKETS).drop("_r")
 
 
+def _next_day(day) -> F.Column:
+    return F.date_format(F.date_add(F.to_date(day, "yyyy-MM-dd"), 1), "yyyy-MM-dd")
+
+
 def dau_hour_compare(dau: DataFrame, date: str | None = None,
                      report_id: str = DAU_ID) -> DataFrame:
     """Each day's hour counts next to the previous day's.
 
-    Full outer join on (dt, hr) of the hour counts with themselves shifted by a
-    day; an hour missing on one side is null there. Any report id other than
-    ``dau`` gives an empty result.
+    Equivalent to a full outer join of the hour counts with themselves shifted
+    by a day, but done in one pass: every hour-count row is emitted once as
+    "today" of its day and once as "yesterday" of the next day, then one
+    aggregate per (dt, hr) lines them up. An hour missing on one side is null.
+    Any report id other than ``dau`` gives an empty result.
     """
     hc = dau_hour_count(dau)
-    today = hc.select("dt", "hr", F.col("cnt").alias("today"))
-    yest = hc.select(F.date_format(F.date_add(F.to_date("dt"), 1), "yyyy-MM-dd").alias("dt"),
-                     "hr", F.col("cnt").alias("yesterday"))
     if date is not None:
-        today = today.where(F.col("dt") == F.lit(date))
-        yest = hc.where(F.col("dt") == previous_day(F.lit(date))).select(
-            F.lit(date).alias("dt"), "hr", F.col("cnt").alias("yesterday"))
-    out = today.join(yest, ["dt", "hr"], "full")
+        hc = hc.where(F.col("dt").isin(F.lit(date), previous_day(F.lit(date))))
+    null = F.lit(None).cast("bigint")
+    both = hc.select(F.inline(F.array(
+        F.struct(F.col("dt").alias("dt"), "hr", F.col("cnt").alias("today"),
+                 null.alias("yesterday")),
+        F.struct(_next_day("dt").alias("dt"), "hr", null.alias("today"),
+                 F.col("cnt").alias("yesterday")))))
+    out = both.groupBy("dt", "hr").agg(F.max("today").alias("today"),
+                                      F.max("yesterday").alias("yesterday"))
+    if date is not None:
+        out = out.where(F.col("dt") == F.lit(date))
     if report_id != DAU_ID:
         out = out.where(F.lit(False))
     return out.select("dt", "hr", "today", "yesterday")
@@ -121,18 +131,25 @@ def realtime_total(dau: DataFrame, date: str | None = None) -> DataFrame:
     """Per day, the rows {id: dau, value: total} and {id: new_mid, value: n}.
 
     ``new_mid`` is computed (devices first seen that day) where the reference
-    returned a constant.
+    returned a constant. One pass over the documents: grouping sets give the
+    per-day totals and each device's first day in the same aggregate, then a
+    second (per-day, small) aggregate counts first days.
     """
-    totals = dau_total(dau).select("dt", "dau_total")
-    news = new_devices(dau)
-    both = totals.join(news, "dt", "left")
+    g = dau.select("dt", "mid").groupingSets([["dt"], ["mid"]], "dt", "mid").agg(
+        F.count(F.lit(1)).alias("n"), F.min("dt").alias("first_dt"),
+        F.grouping_id().alias("gid"))
+    per_day_set = F.col("gid") == 1          # mid rolled up
+    day = F.when(per_day_set, F.col("dt")).otherwise(F.col("first_dt"))
+    both = g.groupBy(day.alias("dt")).agg(
+        F.max(F.when(per_day_set, F.col("n"))).alias("dau_total"),
+        F.count(F.when(~per_day_set, F.lit(1))).alias("new_mid"))
     if date is not None:
         both = both.where(F.col("dt") == F.lit(date))
     rows = F.array(
         F.struct(F.lit(DAU_ID).alias("id"), F.lit(DAU_NAME).alias("name"),
                  F.col("dau_total").cast("bigint").alias("value")),
         F.struct(F.lit(NEW_MID_ID).alias("id"), F.lit(NEW_MID_NAME).alias("name"),
-                 F.coalesce(F.col("new_mid"), F.lit(0)).cast("bigint").alias("value")))
+                 F.col("new_mid").cast("bigint").alias("value")))
     return both.select("dt", F.inline(rows))
 
 
