@@ -153,13 +153,16 @@ def realtime_total(dau: DataFrame, date: str | None = None) -> DataFrame:
     return both.select("dt", F.inline(rows))
 
 
-def dau_distinct_check(logs: DataFrame, dau: DataFrame) -> DataFrame:
-    """A5: distinct devices per day from the raw logs next to the number of
-    first-touch documents; the two must be equal."""
-    raw = (logs.select(millis_to_day("ts").alias("dt"), "mid")
-               .groupBy("dt").agg(F.countDistinct("mid").alias("distinct_mids")))
-    docs = dau.groupBy("dt").agg(F.count(F.lit(1)).alias("dau_rows"))
-    return raw.join(docs, "dt", "full").select("dt", "distinct_mids", "dau_rows")
+def dau_distinct_check(logs: DataFrame) -> DataFrame:
+    """A5: distinct devices per day next to the number of first-touch
+    documents, from one aggregate per (day, device): ``distinct_mids`` counts
+    the groups, ``dau_rows`` the groups that yield a document (a valid first
+    record). The two must be equal."""
+    per = (logs.select(millis_to_day("ts").alias("dt"), "mid", "ts", "event_id")
+               .groupBy("dt", "mid")
+               .agg(F.min(F.struct("ts", "event_id")).alias("f")))
+    return per.groupBy("dt").agg(F.count(F.lit(1)).alias("distinct_mids"),
+                                 F.count("f.ts").alias("dau_rows"))
 
 
 def report_hour_json(dau: DataFrame) -> DataFrame:

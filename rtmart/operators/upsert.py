@@ -62,15 +62,26 @@ def read_latest(spark: SparkSession, path: str, keys: list[str], order_cols: lis
 
 
 def compact(spark: SparkSession, path: str, keys: list[str], order_cols: list[str],
-            upto: int, schema=None) -> None:
-    """Fold versions ``<= upto`` into one base version (``batch_id=upto``).
-
-    The result is written beside the versions first and then replaces version
-    ``upto``; older version directories can be removed afterwards by the
-    caller's retention job.
+            upto: int, schema=None, drop_older: bool = True) -> None:
+    """Fold versions ``<= upto`` into one base version ``batch_id=upto``.
+
+    The latest rows are staged beside the versions, then replace version
+    ``upto``; with ``drop_older`` the folded version folders are removed, so
+    later reads scan the base plus newer versions only. Callers compact only
+    committed versions (a replayed batch reads versions before its own,
+    which the base still represents exactly).
     """
+    base = path.rstrip("/")
     latest = read_latest(spark, path, keys, order_cols, schema, before=upto + 1)
-    staged = f"{path.rstrip('/')}/_compact_{int(upto)}"
+    staged = f"{base}/_compact_{int(upto)}"
     latest.drop("batch_id").write.mode("overwrite").parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(
-        f"{path.rstrip('/')}/batch_id={int(upto)}")
+    spark.read.parquet(staged).write.mode("overwrite").parquet(f"{base}/batch_id={int(upto)}")
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(jvm.org.apache.hadoop.fs.Path(staged), True)
+    if drop_older:
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if name.startswith("batch_id=") and int(name.split("=", 1)[1]) < int(upto):
+                fs.delete(st.getPath(), True)

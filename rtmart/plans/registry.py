@@ -74,8 +74,7 @@ def q_realtime_total(spark, sf):
 
 
 def q_dau_distinct_check(spark, sf):
-    logs = app_logs(spark, sf)
-    return D.dau_distinct_check(logs, D.dau_first_touch(logs))
+    return D.dau_distinct_check(app_logs(spark, sf))
 
 
 def q_report_hour_json(spark, sf):

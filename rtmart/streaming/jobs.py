@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rtmart.functions import millis_to_hour, millis_to_minute, parse_typed
 from rtmart.operators import dau as D
 from rtmart.operators import orders as O
-from rtmart.operators.upsert import read_latest, write_version
+from rtmart.operators.upsert import compact, read_latest, write_version
 from rtmart.schemas import DWD_ORDER_INFO_FIELDS, ORDER_DETAIL_FIELDS, ORDER_WIDE_COLUMNS
 
 MICRO_BATCH = "5 seconds"   # the reference's batch interval
@@ -75,18 +75,26 @@ def read_dau_table(spark: SparkSession, table_path: str) -> DataFrame:
 
 # ---------------------------------------------------------------- D3-D5: first order
 
+STATE_COMPACT_EVERY = 50   # fold user-state versions into a base every N batches
+
+
 def first_order_batch_fn(spark: SparkSession, state_path: str, out_path: str,
-                         provinces_loader, version_offset: int = 1):
+                         provinces_loader, version_offset: int = 1,
+                         compact_every: int = STATE_COMPACT_EVERY):
     """The per-batch function of the order job (``foreachBatch``).
 
     Batch N (version N + offset): read user state versions < N, flag first
     orders, re-read and join the province dimension (W7: side data refreshed
     per batch), write the flagged orders and the new users' state as version
     N. Re-running a batch id overwrites the same versions and reads the same
-    earlier state, so replays give the same result.
+    earlier state, so replays give the same result. Every ``compact_every``
+    batches the committed state versions (< N) are folded into one base.
     """
     def run(batch: DataFrame, batch_id: int):
         version = int(batch_id) + version_offset
+        if compact_every and version > 1 and version % compact_every == 0 \
+                and path_exists(spark, state_path):
+            compact(spark, state_path, ["user_id"], [], upto=version - 1)
         orders = O.order_info_typed(batch).persist()   # parsed once, used twice
         state = None
         if path_exists(spark, state_path):
@@ -105,8 +113,10 @@ def first_order_batch_fn(spark: SparkSession, state_path: str, out_path: str,
 
 def start_first_order(ods_orders: DataFrame, spark: SparkSession, state_path: str,
                       out_path: str, checkpoint: str, provinces_loader,
-                      available_now: bool = False, version_offset: int = 1):
-    fn = first_order_batch_fn(spark, state_path, out_path, provinces_loader, version_offset)
+                      available_now: bool = False, version_offset: int = 1,
+                      compact_every: int = STATE_COMPACT_EVERY):
+    fn = first_order_batch_fn(spark, state_path, out_path, provinces_loader, version_offset,
+                              compact_every)
     w = ods_orders.writeStream.option("checkpointLocation", checkpoint).foreachBatch(fn)
     return _trigger(w, available_now).start()
 

@@ -183,6 +183,21 @@ def test_same_batch_id_twice_is_idempotent(spark):
     assert spark.read.parquet(path).count() == 1
 
 
+def test_compaction_keeps_latest_and_drops_old_versions(spark):
+    from rtmart.operators.upsert import compact
+    path = shared_path(spark, "t_compact")
+    schema = "user_id string, if_consumed string"
+    write_version(spark.createDataFrame([("u1", "0"), ("u2", "1")], schema), path, 0)
+    write_version(spark.createDataFrame([("u1", "1")], schema), path, 1)
+    write_version(spark.createDataFrame([("u3", "1")], schema), path, 2)
+    compact(spark, path, ["user_id"], [], upto=1)
+    got = {r.user_id: (r.if_consumed, r.batch_id)
+           for r in read_latest(spark, path, ["user_id"], []).collect()}
+    assert got == {"u1": ("1", 1), "u2": ("1", 1), "u3": ("1", 2)}
+    assert sorted(r.batch_id for r in spark.read.parquet(path).select("batch_id")
+                  .distinct().collect()) == [1, 2]
+
+
 def test_broadcast_only_with_proven_bound(spark):
     small = spark.range(10)
     assert bounded_row_count(small, 5) == 6
