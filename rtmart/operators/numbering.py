@@ -25,14 +25,18 @@ _LOCAL_BITS = 33   # monotonically_increasing_id: partition id << 33 | position
 
 
 def row_number_within(df: DataFrame, group_col: str, order_cols: list[str],
-                      out_col: str = "rn", num_partitions: int | None = None) -> DataFrame:
+                      out_col: str = "rn", num_partitions: int | None = None,
+                      keep: list[str] | None = None) -> DataFrame:
+    """Rows of ``df`` (only ``keep`` columns, default all) plus ``out_col``."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [group_col] + list(order_cols)
     ranged = (df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys])
                 .sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys])
                 .withColumn("_pos", F.monotonically_increasing_id()))
-    staged = cut_lineage(ranged, "rownum")      # fixes positions; cuts lineage
+    cols = [c for c in (keep or df.columns) if c != group_col]
+    staged = cut_lineage(ranged.select(group_col, *cols, "_pos"),   # fixes positions
+                         "rownum")
 
     pid = F.shiftright(F.col("_pos"), _LOCAL_BITS)
     local = F.col("_pos").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))

@@ -85,7 +85,8 @@ def order_detail_rows(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -
                          "l_returnflag", "l_linestatus", "l_shipdate")
     li = row_number_within(li, "l_orderkey", [
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"])
+        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
+        keep=["l_partkey", "l_quantity", "l_extendedprice"])
     o = orders.select("o_orderkey", "o_orderdate")
     p = part.select("p_partkey", "p_name")
     j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")

@@ -42,3 +42,24 @@ def test_dau_stream_does_not_depend_on_arrival_order(spark, sf_small):
     want = G.dau_docs(spark, sf_small)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
+
+
+def test_first_order_follows_arrival_across_batches(spark):
+    """D3 keeps the reference's meaning: the first order to *arrive* wins; a
+    later batch holding an earlier create_time gets '0' (SURVEY 7.5 point 2)."""
+    base = shared_path(spark, "t_arrival")
+    prov = spark.createDataFrame([("1", "P", "a", "x", "y")],
+                                 "id string, name string, area_code string, iso_code string, "
+                                 "iso_3166_2 string")
+    fn = J.first_order_batch_fn(spark, f"{base}/state", f"{base}/out", lambda: prov)
+    late = spark.createDataFrame(
+        [('{"id":"2","user_id":"7","province_id":"1","create_time":"2020-01-02 00:00:00"}',)],
+        "value string")
+    early = spark.createDataFrame(
+        [('{"id":"1","user_id":"7","province_id":"1","create_time":"2020-01-01 00:00:00"}',)],
+        "value string")
+    fn(late, 0)
+    fn(early, 1)
+    fn(early, 1)                       # replay of batch 1: same result
+    got = {r.id: r.if_first_order for r in J.read_flagged_orders(spark, f"{base}/out").collect()}
+    assert got == {2: "1", 1: "0"}
