@@ -347,7 +347,15 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
 FROM customer""",
 }
 
+_SQL["dwd_order_detail_messages"] = _w(OD, f"""
+SELECT 'DWD_ORDER_DETAIL' AS topic, {_typed_json('od', _OD_COLS)} AS value FROM od""")
+
 # Streaming jobs end in the same table as their batch counterparts.
+_SQL["stream_route_app_log"] = _SQL["route_app_log"]
+_SQL["stream_cdc_route_canal"] = _SQL["cdc_route_canal"]
+_SQL["stream_cdc_route_maxwell"] = _SQL["cdc_route_maxwell"]
+_SQL["stream_dim_province"] = _SQL["dim_province_latest"]
+_SQL["stream_dwd_order_detail"] = _SQL["dwd_order_detail_messages"]
 _SQL["stream_dau"] = _SQL["dau_first_touch"]
 _SQL["stream_restart"] = _SQL["dau_first_touch"]
 _SQL["stream_first_order"] = _SQL["first_order_flag"]

@@ -269,6 +269,65 @@ def _stage_app_logs(spark, sf, path, only=None):
                              keep=["value"], only=only)
 
 
+def _stream_of(spark, msgs, base, time_col=None, key_col=None, n_slices=N_SLICES):
+    """Stage ``value`` messages into time slices (any order when no time
+    column: the job is stateless) and open them as a file stream."""
+    arbitrary = F.xxhash64("value")
+    msgs = msgs.withColumn("_t", F.col(time_col) if time_col else arbitrary % 1000) \
+               .withColumn("_k", F.col(key_col) if key_col else arbitrary)
+    stage_time_slices(msgs, "_t", "_k", f"{base}/in", n_slices, FILES_PER_SLICE, keep=["value"])
+    return file_stream(spark, f"{base}/in", "value string", FILES_PER_SLICE)
+
+
+def _run_topics(spark, routed, base):
+    J.start_topic_stream(routed, f"{base}/topics", f"{base}/ckpt",
+                         available_now=True).awaitTermination()
+    return J.read_topics(spark, f"{base}/topics")
+
+
+def q_stream_route_app_log(spark, sf):
+    """F1 as a stream: raw log lines -> GMALL_START / GMALL_EVENT folders."""
+    base = shared_path(spark, "stream_route_app_log")
+    _stage_app_logs(spark, sf, f"{base}/in")
+    raw = file_stream(spark, f"{base}/in", "value string", FILES_PER_SLICE)
+    return _run_topics(spark, R.route_app_log(raw), base)
+
+
+def q_stream_cdc_route_canal(spark, sf):
+    base = shared_path(spark, "stream_cdc_route_canal")
+    env = FX.canal_envelopes(oi_rows(spark, sf), od_rows(spark, sf), _t(spark, sf, "customer"))
+    return _run_topics(spark, R.route_canal(_stream_of(spark, env, base)), base)
+
+
+def q_stream_cdc_route_maxwell(spark, sf):
+    base = shared_path(spark, "stream_cdc_route_maxwell")
+    env = FX.maxwell_envelopes(oi_rows(spark, sf), od_rows(spark, sf), _t(spark, sf, "nation"),
+                               _t(spark, sf, "customer"), _t(spark, sf, "part"),
+                               _t(spark, sf, "region"))
+    return _run_topics(spark, R.route_maxwell(_stream_of(spark, env, base)), base)
+
+
+def q_stream_dim_province(spark, sf):
+    """K3 as a stream: province change rows, version by version, upserted."""
+    base = shared_path(spark, "stream_dim_province")
+    versions = FX.province_versions(_t(spark, sf, "nation"))
+    stream = _stream_of(spark, versions, base, time_col="batch_id", key_col="seq", n_slices=2)
+    J.start_dim_province(stream, f"{base}/table", f"{base}/ckpt",
+                         available_now=True).awaitTermination()
+    return J.read_provinces(spark, f"{base}/table")
+
+
+def q_dwd_order_detail_messages(spark, sf):
+    return O.order_detail_messages(details_typed(spark, sf))
+
+
+def q_stream_dwd_order_detail(spark, sf):
+    """The detail job as a stream: ODS detail JSON -> typed -> DWD messages."""
+    base = shared_path(spark, "stream_dwd_order_detail")
+    stream = _stream_of(spark, FX.order_detail_text(od_rows(spark, sf)), base)
+    return _run_topics(spark, O.order_detail_messages(O.order_detail_typed(stream)), base)
+
+
 def q_stream_dau(spark, sf):
     """D1 as a stream: staged log files -> windowed min per device-day ->
     versioned table; the final table equals ``dau_first_touch``."""
@@ -389,6 +448,12 @@ _REGISTRY: dict[str, Query] = {
     "match_top20": q_match_top20,
     "bulk_upsert_latest": q_bulk_upsert_latest,
     "rows_as_json": q_rows_as_json,
+    "dwd_order_detail_messages": q_dwd_order_detail_messages,
+    "stream_route_app_log": q_stream_route_app_log,
+    "stream_cdc_route_canal": q_stream_cdc_route_canal,
+    "stream_cdc_route_maxwell": q_stream_cdc_route_maxwell,
+    "stream_dim_province": q_stream_dim_province,
+    "stream_dwd_order_detail": q_stream_dwd_order_detail,
     "stream_dau": q_stream_dau,
     "stream_restart": q_stream_restart,
     "stream_first_order": q_stream_first_order,

@@ -33,6 +33,44 @@ def _trigger(writer, available_now: bool):
     return writer.trigger(processingTime=MICRO_BATCH)
 
 
+# ---------------------------------------------------------------- routing / pass-through
+
+def start_topic_stream(routed: DataFrame, sink_path: str, checkpoint: str,
+                       available_now: bool = False):
+    """K1/K2 stream form: rows (topic[, key], value) appended to a parquet
+    table partitioned by topic (the file sink commits exactly once per batch);
+    with the Kafka connector the same frame goes to ``format('kafka')``."""
+    cols = [c for c in ("topic", "key", "value") if c in routed.columns]
+    w = (routed.select(*cols).writeStream.outputMode("append").format("parquet")
+         .partitionBy("topic").option("path", sink_path)
+         .option("checkpointLocation", checkpoint))
+    return _trigger(w, available_now).start()
+
+
+def read_topics(spark: SparkSession, sink_path: str) -> DataFrame:
+    df = spark.read.parquet(sink_path)
+    cols = [c for c in ("topic", "key", "value") if c in df.columns]
+    return df.select(*cols)
+
+
+def start_dim_province(ods_province: DataFrame, table_path: str, checkpoint: str,
+                       available_now: bool = False):
+    """Province dimension job: each batch's change rows are written as one
+    version; readers take the latest row per id (K3)."""
+    def upsert(batch: DataFrame, batch_id: int):
+        rows = O.province_typed(batch.select("value")).withColumn("seq", F.lit(0).cast("bigint"))
+        write_version(rows, table_path, batch_id)
+
+    w = ods_province.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert)
+    return _trigger(w, available_now).start()
+
+
+def read_provinces(spark: SparkSession, table_path: str) -> DataFrame:
+    """The province table: latest version per id."""
+    return read_latest(spark, table_path, ["id"], ["seq"]).select(
+        "id", "name", "area_code", "iso_code", "iso_3166_2")
+
+
 # ---------------------------------------------------------------- D1: daily active devices
 
 def dau_stream(raw: DataFrame, watermark: str = "2 days") -> DataFrame:
