@@ -7,22 +7,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rtmart.functions import millis_to_day, millis_to_hour, millis_to_minute, to_json_row
 from rtmart.operators import dau as D
 from rtmart.operators import dims as DM
 from rtmart.operators import orders as O
 from rtmart.operators import routing as R
 from rtmart.operators import search as SE
 from rtmart.operators import wide as W
-from rtmart.operators.upsert import latest_per_key
-from rtmart.functions import to_json_row
-from rtmart.sources.streams import file_stream
-from rtmart.streaming import jobs as J
-from rtmart.streaming.staging import stage_time_slices
-from rtmart.operators.upsert import read_latest, write_version
-from rtmart.sinks.files import archive_log_lines
+from rtmart.operators.upsert import latest_per_key, read_latest, write_version
 from rtmart.session import shared_path
+from rtmart.sinks.files import archive_log_lines
 from rtmart.sources import fixtures as FX
+from rtmart.sources.streams import file_stream
 from rtmart.sources.tables import read_table
+from rtmart.streaming import jobs as J
+from rtmart.streaming.staging import stage_time_slices
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -237,7 +236,6 @@ def q_match_top20(spark, sf):
 def q_bulk_upsert_latest(spark, sf):
     """K4: every log record indexed as a document with id (dt, mid), in
     arrival order; the last write of each id wins."""
-    from rtmart.functions import millis_to_day, millis_to_hour, millis_to_minute
     logs = app_logs(spark, sf)
     docs = logs.select("mid", "uid", "ar", "ch", "vc", millis_to_day("ts").alias("dt"),
                        millis_to_hour("ts").alias("hr"), millis_to_minute("ts").alias("mi"),

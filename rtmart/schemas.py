@@ -1,8 +1,8 @@
 """Record schemas of the warehouse.
 
-Message schemas declare every leaf as ``string``: change-data envelopes send
-numbers quoted (``{"id":"22"}``) and ``from_json`` with a ``bigint`` leaf would
-turn those into null. Typed projections apply ``try_cast`` afterwards.
+Messages are parsed field by field as text (change-data envelopes send numbers
+quoted, ``{"id":"22"}``, which a ``bigint`` JSON leaf would read as null) and
+then ``try_cast`` to the types below.
 """
 
 from pyspark.sql import types as T
@@ -16,29 +16,10 @@ def _strings(*names):
     return [T.StructField(n, S) for n in names]
 
 
-# App log: {"common":{mid,uid,ar,ch,vc}, "start":{..}?, "ts": epoch ms}.
-# ``event_id`` is not in the original log; it breaks ties of equal millis.
-APP_LOG_JSON = T.StructType([
-    T.StructField("common", T.StructType(_strings("mid", "uid", "ar", "ch", "vc"))),
-    T.StructField("start", S),
-    T.StructField("ts", S),
-    T.StructField("event_id", S),
-])
-
 # Active-device document (one per device and event day).
 DAU_INFO = T.StructType(
     _strings("mid", "uid", "ar", "ch", "vc", "dt", "hr", "mi") + [T.StructField("ts", L)])
 
-# Change-data envelopes: only the routed fields are declared.
-CANAL_ENVELOPE = T.StructType([
-    T.StructField("table", S), T.StructField("type", S), T.StructField("ts", S),
-    T.StructField("data", T.ArrayType(S)),
-])
-MAXWELL_ENVELOPE = T.StructType([
-    T.StructField("table", S), T.StructField("type", S), T.StructField("ts", S),
-    T.StructField("data", S),
-])
-
 # Typed order record: (name, type) in message order.
 ORDER_INFO_FIELDS = [
     ("id", L), ("province_id", L), ("user_id", L), ("order_status", S),
@@ -54,10 +35,6 @@ PROVINCE_FIELDS = [("id", S), ("name", S), ("area_code", S), ("iso_code", S),
                    ("iso_3166_2", S)]
 
 
-def string_leaves(fields) -> T.StructType:
-    return T.StructType([T.StructField(n, S) for n, _ in fields])
-
-
 # Wide order row, in output order.
 ORDER_WIDE_COLUMNS = [
     "order_detail_id", "order_id", "order_status", "create_time", "user_id",

@@ -15,7 +15,8 @@ from rtmart.functions import millis_to_hour, millis_to_minute, parse_typed
 from rtmart.operators import dau as D
 from rtmart.operators import orders as O
 from rtmart.operators.upsert import compact, read_latest, write_version
-from rtmart.schemas import DWD_ORDER_INFO_FIELDS, ORDER_DETAIL_FIELDS, ORDER_WIDE_COLUMNS
+from rtmart.schemas import (DAU_INFO, DWD_ORDER_INFO_FIELDS, ORDER_DETAIL_FIELDS,
+                            ORDER_WIDE_COLUMNS)
 
 MICRO_BATCH = "5 seconds"   # the reference's batch interval
 
@@ -107,8 +108,7 @@ def start_dau(raw: DataFrame, table_path: str, checkpoint: str,
 
 def read_dau_table(spark: SparkSession, table_path: str) -> DataFrame:
     """The active-device table: latest version per (dt, mid)."""
-    return read_latest(spark, table_path, ["dt", "mid"], []).drop("batch_id") \
-        .select("mid", "uid", "ar", "ch", "vc", "dt", "hr", "mi", "ts")
+    return read_latest(spark, table_path, ["dt", "mid"], []).select(*DAU_INFO.names)
 
 
 # ---------------------------------------------------------------- D3-D5: first order

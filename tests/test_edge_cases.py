@@ -103,6 +103,18 @@ def test_canal_whitelist_and_explode(spark):
                    ("ODS_ORDER_INFO", '{"id":"2"}'), ("QUARANTINE", "garbage")]
 
 
+def test_topic_sink_writes_one_folder_per_topic(spark):
+    from rtmart.sinks.files import write_topics
+    path = shared_path(spark, "t_topics")
+    df = spark.createDataFrame([("A", "k1", "v1"), ("B", "k2", "v2"), ("A", "k3", "v3")],
+                               "topic string, key string, value string")
+    write_topics(df, path)
+    back = spark.read.parquet(path)
+    assert sorted((r.topic, r.value) for r in back.collect()) == [
+        ("A", "v1"), ("A", "v3"), ("B", "v2")]
+    assert back.where("topic = 'B'").count() == 1      # partition filter
+
+
 def test_maxwell_whitelist_types_and_payload_guard(spark):
     env = _text(spark,
                 '{"table":"order_info","type":"insert","data":{"id":1}}',
