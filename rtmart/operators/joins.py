@@ -1,13 +1,21 @@
-"""Join helpers."""
+"""Join helpers: broadcast a side only when its size is proven small."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Largest dimension (in rows) that is broadcast to every task. A province or
-# SKU dimension is far below it; beyond it the join shuffles (and AQE may
-# still turn it into a broadcast from measured sizes).
+# Largest dimension (in rows) that is broadcast to every task. A province,
+# trademark or category dimension is far below it; beyond it the join
+# shuffles (and AQE may still pick a broadcast from measured sizes).
 DEFAULT_BROADCAST_MAX_ROWS = 200_000
+# Catalyst's size estimate above which no row count is even attempted.
+DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+
+
+def estimated_size_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the optimised plan (no job runs)."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
 
 
 def bounded_row_count(df: DataFrame, bound: int) -> int:
@@ -16,8 +24,16 @@ def bounded_row_count(df: DataFrame, bound: int) -> int:
     return df.limit(bound + 1).count()
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only when its row count is proven <= max_rows."""
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                       max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only when its row count is proven <= max_rows.
+
+    A plan whose estimated size is already above ``max_bytes`` (a dimension
+    that grows with the data) is returned as is without running anything;
+    otherwise a bounded count decides.
+    """
+    if estimated_size_bytes(df) > max_bytes:
+        return df
     if bounded_row_count(df, max_rows) <= max_rows:
         return F.broadcast(df)
     return df

@@ -216,7 +216,11 @@ def test_broadcast_only_with_proven_bound(spark):
     plan_small = small.join(broadcast_if_small(spark.range(5), 100), "id")._jdf \
         .queryExecution().executedPlan().toString()
     assert "Broadcast" in plan_small
-    assert broadcast_if_small(spark.range(500), 100) is not None
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+    assert not hinted(broadcast_if_small(spark.range(500), 100))      # over the row bound
+    assert not hinted(broadcast_if_small(spark.range(5), 100, max_bytes=1))  # estimate too big
+    assert hinted(broadcast_if_small(spark.range(5), 100))
 
 
 # ---------------------------------------------------------------- wide / lookup
