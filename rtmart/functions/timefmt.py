@@ -46,6 +46,13 @@ def day_key(day) -> Column:
     return F.replace(_c(day), F.lit("-"), F.lit(""))
 
 
+def wall_clock_day_key() -> Column:
+    """today's date as 'yyyyMMdd' (the original named its daily output
+    index after the wall-clock day; tables here are partitioned by the event
+    day instead, see ``day_key``)."""
+    return F.date_format(F.current_date(), "yyyyMMdd")
+
+
 def timestamp_to_text(ts, plus_seconds=None) -> Column:
     t = _c(ts).cast("timestamp")
     if plus_seconds is not None:

@@ -138,13 +138,10 @@ def first_order_batch_fn(spark: SparkSession, state_path: str, out_path: str,
         if path_exists(spark, state_path):
             state = read_latest(spark, state_path, ["user_id"], [], before=version) \
                 .select("user_id", "if_consumed")
-        flagged = O.dwd_order_info(orders, state, provinces_loader())
-        flagged.persist()
         try:
-            write_version(flagged, out_path, version)
+            write_version(O.dwd_order_info(orders, state, provinces_loader()), out_path, version)
             write_version(O.new_user_state(orders, state), state_path, version)
         finally:
-            flagged.unpersist()
             orders.unpersist()
     return run
 

@@ -80,6 +80,15 @@ def test_hour_compare_and_report_guard(spark):
     assert rep["2024-01-10"] == '{"yesterday":{"10":2},"today":{"11":1}}'
 
 
+def test_day_keys(spark):
+    import datetime
+    from rtmart.functions import day_key, wall_clock_day_key
+    df = spark.createDataFrame([("2024-03-01",)], "d string")
+    r = df.select(day_key("d").alias("k"), wall_clock_day_key().alias("w")).first()
+    assert r.k == "20240301"
+    assert len(r.w) == 8 and r.w[:2] == str(datetime.date.today().year)[:2]
+
+
 def test_previous_day_rejects_bad_format(spark):
     from rtmart.functions import previous_day
     df = spark.createDataFrame([("2024-03-01",)], "d string")
