@@ -26,15 +26,18 @@ def json_fields(df: DataFrame, text, names: list[str], keep=(), prefix: str = ""
 
 
 def typed_fields(df: DataFrame, fields, keep=()) -> DataFrame:
-    """Cast string fields to their types: ``try_cast`` (bad values -> null
-    instead of an ANSI error); missing numerics become 0 because the original
-    records were primitive-typed; missing strings stay null."""
+    """Cast string fields to their types. A missing numeric field becomes 0
+    (the original records were primitive-typed); a present but malformed
+    value becomes null via ``try_cast`` instead of failing the task; missing
+    strings stay null."""
     cols = []
     for name, typ in fields:
+        raw = F.col(name)
         if isinstance(typ, T.StringType):
-            cols.append(F.col(name))
+            cols.append(raw)
         else:
-            cols.append(F.coalesce(F.col(name).try_cast(typ), F.lit(0).cast(typ)).alias(name))
+            cols.append(F.when(raw.isNull(), F.lit(0).cast(typ))
+                         .otherwise(raw.try_cast(typ)).alias(name))
     return df.select(*keep, *cols)
 
 

@@ -139,12 +139,14 @@ def test_maxwell_whitelist_types_and_payload_guard(spark):
 def test_typed_parse_quoted_bare_and_missing_numbers(spark):
     ods = _text(spark,
                 '{"id":"7","user_id":3,"final_total_amount":"12.5","create_time":"2020-07-01 10:11:12"}',
-                '{"id":8,"create_time":"2020-07-01 23:00:00"}')
+                '{"id":8,"create_time":"2020-07-01 23:00:00"}',
+                '{"id":9,"user_id":"x1","create_time":"2020-07-01 23:00:00"}')
     rows = {r.id: r for r in O.order_info_typed(ods).collect()}
     assert rows[7].user_id == 3 and rows[7].final_total_amount == 12.5
     assert rows[7].create_date == "2020-07-01" and rows[7].create_hour == "10"
     assert rows[8].user_id == 0 and rows[8].final_total_amount == 0.0   # primitives default to 0
     assert rows[8].order_status is None
+    assert rows[9].user_id is None                                        # malformed -> null
 
 
 # ---------------------------------------------------------------- first order
