@@ -231,7 +231,8 @@ def canal_envelopes(oi: DataFrame, od: DataFrame, customer: DataFrame) -> DataFr
     d = od.join(status, od.order_id == status.oid, "inner")
     d = d.select(
         "order_id", "order_status", "create_time",
-        F.floor(((F.col("id") % 100) - 1) / CANAL_MAX_ROWS_PER_ENVELOPE).alias("chunk"),
+        F.floor((F.col("id") - F.col("order_id") * 100 - 1) / CANAL_MAX_ROWS_PER_ENVELOPE)
+        .alias("chunk"),
         row_json(od).alias("row"))
     detail_env = (d.groupBy("order_id", "chunk")
                    .agg(F.collect_list("row").alias("rows"),

@@ -17,6 +17,7 @@ from rtmart.operators import orders as O
 from rtmart.operators.upsert import compact, read_latest, write_version
 from rtmart.schemas import (DAU_INFO, DWD_ORDER_INFO_FIELDS, ORDER_DETAIL_FIELDS,
                             ORDER_WIDE_COLUMNS)
+from rtmart.sources.streams import kafka_sink_options
 
 MICRO_BATCH = "5 seconds"   # the reference's batch interval
 
@@ -36,15 +37,24 @@ def _trigger(writer, available_now: bool):
 
 # ---------------------------------------------------------------- routing / pass-through
 
-def start_topic_stream(routed: DataFrame, sink_path: str, checkpoint: str,
-                       available_now: bool = False):
-    """K1/K2 stream form: rows (topic[, key], value) appended to a parquet
-    table partitioned by topic (the file sink commits exactly once per batch);
-    with the Kafka connector the same frame goes to ``format('kafka')``."""
+def start_topic_stream(routed: DataFrame, sink_path: str | None, checkpoint: str,
+                       available_now: bool = False, kafka_bootstrap: str | None = None):
+    """K1/K2 stream form: rows (topic[, key], value).
+
+    Without ``kafka_bootstrap`` they are appended to a parquet table
+    partitioned by topic (the file sink commits exactly once per batch); with
+    it each row goes to the Kafka topic named in its ``topic`` column
+    (at-least-once, like the original producer; needs the connector jar).
+    """
     cols = [c for c in ("topic", "key", "value") if c in routed.columns]
-    w = (routed.select(*cols).writeStream.outputMode("append").format("parquet")
-         .partitionBy("topic").option("path", sink_path)
-         .option("checkpointLocation", checkpoint))
+    w = routed.select(*cols).writeStream.outputMode("append") \
+        .option("checkpointLocation", checkpoint)
+    if kafka_bootstrap:
+        w = w.format("kafka")
+        for k, v in kafka_sink_options(kafka_bootstrap).items():
+            w = w.option(k, v)
+    else:
+        w = w.format("parquet").partitionBy("topic").option("path", sink_path)
     return _trigger(w, available_now).start()
 
 
