@@ -177,3 +177,15 @@ def report_hour_json(dau: DataFrame) -> DataFrame:
     g = cmp.groupBy("dt").agg(as_map("yesterday").alias("yesterday"),
                               as_map("today").alias("today"))
     return g.select("dt", F.to_json(F.struct("yesterday", "today")).alias("report"))
+
+
+def report_total_json(dau: DataFrame) -> DataFrame:
+    """R1 as JSON text per day: [{"id":"dau",...,"value":n},{"id":"new_mid",...}].
+
+    Two rows per day are folded into one array, ``dau`` first."""
+    rows = realtime_total(dau).withColumn("_o", F.when(F.col("id") == DAU_ID, 0).otherwise(1))
+    g = rows.groupBy("dt").agg(F.array_sort(F.collect_list(
+        F.struct("_o", "id", "name", "value"))).alias("items"))
+    return g.select("dt", F.to_json(F.transform(
+        "items", lambda x: F.struct(x["id"].alias("id"), x["name"].alias("name"),
+                                    x["value"].alias("value")))).alias("report"))

@@ -207,6 +207,16 @@ SELECT dt,
         THEN '"' || hr || '":' || today END, ',' ORDER BY hr), '') || '}}' AS report
 FROM cmp GROUP BY dt"""),
 
+    "report_total_json": _w(DAU + """,
+tot AS (SELECT dt, count(*) AS n FROM dau GROUP BY dt),
+fd AS (SELECT mid, min(dt) AS dt FROM dau GROUP BY mid),
+nm AS (SELECT dt, count(*) AS n FROM fd GROUP BY dt)""", """
+SELECT tot.dt,
+       '[' || json_object('id', 'dau', 'name', '新增日活', 'value', tot.n)::VARCHAR || ','
+       || json_object('id', 'new_mid', 'name', '新增设备', 'value', coalesce(nm.n, 0))::VARCHAR
+       || ']' AS report
+FROM tot LEFT JOIN nm ON tot.dt = nm.dt"""),
+
     "raw_log_archive": _w(AL, """
 SELECT strftime(ts_raw, '%Y-%m-%d') AS dt, count(*) AS n_lines FROM al GROUP BY 1"""),
 

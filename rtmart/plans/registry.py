@@ -80,6 +80,10 @@ def q_report_hour_json(spark, sf):
     return D.report_hour_json(dau_docs(spark, sf))
 
 
+def q_report_total_json(spark, sf):
+    return D.report_total_json(dau_docs(spark, sf))
+
+
 def q_raw_log_archive(spark, sf):
     path = shared_path(spark, "raw_log_archive")
     archive_log_lines(app_log_raw(spark, sf), path, mode="overwrite")
@@ -424,6 +428,7 @@ _REGISTRY: dict[str, Query] = {
     "realtime_total": q_realtime_total,
     "dau_distinct_check": q_dau_distinct_check,
     "report_hour_json": q_report_hour_json,
+    "report_total_json": q_report_total_json,
     "raw_log_archive": q_raw_log_archive,
     "cdc_route_canal": q_cdc_route_canal,
     "cdc_route_maxwell": q_cdc_route_maxwell,
