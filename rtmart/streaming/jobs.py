@@ -35,6 +35,19 @@ def _trigger(writer, available_now: bool):
     return writer.trigger(processingTime=MICRO_BATCH)
 
 
+def batch_offsets(query) -> list[dict]:
+    """The input offsets each finished micro-batch covered, per source
+    (start and end), from the query's progress reports -- driver-side
+    metadata only. The checkpoint commits them after the sink (W5)."""
+    out = []
+    for p in query.recentProgress:
+        for src in p.get("sources", []):
+            out.append({"batch_id": p["batchId"], "source": src.get("description"),
+                        "start": src.get("startOffset"), "end": src.get("endOffset"),
+                        "rows": src.get("numInputRows")})
+    return out
+
+
 # ---------------------------------------------------------------- routing / pass-through
 
 def start_topic_stream(routed: DataFrame, sink_path: str | None, checkpoint: str,

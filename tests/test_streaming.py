@@ -63,3 +63,15 @@ def test_first_order_follows_arrival_across_batches(spark):
     fn(early, 1)                       # replay of batch 1: same result
     got = {r.id: r.if_first_order for r in J.read_flagged_orders(spark, f"{base}/out").collect()}
     assert got == {2: "1", 1: "0"}
+
+
+def test_batch_offsets_are_reported_per_batch(spark, sf_small):
+    base = shared_path(spark, "t_offsets")
+    G._stage_app_logs(spark, sf_small, f"{base}/in")
+    raw = file_stream(spark, f"{base}/in", "value string", G.FILES_PER_SLICE)
+    q = J.start_dau(raw, f"{base}/table", f"{base}/ckpt", available_now=True)
+    q.awaitTermination()
+    offs = [o for o in J.batch_offsets(q) if o["rows"]]
+    assert len(offs) >= 2
+    assert sum(o["rows"] for o in offs) == G._t(spark, sf_small, "events").count()
+    assert all(o["end"] is not None for o in offs)
