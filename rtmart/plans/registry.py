@@ -98,9 +98,9 @@ def oi_rows(spark, sf):
     return FX.order_info_rows(_t(spark, sf, "orders"), _t(spark, sf, "customer"))
 
 
-def od_rows(spark, sf):
+def od_rows(spark, sf, with_order_status=False):
     return FX.order_detail_rows(_t(spark, sf, "lineitem"), _t(spark, sf, "orders"),
-                                _t(spark, sf, "part"))
+                                _t(spark, sf, "part"), with_order_status)
 
 
 def orders_typed(spark, sf):
@@ -126,14 +126,15 @@ def dwd_orders(spark, sf):
 
 
 def q_cdc_route_canal(spark, sf):
-    env = FX.canal_envelopes(oi_rows(spark, sf), od_rows(spark, sf), _t(spark, sf, "customer"))
+    env = FX.canal_envelopes(oi_rows(spark, sf), od_rows(spark, sf, True),
+                             _t(spark, sf, "customer"))
     return R.route_canal(env)
 
 
 def q_cdc_route_maxwell(spark, sf):
-    env = FX.maxwell_envelopes(oi_rows(spark, sf), od_rows(spark, sf), _t(spark, sf, "nation"),
-                               _t(spark, sf, "customer"), _t(spark, sf, "part"),
-                               _t(spark, sf, "region"))
+    env = FX.maxwell_envelopes(oi_rows(spark, sf), od_rows(spark, sf, True),
+                               _t(spark, sf, "nation"), _t(spark, sf, "customer"),
+                               _t(spark, sf, "part"), _t(spark, sf, "region"))
     return R.route_maxwell(env)
 
 
@@ -297,15 +298,16 @@ def q_stream_route_app_log(spark, sf):
 
 def q_stream_cdc_route_canal(spark, sf):
     base = shared_path(spark, "stream_cdc_route_canal")
-    env = FX.canal_envelopes(oi_rows(spark, sf), od_rows(spark, sf), _t(spark, sf, "customer"))
+    env = FX.canal_envelopes(oi_rows(spark, sf), od_rows(spark, sf, True),
+                             _t(spark, sf, "customer"))
     return _run_topics(spark, R.route_canal(_stream_of(spark, env, base)), base)
 
 
 def q_stream_cdc_route_maxwell(spark, sf):
     base = shared_path(spark, "stream_cdc_route_maxwell")
-    env = FX.maxwell_envelopes(oi_rows(spark, sf), od_rows(spark, sf), _t(spark, sf, "nation"),
-                               _t(spark, sf, "customer"), _t(spark, sf, "part"),
-                               _t(spark, sf, "region"))
+    env = FX.maxwell_envelopes(oi_rows(spark, sf), od_rows(spark, sf, True),
+                               _t(spark, sf, "nation"), _t(spark, sf, "customer"),
+                               _t(spark, sf, "part"), _t(spark, sf, "region"))
     return _run_topics(spark, R.route_maxwell(_stream_of(spark, env, base)), base)
 
 

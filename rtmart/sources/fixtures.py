@@ -73,12 +73,19 @@ def order_info_rows(orders: DataFrame, customer: DataFrame) -> DataFrame:
     )
 
 
-def order_detail_rows(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
+DETAIL_COLUMNS = ["id", "order_id", "sku_id", "sku_num", "order_price", "sku_name",
+                  "create_time"]
+
+
+def order_detail_rows(lineitem: DataFrame, orders: DataFrame, part: DataFrame,
+                      with_order_status: bool = False) -> DataFrame:
     """lineitem + orders + part -> typed order-detail records (``od``).
 
     ``(l_orderkey, l_linenumber)`` is not unique in the test data, so the
     detail id numbers the lines of an order in a fixed order -- without
-    putting a whole order into one task (``row_number_within``).
+    putting a whole order into one task (``row_number_within``). With
+    ``with_order_status`` the order's status rides along (the change-data
+    adapters need it; the orders join is already there).
     """
     li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                          "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -87,7 +94,7 @@ def order_detail_rows(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
         keep=["l_partkey", "l_quantity", "l_extendedprice"])
-    o = orders.select("o_orderkey", "o_orderdate")
+    o = orders.select("o_orderkey", "o_orderdate", "o_orderstatus")
     p = part.select("p_partkey", "p_name")
     j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
            .join(p, li.l_partkey == p.p_partkey, "left"))
@@ -100,6 +107,7 @@ def order_detail_rows(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -
         F.col("p_name").alias("sku_name"),
         timestamp_to_text("o_orderdate", F.col("o_orderkey") % 86400 + 4 * F.col("rn"))
         .alias("create_time"),
+        *([F.col("o_orderstatus").alias("order_status")] if with_order_status else []),
     )
 
 
@@ -202,6 +210,14 @@ def user_rows(customer: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- change data
 
+def _with_status(od: DataFrame, oi: DataFrame) -> DataFrame:
+    """Detail rows with their order's status (joined only if not carried)."""
+    if "order_status" in od.columns:
+        return od
+    status = oi.select(F.col("id").alias("_oid"), "order_status")
+    return od.join(status, od.order_id == status._oid, "inner").drop("_oid")
+
+
 def _change_type(status_col, insert_word, update_word):
     return F.when(status_col == "P", F.lit(update_word)).otherwise(F.lit(insert_word))
 
@@ -227,13 +243,11 @@ def canal_envelopes(oi: DataFrame, od: DataFrame, customer: DataFrame) -> DataFr
         "order_info", F.array(row_json(oi)), _change_type(F.col("order_status"), "INSERT", "UPDATE"),
         ts_of(F.col("create_time"))).alias("value"))
 
-    status = oi.select(F.col("id").alias("oid"), "order_status")
-    d = od.join(status, od.order_id == status.oid, "inner")
-    d = d.select(
+    d = _with_status(od, oi).select(
         "order_id", "order_status", "create_time",
         F.floor((F.col("id") - F.col("order_id") * 100 - 1) / CANAL_MAX_ROWS_PER_ENVELOPE)
         .alias("chunk"),
-        row_json(od).alias("row"))
+        F.struct(*[F.col(c).cast("string").alias(c) for c in DETAIL_COLUMNS]).alias("row"))
     detail_env = (d.groupBy("order_id", "chunk")
                    .agg(F.collect_list("row").alias("rows"),
                         F.first("order_status").alias("order_status"),
@@ -264,10 +278,9 @@ def maxwell_envelopes(oi: DataFrame, od: DataFrame, nation: DataFrame, customer:
 
     orders_env = oi.select(envelope(
         "order_info", obj(*oi.columns), _change_type(F.col("order_status"), "insert", "update")))
-    status = oi.select(F.col("id").alias("oid"), "order_status")
-    d = od.join(status, od.order_id == status.oid, "inner")
-    detail_env = d.select(envelope(
-        "order_detail", obj(*od.columns), _change_type(F.col("order_status"), "insert", "update")))
+    detail_env = _with_status(od, oi).select(envelope(
+        "order_detail", obj(*DETAIL_COLUMNS),
+        _change_type(F.col("order_status"), "insert", "update")))
     prov_env = nation.select(envelope(
         "base_province",
         obj(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name"),
