@@ -30,13 +30,20 @@ def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str],
     return out.select(*df.columns) if not deleted_col else out
 
 
-def write_version(df: DataFrame, path: str, batch_id: int) -> None:
+def write_version(df: DataFrame, path: str, batch_id: int,
+                  partition_by: list[str] | None = None) -> None:
     """Write one batch's rows as version ``batch_id``.
 
     The directory of a version is overwritten as a whole, so a replayed batch
     (at-least-once delivery) replaces its own earlier attempt: idempotent.
+    ``partition_by`` adds sub-folders (e.g. ``dt``) so readers of one key
+    value prune the others.
     """
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
+    if partition_by:   # few files per folder; AQE still splits a hot value
+        w = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
+    else:
+        w = df.write.mode("overwrite")
+    w.parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
 
 
 def read_versions(spark: SparkSession, path: str, schema=None,

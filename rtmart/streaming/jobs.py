@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rtmart.functions import millis_to_hour, millis_to_minute, parse_typed
 from rtmart.operators import dau as D
 from rtmart.operators import orders as O
-from rtmart.operators.upsert import compact, read_latest, write_version
+from rtmart.operators.upsert import (compact, latest_per_key, read_latest, read_versions,
+                                     write_version)
 from rtmart.schemas import (DAU_INFO, DWD_ORDER_INFO_FIELDS, ORDER_DETAIL_FIELDS,
                             ORDER_WIDE_COLUMNS)
 from rtmart.sources.streams import kafka_sink_options
@@ -120,18 +121,32 @@ def dau_stream(raw: DataFrame, watermark: str = "2 days") -> DataFrame:
 
 def start_dau(raw: DataFrame, table_path: str, checkpoint: str,
               available_now: bool = False, watermark: str = "2 days"):
-    """Run ``dau_stream`` into a versioned table keyed by (dt, mid)."""
+    """Run ``dau_stream`` into a versioned table keyed by (dt, mid), each
+    version partitioned by ``dt`` (the per-day index of the original): a
+    one-day read prunes every other day."""
     def upsert(batch: DataFrame, batch_id: int):
-        write_version(batch, table_path, batch_id)
+        write_version(batch, table_path, batch_id, partition_by=["dt"])
 
     w = (dau_stream(raw, watermark).writeStream.outputMode("update")
          .option("checkpointLocation", checkpoint).foreachBatch(upsert))
     return _trigger(w, available_now).start()
 
 
-def read_dau_table(spark: SparkSession, table_path: str) -> DataFrame:
-    """The active-device table: latest version per (dt, mid)."""
-    return read_latest(spark, table_path, ["dt", "mid"], []).select(*DAU_INFO.names)
+def read_dau_table(spark: SparkSession, table_path: str, date: str | None = None) -> DataFrame:
+    """The active-device table: latest version per (dt, mid); with ``date``
+    only that day's folders are read (S7: partition pruning)."""
+    versions = read_versions(spark, table_path)
+    if date is not None:
+        versions = versions.where(F.col("dt") == F.lit(date))
+    latest = latest_per_key(versions.withColumn("dt", F.col("dt").cast("string")),
+                            ["dt", "mid"], ["batch_id"])
+    return latest.select(*DAU_INFO.names)
+
+
+def start_preview(df: DataFrame, rows: int = 1000, available_now: bool = False):
+    """K5/T4: print up to ``rows`` rows of every micro-batch (debugging aid)."""
+    w = df.writeStream.format("console").option("numRows", rows).option("truncate", "false")
+    return _trigger(w, available_now).start()
 
 
 # ---------------------------------------------------------------- D3-D5: first order

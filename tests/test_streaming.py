@@ -75,3 +75,18 @@ def test_batch_offsets_are_reported_per_batch(spark, sf_small):
     assert len(offs) >= 2
     assert sum(o["rows"] for o in offs) == G._t(spark, sf_small, "events").count()
     assert all(o["end"] is not None for o in offs)
+
+
+def test_one_day_read_of_the_dau_table_prunes_other_days(spark, sf_small):
+    from rtmart.operators import dau as D
+    base = shared_path(spark, "t_dau_prune")
+    G._stage_app_logs(spark, sf_small, f"{base}/in")
+    raw = file_stream(spark, f"{base}/in", "value string", G.FILES_PER_SLICE)
+    J.start_dau(raw, f"{base}/table", f"{base}/ckpt", available_now=True).awaitTermination()
+    day = J.read_dau_table(spark, f"{base}/table", date="2024-01-10")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "2024-01-10" in plan
+    want = G.dau_docs(spark, sf_small).where("dt = '2024-01-10'")
+    assert day.exceptAll(want).count() == 0 and day.count() == want.count()
+    total = D.dau_total(J.read_dau_table(spark, f"{base}/table"), "2024-01-10").first()
+    assert total.dau_total == want.count() and total.day_key == "20240110"
