@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rtmart.functions import epoch_millis, timestamp_to_text, to_json_row
+from rtmart.operators.joins import broadcast_if_small
 from rtmart.operators.numbering import row_number_within
 
 # Fixed values of the adapters.
@@ -177,7 +178,7 @@ def sku_rows(part: DataFrame) -> DataFrame:
     category id (rank of the type among the distinct types)."""
     cats = category3_rows(part).select(F.col("name").alias("_type"), F.col("id").alias("_cid"))
     p = part.select("p_partkey", "p_name", "p_brand", "p_type")
-    j = p.join(F.broadcast(cats), p.p_type == cats._type, "left")   # one row per type
+    j = p.join(broadcast_if_small(cats), p.p_type == cats._type, "left")  # one row per type
     return j.select(F.col("p_partkey").cast("string").alias("id"),
                     F.col("p_name").alias("sku_name"),
                     _brand_id(F.col("p_brand")).alias("tm_id"),
