@@ -200,14 +200,23 @@ def read_flagged_orders(spark: SparkSession, out_path: str) -> DataFrame:
 
 # ---------------------------------------------------------------- J1/J5 + D2: wide order
 
+JOIN_SALTS = 4   # state partitions a single hot order's details are spread over
+
+
 def wide_stream(info_msgs: DataFrame, detail_msgs: DataFrame, bound_s: int = 10,
-                watermark: str = "1 hour") -> DataFrame:
+                watermark: str = "1 hour", salts: int = JOIN_SALTS) -> DataFrame:
     """Stream-stream inner join of order and detail messages.
 
     Both inputs are deduplicated by id within the watermark (D2: replayed
     messages), then joined on order id with |detail time - order time| <=
     bound_s. Watermarks on both sides bound the join state; each matching
     pair is emitted once.
+
+    Streaming joins get no AQE skew handling, so the join key is salted:
+    each detail takes one salt (a hash of its id), each order is copied once
+    per salt, and the join matches (order id, salt). An order with a huge
+    number of lines spreads over ``salts`` state partitions; every pair still
+    meets exactly once.
     """
     info = parse_typed(info_msgs, "value", DWD_ORDER_INFO_FIELDS)
     info = (info.withColumn("_it", F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss"))
@@ -218,19 +227,23 @@ def wide_stream(info_msgs: DataFrame, detail_msgs: DataFrame, bound_s: int = 10,
     i = info.select(F.col("id").alias("order_id"), "order_status", "create_time", "user_id",
                     "benefit_reduce_amount", "feight_fee", "original_total_amount",
                     "final_total_amount", "if_first_order", "province_name",
-                    "province_area_code", F.col("create_date").alias("dt"), "_it")
+                    "province_area_code", F.col("create_date").alias("dt"), "_it",
+                    F.explode(F.sequence(F.lit(0), F.lit(max(salts, 1) - 1))).alias("_salt"))
     d = det.select(F.col("id").alias("order_detail_id"), F.col("order_id").alias("_oid"),
                    "sku_id", F.col("order_price").alias("sku_price"), "sku_num", "sku_name",
-                   "_dt")
+                   "_dt", F.pmod(F.xxhash64("id"), F.lit(max(salts, 1))).cast("int")
+                   .alias("_dsalt"))
     bound = F.expr(f"INTERVAL {int(bound_s)} SECONDS")
-    cond = ((i.order_id == d._oid) & (d._dt >= i._it - bound) & (d._dt <= i._it + bound))
+    cond = ((i.order_id == d._oid) & (i._salt == d._dsalt)
+            & (d._dt >= i._it - bound) & (d._dt <= i._it + bound))
     return i.join(d, cond, "inner").select(*ORDER_WIDE_COLUMNS)
 
 
 def start_wide(info_msgs: DataFrame, detail_msgs: DataFrame, sink_path: str, checkpoint: str,
-               available_now: bool = False, bound_s: int = 10, watermark: str = "1 hour"):
+               available_now: bool = False, bound_s: int = 10, watermark: str = "1 hour",
+               salts: int = JOIN_SALTS):
     """Append the wide rows to a parquet table (exactly-once file sink)."""
-    w = (wide_stream(info_msgs, detail_msgs, bound_s, watermark).writeStream
+    w = (wide_stream(info_msgs, detail_msgs, bound_s, watermark, salts).writeStream
          .outputMode("append").format("parquet").option("path", sink_path)
          .option("checkpointLocation", checkpoint))
     return _trigger(w, available_now).start()

@@ -90,3 +90,35 @@ def test_one_day_read_of_the_dau_table_prunes_other_days(spark, sf_small):
     assert day.exceptAll(want).count() == 0 and day.count() == want.count()
     total = D.dau_total(J.read_dau_table(spark, f"{base}/table"), "2024-01-10").first()
     assert total.dau_total == want.count() and total.day_key == "20240110"
+
+
+def test_salted_stream_join_equals_unsalted_for_a_hot_order(spark):
+    from rtmart.functions import to_json_row
+    from rtmart.operators import wide as W
+    base = shared_path(spark, "t_salt")
+    info = spark.createDataFrame(
+        [(1, "S", "2020-01-01 00:00:00", 5, 1.0, 2.0, 3.0, 4.0, "1", "p", "a", "2020-01-01"),
+         (2, "S", "2020-01-01 00:00:30", 6, 1.0, 2.0, 3.0, 4.0, "1", "p", "a", "2020-01-01")],
+        "id long, order_status string, create_time string, user_id long, "
+        "benefit_reduce_amount double, feight_fee double, original_total_amount double, "
+        "final_total_amount double, if_first_order string, province_name string, "
+        "province_area_code string, create_date string")
+    # order 1 is hot: 300 lines; order 2 has one
+    rows = [(1000 + k, 1, k, 1.5, 1, "s", f"2020-01-01 00:00:{k % 12:02d}") for k in range(300)]
+    rows.append((5000, 2, 9, 2.5, 1, "t", "2020-01-01 00:00:35"))
+    det = spark.createDataFrame(rows, "id long, order_id long, sku_id long, order_price double, "
+                                      "sku_num long, sku_name string, create_time string")
+    want = W.order_wide_interval(info, det, bound_s=10)
+    results = []
+    for salts in (1, 4):
+        b = f"{base}/s{salts}"
+        info.select(to_json_row(*info.columns).alias("value")).write.parquet(f"{b}/info")
+        det.select(to_json_row(*det.columns).alias("value")).write.parquet(f"{b}/det")
+        i = file_stream(spark, f"{b}/info", "value string")
+        d = file_stream(spark, f"{b}/det", "value string")
+        J.start_wide(i, d, f"{b}/wide", f"{b}/ckpt", available_now=True,
+                     salts=salts).awaitTermination()
+        results.append(spark.read.parquet(f"{b}/wide"))
+    for got in results:
+        assert got.count() == want.count() == 276     # 300 * 11/12 + 1
+        assert got.exceptAll(want.select(*got.columns)).count() == 0
