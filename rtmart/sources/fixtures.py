@@ -251,7 +251,7 @@ def canal_envelopes(oi: DataFrame, od: DataFrame, customer: DataFrame) -> DataFr
         F.struct(*[F.col(c).cast("string").alias(c) for c in DETAIL_COLUMNS]).alias("row"))
     detail_env = (d.groupBy("order_id", "chunk")
                    .agg(F.collect_list("row").alias("rows"),
-                        F.first("order_status").alias("order_status"),
+                        F.max("order_status").alias("order_status"),   # one per order
                         F.min("create_time").alias("create_time"))
                    .select(envelope("order_detail", F.col("rows"),
                                     _change_type(F.col("order_status"), "INSERT", "UPDATE"),
