@@ -83,6 +83,8 @@ def start_dim_province(ods_province: DataFrame, table_path: str, checkpoint: str
     """Province dimension job: each batch's change rows are written as one
     version; readers take the latest row per id (K3)."""
     def upsert(batch: DataFrame, batch_id: int):
+        if batch.isEmpty():                 # nothing to upsert (K4: no-op when empty)
+            return
         rows = O.province_typed(batch.select("value")).withColumn("seq", F.lit(0).cast("bigint"))
         write_version(rows, table_path, batch_id)
 
@@ -125,6 +127,8 @@ def start_dau(raw: DataFrame, table_path: str, checkpoint: str,
     version partitioned by ``dt`` (the per-day index of the original): a
     one-day read prunes every other day."""
     def upsert(batch: DataFrame, batch_id: int):
+        if batch.isEmpty():                 # no-op when a batch changed nothing
+            return
         write_version(batch, table_path, batch_id, partition_by=["dt"])
 
     w = (dau_stream(raw, watermark).writeStream.outputMode("update")
@@ -167,6 +171,8 @@ def first_order_batch_fn(spark: SparkSession, state_path: str, out_path: str,
     batches the committed state versions (< N) are folded into one base.
     """
     def run(batch: DataFrame, batch_id: int):
+        if batch.isEmpty():
+            return
         version = int(batch_id) + version_offset
         if compact_every and version > 1 and version % compact_every == 0 \
                 and path_exists(spark, state_path):
