@@ -305,7 +305,8 @@ FROM (SELECT (epoch_us(ts) // 5000000) * 5 - k AS s
 GROUP BY s""",
 
     "detail_amount_split": _w(OI + ",\n" + OD, """
-SELECT order_detail_id, order_id, cents, cents / 100.0 AS final_detail_amount FROM (
+SELECT order_detail_id, order_id, CAST(cents AS BIGINT) AS cents,
+       CAST(cents AS DOUBLE) / 100.0 AS final_detail_amount FROM (
   SELECT od.id AS order_detail_id, od.order_id,
          (fc * w) // tw
          + CASE WHEN od.id = max(od.id) OVER (PARTITION BY od.order_id)
