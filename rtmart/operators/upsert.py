@@ -69,7 +69,8 @@ def read_latest(spark: SparkSession, path: str, keys: list[str], order_cols: lis
 
 
 def compact(spark: SparkSession, path: str, keys: list[str], order_cols: list[str],
-            upto: int, schema=None, drop_older: bool = True) -> None:
+            upto: int, schema=None, drop_older: bool = True,
+            partition_by: list[str] | None = None) -> None:
     """Fold versions ``<= upto`` into one base version ``batch_id=upto``.
 
     The latest rows are staged beside the versions, then replace version
@@ -82,7 +83,7 @@ def compact(spark: SparkSession, path: str, keys: list[str], order_cols: list[st
     latest = read_latest(spark, path, keys, order_cols, schema, before=upto + 1)
     staged = f"{base}/_compact_{int(upto)}"
     latest.drop("batch_id").write.mode("overwrite").parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(f"{base}/batch_id={int(upto)}")
+    write_version(spark.read.parquet(staged), base, upto, partition_by)
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(base)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

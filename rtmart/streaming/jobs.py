@@ -23,6 +23,10 @@ from rtmart.sources.streams import kafka_sink_options
 MICRO_BATCH = "5 seconds"   # the reference's batch interval
 
 
+def spark_of(df: DataFrame) -> SparkSession:
+    return df.sparkSession
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -121,12 +125,22 @@ def dau_stream(raw: DataFrame, watermark: str = "2 days") -> DataFrame:
         F.col("f.ts").alias("ts"))
 
 
+DAU_COMPACT_EVERY = 100   # fold device-day versions into a base every N batches
+
+
 def start_dau(raw: DataFrame, table_path: str, checkpoint: str,
-              available_now: bool = False, watermark: str = "2 days"):
+              available_now: bool = False, watermark: str = "2 days",
+              compact_every: int = DAU_COMPACT_EVERY):
     """Run ``dau_stream`` into a versioned table keyed by (dt, mid), each
     version partitioned by ``dt`` (the per-day index of the original): a
-    one-day read prunes every other day."""
+    one-day read prunes every other day. Every ``compact_every`` batches the
+    committed versions are folded into one base, so reads do not grow with
+    the number of micro-batches."""
     def upsert(batch: DataFrame, batch_id: int):
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0 \
+                and path_exists(spark_of(batch), table_path):
+            compact(spark_of(batch), table_path, ["dt", "mid"], [], upto=batch_id - 1,
+                    partition_by=["dt"])
         if batch.isEmpty():                 # no-op when a batch changed nothing
             return
         write_version(batch, table_path, batch_id, partition_by=["dt"])

@@ -122,3 +122,18 @@ def test_salted_stream_join_equals_unsalted_for_a_hot_order(spark):
     for got in results:
         assert got.count() == want.count() == 276     # 300 * 11/12 + 1
         assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_dau_table_compaction_keeps_the_result(spark, sf_small):
+    base = shared_path(spark, "t_dau_compact")
+    G._stage_app_logs(spark, sf_small, f"{base}/in")
+    raw = file_stream(spark, f"{base}/in", "value string", G.FILES_PER_SLICE)  # slice/batch
+    J.start_dau(raw, f"{base}/table", f"{base}/ckpt", available_now=True,
+                compact_every=2).awaitTermination()
+    got = J.read_dau_table(spark, f"{base}/table")
+    want = G.dau_docs(spark, sf_small)
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0
+    versions = {r.batch_id for r in spark.read.parquet(f"{base}/table")
+                .select("batch_id").distinct().collect()}
+    assert 0 not in versions and min(versions) >= 1     # versions before 1 folded away
