@@ -30,8 +30,15 @@ def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str],
     return out.select(*df.columns) if not deleted_col else out
 
 
+# Layout: <path>/batch_id=N/kind=delta  -- the rows batch N wrote
+#         <path>/batch_id=N/kind=base   -- every version before N, folded
+# Within one batch_id, "delta" sorts after "base", so a batch's own rows win.
+DELTA = "delta"
+BASE = "base"
+
+
 def write_version(df: DataFrame, path: str, batch_id: int,
-                  partition_by: list[str] | None = None) -> None:
+                  partition_by: list[str] | None = None, kind: str = DELTA) -> None:
     """Write one batch's rows as version ``batch_id``.
 
     The directory of a version is overwritten as a whole, so a replayed batch
@@ -39,57 +46,63 @@ def write_version(df: DataFrame, path: str, batch_id: int,
     ``partition_by`` adds sub-folders (e.g. ``dt``) so readers of one key
     value prune the others.
     """
+    target = f"{path.rstrip('/')}/batch_id={int(batch_id)}/kind={kind}"
     if partition_by:   # few files per folder; AQE still splits a hot value
         w = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
     else:
         w = df.write.mode("overwrite")
-    w.parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
+    w.parquet(target)
 
 
 def read_versions(spark: SparkSession, path: str, schema=None,
                   before: int | None = None) -> DataFrame:
-    """All stored versions (column ``batch_id`` from the directory names).
+    """All stored versions (columns ``batch_id`` and ``kind`` from the folders).
 
-    ``before=N`` reads versions ``< N`` only (partition pruning), which is how a
-    replayed batch N avoids seeing its own earlier output.
+    ``before=N`` reads what batch N builds on: versions ``< N`` plus the base
+    folded at N (partition pruning). A replayed batch N therefore never sees
+    its own earlier output.
     """
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.option("basePath", path).parquet(path)
     if before is not None:
-        df = df.where(F.col("batch_id") < F.lit(before))
+        b = F.lit(int(before))
+        df = df.where((F.col("batch_id") < b)
+                      | ((F.col("batch_id") == b) & (F.col("kind") == F.lit(BASE))))
     return df
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str], order_cols: list[str],
                 schema=None, before: int | None = None) -> DataFrame:
-    return latest_per_key(read_versions(spark, path, schema, before), keys,
-                          ["batch_id"] + [c for c in order_cols if c != "batch_id"])
+    """Latest row per key over the stored versions (``batch_id`` kept)."""
+    order = ["batch_id", "kind"] + [c for c in order_cols if c not in ("batch_id", "kind")]
+    return latest_per_key(read_versions(spark, path, schema, before), keys, order).drop("kind")
 
 
 def compact(spark: SparkSession, path: str, keys: list[str], order_cols: list[str],
-            upto: int, schema=None, drop_older: bool = True,
+            at: int, schema=None, drop_older: bool = True,
             partition_by: list[str] | None = None) -> None:
-    """Fold versions ``<= upto`` into one base version ``batch_id=upto``.
-
-    The latest rows are staged beside the versions, then replace version
-    ``upto``; with ``drop_older`` the folded version folders are removed, so
-    later reads scan the base plus newer versions only. Callers compact only
-    committed versions (a replayed batch reads versions before its own,
-    which the base still represents exactly).
+    """Fold every version before ``at`` into the base of version ``at``.
+
+    Steps: stage the latest rows (read: versions < at plus an existing base of
+    ``at``) in a hidden folder, write them as ``batch_id=at/kind=base``, then
+    delete the folded version folders. No step removes data that is not
+    already held elsewhere: a crash leaves either redundant rows (which the
+    latest-per-key read resolves) or a complete base, and a re-run repeats
+    the same result.
     """
     base = path.rstrip("/")
-    latest = read_latest(spark, path, keys, order_cols, schema, before=upto + 1)
-    staged = f"{base}/_compact_{int(upto)}"
+    staged = f"{base}/_compact_{int(at)}"
+    latest = read_latest(spark, path, keys, order_cols, schema, before=at)
     latest.drop("batch_id").write.mode("overwrite").parquet(staged)
-    write_version(spark.read.parquet(staged), base, upto, partition_by)
+    write_version(spark.read.parquet(staged), base, at, partition_by, kind=BASE)
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(base)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(jvm.org.apache.hadoop.fs.Path(staged), True)
     if drop_older:
         for st in fs.listStatus(root):
             name = st.getPath().getName()
-            if name.startswith("batch_id=") and int(name.split("=", 1)[1]) < int(upto):
+            if name.startswith("batch_id=") and int(name.split("=", 1)[1]) < int(at):
                 fs.delete(st.getPath(), True)
+    fs.delete(jvm.org.apache.hadoop.fs.Path(staged), True)

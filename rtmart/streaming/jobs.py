@@ -139,7 +139,7 @@ def start_dau(raw: DataFrame, table_path: str, checkpoint: str,
     def upsert(batch: DataFrame, batch_id: int):
         if compact_every and batch_id > 0 and batch_id % compact_every == 0 \
                 and path_exists(spark_of(batch), table_path):
-            compact(spark_of(batch), table_path, ["dt", "mid"], [], upto=batch_id - 1,
+            compact(spark_of(batch), table_path, ["dt", "mid"], [], at=batch_id,
                     partition_by=["dt"])
         if batch.isEmpty():                 # no-op when a batch changed nothing
             return
@@ -157,7 +157,7 @@ def read_dau_table(spark: SparkSession, table_path: str, date: str | None = None
     if date is not None:
         versions = versions.where(F.col("dt") == F.lit(date))
     latest = latest_per_key(versions.withColumn("dt", F.col("dt").cast("string")),
-                            ["dt", "mid"], ["batch_id"])
+                            ["dt", "mid"], ["batch_id", "kind"])
     return latest.select(*DAU_INFO.names)
 
 
@@ -190,7 +190,7 @@ def first_order_batch_fn(spark: SparkSession, state_path: str, out_path: str,
         version = int(batch_id) + version_offset
         if compact_every and version > 1 and version % compact_every == 0 \
                 and path_exists(spark, state_path):
-            compact(spark, state_path, ["user_id"], [], upto=version - 1)
+            compact(spark, state_path, ["user_id"], [], at=version)
         orders = O.order_info_typed(batch).persist()   # parsed once, used twice
         state = None
         if path_exists(spark, state_path):

@@ -213,12 +213,18 @@ def test_compaction_keeps_latest_and_drops_old_versions(spark):
     write_version(spark.createDataFrame([("u1", "0"), ("u2", "1")], schema), path, 0)
     write_version(spark.createDataFrame([("u1", "1")], schema), path, 1)
     write_version(spark.createDataFrame([("u3", "1")], schema), path, 2)
-    compact(spark, path, ["user_id"], [], upto=1)
+    compact(spark, path, ["user_id"], [], at=2)        # folds versions 0 and 1
     got = {r.user_id: (r.if_consumed, r.batch_id)
            for r in read_latest(spark, path, ["user_id"], []).collect()}
-    assert got == {"u1": ("1", 1), "u2": ("1", 1), "u3": ("1", 2)}
+    assert got == {"u1": ("1", 2), "u2": ("1", 2), "u3": ("1", 2)}
     assert sorted(r.batch_id for r in spark.read.parquet(path).select("batch_id")
-                  .distinct().collect()) == [1, 2]
+                  .distinct().collect()) == [2]
+    # what batch 2 builds on (a replay of it) is exactly the folded base
+    prior = {r.user_id: r.if_consumed
+             for r in read_latest(spark, path, ["user_id"], [], before=2).collect()}
+    assert prior == {"u1": "1", "u2": "1"}
+    compact(spark, path, ["user_id"], [], at=2)        # re-run after a crash: same
+    assert read_latest(spark, path, ["user_id"], []).count() == 3
 
 
 def test_broadcast_only_with_proven_bound(spark):
