@@ -91,7 +91,7 @@ PROV = """prov AS (
   FROM nation)"""
 
 DIMS = """c3 AS (
-  SELECT CAST(dense_rank() OVER (ORDER BY p_type) AS VARCHAR) AS id, p_type AS name
+  SELECT CAST(('0x' || substr(md5(p_type), 1, 12))::BIGINT AS VARCHAR) AS id, p_type AS name
   FROM (SELECT DISTINCT p_type FROM part)),
 tm AS (
   SELECT regexp_extract(p_brand, '#(\\d+)', 1) AS id, p_brand AS tm_name

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rtmart.functions import epoch_millis, timestamp_to_text, to_json_row
-from rtmart.operators.joins import broadcast_if_small
 from rtmart.operators.numbering import row_number_within
 
 # Fixed values of the adapters.
@@ -175,14 +174,11 @@ def _brand_id(col) -> F.Column:
 
 def sku_rows(part: DataFrame) -> DataFrame:
     """SKU dimension rows: id, name, trademark id (the brand number) and
-    category id (rank of the type among the distinct types)."""
-    cats = category3_rows(part).select(F.col("name").alias("_type"), F.col("id").alias("_cid"))
-    p = part.select("p_partkey", "p_name", "p_brand", "p_type")
-    j = p.join(broadcast_if_small(cats), p.p_type == cats._type, "left")  # one row per type
-    return j.select(F.col("p_partkey").cast("string").alias("id"),
-                    F.col("p_name").alias("sku_name"),
-                    _brand_id(F.col("p_brand")).alias("tm_id"),
-                    F.col("_cid").alias("category3_id"))
+    category id (derived from the type name)."""
+    return part.select(F.col("p_partkey").cast("string").alias("id"),
+                       F.col("p_name").alias("sku_name"),
+                       _brand_id(F.col("p_brand")).alias("tm_id"),
+                       _name_id(F.col("p_type")).alias("category3_id"))
 
 
 def trademark_rows(part: DataFrame) -> DataFrame:
@@ -190,13 +186,16 @@ def trademark_rows(part: DataFrame) -> DataFrame:
                 .select(_brand_id(F.col("p_brand")).alias("id"), F.col("p_brand").alias("tm_name")))
 
 
+def _name_id(col) -> F.Column:
+    """A stable numeric id from a name: the first 48 bits of its MD5."""
+    return F.conv(F.substring(F.md5(col), 1, 12), 16, 10)
+
+
 def category3_rows(part: DataFrame) -> DataFrame:
-    """Category rows; the id is the rank of the type name among the distinct
-    types (the distinct set of a small dimension, ranked in one task)."""
-    from pyspark.sql import Window
-    types = part.select("p_type").distinct()
-    return types.select(F.dense_rank().over(Window.orderBy("p_type")).cast("string").alias("id"),
-                        F.col("p_type").alias("name"))
+    """Category rows, one per distinct type; the id derives from the name, so
+    no ranking (and no single task) is needed."""
+    return (part.select("p_type").distinct()
+                .select(_name_id(F.col("p_type")).alias("id"), F.col("p_type").alias("name")))
 
 
 def user_rows(customer: DataFrame) -> DataFrame:
