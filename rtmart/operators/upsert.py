@@ -82,27 +82,58 @@ def read_latest(spark: SparkSession, path: str, keys: list[str], order_cols: lis
 
 def compact(spark: SparkSession, path: str, keys: list[str], order_cols: list[str],
             at: int, schema=None, drop_older: bool = True,
-            partition_by: list[str] | None = None) -> None:
-    """Fold every version before ``at`` into the base of version ``at``.
-
-    Steps: stage the latest rows (read: versions < at plus an existing base of
-    ``at``) in a hidden folder, write them as ``batch_id=at/kind=base``, then
-    delete the folded version folders. No step removes data that is not
-    already held elsewhere: a crash leaves either redundant rows (which the
-    latest-per-key read resolves) or a complete base, and a re-run repeats
-    the same result.
+            partition_by: list[str] | None = None, since: int | None = None) -> None:
+    """Fold stored versions into the base of version ``at``.
+
+    ``since=None`` folds every version before ``at`` (a full base: reads then
+    start there). ``since=M`` folds only the deltas of batches ``M .. at-1``
+    into a segment; older bases stay, so the cost is proportional to the
+    recent batches, not to the table. Readers take the latest row per key
+    over bases and deltas, which is the same result either way.
+
+    Steps: stage the folded rows in a hidden folder, write them as
+    ``batch_id=at/kind=base``, then delete what was folded. No step removes
+    data not already held elsewhere: a crash leaves redundant rows (which
+    the latest-per-key read resolves) or a complete base, and a re-run
+    repeats the same result.
     """
     base = path.rstrip("/")
     staged = f"{base}/_compact_{int(at)}"
-    latest = read_latest(spark, path, keys, order_cols, schema, before=at)
+    versions = read_versions(spark, path, schema, before=at)
+    if since is not None:
+        versions = versions.where(
+            (F.col("batch_id") > F.lit(int(since)))
+            | ((F.col("batch_id") == F.lit(int(since))) & (F.col("kind") == F.lit(DELTA))))
+    order = ["batch_id", "kind"] + [c for c in order_cols if c not in ("batch_id", "kind")]
+    latest = latest_per_key(versions, keys, order).drop("kind")
     latest.drop("batch_id").write.mode("overwrite").parquet(staged)
     write_version(spark.read.parquet(staged), base, at, partition_by, kind=BASE)
     jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(base)
+    Path = jvm.org.apache.hadoop.fs.Path
+    root = Path(base)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if drop_older:
+        lo = -1 if since is None else int(since)
         for st in fs.listStatus(root):
             name = st.getPath().getName()
-            if name.startswith("batch_id=") and int(name.split("=", 1)[1]) < int(at):
+            if not name.startswith("batch_id="):
+                continue
+            b = int(name.split("=", 1)[1])
+            if lo < b < int(at):
                 fs.delete(st.getPath(), True)
-    fs.delete(jvm.org.apache.hadoop.fs.Path(staged), True)
+            elif b == lo:                    # keep that batch's own base
+                fs.delete(Path(st.getPath(), f"kind={DELTA}"), True)
+                if len(fs.listStatus(st.getPath())) == 0:
+                    fs.delete(st.getPath(), True)
+    fs.delete(Path(staged), True)
+
+
+def compaction_plan(batch: int, every: int, full_every: int | None) -> tuple[bool, int | None]:
+    """(compact now?, since) for a tiered schedule: every ``every`` batches
+    fold the deltas since the previous fold; every ``full_every`` batches
+    (if given) fold everything."""
+    if not every or batch <= 0 or batch % every:
+        return False, None
+    if full_every and batch % full_every == 0:
+        return True, None
+    return True, max(batch - every, 0)

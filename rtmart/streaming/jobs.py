@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rtmart.functions import millis_to_hour, millis_to_minute, parse_typed
 from rtmart.operators import dau as D
 from rtmart.operators import orders as O
-from rtmart.operators.upsert import (compact, latest_per_key, read_latest, read_versions,
-                                     write_version)
+from rtmart.operators.upsert import (compact, compaction_plan, latest_per_key, read_latest,
+                                     read_versions, write_version)
 from rtmart.schemas import (DAU_INFO, DWD_ORDER_INFO_FIELDS, ORDER_DETAIL_FIELDS,
                             ORDER_WIDE_COLUMNS)
 from rtmart.sources.streams import kafka_sink_options
@@ -125,7 +125,8 @@ def dau_stream(raw: DataFrame, watermark: str = "2 days") -> DataFrame:
         F.col("f.ts").alias("ts"))
 
 
-DAU_COMPACT_EVERY = 100   # fold device-day versions into a base every N batches
+DAU_COMPACT_EVERY = 100         # fold recent device-day versions every N batches
+DAU_FULL_COMPACT_EVERY = 2000   # ... and everything every M batches
 
 
 def start_dau(raw: DataFrame, table_path: str, checkpoint: str,
@@ -137,10 +138,10 @@ def start_dau(raw: DataFrame, table_path: str, checkpoint: str,
     committed versions are folded into one base, so reads do not grow with
     the number of micro-batches."""
     def upsert(batch: DataFrame, batch_id: int):
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0 \
-                and path_exists(spark_of(batch), table_path):
+        now, since = compaction_plan(batch_id, compact_every, DAU_FULL_COMPACT_EVERY)
+        if now and path_exists(spark_of(batch), table_path):
             compact(spark_of(batch), table_path, ["dt", "mid"], [], at=batch_id,
-                    partition_by=["dt"])
+                    partition_by=["dt"], since=since)
         if batch.isEmpty():                 # no-op when a batch changed nothing
             return
         write_version(batch, table_path, batch_id, partition_by=["dt"])
@@ -169,7 +170,8 @@ def start_preview(df: DataFrame, rows: int = 1000, available_now: bool = False):
 
 # ---------------------------------------------------------------- D3-D5: first order
 
-STATE_COMPACT_EVERY = 50   # fold user-state versions into a base every N batches
+STATE_COMPACT_EVERY = 50          # fold recent versions every N batches
+STATE_FULL_COMPACT_EVERY = 1000   # ... and all user state every M batches
 
 
 def first_order_batch_fn(spark: SparkSession, state_path: str, out_path: str,
@@ -188,9 +190,13 @@ def first_order_batch_fn(spark: SparkSession, state_path: str, out_path: str,
         if batch.isEmpty():
             return
         version = int(batch_id) + version_offset
-        if compact_every and version > 1 and version % compact_every == 0 \
-                and path_exists(spark, state_path):
-            compact(spark, state_path, ["user_id"], [], at=version)
+        now, since = compaction_plan(version, compact_every, STATE_FULL_COMPACT_EVERY)
+        if now and path_exists(spark, state_path):
+            compact(spark, state_path, ["user_id"], [], at=version, since=since)
+        now, since = compaction_plan(version, compact_every, None)
+        if now and path_exists(spark, out_path):
+            # append-only output: fold recent deltas into a segment, never all
+            compact(spark, out_path, ["id"], [], at=version, since=since)
         orders = O.order_info_typed(batch).persist()   # parsed once, used twice
         state = None
         if path_exists(spark, state_path):

@@ -227,6 +227,27 @@ def test_compaction_keeps_latest_and_drops_old_versions(spark):
     assert read_latest(spark, path, ["user_id"], []).count() == 3
 
 
+def test_incremental_fold_keeps_older_segments(spark):
+    from rtmart.operators.upsert import compact, compaction_plan
+    path = shared_path(spark, "t_segments")
+    schema = "k string, x string"
+    for b, rows in enumerate([[("a", "0")], [("b", "1")], [("a", "2")], [("c", "3")],
+                              [("b", "4")]]):
+        write_version(spark.createDataFrame(rows, schema), path, b)
+    compact(spark, path, ["k"], [], at=2)                 # full base at 2: a=0, b=1
+    compact(spark, path, ["k"], [], at=4, since=2)        # segment at 4: a=2, c=3
+    dirs = sorted((r.batch_id, r.kind) for r in
+                  spark.read.parquet(path).select("batch_id", "kind").distinct().collect())
+    assert dirs == [(2, "base"), (4, "base"), (4, "delta")]
+    got = {r.k: r.x for r in read_latest(spark, path, ["k"], []).collect()}
+    assert got == {"a": "2", "b": "4", "c": "3"}
+    before4 = {r.k: r.x for r in read_latest(spark, path, ["k"], [], before=4).collect()}
+    assert before4 == {"a": "2", "b": "1", "c": "3"}
+    assert compaction_plan(100, 50, 1000) == (True, 50)
+    assert compaction_plan(1000, 50, 1000) == (True, None)
+    assert compaction_plan(101, 50, 1000) == (False, None)
+
+
 def test_broadcast_only_with_proven_bound(spark):
     small = spark.range(10)
     assert bounded_row_count(small, 5) == 6

@@ -25,6 +25,9 @@ def test_first_order_stream_with_compaction_equals_batch(spark, sf_small):
     versions = {r.batch_id for r in spark.read.parquet(f"{base}/state")
                 .select("batch_id").distinct().collect()}
     assert 0 not in versions            # the seed version was folded into a base
+    kinds = {(r.batch_id, r.kind) for r in spark.read.parquet(f"{base}/out")
+             .select("batch_id", "kind").distinct().collect()}
+    assert (2, "base") in kinds and (1, "delta") not in kinds   # output deltas folded
 
 
 def test_dau_stream_does_not_depend_on_arrival_order(spark, sf_small):
