@@ -1,10 +1,17 @@
-"""Streaming jobs (W1-W7 with D1, D3-D5, J1/J5, D2).
-
-Every job takes a streaming DataFrame, uses the batch operators, and writes
-through a sink whose commit follows the checkpoint (offsets are committed
-after the output, as the reference did by hand). Micro-batch outputs that go
-to keyed tables are written as version ``batch_id=N`` folders, overwritten as
-a whole, so a replayed batch is idempotent.
+"""Streaming jobs (W1-W7): the seven jobs of the original, on Structured Streaming.
+
+- log and change-data routing -> ``start_topic_stream`` (F1-F4, K1/K2)
+- province dimension          -> ``start_dim_province`` (K3)
+- daily active devices        -> ``dau_stream`` / ``start_dau`` (D1)
+- order job                   -> ``first_order_batch_fn`` / ``start_first_order`` (D3-D5, J2)
+- detail job                  -> ``start_topic_stream`` over typed details (K1, K7)
+- wide order                  -> ``wide_stream`` / ``start_wide`` (J1/J5, D2)
+
+Every job takes a streaming DataFrame (Kafka in production, files in tests),
+uses the batch operators, and writes through a sink whose commit follows the
+checkpoint (offsets are committed after the output, as the original did by
+hand). Keyed outputs are version ``batch_id=N`` folders overwritten as a
+whole, so a replayed batch is idempotent; they are compacted on a schedule.
 """
 
 from __future__ import annotations

@@ -297,3 +297,12 @@ def test_match_analyses_text(spark):
     got = [r.k for r in SE.match_sorted(df, "name", "RED!", "price", "k").collect()]
     assert got == [2, 1]
     assert SE.match_terms("  ") == []
+
+
+def test_kafka_options_and_missing_connector(spark):
+    from rtmart.sources.streams import kafka_sink_options, kafka_stream
+    assert kafka_sink_options("b:9092") == {"kafka.bootstrap.servers": "b:9092"}
+    try:
+        kafka_stream(spark, "GMALL_START", "b:9092")
+    except Exception as e:  # noqa: BLE001 -- no connector jar in this image
+        assert "kafka" in str(e).lower()
