@@ -140,3 +140,25 @@ def test_dau_table_compaction_keeps_the_result(spark, sf_small):
     versions = {r.batch_id for r in spark.read.parquet(f"{base}/table")
                 .select("batch_id").distinct().collect()}
     assert 0 not in versions and min(versions) >= 1     # versions before 1 folded away
+
+
+def test_order_stream_reads_the_province_table_of_the_dimension_stream(spark, sf_small):
+    base = shared_path(spark, "t_compose")
+    versions = G.FX.province_versions(G._t(spark, sf_small, "nation"))
+    dim_in = G._stream_of(spark, versions, f"{base}/dim", time_col="batch_id",
+                          key_col="seq", n_slices=2)
+    J.start_dim_province(dim_in, f"{base}/province", f"{base}/ckpt_dim",
+                         available_now=True).awaitTermination()
+    orders = G._stage_order_batch(spark, sf_small, f"{base}/orders")
+    J.start_first_order(orders, spark, f"{base}/orders/state", f"{base}/orders/out",
+                        f"{base}/ckpt_orders",
+                        lambda: J.read_provinces(spark, f"{base}/province"),
+                        available_now=True).awaitTermination()
+    got = J.read_flagged_orders(spark, f"{base}/orders/out").select(
+        "id", "if_first_order", "province_name")
+    state, batch = G.state_and_batch(spark, sf_small)
+    want = O.province_enrich(O.first_order_flag(batch, state), G.provinces(spark, sf_small)) \
+        .select("id", "if_first_order", "province_name")
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0
+    assert got.where("province_name IS NULL").count() == 0
