@@ -162,3 +162,27 @@ def test_order_stream_reads_the_province_table_of_the_dimension_stream(spark, sf
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
     assert got.where("province_name IS NULL").count() == 0
+
+
+def test_raw_text_log_files_stream_and_preview(spark, sf_small):
+    """Raw log lines as text files -> stream -> routed topics; K5 preview."""
+    from rtmart.operators import routing as R
+    from rtmart.sources.streams import text_log_stream
+    base = shared_path(spark, "t_textlogs")
+    G.app_log_raw(spark, sf_small).write.text(f"{base}/logs")
+    raw = text_log_stream(spark, f"{base}/logs", files_per_trigger=2)
+    got = G._run_topics(spark, R.route_app_log(raw), base)
+    want = G.q_route_app_log(spark, sf_small)
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0
+    q = J.start_preview(text_log_stream(spark, f"{base}/logs"), rows=3, available_now=True)
+    q.awaitTermination()            # the console output is the JVM's own stdout
+    assert sum(p["numInputRows"] for p in q.recentProgress) == want.count()
+
+
+def test_new_devices_matches_realtime_total(spark, sf_small):
+    from rtmart.operators import dau as D
+    dau = G.dau_docs(spark, sf_small)
+    nd = {r.dt: r.new_mid for r in D.new_devices(dau).collect()}
+    rt = {r.dt: r.value for r in D.realtime_total(dau).where("id = 'new_mid'").collect()}
+    assert {d: v for d, v in rt.items() if v} == nd
