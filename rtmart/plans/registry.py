@@ -19,7 +19,7 @@ from rtmart.session import shared_path
 from rtmart.sinks.files import archive_log_lines
 from rtmart.sources import fixtures as FX
 from rtmart.sources.streams import file_stream
-from rtmart.sources.tables import read_table
+from rtmart.sources.tables import query_list, read_table
 from rtmart.streaming import jobs as J
 from rtmart.streaming.staging import stage_time_slices
 
@@ -250,9 +250,12 @@ def q_bulk_upsert_latest(spark, sf):
 
 
 def q_rows_as_json(spark, sf):
-    """P16 + S6: table rows as JSON objects by column name, read back."""
+    """P16 + S6: a table read by SQL, rows as JSON objects by column name,
+    then read back."""
     cust = _t(spark, sf, "customer")
-    js = cust.select(to_json_row(*[F.col(c) for c in cust.columns]).alias("value"))
+    cust.createOrReplaceTempView("rtmart_customer")
+    js = query_list(spark, "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment "
+                           "FROM rtmart_customer")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cust.schema.fields)
     back = js.select(F.from_json("value", schema).alias("r"), "value")
     return back.select("r.*", "value")
