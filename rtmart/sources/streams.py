@@ -42,8 +42,9 @@ def kafka_sink_options(bootstrap_servers: str) -> dict:
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType,
                 files_per_trigger: int | None = None, fmt: str = "parquet") -> DataFrame:
-    """A folder of files as a stream, oldest files first."""
-    r = spark.readStream.format(fmt).schema(schema).option("latestFirst", "false")
+    """A folder of files (sub-folders included) as a stream, oldest first."""
+    r = (spark.readStream.format(fmt).schema(schema).option("latestFirst", "false")
+         .option("recursiveFileLookup", "true"))
     if files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(files_per_trigger))
     return r.load(path)
