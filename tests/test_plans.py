@@ -77,3 +77,14 @@ def test_row_number_within_spreads_a_hot_group_and_matches_window(spark):
     cold = row_number_within(df.where("g <> 1"), "g", ["k", "v"], hot_rows=1000)
     assert "RangePartitioning" not in _plan(cold)
     assert cold.count() == 6000
+
+
+def test_sql_text_reads_push_filters_and_prune_columns(spark, sf_small):
+    from rtmart.sources.tables import query_list, read_table
+    read_table(spark, sf_small, "customer").createOrReplaceTempView("t_customer_sql")
+    df = query_list(spark, "SELECT c_custkey, c_name FROM t_customer_sql WHERE c_custkey < 10")
+    plan = _plan(df)
+    assert "PushedFilters: [IsNotNull(c_custkey), LessThan(c_custkey,10)]" in plan
+    read_schema = plan.split("ReadSchema: ", 1)[1].split("\n", 1)[0]
+    assert "c_acctbal" not in read_schema and "c_name" in read_schema
+    assert df.count() == 10
