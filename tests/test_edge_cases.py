@@ -306,3 +306,21 @@ def test_kafka_options_and_missing_connector(spark):
         kafka_stream(spark, "GMALL_START", "b:9092")
     except Exception as e:  # noqa: BLE001 -- no connector jar in this image
         assert "kafka" in str(e).lower()
+
+
+def test_cluster_without_checkpoint_dir_is_refused():
+    from types import SimpleNamespace
+    from rtmart.session import ensure_checkpoint_dir
+    unset = SimpleNamespace(isDefined=lambda: False)
+    jsc = SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: unset))
+    spark = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None),
+                            sparkContext=SimpleNamespace(master="yarn", _jsc=jsc))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(spark)
+
+
+def test_configured_checkpoint_dir_is_used(spark):
+    from rtmart.session import ensure_checkpoint_dir
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert ensure_checkpoint_dir(spark) == configured
+    assert shared_path(spark, "x").startswith(configured.rstrip("/") + "/x-")
