@@ -240,7 +240,8 @@ def canal_envelopes(oi: DataFrame, od: DataFrame, customer: DataFrame) -> DataFr
 
     ts_of = lambda c: F.unix_millis(F.to_timestamp(c, "yyyy-MM-dd HH:mm:ss"))
     orders_env = oi.select(envelope(
-        "order_info", F.array(row_json(oi)), _change_type(F.col("order_status"), "INSERT", "UPDATE"),
+        "order_info", F.array(row_json(oi)),
+        _change_type(F.col("order_status"), "INSERT", "UPDATE"),
         ts_of(F.col("create_time"))).alias("value"))
 
     d = _with_status(od, oi).select(
