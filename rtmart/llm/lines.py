@@ -62,34 +62,38 @@ def _without(text: Column, removed: Column) -> Column:
                     lambda p: F.get(x, p)), "\n"))
 
 
-def dedup_lines(docs: DataFrame, min_sites: int = 10) -> DataFrame:
-    """``row`` (the caller's columns), ``text`` without boilerplate, ``n_removed``."""
+def _shortened(docs: DataFrame, min_sites: int) -> tuple[DataFrame, dict]:
+    """Packed rows with n_removed, and the columns that replace the caller's."""
     places = cut_lineage(line_places(docs), "line-places")
     gone = (places.join(boilerplate(places, min_sites), "line_hash")
             .where((F.col("key") != F.col("first_key")) | (F.col("pos") != F.col("first_pos")))
             # a set: repeated rows name the same places
             .groupBy("key").agg(F.collect_set("pos").alias("removed")))
-    rows = T.packed(docs).join(gone, "key", "left")
-    text = F.col("row.text")
-    return rows.select(
-        "row",
-        F.when(F.col("removed").isNull(), text)
-        .otherwise(_without(text, F.col("removed"))).alias("text"),
-        F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"))
-
-
-def without_boilerplate(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with shortened texts; n_chars follows the text."""
-    new = {"text": F.col("text")}
+    rows = T.packed(docs, F.col("text").alias("text")).join(gone, "key", "left")
+    changed = F.col("removed").isNotNull()
+    new = {"text": F.when(changed, _without(F.col("text"), F.col("removed")))
+           .otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("n_removed") > 0, F.length("text")) \
-            .otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
-    return T.unpacked(dedup_lines(docs, **options), docs.columns, **new)
+        given = F.col(f"in_{docs.columns.index('n_chars')}")
+        new["n_chars"] = (F.when(changed, F.length(new["text"])).otherwise(given)
+                          .cast(docs.schema["n_chars"].dataType))
+    return rows.withColumn("n_removed", F.coalesce(F.size("removed"), F.lit(0))), new
+
+
+def without_boilerplate(docs: DataFrame, min_sites: int = 10) -> DataFrame:
+    """``docs`` with shortened texts; n_chars, where there is one, follows them."""
+    rows, new = _shortened(docs, min_sites)
+    return T.unpacked(rows, docs.columns, **new)
+
+
+def removed_lines(docs: DataFrame, min_sites: int = 10) -> DataFrame:
+    """doc_id, n_removed and the shortened text of each row."""
+    rows, new = _shortened(docs.select("doc_id", "source", "text"), min_sites)
+    return rows.select(F.col("in_0").alias("doc_id"),
+                       F.col("n_removed").cast("long").alias("n_removed"), new["text"].alias("text"))
 
 
 def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
-    docs = T.documents(spark, sf_dir).select("doc_id", "source", "text")
-    return dedup_lines(docs).select(
-        F.col("row.doc_id").alias("doc_id"),
-        F.col("n_removed").cast("long").alias("n_removed"),
-        F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
+    return removed_lines(T.documents(spark, sf_dir)).select(
+        "doc_id", "n_removed", F.length("text").cast("long").alias("n_chars"),
+        F.md5("text").alias("text_md5"))

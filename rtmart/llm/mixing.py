@@ -207,38 +207,32 @@ def n_shards(sources: DataFrame, block: int) -> int:
     return max(1, int(-(-words // (block * SLOTS_PER_SHARD))))
 
 
-def mix_sources(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
+def mixed_documents(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     """The mix as rows of documents: a row per drawn piece of a document.
 
-    Columns of ``docs``, with text the piece's words (single spaces), and
-    shard, slot. A document of several blocks gives a row for each, a block
-    drawn again repeats its rows.
+    Columns of ``docs``, the text being the piece's words (single spaces). A
+    document of several blocks gives a row for each; a block drawn again
+    repeats its rows.
     """
-    rows, sources = layout(docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "source", "text"))
+    given = [F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(docs.columns) if c != "text"]
+    rows, sources = layout(docs.select(*given, "doc_id", "source", "text"))
+    names = [f"in_{i}" for i, c in enumerate(docs.columns) if c != "text"]
     pieces = rows.select(
-        "row", "src",
+        *names, "src",
         F.explode(T.let(T.words(T.whole_text()), lambda w: _blocks_of(w, block))).alias("p"))
-    pieces = pieces.select(F.col("row").dropFields("text").alias("row"), "src",
-                           F.col("p.block").alias("block"), F.col("p.at").alias("at"),
-                           F.col("p.n").alias("n"),
+    pieces = pieces.select(*names, "src", F.col("p.block").alias("block"),
+                           F.col("p.at").alias("at"), F.col("p.n").alias("n"),
                            F.array_join("p.words", " ").alias("piece"))
     slots = draw_slots(sources, n_shards(sources, block), block)
     drawn = pieces.join(slots, ["src", "block"])
-    n = F.least(F.col("n"), F.col("words") - F.col("at"))
-    text = F.when(n < F.col("n"), F.substring_index("piece", " ", n.cast("int"))) \
-        .otherwise(F.col("piece"))
+    n = F.least(F.col("n"), F.col("words") - F.col("at")).cast("int")
+    drawn = drawn.withColumn("m", n).where(F.col("m") > 0).withColumn(
+        "text", F.when(F.col("m") < F.col("n"), F.expr("substring_index(piece, ' ', m)"))
+        .otherwise(F.col("piece")))
     new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
-    drawn = drawn.where(n > 0).withColumn("text", text)
-    return drawn.select("shard", "slot", *[
-        new.get(c, F.col("row").getField(c) if c != "text" else None).alias(c)
-        for c in docs.columns])
-
-
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    return mix_sources(docs, **options).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return T.unpacked(drawn, docs.columns, **new)
 
 
 def taken_words(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:

@@ -247,8 +247,7 @@ def one_of_each_group(docs: DataFrame, shingle: int = 3, radius: int = 3) -> Dat
               .select(F.col("first.key").alias("key")))
     rows = T.packed(docs).join(chosen, "key", "left_semi")
     # rows equal in doc_id, source and text may still be repeated
-    rows = rows.groupBy("key").agg(F.first("row").alias("row"))
-    return T.unpacked(rows, docs.columns)
+    return T.unpacked(rows.dropDuplicates(["key"]), docs.columns)
 
 
 def op6_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Column helpers shared by the text operators (all JVM-side).
 
 ``documents`` columns used: doc_id, text, lang, source, n_chars. Operators
-carry the caller's columns inside one struct, so an extra column of any name
+rename the caller's columns while they work, so an extra column of any name
 cannot clash with a working column.
 """
 
@@ -59,12 +59,12 @@ def row_key() -> Column:
                       F.col("text").isNull())
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    """The caller's columns in one struct ``row``, beside the row's key."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                       row_key().alias("key"))
+def packed(docs: DataFrame, *more: Column) -> DataFrame:
+    """The caller's columns as in_0, in_1, ... beside the row's key and more columns."""
+    return docs.select(*[F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(docs.columns)],
+                       row_key().alias("key"), *more)
 
 
 def unpacked(df: DataFrame, columns: list[str], **replaced: Column) -> DataFrame:
-    """The struct's columns again, some of them replaced."""
-    return df.select(*[replaced.get(c, F.col("row").getField(c)).alias(c) for c in columns])
+    """The caller's columns again, some of them replaced."""
+    return df.select(*[replaced.get(c, F.col(f"in_{i}")).alias(c) for i, c in enumerate(columns)])
