@@ -70,7 +70,70 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
 FROM s
 """
 
+
+def _url_filters(rounds: int = 20, damping: float = 0.85) -> str:
+    """The propagation unrolled: one relation per round."""
+    ranks = "r0 AS (SELECT kind, host, seed AS rank FROM seeds)"
+    for i in range(rounds):
+        ranks += f"""
+, g{i} AS (
+  SELECT w.kind, w.dst AS host, sum(r.rank * w.share) AS got
+  FROM ways w JOIN r{i} r ON r.kind = w.kind AND r.host = w.src GROUP BY 1, 2
+), l{i} AS (
+  SELECT k.kind, 1 - coalesce(sum(got), 0) AS lost
+  FROM (SELECT DISTINCT kind FROM seeds) k LEFT JOIN g{i} g ON g.kind = k.kind GROUP BY 1
+), r{i + 1} AS (
+  SELECT kind, host, (1 - {damping}) * coalesce(seed, 0)
+         + {damping} * (coalesce(got, 0) + lost * coalesce(seed, 0)) AS rank
+  FROM seeds FULL JOIN g{i} USING (kind, host) JOIN l{i} USING (kind)
+)"""
+    return r"""
+WITH rules(verdict, rule) AS (
+  VALUES ('allow', 'org/'), ('block', 'example.org/es/'), ('block', 'example.org/en/1'),
+         ('allow', 'com/fr/'), ('block', 'com/de/')
+), rl AS (
+  SELECT verdict, rule, split_part(rule, '/', 1) AS rh, substr(rule, strpos(rule, '/')) AS rp FROM rules
+), u AS (
+  SELECT page_id, html, CASE WHEN strpos(url, '://') > 0
+         THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), p AS (
+  SELECT page_id, html, lower(regexp_extract(rest, '^[^/?#]*')) AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u
+), j AS (
+  SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS rule_verdict
+  FROM p JOIN rl ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY 1
+), judged AS (
+  SELECT p.page_id, host, path, rule, rule_verdict FROM p LEFT JOIN j USING (page_id)
+), links AS (
+  SELECT src, dst, count(*) AS n FROM (
+    SELECT DISTINCT page_id, host AS src, lower(unnest(regexp_extract_all(html,
+      '(?i)href\s*=\s*["'']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"''\s>]+)', 1))) AS dst FROM p)
+  WHERE src <> dst AND src <> '' GROUP BY 1, 2
+), ways AS (
+  SELECT 'trust' AS kind, src, dst, n / sum(n) OVER (PARTITION BY src) AS share FROM links
+  UNION ALL SELECT 'distrust', dst, src, n / sum(n) OVER (PARTITION BY dst) FROM links
+), shares AS (
+  SELECT host, avg((rule_verdict IS NOT DISTINCT FROM 'allow')::INT) AS t,
+         avg((rule_verdict IS NOT DISTINCT FROM 'block')::INT) AS d
+  FROM judged WHERE host <> '' GROUP BY host
+), weights AS (
+  SELECT 'trust' AS kind, host, t AS w FROM shares WHERE t >= 0.5
+  UNION ALL SELECT 'distrust', host, d FROM shares WHERE d >= 0.5
+), seeds AS (
+  SELECT kind, host, w / sum(w) OVER (PARTITION BY kind) AS seed FROM weights
+), """ + ranks + f"""
+, hosts AS (
+  SELECT host, sum(rank) FILTER (kind = 'trust') AS t, sum(rank) FILTER (kind = 'distrust') AS d
+  FROM r{rounds} GROUP BY host
+)
+SELECT page_id, host, path, rule, coalesce(rule_verdict,
+       CASE WHEN d > 0 AND d >= 0.5 * (coalesce(t, 0) + d) THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged LEFT JOIN hosts USING (host)
+"""
+
+
 ORACLES = {
+    "op1_url_filters": _url_filters(),
     "op2_line_dedup": OP2_LINE_DEDUP,
     "op3_quality_rules": OP3_QUALITY_RULES,
 }
