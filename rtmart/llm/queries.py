@@ -12,7 +12,8 @@ from rtmart.llm.mixing import op8_mixing
 from rtmart.llm.oracle import ORACLES
 from rtmart.llm.packing import op7_packing
 from rtmart.llm.quality import op3_quality_rules
-from rtmart.llm.simhash import op6_simhash_near_dedupfrom rtmart.llm.urls import op1_url_filters
+from rtmart.llm.simhash import op6_simhash_near_dedup
+from rtmart.llm.urls import op1_url_filters
 
 QUERIES = [op1_url_filters, op2_line_dedup, op3_quality_rules, op6_simhash_near_dedup,
            op7_packing, op8_mixing, op9_license_scans]
