@@ -6,17 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rtmart.llm.embeddings import op4_embedding_near_dedup
+from rtmart.llm.langid import op10_language_id
 from rtmart.llm.licenses import op9_license_scans
 from rtmart.llm.lines import op2_line_dedup
 from rtmart.llm.mixing import op8_mixing
 from rtmart.llm.oracle import ORACLES
 from rtmart.llm.packing import op7_packing
 from rtmart.llm.quality import op3_quality_rules
+from rtmart.llm.secrets import op5_secret_scans
 from rtmart.llm.simhash import op6_simhash_near_dedup
 from rtmart.llm.urls import op1_url_filters
 
-QUERIES = [op1_url_filters, op2_line_dedup, op3_quality_rules, op6_simhash_near_dedup,
-           op7_packing, op8_mixing, op9_license_scans]
+QUERIES = [op1_url_filters, op2_line_dedup, op3_quality_rules, op4_embedding_near_dedup,
+           op5_secret_scans, op6_simhash_near_dedup, op7_packing, op8_mixing,
+           op9_license_scans, op10_language_id]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
