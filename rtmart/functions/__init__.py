@@ -1,13 +1,14 @@
-from rtmart.functions.jsonio import (json_fields, typed_fields, parse_typed,
-                                     to_json_row, json_field)
+from rtmart.functions.jsonio import (json_fields, checked_fields, parse_typed,
+                                     invalid_texts, to_json_row, json_field)
 from rtmart.functions.timefmt import (epoch_millis, millis_to_day, millis_to_hour,
                                       millis_to_minute, create_date, create_hour,
                                       previous_day, day_key, timestamp_to_text,
-                                      wall_clock_day_key)
+                                      valid_time, wall_clock_day_key)
 
 __all__ = [
-    "json_fields", "typed_fields", "parse_typed", "to_json_row", "json_field",
+    "json_fields", "checked_fields", "parse_typed", "invalid_texts", "to_json_row",
+    "json_field",
     "epoch_millis", "millis_to_day", "millis_to_hour", "millis_to_minute",
     "create_date", "create_hour", "previous_day", "day_key", "timestamp_to_text",
-    "wall_clock_day_key",
+    "valid_time", "wall_clock_day_key",
 ]

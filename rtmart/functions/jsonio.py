@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from rtmart.functions.timefmt import valid_time
+
 
 def _c(x) -> Column:
     return x if isinstance(x, Column) else F.col(x)
@@ -25,26 +27,42 @@ def json_fields(df: DataFrame, text, names: list[str], keep=(), prefix: str = ""
     return out.toDF(*keep, *[prefix + n for n in names])
 
 
-def typed_fields(df: DataFrame, fields, keep=()) -> DataFrame:
-    """Cast string fields to their types. A missing numeric field becomes 0
-    (the original records were primitive-typed); a present but malformed
-    value becomes null via ``try_cast`` instead of failing the task; missing
-    strings stay null."""
-    cols = []
+def checked_fields(df: DataFrame, text, fields, keep=(), required=("id",), times=()) -> DataFrame:
+    """Parse JSON text into typed ``fields`` [(name, type)], the ``keep``
+    columns and ``is_valid``.
+
+    A record is valid when its text is an object with every ``required``
+    field, every number given is one, and every ``times`` field given is
+    'yyyy-MM-dd HH:mm:ss'. In a valid record a missing number is 0 (the
+    original records were primitive-typed) and a missing string null.
+    """
+    raw = json_fields(df, text, [n for n, _ in fields], keep)
+    cols, valid = [], F.lit(True)
     for name, typ in fields:
-        raw = F.col(name)
+        c = F.col(name)
         if isinstance(typ, T.StringType):
-            cols.append(raw)
+            cols.append(c)
         else:
-            cols.append(F.when(raw.isNull(), F.lit(0).cast(typ))
-                         .otherwise(raw.try_cast(typ)).alias(name))
-    return df.select(*keep, *cols)
+            cols.append(F.coalesce(c.try_cast(typ), F.lit(0).cast(typ)).alias(name))
+            valid = valid & (c.isNull() | c.try_cast(typ).isNotNull())
+        if name in required:
+            valid = valid & c.isNotNull()
+        if name in times:
+            valid = valid & valid_time(c)
+    return raw.select(*keep, *cols, valid.alias("is_valid"))
 
 
-def parse_typed(df: DataFrame, text, fields, keep=()) -> DataFrame:
-    """Parse JSON text into typed top-level ``fields`` [(name, type)]."""
-    raw = json_fields(df, text, [n for n, _ in fields], keep)
-    return typed_fields(raw, fields, keep)
+def parse_typed(df: DataFrame, text, fields, keep=(), required=("id",), times=()) -> DataFrame:
+    """The valid records of ``checked_fields``."""
+    return (checked_fields(df, text, fields, keep, required, times)
+            .where("is_valid").drop("is_valid"))
+
+
+def invalid_texts(df: DataFrame, text: str, fields, required=("id",), times=()) -> DataFrame:
+    """The texts (column ``value``) of the records that ``parse_typed`` leaves out."""
+    texts = df.select(F.col(text).alias("_text"))
+    checked = checked_fields(texts, "_text", fields, ["_text"], required, times)
+    return checked.where(~F.col("is_valid")).select(F.col("_text").alias("value"))
 
 
 def to_json_row(*cols, keep_nulls: bool = False) -> Column:

@@ -22,6 +22,12 @@ def millis_to_hour(ms) -> Column:
     return F.date_format(F.timestamp_millis(_c(ms)), "HH")
 
 
+def valid_time(text) -> Column:
+    """True for a null and for a 'yyyy-MM-dd HH:mm:ss' text."""
+    t = _c(text)
+    return t.isNull() | F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss")).isNotNull()
+
+
 def millis_to_minute(ms) -> Column:
     return F.date_format(F.timestamp_millis(_c(ms)), "mm")
 
@@ -32,8 +38,9 @@ def create_date(create_time) -> Column:
 
 
 def create_hour(create_time) -> Column:
-    """'yyyy-MM-dd HH:mm:ss' -> 'HH' (text before the first colon of the time)."""
-    return F.split(F.split(_c(create_time), " ").getItem(1), ":").getItem(0)
+    """'yyyy-MM-dd HH:mm:ss' -> 'HH' (text before the first colon of the time; null
+    when there is no time)."""
+    return F.get(F.split(F.get(F.split(_c(create_time), " "), F.lit(1)), ":"), F.lit(0))
 
 
 def previous_day(day) -> Column:

@@ -53,10 +53,16 @@ def quarantined_logs(parsed: DataFrame) -> DataFrame:
 
 def dau_first_touch(logs: DataFrame) -> DataFrame:
     """The first record of each device per event day, as an active-device
-    document (mid, uid, ar, ch, vc, dt, hr, mi, ts).
+    document (mid, uid, ar, ch, vc, dt, hr, mi, ts)."""
+    return first_records(logs).drop("event_id")
+
+
+def first_records(logs: DataFrame) -> DataFrame:
+    """The document of ``dau_first_touch`` with the ``event_id`` of its record.
 
     "First" is the smallest (ts, event_id), so the result does not depend on
     arrival order (the reference kept whichever record reached its set first).
+    Days follow the session time zone.
     """
     df = logs.select("mid", "uid", "ar", "ch", "vc", "ts", "event_id",
                      millis_to_day("ts").alias("dt"))
@@ -66,7 +72,7 @@ def dau_first_touch(logs: DataFrame) -> DataFrame:
         "mid", F.col("f.uid").alias("uid"), F.col("f.ar").alias("ar"),
         F.col("f.ch").alias("ch"), F.col("f.vc").alias("vc"), "dt",
         millis_to_hour("f.ts").alias("hr"), millis_to_minute("f.ts").alias("mi"),
-        F.col("f.ts").alias("ts"))
+        F.col("f.ts").alias("ts"), F.col("f.event_id").alias("event_id"))
 
 
 def dau_total(dau: DataFrame, date: str | None = None) -> DataFrame:
@@ -154,15 +160,13 @@ def realtime_total(dau: DataFrame, date: str | None = None) -> DataFrame:
 
 
 def dau_distinct_check(logs: DataFrame) -> DataFrame:
-    """A5: distinct devices per day next to the number of first-touch
-    documents, from one aggregate per (day, device): ``distinct_mids`` counts
-    the groups, ``dau_rows`` the groups that yield a document (a valid first
-    record). The two must be equal."""
-    per = (logs.select(millis_to_day("ts").alias("dt"), "mid", "ts", "event_id")
-               .groupBy("dt", "mid")
-               .agg(F.min(F.struct("ts", "event_id")).alias("f")))
-    return per.groupBy("dt").agg(F.count(F.lit(1)).alias("distinct_mids"),
-                                 F.count("f.ts").alias("dau_rows"))
+    """A5: distinct devices per day, counted over the logs, next to the number
+    of documents that ``dau_first_touch`` makes of them. Two independent
+    counts, which must be equal; a day that only one of them has shows null."""
+    devices = (logs.select(millis_to_day("ts").alias("dt"), "mid")
+               .groupBy("dt").agg(F.count_distinct("mid").alias("distinct_mids")))
+    documents = dau_first_touch(logs).groupBy("dt").agg(F.count(F.lit(1)).alias("dau_rows"))
+    return devices.join(documents, "dt", "full")
 
 
 def report_hour_json(dau: DataFrame) -> DataFrame:

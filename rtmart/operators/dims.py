@@ -1,9 +1,9 @@
 """Dimension tables from ODS change messages and their lookups.
 
 Each dimension is parsed from its ODS topic, reduced to the latest row per id
-(so a lookup can never fan out), and joined with a size-checked broadcast; a
-dimension too large to broadcast is joined by a shuffle, where AQE still
-splits a hot key (one SKU with a third of all lines) on the fact side.
+(so a lookup can never fan out), and left-joined. Adaptive execution broadcasts
+a dimension whose measured size is small; a larger one is joined by a shuffle,
+where a hot key (one SKU with a third of all lines) is split on the fact side.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rtmart.functions import parse_typed
-from rtmart.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
 from rtmart.operators.upsert import latest_per_key
 from rtmart.schemas import L, S
 
@@ -26,37 +25,33 @@ AGE_GROUPS = [(20, "<=20"), (30, "21-30")]
 AGE_GROUP_OLDEST = ">30"
 
 
-def dim_latest(ods: DataFrame, fields, version_cols=()) -> DataFrame:
-    """ODS JSON rows -> typed dimension, latest row per id."""
-    keep = [c for c in version_cols if c in ods.columns]
-    typed = parse_typed(ods, "value", fields, keep=keep)
-    if keep:
-        return latest_per_key(typed, ["id"], keep).drop(*keep)
-    # no versions: any duplicate id resolves deterministically on the fields
-    return latest_per_key(typed, ["id"], [])
+def dim_latest(ods: DataFrame, fields, order_cols) -> DataFrame:
+    """ODS JSON rows -> typed dimension, the last change per id.
+
+    ``order_cols`` say which change is last: a sequence, or a topic's partition
+    and offset. Without them that cannot be known, so they are required.
+    """
+    keep = list(order_cols)
+    if not keep:
+        raise ValueError("order columns are needed to tell the last change of an id")
+    return latest_per_key(parse_typed(ods, "value", fields, keep=keep), ["id"], keep).drop(*keep)
 
 
 def detail_dims(details: DataFrame, sku: DataFrame, trademark: DataFrame,
-                category3: DataFrame, spu: DataFrame | None = None,
-                max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Add spu_id, tm_id, category3_id and their names to order details."""
-    s = broadcast_if_small(sku.select(F.col("id").alias("_sku"), "spu_id", "tm_id",
-                                      "category3_id"), max_broadcast_rows)
-    t = broadcast_if_small(trademark.select(F.col("id").alias("_tm"), "tm_name"),
-                           max_broadcast_rows)
-    c = broadcast_if_small(category3.select(F.col("id").alias("_c3"),
-                                            F.col("name").alias("category3_name")),
-                           max_broadcast_rows)
-    out = (details.join(s, details.sku_id == s._sku, "left").drop("_sku")
-                  .join(t, F.col("tm_id") == t._tm, "left").drop("_tm")
-                  .join(c, F.col("category3_id") == c._c3, "left").drop("_c3"))
-    if spu is not None:
-        p = broadcast_if_small(spu.select(F.col("id").alias("_spu"), "spu_name"),
-                               max_broadcast_rows)
-        out = out.join(p, F.col("spu_id") == p._spu, "left").drop("_spu")
-    else:
-        out = out.withColumn("spu_name", F.lit(None).cast("string"))
-    return out
+                category3: DataFrame, spu: DataFrame) -> DataFrame:
+    """Add spu_id, tm_id, category3_id and their names to order details.
+
+    The small dimensions are joined to the SKUs first, so the details are
+    joined once.
+    """
+    t = trademark.select(F.col("id").alias("_tm"), "tm_name")
+    c = category3.select(F.col("id").alias("_c3"), F.col("name").alias("category3_name"))
+    p = spu.select(F.col("id").alias("_spu"), "spu_name")
+    s = sku.select(F.col("id").alias("_sku"), "spu_id", "tm_id", "category3_id")
+    s = (s.join(t, F.col("tm_id") == t._tm, "left").drop("_tm")
+          .join(c, F.col("category3_id") == c._c3, "left").drop("_c3")
+          .join(p, F.col("spu_id") == p._spu, "left").drop("_spu"))
+    return details.join(s, details.sku_id == s._sku, "left").drop("_sku")
 
 
 def age_group(age) -> F.Column:
@@ -67,15 +62,13 @@ def age_group(age) -> F.Column:
     return expr.otherwise(F.lit(AGE_GROUP_OLDEST))
 
 
-def order_user_dim(orders: DataFrame, users: DataFrame,
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def order_user_dim(orders: DataFrame, users: DataFrame) -> DataFrame:
     """``user_age_group`` (age on the order day) and ``user_gender``.
 
-    The user dimension grows with the customer base, so it is broadcast only
-    under the row bound; otherwise a shuffle join on user id.
+    The user dimension grows with the customer base: a shuffle join on user
+    id, unless its measured size is small.
     """
-    u = broadcast_if_small(users.select(F.col("id").alias("_uid"), "birthday", "gender"),
-                           max_broadcast_rows)
+    u = users.select(F.col("id").alias("_uid"), "birthday", "gender")
     j = orders.join(u, orders.user_id == u._uid, "left")
     age = F.floor(F.months_between(F.to_date("create_date"), F.to_date("birthday")) / 12)
     return (j.withColumn("user_age_group", F.when(F.col("birthday").isNotNull(), age_group(age)))

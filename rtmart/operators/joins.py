@@ -1,12 +1,16 @@
-"""Join helpers: broadcast a side only when its size is proven small."""
+"""Join helpers: broadcast a side only when its size is proven small.
+
+The proof counts rows, so it is meant for a side that is stored already (a
+persisted micro-batch). Dimensions are left to adaptive execution, which
+measures a side once it has been computed.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Largest dimension (in rows) that is broadcast to every task. A province,
-# trademark or category dimension is far below it; beyond it the join
-# shuffles (and AQE may still pick a broadcast from measured sizes).
+# Largest side (in rows) that is broadcast to every task; beyond it the join
+# shuffles.
 DEFAULT_BROADCAST_MAX_ROWS = 200_000
 # Catalyst's size estimate above which no row count is even attempted.
 DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
@@ -25,14 +29,15 @@ def bounded_row_count(df: DataFrame, bound: int) -> int:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-                       max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+                       max_bytes: int | None = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast only when its row count is proven <= max_rows.
 
     A plan whose estimated size is already above ``max_bytes`` (a dimension
     that grows with the data) is returned as is without running anything;
-    otherwise a bounded count decides.
+    otherwise a bounded count decides. ``max_bytes=None`` leaves the estimate
+    out, for narrow rows whose number is bound enough.
     """
-    if estimated_size_bytes(df) > max_bytes:
+    if max_bytes is not None and estimated_size_bytes(df) > max_bytes:
         return df
     if bounded_row_count(df, max_rows) <= max_rows:
         return F.broadcast(df)

@@ -11,8 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rtmart.functions import create_date, create_hour, parse_typed, to_json_row
-from rtmart.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
+from rtmart.functions import create_date, create_hour, invalid_texts, parse_typed, to_json_row
+from rtmart.operators.routing import QUARANTINE_TOPIC
 from rtmart.operators.upsert import latest_per_key
 from rtmart.schemas import ORDER_DETAIL_FIELDS, ORDER_INFO_FIELDS, PROVINCE_FIELDS
 
@@ -25,16 +25,38 @@ DWD_ORDER_INFO_TOPIC = "DWD_ORDER_INFO"
 DWD_ORDER_DETAIL_TOPIC = "DWD_ORDER_DETAIL"
 
 
+# What makes a record usable; texts that fail go to the quarantine topic.
+ORDER_CHECKS = {"required": ("id", "user_id"), "times": ("create_time",)}
+DETAIL_CHECKS = {"required": ("id", "order_id"), "times": ("create_time",)}
+
+
+def _quarantine(texts: DataFrame) -> DataFrame:
+    return texts.select(F.lit(QUARANTINE_TOPIC).alias("topic"), "value")
+
+
+def order_info_quarantine(ods: DataFrame, value_col: str = "value") -> DataFrame:
+    """(topic, value) of the order texts that ``order_info_typed`` leaves out."""
+    return _quarantine(invalid_texts(ods, value_col, ORDER_INFO_FIELDS, **ORDER_CHECKS))
+
+
+def order_detail_quarantine(ods: DataFrame, value_col: str = "value") -> DataFrame:
+    return _quarantine(invalid_texts(ods, value_col, ORDER_DETAIL_FIELDS, **DETAIL_CHECKS))
+
+
+def province_quarantine(ods: DataFrame, value_col: str = "value") -> DataFrame:
+    return _quarantine(invalid_texts(ods, value_col, PROVINCE_FIELDS))
+
+
 def order_info_typed(ods: DataFrame, value_col: str = "value") -> DataFrame:
     """P2 + P6: ODS order JSON -> typed order with create_date / create_hour."""
-    typed = parse_typed(ods, value_col, ORDER_INFO_FIELDS)
+    typed = parse_typed(ods, value_col, ORDER_INFO_FIELDS, **ORDER_CHECKS)
     return typed.select("*", create_date("create_time").alias("create_date"),
                         create_hour("create_time").alias("create_hour"))
 
 
 def order_detail_typed(ods: DataFrame, value_col: str = "value") -> DataFrame:
     """ODS order-detail JSON -> typed detail."""
-    return parse_typed(ods, value_col, ORDER_DETAIL_FIELDS)
+    return parse_typed(ods, value_col, ORDER_DETAIL_FIELDS, **DETAIL_CHECKS)
 
 
 def province_typed(ods: DataFrame, value_col: str = "value") -> DataFrame:
@@ -84,6 +106,8 @@ def first_order_flag(batch: DataFrame, state: DataFrame | None = None) -> DataFr
     user's earliest order of the batch, by (create_time, id), gets '1' and the
     others '0' -- exactly one first order per user (the reference's comment;
     its code left two same-batch orders both '1' and skipped lone orders).
+    The batch is read twice here: pass one that is stored (a table, or a
+    persisted micro-batch), not one still to be parsed.
     """
     firsts = batch.groupBy("user_id").agg(F.min(F.struct("create_time", "id")).alias("f"))
     if state is not None:
@@ -108,26 +132,24 @@ def new_user_state(batch: DataFrame, state: DataFrame | None) -> DataFrame:
 
 # ---------------------------------------------------------------- dimensions
 
-def province_enrich(orders: DataFrame, provinces: DataFrame,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def province_enrich(orders: DataFrame, provinces: DataFrame) -> DataFrame:
     """Left lookup join of orders to the latest province by ``province_id``.
 
-    The dimension is reduced to one row per id first (no fan-out) and
-    broadcast only when its row count is proven small.
+    The dimension is reduced to one row per id first (no fan-out); adaptive
+    execution broadcasts it when its measured size is small.
     """
     dim = provinces.select(
         F.col("id").try_cast("bigint").alias("_pid"),
         F.col("name").alias("province_name"),
         F.col("area_code").alias("province_area_code"),
         F.col("iso_3166_2").alias("province_3166_2_code"))
-    dim = broadcast_if_small(dim, max_broadcast_rows)
     return (orders.join(dim, orders.province_id == dim._pid, "left").drop("_pid"))
 
 
-def dwd_order_info(orders: DataFrame, state: DataFrame | None, provinces: DataFrame,
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def dwd_order_info(orders: DataFrame, state: DataFrame | None,
+                   provinces: DataFrame) -> DataFrame:
     """The detail-layer order job for one batch: flag, then enrich."""
-    return province_enrich(first_order_flag(orders, state), provinces, max_broadcast_rows)
+    return province_enrich(first_order_flag(orders, state), provinces)
 
 
 def order_info_messages(dwd: DataFrame) -> DataFrame:

@@ -38,11 +38,11 @@ def route_app_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def route_canal(envelopes: DataFrame, value_col: str = "value",
-                with_quarantine: bool = False) -> DataFrame:
+                with_quarantine: bool = True) -> DataFrame:
     """F2 + P11: whitelisted Canal envelopes -> one message per ``data`` element.
 
-    Elements stay raw JSON text. Unparseable envelopes are dropped, or sent to
-    QUARANTINE when ``with_quarantine``.
+    Elements stay raw JSON text. Unparseable envelopes go to QUARANTINE, unless
+    ``with_quarantine`` is off.
     """
     raw = envelopes.select(F.col(value_col).alias("raw"))
     parsed = json_fields(raw, "raw", ["table", "type", "data"], keep=["raw"], prefix="e_")
@@ -58,7 +58,7 @@ def route_canal(envelopes: DataFrame, value_col: str = "value",
 
 
 def route_maxwell(envelopes: DataFrame, value_col: str = "value",
-                  with_quarantine: bool = False) -> DataFrame:
+                  with_quarantine: bool = True) -> DataFrame:
     """F3 + F4: Maxwell envelopes -> ODS topics.
 
     Order facts pass only as inserts; the dimension tables pass with any change

@@ -13,16 +13,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str],
-                   deleted_col: str | None = None) -> DataFrame:
-    """Keep, per ``keys``, the row with the greatest ``order_cols`` tuple.
+                   deleted_col: str | None = None, first: bool = False) -> DataFrame:
+    """Keep, per ``keys``, the row with the greatest (``first``: the smallest)
+    ``order_cols`` tuple.
 
-    Ties on ``order_cols`` resolve on the remaining columns, so the result is
-    deterministic. With ``deleted_col``, keys whose latest row is a delete are
-    removed.
+    Rows equal in ``order_cols`` are copies of one change; should they differ,
+    the remaining columns decide, so the result is deterministic. With
+    ``deleted_col``, keys whose latest row is a delete are removed.
     """
     rest = [c for c in df.columns if c not in keys and c not in order_cols]
     packed = F.struct(*[F.col(c) for c in order_cols + rest])
-    agg = df.groupBy(*keys).agg(F.max(packed).alias("_latest"))
+    agg = df.groupBy(*keys).agg((F.min if first else F.max)(packed).alias("_latest"))
     out = agg.select(*[F.col(k) for k in keys],
                      *[F.col("_latest").getField(c).alias(c) for c in order_cols + rest])
     if deleted_col:
@@ -80,54 +81,105 @@ def read_latest(spark: SparkSession, path: str, keys: list[str], order_cols: lis
     return latest_per_key(read_versions(spark, path, schema, before), keys, order).drop("kind")
 
 
+def read_first(spark: SparkSession, path: str, keys: list[str],
+               order_cols: list[str] | None = None) -> DataFrame:
+    """The first row per key over the stored versions, by ``order_cols`` or
+    else by version: what came first stays, whatever is delivered again."""
+    order = order_cols or ["batch_id", "kind"]
+    return latest_per_key(read_versions(spark, path), keys, order, first=True).drop("kind")
+
+
+FOLDED = "_folded_"      # lists the folders that a fold made redundant
+
+
+def file_system(spark: SparkSession, path: str):
+    """(JVM gateway, Hadoop path, its file system)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def compact(spark: SparkSession, path: str, keys: list[str], order_cols: list[str],
             at: int, schema=None, drop_older: bool = True,
-            partition_by: list[str] | None = None, since: int | None = None) -> None:
+            partition_by: list[str] | None = None, since: int | None = None,
+            first: bool = False) -> None:
     """Fold stored versions into the base of version ``at``.
 
+    ``first`` keeps the first row per key (see ``read_first``) instead of the
+    latest.
+
     ``since=None`` folds every version before ``at`` (a full base: reads then
     start there). ``since=M`` folds only the deltas of batches ``M .. at-1``
     into a segment; older bases stay, so the cost is proportional to the
     recent batches, not to the table. Readers take the latest row per key
     over bases and deltas, which is the same result either way.
 
-    Steps: stage the folded rows in a hidden folder, write them as
-    ``batch_id=at/kind=base``, then delete what was folded. No step removes
-    data not already held elsewhere: a crash leaves redundant rows (which
-    the latest-per-key read resolves) or a complete base, and a re-run
+    Steps: delete what the fold before this one made redundant, stage the
+    folded rows in a hidden folder, write them as ``batch_id=at/kind=base``,
+    then list what they make redundant in a ``_folded_<at>`` file. So a folder
+    outlives its fold by one whole period, and a reader that listed files
+    before the fold still finds them; until then the redundant rows change no
+    result. No step removes data not held elsewhere; a re-run after a crash
     repeats the same result.
     """
     base = path.rstrip("/")
     staged = f"{base}/_compact_{int(at)}"
+    if drop_older:                           # before the files are listed
+        drop_folded(spark, base, before=at)
     versions = read_versions(spark, path, schema, before=at)
     if since is not None:
         versions = versions.where(
             (F.col("batch_id") > F.lit(int(since)))
             | ((F.col("batch_id") == F.lit(int(since))) & (F.col("kind") == F.lit(DELTA))))
-    order = ["batch_id", "kind"] + [c for c in order_cols if c not in ("batch_id", "kind")]
-    latest = latest_per_key(versions, keys, order).drop("kind")
-    latest.drop("batch_id").write.mode("overwrite").parquet(staged)
+    if first:
+        order = order_cols or ["batch_id", "kind"]
+    else:
+        order = ["batch_id", "kind"] + [c for c in order_cols if c not in ("batch_id", "kind")]
+    folded = latest_per_key(versions, keys, order, first=first).drop("kind", "batch_id")
+    folded.write.mode("overwrite").parquet(staged)
     write_version(spark.read.parquet(staged), base, at, partition_by, kind=BASE)
-    jvm = spark.sparkContext._jvm
+    jvm, root, fs = file_system(spark, base)
     Path = jvm.org.apache.hadoop.fs.Path
-    root = Path(base)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if drop_older:
-        lo = -1 if since is None else int(since)
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if not name.startswith("batch_id="):
-                continue
-            b = int(name.split("=", 1)[1])
-            if lo < b < int(at):
-                fs.delete(st.getPath(), True)
-            elif b == lo:                    # keep that batch's own base
-                fs.delete(Path(st.getPath(), f"kind={DELTA}"), True)
-                if len(fs.listStatus(st.getPath())) == 0:
-                    fs.delete(st.getPath(), True)
+    lo = -1 if since is None else int(since)
+    redundant = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if not name.startswith("batch_id="):
+            continue
+        b = int(name.split("=", 1)[1])
+        if lo < b < int(at):
+            redundant.append(name)
+        elif b == lo:                        # that batch's own base stays
+            redundant.append(f"{name}/kind={DELTA}")
+    out = fs.create(Path(f"{base}/{FOLDED}{int(at)}"), True)
+    out.write(bytearray("\n".join(redundant).encode()))
+    out.close()
     fs.delete(Path(staged), True)
 
 
+def drop_folded(spark: SparkSession, path: str, before: int) -> None:
+    """Delete the folders that folds earlier than ``before`` made redundant."""
+    base = path.rstrip("/")
+    jvm, root, fs = file_system(spark, base)
+    Path = jvm.org.apache.hadoop.fs.Path
+    if not fs.exists(root):
+        return
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if not name.startswith(FOLDED) or int(name[len(FOLDED):]) >= int(before):
+            continue
+        source = fs.open(st.getPath())
+        listed = bytes(source.readAllBytes()).decode().split("\n")
+        source.close()
+        for folder in filter(None, listed):
+            target = Path(f"{base}/{folder}")
+            fs.delete(target, True)
+            if "/" in folder and fs.exists(target.getParent()) \
+                    and len(fs.listStatus(target.getParent())) == 0:
+                fs.delete(target.getParent(), True)
+        fs.delete(st.getPath(), False)
+
+
 def compaction_plan(batch: int, every: int, full_every: int | None) -> tuple[bool, int | None]:
     """(compact now?, since) for a tiered schedule: every ``every`` batches
     fold the deltas since the previous fold; every ``full_every`` batches

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rtmart.operators.lineage import cut_lineage
-from rtmart.schemas import ORDER_WIDE_COLUMNS
+from rtmart.schemas import ORDER_WIDE_COLUMNS, ORDER_WIDE_FULL_COLUMNS
 
 __all__ = ["ORDER_WIDE_COLUMNS", "order_wide", "order_wide_windowed", "order_wide_interval",
            "sliding_window_counts", "detail_amount_split"]
@@ -22,20 +22,20 @@ WINDOW_SECONDS = 15
 SLIDE_SECONDS = 5
 
 
-def _info_side(info: DataFrame) -> DataFrame:
+def _info_side(info: DataFrame, more: tuple = ()) -> DataFrame:
     """Order fields of the wide row (``id``->order_id, create_date->dt)."""
     cols = [F.col("id").alias("order_id"), "order_status", "create_time", "user_id",
             "benefit_reduce_amount", "feight_fee", "original_total_amount",
             "final_total_amount", "if_first_order", "province_name", "province_area_code",
             F.col("create_date").alias("dt")]
-    return info.select(*cols)
+    return info.select(*cols, *more)
 
 
-def _detail_side(detail: DataFrame) -> DataFrame:
+def _detail_side(detail: DataFrame, more: tuple = ()) -> DataFrame:
     """Detail fields (``id``->order_detail_id, order_price->sku_price)."""
     return detail.select(F.col("id").alias("order_detail_id"), "order_id", "sku_id",
                          F.col("order_price").alias("sku_price"), "sku_num", "sku_name",
-                         F.col("create_time").alias("_detail_time"))
+                         F.col("create_time").alias("_detail_time"), *more)
 
 
 def order_wide(info: DataFrame, detail: DataFrame) -> DataFrame:
@@ -56,21 +56,21 @@ def order_wide_windowed(info: DataFrame, detail: DataFrame,
     window, and the repeated pairs removed by (order_id, order_detail_id).
 
     A row of batch b sits in the windows ending at b .. b + window/batch - 1
-    (those on the slide grid), so each pair is produced up to three times
-    before the dedup; the result holds the pairs at most two batches apart.
+    (those on the slide grid). A pair is kept when its two batches share such
+    a window, so nothing has to be repeated per window: messages delivered
+    again are dropped on each side, then one join on the order id.
     """
     span = window_s // batch_s
     step = max(slide_s // batch_s, 1)
+    batch_of = lambda c: F.floor(_seconds(F.col(c)) / batch_s)
 
-    def with_windows(df, time_col):
-        b = F.floor(_seconds(F.col(time_col)) / batch_s).cast("bigint")
-        w = F.explode(F.sequence(b, b + span - 1))
-        return df.withColumn("_w", w).where(F.col("_w") % step == 0)
-
-    i = with_windows(_info_side(info), "create_time")
-    d = with_windows(_detail_side(detail), "_detail_time")
-    repeated = i.join(d, ["order_id", "_w"], "inner")
-    return repeated.dropDuplicates(["order_id", "order_detail_id"]).select(*ORDER_WIDE_COLUMNS)
+    i = (_info_side(info).withColumn("_ib", batch_of("create_time"))
+         .dropDuplicates(["order_id"]))
+    d = (_detail_side(detail).withColumn("_db", batch_of("_detail_time"))
+         .dropDuplicates(["order_id", "order_detail_id"]))
+    last_shared = F.least("_ib", "_db") + span - 1
+    shared = last_shared - F.pmod(last_shared, F.lit(step)) >= F.greatest("_ib", "_db")
+    return i.join(d, "order_id", "inner").where(shared).select(*ORDER_WIDE_COLUMNS)
 
 
 def order_wide_interval(info: DataFrame, detail: DataFrame, bound_s: int = 10) -> DataFrame:
@@ -108,9 +108,11 @@ def detail_amount_split(info: DataFrame, detail: DataFrame) -> DataFrame:
     add up to its paid amount exactly. Per-order sums are aggregates joined
     back by order id -- never a whole order in one task.
     """
-    cents = lambda c: F.round(F.col(c) * 100).cast("bigint")
+    # decimals: the product of two amounts in cents outgrows 64 bits
+    cents = lambda c: F.round(F.col(c) * 100).cast("decimal(19,0)")
     lines = detail.select(F.col("id").alias("order_detail_id"), "order_id",
-                          (cents("order_price") * F.col("sku_num")).alias("w"))
+                          (cents("order_price") * F.col("sku_num").cast("decimal(19,0)"))
+                          .alias("w"))
     orders = info.select(F.col("id").alias("order_id"), cents("final_total_amount").alias("fc"))
     # four consumers below: parse and join once, narrow, in the shared folder
     base = cut_lineage(lines.join(orders, "order_id"), "amount_split")
@@ -124,5 +126,20 @@ def detail_amount_split(info: DataFrame, detail: DataFrame) -> DataFrame:
     out = shared.join(rem, "order_id").withColumn(
         "cents", F.col("share") + F.when(F.col("order_detail_id") == F.col("last_id"),
                                          F.col("rem")).otherwise(F.lit(0)))
-    return out.select("order_detail_id", "order_id", "cents",
-                      (F.col("cents") / 100.0).alias("final_detail_amount"))
+    return out.select("order_detail_id", "order_id", F.col("cents").cast("bigint").alias("cents"),
+                      (F.col("cents").cast("double") / 100.0).alias("final_detail_amount"))
+
+
+def order_wide_full(info: DataFrame, detail: DataFrame, split: DataFrame) -> DataFrame:
+    """The wide row with all its fields.
+
+    ``info``: flagged and enriched orders with user_age_group and user_gender;
+    ``detail``: details with their SKU, SPU, trademark and category;
+    ``split``: the amount split of the same orders and details.
+    """
+    i = _info_side(info, ("user_age_group", "user_gender"))
+    d = _detail_side(detail, ("spu_id", "tm_id", "category3_id", "spu_name", "tm_name",
+                              "category3_name"))
+    shares = split.select("order_id", "order_detail_id", "final_detail_amount")
+    return (i.join(d, "order_id").join(shares, ["order_id", "order_detail_id"])
+            .select(*ORDER_WIDE_FULL_COLUMNS))

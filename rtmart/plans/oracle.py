@@ -67,17 +67,16 @@ oit AS (
 
 # Order details (od) from lineitem + orders + part.
 OD = """li AS (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY
-      l_linenumber NULLS FIRST, l_partkey NULLS FIRST, l_suppkey NULLS FIRST,
-      l_extendedprice NULLS FIRST, l_quantity NULLS FIRST, l_discount NULLS FIRST,
-      l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST,
-      l_shipdate NULLS FIRST) AS rn
+  SELECT *, ('0x' || substr(md5(concat_ws('|', l_orderkey::VARCHAR, l_linenumber::VARCHAR,
+           l_partkey::VARCHAR, l_suppkey::VARCHAR,
+           CAST(round(l_extendedprice * 100) AS BIGINT)::VARCHAR,
+           CAST(trunc(l_quantity) AS BIGINT)::VARCHAR)), 1, 15))::BIGINT AS line_id
   FROM lineitem),
 od AS (
-  SELECT li.l_orderkey * 100 + li.rn AS id, li.l_orderkey AS order_id,
-         li.l_partkey AS sku_id, CAST(trunc(li.l_quantity) AS BIGINT) AS sku_num,
-         li.l_extendedprice AS order_price, p.p_name AS sku_name,
-         strftime(o.o_orderdate + to_seconds(li.l_orderkey % 86400 + 4 * li.rn),
+  SELECT li.line_id AS id, li.l_orderkey AS order_id, li.l_partkey AS sku_id,
+         li.l_extendedprice AS order_price,
+         CAST(trunc(li.l_quantity) AS BIGINT) AS sku_num, p.p_name AS sku_name,
+         strftime(o.o_orderdate + to_seconds(li.l_orderkey % 86400 + 4 * li.l_linenumber),
                   '%Y-%m-%d %H:%M:%S') AS create_time
   FROM li JOIN orders o ON li.l_orderkey = o.o_orderkey
   LEFT JOIN part p ON li.l_partkey = p.p_partkey)"""
@@ -97,9 +96,13 @@ tm AS (
   SELECT regexp_extract(p_brand, '#(\\d+)', 1) AS id, p_brand AS tm_name
   FROM (SELECT DISTINCT p_brand FROM part)),
 sku AS (
-  SELECT CAST(p.p_partkey AS VARCHAR) AS id, p.p_name AS sku_name,
+  SELECT CAST(p.p_partkey AS VARCHAR) AS id, CAST(p.p_size AS VARCHAR) AS spu_id,
+         p.p_name AS sku_name,
          regexp_extract(p.p_brand, '#(\\d+)', 1) AS tm_id, c3.id AS category3_id
   FROM part p LEFT JOIN c3 ON p.p_type = c3.name),
+spu AS (
+  SELECT CAST(p_size AS VARCHAR) AS id, 'SPU_' || CAST(p_size AS VARCHAR) AS spu_name
+  FROM (SELECT DISTINCT p_size FROM part WHERE p_size IS NOT NULL)),
 usr AS (
   SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name,
          printf('%d-%02d-15', CAST(c_custkey % 60 + 1940 AS INTEGER),
@@ -135,9 +138,9 @@ def _typed_json(alias: str, cols: list[str]) -> str:
     return f"json_object({parts})::VARCHAR"
 
 
-_OI_COLS = ["id", "province_id", "user_id", "order_status", "final_total_amount",
+_OI_COLS = ["id", "province_id", "order_status", "user_id", "final_total_amount",
             "benefit_reduce_amount", "original_total_amount", "feight_fee", "create_time"]
-_OD_COLS = ["id", "order_id", "sku_id", "sku_num", "order_price", "sku_name", "create_time"]
+_OD_COLS = ["id", "order_id", "sku_id", "order_price", "sku_num", "sku_name", "create_time"]
 _DWD_COLS = _OI_COLS + ["create_date", "create_hour", "if_first_order", "province_name",
                         "province_area_code", "province_3166_2_code"]
 
@@ -217,8 +220,11 @@ SELECT tot.dt,
        || ']' AS report
 FROM tot LEFT JOIN nm ON tot.dt = nm.dt"""),
 
-    "raw_log_archive": _w(AL, """
-SELECT strftime(ts_raw, '%Y-%m-%d') AS dt, count(*) AS n_lines FROM al GROUP BY 1"""),
+    "raw_log_archive": _w(AL_TEXT, """
+SELECT strftime(ts_raw, '%Y-%m-%d') AS dt, count(*) AS n_lines,
+       CAST(sum(length(value)) AS BIGINT) AS n_chars,
+       bit_xor(('0x' || substr(md5(value), 1, 15))::BIGINT) AS text_code
+FROM al_text GROUP BY 1"""),
 
     "cdc_route_canal": _w(OI + ",\n" + OD, f"""
 SELECT 'ODS_ORDER_INFO' AS topic, {_quoted_json('oi', _OI_COLS)} AS value
@@ -241,7 +247,9 @@ SELECT 'ODS_USER_INFO', json_object('id', id, 'name', name, 'birthday', birthday
        'gender', gender)::VARCHAR
 FROM usr WHERE CAST(id AS BIGINT) % 100 <> 0
 UNION ALL
-SELECT 'ODS_SKU_INFO', json_object('id', id, 'sku_name', sku_name, 'tm_id', tm_id,
+SELECT 'ODS_SPU_INFO', json_object('id', id, 'spu_name', spu_name)::VARCHAR FROM spu
+UNION ALL
+SELECT 'ODS_SKU_INFO', json_object('id', id, 'spu_id', spu_id, 'sku_name', sku_name, 'tm_id', tm_id,
        'category3_id', category3_id)::VARCHAR FROM sku
 UNION ALL
 SELECT 'ODS_BASE_TRADEMARK', json_object('id', id, 'tm_name', tm_name)::VARCHAR FROM tm
@@ -321,13 +329,14 @@ SELECT order_detail_id, order_id, CAST(cents AS BIGINT) AS cents,
 
     "detail_dims": _w(OD + ",\n" + DIMS, """
 SELECT od.id AS order_detail_id, od.sku_id,
-       CASE WHEN sku.id IS NULL THEN NULL ELSE CAST(0 AS BIGINT) END AS spu_id,
+       CAST(sku.spu_id AS BIGINT) AS spu_id,
        CAST(sku.tm_id AS BIGINT) AS tm_id, CAST(sku.category3_id AS BIGINT) AS category3_id,
-       CAST(NULL AS VARCHAR) AS spu_name, tm.tm_name, c3.name AS category3_name
+       spu.spu_name, tm.tm_name, c3.name AS category3_name
 FROM od
 LEFT JOIN sku ON od.sku_id = CAST(sku.id AS BIGINT)
 LEFT JOIN tm ON CAST(sku.tm_id AS BIGINT) = CAST(tm.id AS BIGINT)
-LEFT JOIN c3 ON CAST(sku.category3_id AS BIGINT) = CAST(c3.id AS BIGINT)"""),
+LEFT JOIN c3 ON CAST(sku.category3_id AS BIGINT) = CAST(c3.id AS BIGINT)
+LEFT JOIN spu ON CAST(sku.spu_id AS BIGINT) = CAST(spu.id AS BIGINT)"""),
 
     "order_user_dim": _w(OI + ",\n" + DIMS, """
 SELECT oit.id, oit.user_id, oit.create_date,
@@ -374,5 +383,31 @@ _SQL["stream_replay"] = _SQL["first_order_flag"]
 _SQL["stream_order_wide"] = _SQL["order_wide_interval"]
 
 
+_SQL["stream_dau_late"] = _SQL["dau_first_touch"]
+_SQL["stream_redelivery"] = _SQL["first_order_flag"]
+_SQL["stream_order_wide_late"] = _SQL["order_wide_interval"]
+_SQL["stream_order_pipeline"] = _SQL["order_wide_interval"]
+_SQL["dim_province_same_batch"] = _SQL["dim_province_latest"]
+
+_SQL["order_info_quarantine"] = _w(OI, """
+SELECT CASE WHEN id % 50 < 3 THEN 'QUARANTINE' ELSE 'DWD_ORDER_INFO' END AS topic,
+       CASE id % 50
+         WHEN 0 THEN 'garbage ' || id
+         WHEN 1 THEN '{"id":"' || id || '","user_id":"' || user_id
+                     || '","final_total_amount":"much"}'
+         WHEN 2 THEN '{"id":"' || id || '","user_id":"' || user_id
+                     || '","create_time":"2020-01-01"}'
+         ELSE CAST(id AS VARCHAR) END AS value
+FROM oi""")
+
+_SQL["order_wide_full"] = f"""
+SELECT w.*, s.final_detail_amount, u.user_age_group, u.user_gender, d.spu_id, d.tm_id,
+       d.category3_id, d.spu_name, d.tm_name, d.category3_name
+FROM ({_SQL["order_wide"]}) w
+JOIN ({_SQL["detail_amount_split"]}) s ON s.order_detail_id = w.order_detail_id
+JOIN ({_SQL["detail_dims"]}) d ON d.order_detail_id = w.order_detail_id
+JOIN ({_SQL["order_user_dim"]}) u ON u.id = w.order_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)

@@ -14,6 +14,7 @@ from rtmart.operators import orders as O
 from rtmart.operators import routing as R
 from rtmart.operators import search as SE
 from rtmart.operators import wide as W
+from rtmart.operators.lineage import cut_lineage
 from rtmart.operators.upsert import latest_per_key, read_latest, write_version
 from rtmart.session import shared_path
 from rtmart.sinks.files import archive_log_lines
@@ -88,8 +89,10 @@ def q_raw_log_archive(spark, sf):
     path = shared_path(spark, "raw_log_archive")
     archive_log_lines(app_log_raw(spark, sf), path, mode="overwrite")
     back = spark.read.text(path)   # partition column dt comes from the folders
+    code = F.conv(F.substring(F.md5("value"), 1, 15), 16, 10).cast("bigint")
     return back.groupBy(F.col("dt").cast("string").alias("dt")).agg(
-        F.count(F.lit(1)).alias("n_lines"))
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("value")).alias("n_chars"),
+        F.bit_xor(code).alias("text_code"))
 
 
 # ---------------------------------------------------------------- change data / orders
@@ -122,7 +125,8 @@ def state_and_batch(spark, sf):
 
 def dwd_orders(spark, sf):
     """All orders as one batch against an empty state: flagged and enriched."""
-    return O.dwd_order_info(orders_typed(spark, sf), None, provinces(spark, sf))
+    orders = cut_lineage(orders_typed(spark, sf), "dwd_orders")
+    return O.dwd_order_info(orders, None, provinces(spark, sf))
 
 
 def q_cdc_route_canal(spark, sf):
@@ -157,12 +161,13 @@ def q_user_state_lookup(spark, sf):
 
 def q_first_order_flag(spark, sf):
     state, batch = state_and_batch(spark, sf)
+    batch = cut_lineage(batch, "first_order")
     return O.first_order_flag(batch, state).select("id", "user_id", "create_time",
                                                    "if_first_order")
 
 
 def q_first_order_flag_empty_state(spark, sf):
-    return O.first_order_flag(orders_typed(spark, sf)).select(
+    return O.first_order_flag(cut_lineage(orders_typed(spark, sf), "first_order")).select(
         "id", "user_id", "create_time", "if_first_order")
 
 
@@ -208,29 +213,59 @@ def q_detail_amount_split(spark, sf):
     return W.detail_amount_split(orders_typed(spark, sf), details_typed(spark, sf))
 
 
-def _dim_msgs(rows):
-    return rows.select(to_json_row(*[F.col(c) for c in rows.columns]).alias("value"))
+def _dim_msgs(rows, names=()):
+    """Dimension change messages, every row changed twice; ``names`` are the
+    fields in which the earlier change differs."""
+    changes = FX.resent(rows, list(names))
+    return changes.select(to_json_row(*[F.col(c) for c in rows.columns]).alias("value"), "seq")
 
 
-def q_detail_dims(spark, sf):
-    """Details with SKU, trademark and category dimensions (ODS JSON ->
-    latest per id -> lookups)."""
+def sku_dims(spark, sf):
+    """(SKU, trademark, category, SPU) dimensions from their change messages."""
     part = _t(spark, sf, "part")
-    sku = DM.dim_latest(_dim_msgs(FX.sku_rows(part)), DM.SKU_FIELDS)
-    tm = DM.dim_latest(_dim_msgs(FX.trademark_rows(part)), DM.TRADEMARK_FIELDS)
-    c3 = DM.dim_latest(_dim_msgs(FX.category3_rows(part)), DM.CATEGORY3_FIELDS)
-    out = DM.detail_dims(details_typed(spark, sf), sku, tm, c3)
+    return (DM.dim_latest(_dim_msgs(FX.sku_rows(part), ["sku_name"]), DM.SKU_FIELDS, ["seq"]),
+            DM.dim_latest(_dim_msgs(FX.trademark_rows(part), ["tm_name"]), DM.TRADEMARK_FIELDS,
+                          ["seq"]),
+            DM.dim_latest(_dim_msgs(FX.category3_rows(part), ["name"]), DM.CATEGORY3_FIELDS,
+                          ["seq"]),
+            DM.dim_latest(_dim_msgs(FX.spu_rows(part), ["spu_name"]), DM.SPU_FIELDS, ["seq"]))
+
+
+def user_dim(spark, sf):
+    return DM.dim_latest(_dim_msgs(FX.user_rows(_t(spark, sf, "customer")), ["gender"]),
+                         DM.USER_FIELDS, ["seq"])
+
+
+def q_detail_dims(spark, sf):
+    """Details with SKU, SPU, trademark and category dimensions (ODS JSON
+    -> last change per id -> lookups)."""
+    out = DM.detail_dims(details_typed(spark, sf), *sku_dims(spark, sf))
     return out.select(F.col("id").alias("order_detail_id"), "sku_id", "spu_id", "tm_id",
                       "category3_id", "spu_name", "tm_name", "category3_name")
 
 
 def q_order_user_dim(spark, sf):
     """Orders with the user's age group and gender."""
-    users = DM.dim_latest(_dim_msgs(FX.user_rows(_t(spark, sf, "customer"))), DM.USER_FIELDS)
-    out = DM.order_user_dim(orders_typed(spark, sf), users)
+    out = DM.order_user_dim(orders_typed(spark, sf), user_dim(spark, sf))
     return out.select("id", "user_id", "create_date", "user_age_group", "user_gender")
 
 
+def q_order_wide_full(spark, sf):
+    """The wide row with its amount share and every dimension."""
+    info = cut_lineage(DM.order_user_dim(dwd_orders(spark, sf), user_dim(spark, sf)), "wide_info")
+    details = cut_lineage(DM.detail_dims(details_typed(spark, sf), *sku_dims(spark, sf)),
+                          "wide_detail")
+    return W.order_wide_full(info, details, W.detail_amount_split(info, details))
+
+
+def q_order_info_quarantine(spark, sf):
+    """Usable orders by id, the other texts as they came."""
+    dirty = FX.order_info_text_dirty(oi_rows(spark, sf))
+    good = O.order_info_typed(dirty).select(F.lit(O.DWD_ORDER_INFO_TOPIC).alias("topic"),
+                                            F.col("id").cast("string").alias("value"))
+    return good.unionByName(O.order_info_quarantine(dirty))
+
+
 # ---------------------------------------------------------------- lookup / upsert
 
 def q_match_top20(spark, sf):
@@ -270,19 +305,19 @@ FILES_PER_SLICE = 4     # files per slice = files read per micro-batch
 def _stage_app_logs(spark, sf, path, only=None):
     cols = FX.app_log_columns(_t(spark, sf, "events"))
     msgs = cols.select(to_json_row("common", "start", "ts", "event_id").alias("value"),
-                       F.col("ts").alias("_ts"), F.col("common.mid").alias("_mid"))
-    return stage_time_slices(msgs, "_ts", "_mid", path, N_SLICES, FILES_PER_SLICE,
+                       F.col("ts").alias("_ts"))
+    return stage_time_slices(msgs, "_ts", path, N_SLICES, FILES_PER_SLICE,
                              keep=["value"], only=only)
 
 
-def _stream_of(spark, msgs, base, time_col=None, key_col=None, n_slices=N_SLICES):
+def _stream_of(spark, msgs, base, time_col=None, n_slices=N_SLICES, more=()):
     """Stage ``value`` messages into time slices (any order when no time
-    column: the job is stateless) and open them as a file stream."""
-    arbitrary = F.xxhash64("value")
-    msgs = msgs.withColumn("_t", F.col(time_col) if time_col else arbitrary % 1000) \
-               .withColumn("_k", F.col(key_col) if key_col else arbitrary)
-    stage_time_slices(msgs, "_t", "_k", f"{base}/in", n_slices, FILES_PER_SLICE, keep=["value"])
-    return file_stream(spark, f"{base}/in", "value string", FILES_PER_SLICE)
+    column: the job is stateless) and open them as a file stream; ``more``
+    are long columns that come along."""
+    msgs = msgs.withColumn("_t", F.col(time_col) if time_col else F.xxhash64("value") % 1000)
+    stage_time_slices(msgs, "_t", f"{base}/in", n_slices, FILES_PER_SLICE, keep=["value", *more])
+    schema = ", ".join(["value string", *[f"{c} long" for c in more]])
+    return file_stream(spark, f"{base}/in", schema, FILES_PER_SLICE)
 
 
 def _run_topics(spark, routed, base):
@@ -314,16 +349,30 @@ def q_stream_cdc_route_maxwell(spark, sf):
     return _run_topics(spark, R.route_maxwell(_stream_of(spark, env, base)), base)
 
 
-def q_stream_dim_province(spark, sf):
-    """K3 as a stream: province change rows, version by version, upserted."""
-    base = shared_path(spark, "stream_dim_province")
-    versions = FX.province_versions(_t(spark, sf, "nation"))
-    stream = _stream_of(spark, versions, base, time_col="batch_id", key_col="seq", n_slices=2)
+def _province_changes(spark, sf):
+    """Province change rows numbered in the order they were made."""
+    v = FX.province_versions(_t(spark, sf, "nation"))
+    return v.withColumn("seq", F.col("batch_id") * 1_000_000 + F.col("seq"))
+
+
+def _province_table(spark, sf, base, n_slices):
+    stream = _stream_of(spark, _province_changes(spark, sf), base, time_col="batch_id",
+                        n_slices=n_slices, more=["seq"])
     J.start_dim_province(stream, f"{base}/table", f"{base}/ckpt",
                          available_now=True).awaitTermination()
     return J.read_provinces(spark, f"{base}/table")
 
 
+def q_stream_dim_province(spark, sf):
+    """K3 as a stream: province change rows, version by version, upserted."""
+    return _province_table(spark, sf, shared_path(spark, "stream_dim_province"), 2)
+
+
+def q_dim_province_same_batch(spark, sf):
+    """K3: both changes of a province in one micro-batch; the last one wins."""
+    return _province_table(spark, sf, shared_path(spark, "dim_province_same_batch"), 1)
+
+
 def q_dwd_order_detail_messages(spark, sf):
     return O.order_detail_messages(details_typed(spark, sf))
 
@@ -360,15 +409,23 @@ def q_stream_restart(spark, sf):
     return J.read_dau_table(spark, f"{base}/table")
 
 
-def _stage_order_batch(spark, sf, base):
+def _order_time():
+    return F.unix_timestamp(F.to_timestamp(F.get_json_object("value", "$.create_time"),
+                                           "yyyy-MM-dd HH:mm:ss"))
+
+
+def _stage_order_batch(spark, sf, base, again=False):
     """Seed user state (version 0) from orders before the cutoff; stage the
-    later orders as ODS messages in create-time slices keyed by user."""
+    later orders as ODS messages in create-time slices, and with ``again`` all
+    of them once more after that."""
     before, batch = FX.split_orders_by_state_cutoff(oi_rows(spark, sf))
     write_version(O.user_state_from_orders(before), f"{base}/state", 0)
-    msgs = FX.order_info_text(batch).withColumn("_t", F.unix_timestamp(
-        F.to_timestamp(F.get_json_object("value", "$.create_time"), "yyyy-MM-dd HH:mm:ss"))) \
-        .withColumn("_u", F.get_json_object("value", "$.user_id"))
-    stage_time_slices(msgs, "_t", "_u", f"{base}/in", N_SLICES, FILES_PER_SLICE, keep=["value"])
+    msgs = FX.order_info_text(batch).withColumn("_t", _order_time())
+    if again:
+        a_century = 100 * 366 * 86400
+        msgs = msgs.unionByName(msgs.withColumn("_t", F.col("_t") + a_century))
+    stage_time_slices(msgs, "_t", f"{base}/in", N_SLICES * (1 + again), FILES_PER_SLICE,
+                      keep=["value"])
     return file_stream(spark, f"{base}/in", "value string", FILES_PER_SLICE)
 
 
@@ -401,20 +458,42 @@ def q_stream_replay(spark, sf):
         "id", "user_id", "create_time", "if_first_order")
 
 
-def q_stream_order_wide(spark, sf):
-    """J1/J5 + D2 as a stream-stream join of the detail-layer messages, with
-    every detail message delivered twice; equals ``order_wide_interval``."""
-    base = shared_path(spark, "stream_order_wide")
+def q_stream_redelivery(spark, sf):
+    """Every order is delivered again in a later micro-batch; the flags
+    first written stay."""
+    base = shared_path(spark, "stream_redelivery")
+    stream = _stage_order_batch(spark, sf, base, again=True)
+    J.start_first_order(stream, spark, f"{base}/state", f"{base}/out", f"{base}/ckpt",
+                        lambda: provinces(spark, sf), available_now=True).awaitTermination()
+    return J.read_flagged_orders(spark, f"{base}/out").select(
+        "id", "user_id", "create_time", "if_first_order")
+
+
+def q_stream_dau_late(spark, sf):
+    """Every seventh log line arrives after all others, up to the whole
+    period late; none is lost."""
+    base = shared_path(spark, "stream_dau_late")
+    cols = FX.app_log_columns(_t(spark, sf, "events"))
+    ten_years = 10 * 366 * 86_400_000
+    msgs = cols.select(
+        to_json_row("common", "start", "ts", "event_id").alias("value"),
+        (F.col("ts") + F.when(F.col("event_id") % 7 == 0, ten_years).otherwise(0)).alias("_t"))
+    raw = _stream_of(spark, msgs, base, time_col="_t")
+    J.start_dau(raw, f"{base}/table", f"{base}/ckpt", available_now=True).awaitTermination()
+    return J.read_dau_table(spark, f"{base}/table")
+
+
+def _wide_inputs(spark, sf):
+    """(order messages, detail messages) with their event times ``_t``."""
     info = O.order_info_messages(dwd_orders(spark, sf)).select("value")
     det = O.order_detail_messages(details_typed(spark, sf)).select("value")
-    det = det.unionByName(det)      # redelivered messages, removed by the dedup
-    t = lambda: F.unix_timestamp(F.to_timestamp(
-        F.get_json_object("value", "$.create_time"), "yyyy-MM-dd HH:mm:ss"))
-    info = info.withColumn("_t", t()).withColumn("_k", F.get_json_object("value", "$.id"))
-    det = det.withColumn("_t", t()).withColumn("_k", F.get_json_object("value", "$.order_id"))
-    bounds = stage_time_slices(info, "_t", "_k", f"{base}/info", N_SLICES, FILES_PER_SLICE,
+    return info.withColumn("_t", _order_time()), det.withColumn("_t", _order_time())
+
+
+def _run_wide(spark, info, det, base):
+    bounds = stage_time_slices(info, "_t", f"{base}/info", N_SLICES, FILES_PER_SLICE,
                                keep=["value"])
-    stage_time_slices(det, "_t", "_k", f"{base}/detail", N_SLICES, FILES_PER_SLICE,
+    stage_time_slices(det, "_t", f"{base}/detail", N_SLICES, FILES_PER_SLICE,
                       bounds=bounds, keep=["value"])
     i = file_stream(spark, f"{base}/info", "value string", FILES_PER_SLICE)
     d = file_stream(spark, f"{base}/detail", "value string", FILES_PER_SLICE)
@@ -423,6 +502,49 @@ def q_stream_order_wide(spark, sf):
     return spark.read.parquet(f"{base}/wide").select(*W.ORDER_WIDE_COLUMNS)
 
 
+def q_stream_order_wide(spark, sf):
+    """J1/J5 + D2 as a stream-stream join of the detail-layer messages, with
+    every detail message delivered twice; equals ``order_wide_interval``."""
+    info, det = _wide_inputs(spark, sf)
+    return _run_wide(spark, info, det.unionByName(det), shared_path(spark, "stream_order_wide"))
+
+
+def q_stream_order_wide_late(spark, sf):
+    """The same with every fifth detail arriving after all others, later than
+    the watermark; the batch pass over the messages makes up for them."""
+    base = shared_path(spark, "stream_order_wide_late")
+    info, det = _wide_inputs(spark, sf)
+    last = det.agg(F.max("_t")).first()[0] or 0
+    late = F.xxhash64("value") % 5 == 0
+    wide = _run_wide(spark, info, det.withColumn("_t", F.when(late, last).otherwise(F.col("_t"))),
+                     base)
+    owed = J.missing_wide(spark.read.parquet(f"{base}/info"), spark.read.parquet(f"{base}/detail"),
+                          wide)
+    return wide.unionByName(owed)
+
+
+def q_stream_order_pipeline(spark, sf):
+    """The order job feeding the wide job: ODS orders -> flagged and enriched
+    DWD_ORDER_INFO messages keyed by user -> joined with the detail messages."""
+    base = shared_path(spark, "stream_order_pipeline")
+    orders = FX.order_info_text(oi_rows(spark, sf)).withColumn("_t", _order_time())
+    bounds = stage_time_slices(orders, "_t", f"{base}/in", N_SLICES, FILES_PER_SLICE,
+                               keep=["value"])
+    J.start_first_order(file_stream(spark, f"{base}/in", "value string", FILES_PER_SLICE), spark,
+                        f"{base}/state", f"{base}/out", f"{base}/ckpt_orders",
+                        lambda: provinces(spark, sf), available_now=True,
+                        topic_path=f"{base}/dwd").awaitTermination()
+    det = O.order_detail_messages(details_typed(spark, sf)).withColumn("_t", _order_time())
+    stage_time_slices(det, "_t", f"{base}/detail", N_SLICES, FILES_PER_SLICE, bounds=bounds,
+                      keep=["value"])
+    info = file_stream(spark, f"{base}/dwd", "topic string, key string, value string",
+                       J.TOPIC_PARTITIONS)
+    J.start_wide(info.select("value"),
+                 file_stream(spark, f"{base}/detail", "value string", FILES_PER_SLICE),
+                 f"{base}/wide", f"{base}/ckpt_wide", available_now=True).awaitTermination()
+    return spark.read.parquet(f"{base}/wide").select(*W.ORDER_WIDE_COLUMNS)
+
+
 _REGISTRY: dict[str, Query] = {
     "parse_app_log": q_parse_app_log,
     "route_app_log": q_route_app_log,
@@ -467,6 +589,13 @@ _REGISTRY: dict[str, Query] = {
     "stream_first_order": q_stream_first_order,
     "stream_replay": q_stream_replay,
     "stream_order_wide": q_stream_order_wide,
+    "stream_dau_late": q_stream_dau_late,
+    "dim_province_same_batch": q_dim_province_same_batch,
+    "order_info_quarantine": q_order_info_quarantine,
+    "stream_redelivery": q_stream_redelivery,
+    "stream_order_wide_late": q_stream_order_wide_late,
+    "stream_order_pipeline": q_stream_order_pipeline,
+    "order_wide_full": q_order_wide_full,
 }
 
 

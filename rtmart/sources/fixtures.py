@@ -11,12 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rtmart.functions import epoch_millis, timestamp_to_text, to_json_row
-from rtmart.operators.numbering import row_number_within
 
 # Fixed values of the adapters.
 START_TOPIC_EVENT_TYPE = "signup"       # events of this type carry a `start` object
 STATE_CUTOFF = "1996-01-01"             # orders before: prior user state; from it on: the batch
-CANAL_MAX_ROWS_PER_ENVELOPE = 16        # one change envelope carries at most this many rows
 DB_NAME = "shop"
 
 
@@ -61,8 +59,8 @@ def order_info_rows(orders: DataFrame, customer: DataFrame) -> DataFrame:
     return j.select(
         F.col("o_orderkey").alias("id"),
         F.col("c_nationkey").cast("bigint").alias("province_id"),
-        F.col("o_custkey").alias("user_id"),
         F.col("o_orderstatus").alias("order_status"),
+        F.col("o_custkey").alias("user_id"),
         final.alias("final_total_amount"),
         benefit.alias("benefit_reduce_amount"),
         F.round(final + benefit - freight, 2).alias("original_total_amount"),
@@ -73,39 +71,43 @@ def order_info_rows(orders: DataFrame, customer: DataFrame) -> DataFrame:
     )
 
 
-DETAIL_COLUMNS = ["id", "order_id", "sku_id", "sku_num", "order_price", "sku_name",
+DETAIL_COLUMNS = ["id", "order_id", "sku_id", "order_price", "sku_num", "sku_name",
                   "create_time"]
 
 
+def _line_id() -> F.Column:
+    values = F.concat_ws(
+        "|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.round(F.col("l_extendedprice") * 100).cast("bigint"),
+        F.col("l_quantity").cast("bigint"))
+    return F.conv(F.substring(F.md5(values), 1, 15), 16, 10).cast("bigint")
+
+
 def order_detail_rows(lineitem: DataFrame, orders: DataFrame, part: DataFrame,
                       with_order_status: bool = False) -> DataFrame:
     """lineitem + orders + part -> typed order-detail records (``od``).
 
-    ``(l_orderkey, l_linenumber)`` is not unique in the test data, so the
-    detail id numbers the lines of an order in a fixed order -- without
-    putting a whole order into one task (``row_number_within``). With
-    ``with_order_status`` the order's status rides along (the change-data
-    adapters need it; the orders join is already there).
+    ``(l_orderkey, l_linenumber)`` is not unique in the test data; the line's
+    own values are, so the detail id is the first 60 bits of their MD5. No
+    line has to know of another one. With ``with_order_status`` the order's
+    status rides along (the change-data adapters need it; the orders join is
+    already there).
     """
-    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                         "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-                         "l_returnflag", "l_linestatus", "l_shipdate")
-    li = row_number_within(li, "l_orderkey", [
-        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
-        keep=["l_partkey", "l_quantity", "l_extendedprice"])
+    li = lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice",
+                         "l_linenumber", _line_id().alias("line_id"))
     o = orders.select("o_orderkey", "o_orderdate", "o_orderstatus")
     p = part.select("p_partkey", "p_name")
     j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
            .join(p, li.l_partkey == p.p_partkey, "left"))
     return j.select(
-        (F.col("l_orderkey") * 100 + F.col("rn")).alias("id"),
+        F.col("line_id").alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"),
-        F.col("l_quantity").cast("bigint").alias("sku_num"),
         F.col("l_extendedprice").alias("order_price"),
+        F.col("l_quantity").cast("bigint").alias("sku_num"),
         F.col("p_name").alias("sku_name"),
-        timestamp_to_text("o_orderdate", F.col("o_orderkey") % 86400 + 4 * F.col("rn"))
+        timestamp_to_text("o_orderdate", F.col("o_orderkey") % 86400
+                          + 4 * F.col("l_linenumber"))
         .alias("create_time"),
         *([F.col("o_orderstatus").alias("order_status")] if with_order_status else []),
     )
@@ -121,6 +123,22 @@ def order_info_text(oi: DataFrame) -> DataFrame:
     return oi.select(to_json_row(*_quoted(oi)).alias("value"))
 
 
+def order_info_text_dirty(oi: DataFrame) -> DataFrame:
+    """ODS_ORDER_INFO messages, some of them unusable: by the order's id, one
+    in 50 each is no JSON, has a number that is none, or a time without a
+    clock part."""
+    id_ = F.col("id").cast("string")
+    user = F.col("user_id").cast("string")
+    kind = F.col("id") % 50
+    return oi.select(
+        F.when(kind == 0, F.concat(F.lit("garbage "), id_))
+        .when(kind == 1, F.concat(F.lit('{"id":"'), id_, F.lit('","user_id":"'), user,
+                                  F.lit('","final_total_amount":"much"}')))
+        .when(kind == 2, F.concat(F.lit('{"id":"'), id_, F.lit('","user_id":"'), user,
+                                  F.lit('","create_time":"2020-01-01"}')))
+        .otherwise(to_json_row(*_quoted(oi))).alias("value"))
+
+
 def order_detail_text(od: DataFrame) -> DataFrame:
     """ODS_ORDER_DETAIL messages: one JSON object per line, values quoted."""
     return od.select(to_json_row(*_quoted(od)).alias("value"))
@@ -164,7 +182,7 @@ def split_orders_by_state_cutoff(oi: DataFrame, cutoff: str = STATE_CUTOFF):
 
 # ---------------------------------------------------------------- dimensions from part / customer
 
-SKU_COLUMNS = ["id", "sku_name", "tm_id", "category3_id"]
+SKU_COLUMNS = ["id", "spu_id", "sku_name", "tm_id", "category3_id"]
 USER_COLUMNS = ["id", "name", "birthday", "gender"]
 
 
@@ -173,14 +191,30 @@ def _brand_id(col) -> F.Column:
 
 
 def sku_rows(part: DataFrame) -> DataFrame:
-    """SKU dimension rows: id, name, trademark id (the brand number) and
-    category id (derived from the type name)."""
+    """SKU dimension rows: id, product id (the part's size), name, trademark id
+    (the brand number) and category id (derived from the type name)."""
     return part.select(F.col("p_partkey").cast("string").alias("id"),
+                       F.col("p_size").cast("string").alias("spu_id"),
                        F.col("p_name").alias("sku_name"),
                        _brand_id(F.col("p_brand")).alias("tm_id"),
                        _name_id(F.col("p_type")).alias("category3_id"))
 
 
+def spu_rows(part: DataFrame) -> DataFrame:
+    """Product rows, one per part size."""
+    size = F.col("p_size").cast("string")
+    return (part.where("p_size IS NOT NULL").select("p_size").distinct()
+                .select(size.alias("id"), F.concat(F.lit("SPU_"), size).alias("spu_name")))
+
+
+def resent(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Each row as two changes (``seq`` 1 and 2): the earlier one holds values
+    that sort after the real ones, the later one the real ones."""
+    stale = rows.select(*[(F.concat(F.lit("~"), F.col(c)) if c in names else F.col(c)).alias(c)
+                          for c in rows.columns], F.lit(1).cast("bigint").alias("seq"))
+    return rows.withColumn("seq", F.lit(2).cast("bigint")).unionByName(stale)
+
+
 def trademark_rows(part: DataFrame) -> DataFrame:
     return (part.select("p_brand").distinct()
                 .select(_brand_id(F.col("p_brand")).alias("id"), F.col("p_brand").alias("tm_name")))
@@ -222,12 +256,14 @@ def _change_type(status_col, insert_word, update_word):
     return F.when(status_col == "P", F.lit(update_word)).otherwise(F.lit(insert_word))
 
 
-def canal_envelopes(oi: DataFrame, od: DataFrame, customer: DataFrame) -> DataFrame:
+def canal_envelopes(oi: DataFrame, od: DataFrame, customer: DataFrame,
+                    envelopes_per_order: int = 1) -> DataFrame:
     """Canal-style envelopes, column ``value``.
 
-    Orders: one envelope each; details: one per order (at most
-    CANAL_MAX_ROWS_PER_ENVELOPE rows each); type INSERT unless the order status
-    is P (then UPDATE). Customers: user_info INSERTs (not routed downstream).
+    Orders: one envelope each; details: one per order, or the lines dealt by
+    their id to ``envelopes_per_order`` envelopes where orders are too large
+    for one message; type INSERT unless the order status is P (then UPDATE).
+    Customers: user_info INSERTs (not routed downstream).
     """
     def envelope(table, data_arr, typ, ts):
         return to_json_row(
@@ -246,8 +282,7 @@ def canal_envelopes(oi: DataFrame, od: DataFrame, customer: DataFrame) -> DataFr
 
     d = _with_status(od, oi).select(
         "order_id", "order_status", "create_time",
-        F.floor((F.col("id") - F.col("order_id") * 100 - 1) / CANAL_MAX_ROWS_PER_ENVELOPE)
-        .alias("chunk"),
+        F.pmod(F.col("id"), F.lit(envelopes_per_order)).alias("chunk"),
         F.struct(*[F.col(c).cast("string").alias(c) for c in DETAIL_COLUMNS]).alias("row"))
     detail_env = (d.groupBy("order_id", "chunk")
                    .agg(F.collect_list("row").alias("rows"),
@@ -296,6 +331,7 @@ def maxwell_envelopes(oi: DataFrame, od: DataFrame, nation: DataFrame, customer:
     sku_env = sku_rows(part).select(envelope("sku_info", obj(*SKU_COLUMNS), F.lit("insert")))
     tm_env = trademark_rows(part).select(envelope("base_trademark", obj("id", "tm_name"),
                                                   F.lit("insert")))
+    spu_env = spu_rows(part).select(envelope("spu_info", obj("id", "spu_name"), F.lit("insert")))
     cat_env = category3_rows(part).select(envelope("base_category3", obj("id", "name"),
                                                    F.lit("insert")))
     region_env = region.select(envelope(
@@ -303,6 +339,6 @@ def maxwell_envelopes(oi: DataFrame, od: DataFrame, nation: DataFrame, customer:
                            F.col("r_name").alias("region_name")),
         F.lit("insert")))
     out = orders_env
-    for e in (detail_env, prov_env, user_env, sku_env, tm_env, cat_env, region_env):
+    for e in (detail_env, prov_env, user_env, sku_env, tm_env, spu_env, cat_env, region_env):
         out = out.unionByName(e)
     return out

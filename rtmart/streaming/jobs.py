@@ -2,10 +2,10 @@
 
 - log and change-data routing -> ``start_topic_stream`` (F1-F4, K1/K2)
 - province dimension          -> ``start_dim_province`` (K3)
-- daily active devices        -> ``dau_stream`` / ``start_dau`` (D1)
+- daily active devices        -> ``start_dau`` (D1)
 - order job                   -> ``first_order_batch_fn`` / ``start_first_order`` (D3-D5, J2)
 - detail job                  -> ``start_topic_stream`` over typed details (K1, K7)
-- wide order                  -> ``wide_stream`` / ``start_wide`` (J1/J5, D2)
+- wide order                  -> ``wide_stream`` / ``start_wide``, ``missing_wide`` (J1/J5, D2)
 
 Every job takes a streaming DataFrame (Kafka in production, files in tests),
 uses the batch operators, and writes through a sink whose commit follows the
@@ -18,11 +18,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rtmart.functions import millis_to_hour, millis_to_minute, parse_typed
+from rtmart.functions import parse_typed
 from rtmart.operators import dau as D
 from rtmart.operators import orders as O
-from rtmart.operators.upsert import (compact, compaction_plan, latest_per_key, read_latest,
-                                     read_versions, write_version)
+from rtmart.operators import wide as W
+from rtmart.operators.joins import broadcast_if_small
+from rtmart.operators.upsert import (compact, compaction_plan, latest_per_key, read_first,
+                                     read_latest, read_versions, write_version)
 from rtmart.schemas import (DAU_INFO, DWD_ORDER_INFO_FIELDS, ORDER_DETAIL_FIELDS,
                             ORDER_WIDE_COLUMNS)
 from rtmart.sources.streams import kafka_sink_options
@@ -89,84 +91,97 @@ def read_topics(spark: SparkSession, sink_path: str) -> DataFrame:
     return df.select(*cols)
 
 
+# Columns that tell which of two changes of a key came last.
+CHANGE_ORDER = ("partition", "offset", "seq")
+
+
+def _change_order(df: DataFrame) -> list[str]:
+    order = [c for c in CHANGE_ORDER if c in df.columns]
+    if not order:
+        raise ValueError("a change stream needs its topic's partition and offset, or a seq "
+                         "column: the last change of a key cannot be told otherwise")
+    return order
+
+
+def _quarantine(rows: DataFrame, path: str | None, version: int) -> None:
+    """Unusable texts of a batch, as their own version."""
+    if path is not None and not rows.isEmpty():
+        write_version(rows, path, version)
+
+
 def start_dim_province(ods_province: DataFrame, table_path: str, checkpoint: str,
-                       available_now: bool = False):
-    """Province dimension job: each batch's change rows are written as one
-    version; readers take the latest row per id (K3)."""
+                       available_now: bool = False, quarantine_path: str | None = None):
+    """Province dimension job: each batch's last change per id is written as
+    one version; readers take the last change over all versions (K3).
+
+    The input carries the topic's ``partition`` and ``offset`` (changes of an
+    id share a partition), or a ``seq``.
+    """
+    order = _change_order(ods_province)
+
     def upsert(batch: DataFrame, batch_id: int):
         if batch.isEmpty():                 # nothing to upsert (K4: no-op when empty)
             return
-        rows = O.province_typed(batch.select("value")).withColumn("seq", F.lit(0).cast("bigint"))
-        write_version(rows, table_path, batch_id)
+        rows = O.province_typed(batch.select("value", *order))
+        write_version(latest_per_key(rows, ["id"], order), table_path, batch_id)
+        _quarantine(O.province_quarantine(batch), quarantine_path, batch_id)
 
     w = ods_province.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert)
     return _trigger(w, available_now).start()
 
 
 def read_provinces(spark: SparkSession, table_path: str) -> DataFrame:
-    """The province table: latest version per id."""
-    return read_latest(spark, table_path, ["id"], ["seq"]).select(
+    """The province table: the last change per id."""
+    order = _change_order(read_versions(spark, table_path))
+    return read_latest(spark, table_path, ["id"], order).select(
         "id", "name", "area_code", "iso_code", "iso_3166_2")
 
 
 # ---------------------------------------------------------------- D1: daily active devices
 
-def dau_stream(raw: DataFrame, watermark: str = "2 days") -> DataFrame:
-    """Raw log text stream -> running first record per (event day, device).
-
-    A one-day event-time window per device keeps the smallest (ts, event_id):
-    in ``update`` mode each batch emits the groups whose minimum changed, and
-    the watermark drops a day's state once it is ``watermark`` old. The
-    result does not depend on arrival order.
-    """
-    logs = D.valid_logs(D.parse_app_log(raw))
-    logs = logs.withColumn("event_time", F.timestamp_millis("ts")) \
-               .withWatermark("event_time", watermark)
-    g = logs.groupBy(F.window("event_time", "1 day").alias("day"), "mid").agg(
-        F.min(F.struct("ts", "event_id", "uid", "ar", "ch", "vc")).alias("f"))
-    return g.select(
-        "mid", F.col("f.uid").alias("uid"), F.col("f.ar").alias("ar"),
-        F.col("f.ch").alias("ch"), F.col("f.vc").alias("vc"),
-        F.date_format("day.start", "yyyy-MM-dd").alias("dt"),
-        millis_to_hour("f.ts").alias("hr"), millis_to_minute("f.ts").alias("mi"),
-        F.col("f.ts").alias("ts"))
-
-
 DAU_COMPACT_EVERY = 100         # fold recent device-day versions every N batches
 DAU_FULL_COMPACT_EVERY = 2000   # ... and everything every M batches
+DAU_KEYS, DAU_FIRST = ["dt", "mid"], ["ts", "event_id"]
 
 
 def start_dau(raw: DataFrame, table_path: str, checkpoint: str,
-              available_now: bool = False, watermark: str = "2 days",
-              compact_every: int = DAU_COMPACT_EVERY):
-    """Run ``dau_stream`` into a versioned table keyed by (dt, mid), each
-    version partitioned by ``dt`` (the per-day index of the original): a
-    one-day read prunes every other day. Every ``compact_every`` batches the
-    committed versions are folded into one base, so reads do not grow with
-    the number of micro-batches."""
+              available_now: bool = False, compact_every: int = DAU_COMPACT_EVERY):
+    """Raw log text stream -> versioned table of the first record of each
+    (event day, device).
+
+    A micro-batch writes the first record of each of its device-days as one
+    version, partitioned by ``dt`` (the per-day index of the original: a
+    one-day read prunes every other day); readers take the first over all
+    versions. No state is kept and nothing is too late: a record of any age
+    finds its day, and the result does not depend on arrival order. Days
+    follow the session time zone, as in the batch form. Every
+    ``compact_every`` batches the committed versions are folded, so reads do
+    not grow with the number of micro-batches.
+    """
     def upsert(batch: DataFrame, batch_id: int):
         now, since = compaction_plan(batch_id, compact_every, DAU_FULL_COMPACT_EVERY)
         if now and path_exists(spark_of(batch), table_path):
-            compact(spark_of(batch), table_path, ["dt", "mid"], [], at=batch_id,
-                    partition_by=["dt"], since=since)
-        if batch.isEmpty():                 # no-op when a batch changed nothing
-            return
-        write_version(batch, table_path, batch_id, partition_by=["dt"])
+            compact(spark_of(batch), table_path, DAU_KEYS, DAU_FIRST, at=batch_id,
+                    partition_by=["dt"], since=since, first=True)
+        rows = D.first_records(D.valid_logs(D.parse_app_log(batch))).persist()
+        try:
+            if not rows.isEmpty():          # no-op when a batch brings no record
+                write_version(rows, table_path, batch_id, partition_by=["dt"])
+        finally:
+            rows.unpersist()
 
-    w = (dau_stream(raw, watermark).writeStream.outputMode("update")
-         .option("checkpointLocation", checkpoint).foreachBatch(upsert))
+    w = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert)
     return _trigger(w, available_now).start()
 
 
 def read_dau_table(spark: SparkSession, table_path: str, date: str | None = None) -> DataFrame:
-    """The active-device table: latest version per (dt, mid); with ``date``
+    """The active-device table: the first record per (dt, mid); with ``date``
     only that day's folders are read (S7: partition pruning)."""
     versions = read_versions(spark, table_path)
     if date is not None:
         versions = versions.where(F.col("dt") == F.lit(date))
-    latest = latest_per_key(versions.withColumn("dt", F.col("dt").cast("string")),
-                            ["dt", "mid"], ["batch_id", "kind"])
-    return latest.select(*DAU_INFO.names)
+    versions = versions.withColumn("dt", F.col("dt").cast("string")).drop("batch_id", "kind")
+    return latest_per_key(versions, DAU_KEYS, DAU_FIRST, first=True).select(*DAU_INFO.names)
 
 
 def start_preview(df: DataFrame, rows: int = 1000, available_now: bool = False):
@@ -181,17 +196,41 @@ STATE_COMPACT_EVERY = 50          # fold recent versions every N batches
 STATE_FULL_COMPACT_EVERY = 1000   # ... and all user state every M batches
 
 
+TOPIC_PARTITIONS = 4              # files of a version of the message topic
+
+
+def _state_of(spark: SparkSession, state_path: str, version: int, orders: DataFrame):
+    """The consumed ones among a batch's users, from the versions before it.
+
+    The batch's users are bounded by the micro-batch: broadcast (their count
+    checked on the persisted batch), the stored state is only scanned and
+    filtered, neither shuffled nor aggregated, however long the history. Rows
+    only ever say consumed, so no latest version has to be found.
+    """
+    users = orders.select(F.col("user_id").cast("string").alias("user_id")).distinct()
+    users = broadcast_if_small(users, max_bytes=None)
+    stored = read_versions(spark, state_path, before=version).select("user_id")
+    return (stored.join(users, "user_id", "left_semi").distinct()
+            .select("user_id", F.lit(O.CONSUMED).alias("if_consumed")))
+
+
 def first_order_batch_fn(spark: SparkSession, state_path: str, out_path: str,
                          provinces_loader, version_offset: int = 1,
-                         compact_every: int = STATE_COMPACT_EVERY):
+                         compact_every: int = STATE_COMPACT_EVERY,
+                         topic_path: str | None = None, quarantine_path: str | None = None):
     """The per-batch function of the order job (``foreachBatch``).
 
-    Batch N (version N + offset): read user state versions < N, flag first
-    orders, re-read and join the province dimension (W7: side data refreshed
-    per batch), write the flagged orders and the new users' state as version
-    N. Re-running a batch id overwrites the same versions and reads the same
-    earlier state, so replays give the same result. Every ``compact_every``
-    batches the committed state versions (< N) are folded into one base.
+    Batch N (version N + offset): read the state of the batch's users from
+    versions < N, flag first orders, re-read and join the province dimension
+    (W7: side data refreshed per batch), write the flagged orders and the new
+    users' state as version N. Re-running a batch id overwrites the same
+    versions and reads the same earlier state, so replays give the same
+    result; an order delivered again in a later batch does not change the one
+    already written (``read_flagged_orders`` keeps the first).
+
+    ``topic_path`` gets the flagged orders as messages keyed by user, the
+    input of the wide job (K2); ``quarantine_path`` the unusable texts. Every
+    ``compact_every`` batches the committed versions (< N) are folded.
     """
     def run(batch: DataFrame, batch_id: int):
         if batch.isEmpty():
@@ -203,32 +242,41 @@ def first_order_batch_fn(spark: SparkSession, state_path: str, out_path: str,
         now, since = compaction_plan(version, compact_every, None)
         if now and path_exists(spark, out_path):
             # append-only output: fold recent deltas into a segment, never all
-            compact(spark, out_path, ["id"], [], at=version, since=since)
-        orders = O.order_info_typed(batch).persist()   # parsed once, used twice
+            compact(spark, out_path, ["id"], [], at=version, since=since, first=True)
+        orders = O.order_info_typed(batch).persist()   # parsed once, read often
         state = None
         if path_exists(spark, state_path):
-            state = read_latest(spark, state_path, ["user_id"], [], before=version) \
-                .select("user_id", "if_consumed")
+            state = _state_of(spark, state_path, version, orders).persist()
+        flagged = O.dwd_order_info(orders, state, provinces_loader()).persist()
         try:
-            write_version(O.dwd_order_info(orders, state, provinces_loader()), out_path, version)
+            write_version(flagged, out_path, version)
+            if topic_path is not None:
+                write_version(O.order_info_messages(flagged).repartition(TOPIC_PARTITIONS, "key"),
+                              topic_path, version)
             write_version(O.new_user_state(orders, state), state_path, version)
+            _quarantine(O.order_info_quarantine(batch), quarantine_path, version)
         finally:
-            orders.unpersist()
+            for df in (flagged, state, orders):
+                if df is not None:
+                    df.unpersist()
     return run
 
 
 def start_first_order(ods_orders: DataFrame, spark: SparkSession, state_path: str,
                       out_path: str, checkpoint: str, provinces_loader,
                       available_now: bool = False, version_offset: int = 1,
-                      compact_every: int = STATE_COMPACT_EVERY):
+                      compact_every: int = STATE_COMPACT_EVERY,
+                      topic_path: str | None = None, quarantine_path: str | None = None):
     fn = first_order_batch_fn(spark, state_path, out_path, provinces_loader, version_offset,
-                              compact_every)
+                              compact_every, topic_path, quarantine_path)
     w = ods_orders.writeStream.option("checkpointLocation", checkpoint).foreachBatch(fn)
     return _trigger(w, available_now).start()
 
 
 def read_flagged_orders(spark: SparkSession, out_path: str) -> DataFrame:
-    return read_latest(spark, out_path, ["id"], []).drop("batch_id")
+    """Each order as first written: a later redelivery finds its user consumed
+    and would turn its flag to '0'."""
+    return read_first(spark, out_path, ["id"]).drop("batch_id")
 
 
 # ---------------------------------------------------------------- J1/J5 + D2: wide order
@@ -240,10 +288,12 @@ def wide_stream(info_msgs: DataFrame, detail_msgs: DataFrame, bound_s: int = 10,
                 watermark: str = "1 hour", salts: int = JOIN_SALTS) -> DataFrame:
     """Stream-stream inner join of order and detail messages.
 
-    Both inputs are deduplicated by id within the watermark (D2: replayed
-    messages), then joined on order id with |detail time - order time| <=
-    bound_s. Watermarks on both sides bound the join state; each matching
-    pair is emitted once.
+    Orders are deduplicated by id and details by (order id, detail id) within
+    the watermark (D2: replayed messages), then joined on order id with
+    |detail time - order time| <= bound_s. Watermarks on both sides bound the
+    join state; each matching pair is emitted once. Rows later than the
+    watermark are left out here; ``late_rows`` counts them and
+    ``missing_wide`` makes up for them.
 
     Streaming joins get no AQE skew handling, so the join key is salted:
     each detail takes one salt (a hash of its id), each order is copied once
@@ -256,7 +306,8 @@ def wide_stream(info_msgs: DataFrame, detail_msgs: DataFrame, bound_s: int = 10,
                 .withWatermark("_it", watermark).dropDuplicatesWithinWatermark(["id"]))
     det = parse_typed(detail_msgs, "value", ORDER_DETAIL_FIELDS)
     det = (det.withColumn("_dt", F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss"))
-              .withWatermark("_dt", watermark).dropDuplicatesWithinWatermark(["id"]))
+              .withWatermark("_dt", watermark)
+              .dropDuplicatesWithinWatermark(["order_id", "id"]))
     i = info.select(F.col("id").alias("order_id"), "order_status", "create_time", "user_id",
                     "benefit_reduce_amount", "feight_fee", "original_total_amount",
                     "final_total_amount", "if_first_order", "province_name",
@@ -280,3 +331,25 @@ def start_wide(info_msgs: DataFrame, detail_msgs: DataFrame, sink_path: str, che
          .outputMode("append").format("parquet").option("path", sink_path)
          .option("checkpointLocation", checkpoint))
     return _trigger(w, available_now).start()
+
+
+def late_rows(query) -> int:
+    """Rows that the query's stateful operators left out as later than the watermark."""
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for p in query.recentProgress for op in p.get("stateOperators", []))
+
+
+def missing_wide(info_msgs: DataFrame, detail_msgs: DataFrame, wide: DataFrame,
+                 bound_s: int = 10) -> DataFrame:
+    """The wide rows that the stream owes for late messages.
+
+    Batch form, run now and then over the retained messages of a period: the
+    pairs of ``order_wide_interval`` that are not in ``wide`` yet, to be
+    appended to it. Messages delivered again count once.
+    """
+    info = parse_typed(info_msgs, "value", DWD_ORDER_INFO_FIELDS).dropDuplicates(["id"])
+    details = parse_typed(detail_msgs, "value", ORDER_DETAIL_FIELDS) \
+        .dropDuplicates(["order_id", "id"])
+    return W.order_wide_interval(info, details, bound_s).join(
+        wide.select("order_id", "order_detail_id"), ["order_id", "order_detail_id"],
+        "left_anti").select(*ORDER_WIDE_COLUMNS)

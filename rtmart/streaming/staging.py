@@ -1,12 +1,12 @@
 """Stage a table as time-ordered stream input files (test harness).
 
-In production the input is a Kafka topic keyed by the entity (user, device),
-which keeps each key's records in order. Here a DataFrame derived from the
+In production the input is a Kafka topic. Here a DataFrame derived from the
 given tables is written once to the shared folder (cutting its lineage, so
 the upstream joins run once), then all time slices are written by one job
-into ``_slice=k`` folders, clustered by (slice, key) so one key's rows of a
-slice share a file. The file times of slice k are then set in slice order
-(a metadata call per file), so the file source reads the slices in order.
+into ``_slice=k`` folders, spread evenly over files whose number follows the
+row count. The file times of slice k are then set in slice order (a metadata
+call per file), so the file source reads the slices in order; this needs a
+file system that keeps such times (an object store may not).
 """
 
 from __future__ import annotations
@@ -16,12 +16,12 @@ import time
 from pyspark.sql import DataFrame, functions as F
 
 from rtmart.operators.lineage import write_and_read
+from rtmart.operators.upsert import file_system
 
 
 def _order_slices(spark, path: str, slices) -> None:
-    jvm = spark.sparkContext._jvm
+    jvm, _, fs = file_system(spark, path)
     Path = jvm.org.apache.hadoop.fs.Path
-    fs = Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     now = int(time.time() * 1000)
     for k in slices:
         folder = Path(f"{path.rstrip('/')}/_slice={k}")
@@ -31,32 +31,41 @@ def _order_slices(spark, path: str, slices) -> None:
             fs.setTimes(st.getPath(), now + 1000 * int(k), -1)
 
 
-def stage_time_slices(df: DataFrame, time_col, key_col: str, path: str, n_slices: int,
+ROWS_PER_FILE = 500_000
+
+
+def stage_time_slices(df: DataFrame, time_col, path: str, n_slices: int,
                       files_per_slice: int, bounds: tuple | None = None,
                       keep: list[str] | None = None, only: range | None = None) -> tuple:
     """Write ``df`` as ``n_slices`` time slices under ``path``.
 
     ``time_col`` is a numeric column or expression (e.g. epoch seconds).
     Returns the (low, high) time bounds used, so a second input can be cut on
-    the same boundaries. Only the two bounds reach the driver. ``keep`` names
-    the columns written (default: all); ``only`` writes a subset of slices
-    (a later call appends the rest, read after the earlier ones).
+    the same boundaries. Only the bounds and the row count reach the driver.
+    ``keep`` names the columns written (default: all); ``only`` writes a
+    subset of slices (a later call appends the rest, read after the earlier
+    ones). A slice has ``files_per_slice`` files, or more where they would
+    hold over ROWS_PER_FILE rows each.
     """
     t = F.col(time_col) if isinstance(time_col, str) else time_col
     cols = keep or list(df.columns)
-    staged = write_and_read(df.select(*cols, F.col(key_col).alias("_key"),
-                                      t.cast("double").alias("_t")),
-                            f"{path.rstrip('/')}_staged")
+    staged_path = f"{path.rstrip('/')}_staged"
+    staged = write_and_read(df.select(*cols, t.cast("double").alias("_t")), staged_path)
+    row = staged.agg(F.min("_t").alias("lo"), F.max("_t").alias("hi"),
+                     F.count(F.lit(1)).alias("n")).first()
     if bounds is None:
-        row = staged.agg(F.min("_t").alias("lo"), F.max("_t").alias("hi")).first()
         bounds = (float(row["lo"] or 0.0), float(row["hi"] or 0.0))
     lo, hi = bounds
     width = (hi - lo) / n_slices if hi > lo else 1.0
     idx = F.least(F.greatest(F.floor((F.col("_t") - lo) / width), F.lit(0)),
                   F.lit(n_slices - 1)).cast("int")
     slices = list(only if only is not None else range(n_slices))
-    sliced = staged.withColumn("_slice", idx).where(F.col("_slice").isin(slices))
-    (sliced.repartition(files_per_slice, "_slice", "_key").select(*cols, "_slice")
+    files = max(files_per_slice, -(-row["n"] // (n_slices * ROWS_PER_FILE)))
+    sliced = (staged.withColumn("_slice", idx).where(F.col("_slice").isin(slices))
+              .withColumn("_file", F.pmod(F.xxhash64(*cols), F.lit(files))))
+    (sliced.repartition(files * len(slices), "_slice", "_file").select(*cols, "_slice")
            .write.mode("append").partitionBy("_slice").parquet(path))
     _order_slices(df.sparkSession, path, slices)
+    _, root, fs = file_system(df.sparkSession, staged_path)
+    fs.delete(root, True)
     return bounds

@@ -1,11 +1,9 @@
 """Plan shape: pruning, pushdown, map-side combine, broadcast, top-k, skew."""
 
-from pyspark.sql import Window, functions as F
-
-from rtmart.operators.numbering import row_number_within
 from rtmart.operators.upsert import read_versions, write_version
 from rtmart.plans import queries
 from rtmart.session import shared_path
+from rtmart.streaming import jobs as J
 
 Q = queries()
 
@@ -31,8 +29,11 @@ def test_json_is_parsed_once_per_input(spark, sf_small):
 
 
 def test_province_dimension_is_broadcast(spark, sf_small):
-    plan = _plan(Q["province_enrich"](spark, sf_small))
-    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
+    df = Q["province_enrich"](spark, sf_small)
+    df.collect()                                      # adaptive: decided by measured size
+    plan = _plan(df)
+    final = plan.split("Initial Plan")[0]
+    assert "BroadcastHashJoin" in final and "LeftOuter" in final
 
 
 def test_first_order_has_no_per_user_window(spark, sf_small):
@@ -59,24 +60,43 @@ def test_version_reads_prune_partitions(spark):
     assert sorted(r.user_id for r in df.collect()) == ["u0", "u1"]
 
 
-def test_row_number_within_spreads_a_hot_group_and_matches_window(spark):
-    # group 1 holds a third of the rows
-    rows = [(1, i % 97, i) for i in range(3000)] + [(2 + i % 50, i % 13, i) for i in range(6000)]
-    df = spark.createDataFrame(rows, "g long, k long, v long")
-    keys = ["g", "k", "v"]
-    spread = (df.repartitionByRange(8, *keys).where("g = 1")
-                .select(F.spark_partition_id().alias("p")).distinct().count())
-    assert spread > 1                                  # the hot group is split
-    got = row_number_within(df, "g", ["k", "v"], num_partitions=8, hot_rows=1000)
-    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("k", "v")))
-    assert got.select("g", "k", "v", "rn").exceptAll(want.select("g", "k", "v", "rn")).count() == 0
-    assert got.count() == 9000
-    plan = _plan(got)
-    assert "RangePartitioning" in plan or "Scan parquet" in plan   # hot path taken
-    # without hot groups only the plain window runs
-    cold = row_number_within(df.where("g <> 1"), "g", ["k", "v"], hot_rows=1000)
-    assert "RangePartitioning" not in _plan(cold)
-    assert cold.count() == 6000
+def test_detail_ids_need_no_shuffle_of_the_lines(spark, sf_small):
+    """Building the plan only reads the three tables' schemas, and lines meet
+    only in the joins."""
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    df = Q["order_detail_typed"](spark, sf_small)
+    assert len(tracker.getJobIdsForGroup(None)) - before <= 3
+    plan = _plan(df)
+    assert "Window" not in plan
+    assert df.select("id").distinct().count() == df.count()
+
+
+def test_state_is_filtered_before_any_exchange(spark):
+    """The order job's state read: scan, semi-join with the batch's users, and
+    only then a shuffle (of the few that are left)."""
+    path = shared_path(spark, "t_state_plan")
+    for b in range(3):
+        write_version(spark.range(100 * b, 100 * b + 100).selectExpr(
+            "cast(id as string) AS user_id", "'1' AS if_consumed"), path, b)
+    orders = spark.createDataFrame([(5,), (205,), (999,)], "user_id long")
+    state = J._state_of(spark, path, 2, orders)
+    lines = _plan(state).splitlines()
+    joined = next(i for i, x in enumerate(lines) if "BroadcastHashJoin" in x and "LeftSemi" in x)
+    scanned = next(i for i, x in enumerate(lines) if "FileScan parquet" in x)
+    assert joined < scanned
+    assert not any("Exchange hashpartitioning" in x for x in lines[joined:scanned])
+    assert [r.user_id for r in state.collect()] == ["5"]      # 205 is of a later version
+
+
+def test_orders_are_scanned_once_for_the_first_order_flag(spark, sf_small):
+    plan = _plan(Q["first_order_flag_empty_state"](spark, sf_small))
+    assert "json_tuple" not in plan            # parsed once, before
+
+
+def test_windowed_join_repeats_no_row(spark, sf_small):
+    plan = _plan(Q["order_wide_dedup"](spark, sf_small))
+    assert "explode" not in plan
 
 
 def test_sql_text_reads_push_filters_and_prune_columns(spark, sf_small):

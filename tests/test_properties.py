@@ -1,11 +1,9 @@
 """Property tests against plain-Python models on random small frames."""
 
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import Window, functions as F
 
 from rtmart.operators import orders as O
 from rtmart.operators import wide as W
-from rtmart.operators.numbering import row_number_within
 from rtmart.operators.upsert import latest_per_key
 
 SETTINGS = settings(max_examples=6, deadline=None,
@@ -27,18 +25,6 @@ def test_latest_per_key_matches_model(spark, rows):
     assert got == {(k, v, x) for k, (v, x) in model.items()}
 
 
-@SETTINGS
-@given(st.lists(st.tuples(st.sampled_from([1, 1, 1, 2, 3]), st.integers(0, 20)),
-                min_size=1, max_size=60))
-def test_row_number_within_matches_window(spark, rows):
-    df = spark.createDataFrame([(g, k, i) for i, (g, k) in enumerate(rows)],
-                               "g int, k int, i int")
-    got = row_number_within(df, "g", ["k", "i"], num_partitions=4, hot_rows=5)
-    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("k", "i")))
-    assert sorted(got.select("g", "k", "i", "rn").collect()) == \
-        sorted(want.select("g", "k", "i", "rn").collect())
-
-
 @SETTINGS
 @given(st.lists(st.tuples(st.integers(1, 4), st.floats(0.01, 999.99).map(lambda x: round(x, 2)),
                           st.integers(0, 5)), min_size=1, max_size=20),

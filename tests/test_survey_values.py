@@ -33,16 +33,17 @@ def test_change_data_values(spark, sf_mid):
         {"ODS_ORDER_INFO": 9912, "ODS_ORDER_DETAIL": 39512}
     mx = _counts(Q["cdc_route_maxwell"](spark, sf_mid), "topic")
     assert {k: mx[k] for k in ("ODS_BASE_PROVINCE", "ODS_USER_INFO", "ODS_SKU_INFO",
-                               "ODS_BASE_TRADEMARK", "ODS_BASE_CATEGORY3")} == {
+                               "ODS_BASE_TRADEMARK", "ODS_BASE_CATEGORY3", "ODS_SPU_INFO")} == {
         "ODS_BASE_PROVINCE": 25, "ODS_USER_INFO": 1485, "ODS_SKU_INFO": 2000,
-        "ODS_BASE_TRADEMARK": 25, "ODS_BASE_CATEGORY3": 6}
+        "ODS_BASE_TRADEMARK": 25, "ODS_BASE_CATEGORY3": 6, "ODS_SPU_INFO": 50}
 
 
 def test_order_values(spark, sf_mid):
     oi = Q["order_info_typed"](spark, sf_mid)
     assert oi.count() == 15000 and oi.select("id").distinct().count() == 15000
     od = Q["order_detail_typed"](spark, sf_mid)
-    assert od.count() == 60000 and od.agg(F.sum("id")).first()[0] == 45123208098
+    assert od.count() == 60000 and od.select("id").distinct().count() == 60000
+    assert od.agg(F.bit_xor("id")).first()[0] == 773943633335681908
     assert _counts(Q["first_order_flag_empty_state"](spark, sf_mid), "if_first_order") == \
         {"1": 1500, "0": 13500}
     assert _counts(Q["first_order_flag"](spark, sf_mid), "if_first_order") == \
