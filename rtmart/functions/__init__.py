@@ -1,5 +1,5 @@
 from rtmart.functions.jsonio import (json_fields, checked_fields, parse_typed,
-                                     invalid_texts, to_json_row, json_field)
+                                     invalid_texts, to_json_row)
 from rtmart.functions.timefmt import (epoch_millis, millis_to_day, millis_to_hour,
                                       millis_to_minute, create_date, create_hour,
                                       previous_day, day_key, timestamp_to_text,
@@ -7,7 +7,6 @@ from rtmart.functions.timefmt import (epoch_millis, millis_to_day, millis_to_hou
 
 __all__ = [
     "json_fields", "checked_fields", "parse_typed", "invalid_texts", "to_json_row",
-    "json_field",
     "epoch_millis", "millis_to_day", "millis_to_hour", "millis_to_minute",
     "create_date", "create_hour", "previous_day", "day_key", "timestamp_to_text",
     "valid_time", "wall_clock_day_key",

@@ -69,7 +69,3 @@ def to_json_row(*cols, keep_nulls: bool = False) -> Column:
     """Serialise columns to one JSON object by field name."""
     opts = {"ignoreNullFields": "false"} if keep_nulls else {}
     return F.to_json(F.struct(*cols), opts)
-
-
-def json_field(text, path: str) -> Column:
-    return F.get_json_object(_c(text), path)

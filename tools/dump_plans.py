@@ -21,7 +21,8 @@ HEADLINE = {
     "realtime_total": "Totals and first days in one pass (grouping sets), no self-join.",
     "first_order_flag": "Per-user winner by aggregate, joined back by order id; "
                         "no per-user window.",
-    "province_enrich": "Latest-per-key dimension, broadcast after a bounded size check.",
+    "province_enrich": "Latest-per-key dimension; adaptive execution broadcasts it when measured small.",
+    "order_wide_dedup": "Redelivered messages dropped per side, one join on order id, no explode.",
     "order_wide": "Order x detail join on order id (AQE splits a hot order at runtime).",
     "detail_amount_split": "Narrow base written once to the shared folder, then "
                            "aggregates joined back by key.",
