@@ -50,7 +50,7 @@ WITH docs AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM ln GROUP BY doc_id
 ), often AS (
   SELECT source, norm, min(doc_id) AS first_id FROM ln GROUP BY 1, 2
-  HAVING count(DISTINCT doc_id) > 20
+  HAVING count(DISTINCT doc_id) > 50
 ), rem AS (
   SELECT ln.doc_id, sum(line_words) AS removed_words
   FROM ln JOIN often o ON ln.norm = o.norm AND ln.source IS NOT DISTINCT FROM o.source
@@ -66,7 +66,7 @@ WITH docs AS (
 )
 SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
-       AND 100 * (n_words - removed_words) >= 30 * n_words AS kept
+       AND 100 * (n_words - removed_words) >= 10 * n_words AS kept
 FROM s
 """
 

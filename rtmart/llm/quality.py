@@ -96,7 +96,7 @@ def frequent_lines(lines: DataFrame, max_docs: int) -> DataFrame:
             .select("line_hash", F.col("first.key").alias("first_key")))
 
 
-def quality_rules(docs: DataFrame, max_docs: int = 20, min_left_percent: int = 30,
+def quality_rules(docs: DataFrame, max_docs: int = 50, min_left_percent: int = 10,
                   min_words: int = 10, max_repeat_percent: int = 20) -> DataFrame:
     """doc_id, key, counts, removed_words, base_failed and kept per row of ``docs``."""
     lines = cut_lineage(document_lines(docs), "quality-lines")

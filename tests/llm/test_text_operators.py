@@ -60,7 +60,7 @@ EMPTY = []
 def test_quality_rules_equal_brute_force(spark):
     rows = corpus()
     want = B.quality([{"doc_id": i, "text": t, "source": s} for i, t, s in rows])
-    got = quality.quality_rules(clashing(spark, rows)).collect()
+    got = quality.quality_rules(clashing(spark, rows), max_docs=20, min_left_percent=30).collect()
     assert len(got) == len(rows)
     texts = {}
     for i, t, _ in rows:
@@ -79,10 +79,11 @@ def test_depleted_documents_go_and_the_first_stays(spark):
     notice = prose(rng, 60)
     rows = [(k, notice + "\n" + prose(rng, 10), "h") for k in range(30)]
     rows += [(100 + k, notice, f"h{k}") for k in range(30)]         # one per host: no line is frequent
-    kept = {r.doc_id: r.kept for r in quality.quality_rules(frame(spark, rows)).collect()}
+    limits = {"max_docs": 20, "min_left_percent": 30}
+    kept = {r.doc_id: r.kept for r in quality.quality_rules(frame(spark, rows), **limits).collect()}
     assert kept[0] and not any(kept[k] for k in range(1, 30))
     assert all(kept[100 + k] for k in range(30))
-    left = quality.keep_good(clashing(spark, rows))
+    left = quality.keep_good(clashing(spark, rows), **limits)
     assert left.columns == clashing(spark, rows).columns
     assert {r.doc_id for r in left.collect()} == {k for k, v in kept.items() if v}
 
