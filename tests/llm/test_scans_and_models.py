@@ -196,11 +196,11 @@ def test_model_adds_spans_and_base_ones_stay(spark):
     key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(32))
     texts = [f"some prose then token = \"{key()}\" and more" for _ in range(150)]
     texts += [f"call 4{rng.randrange(10 ** 17)} or see report-2024-chapter-{k:03d}.html" for k in range(150)]
-    missed = [f"some prose then token is \"{key()[:22]}\" and more" for _ in range(30)]
+    missed = [f"some prose then token is \"{key()[:22]}\" and more" for _ in range(10)]
     out = secrets.scan_secrets(docs_of(spark, texts + missed)).orderBy("doc_id").collect()
     assert all("hex:" in r.spans and "assign:" in r.spans for r in out[:150])
     assert sum("model:" in r.spans for r in out[150:300]) <= 3
-    assert sum("model:" in r.spans for r in out[300:]) >= 20
+    assert sum("model:" in r.spans for r in out[300:]) >= 7
 
 
 # -- language ID -----------------------------------------------------------
