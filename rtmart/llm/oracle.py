@@ -70,6 +70,27 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
 FROM s
 """
 
+#: Exact: the operator's recall is measured against it.
+OP4_EMBEDDING_NEAR_DEDUP = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+), ok AS (
+  SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM ok a JOIN ok b
+  ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_sum(list_transform(list_zip(a.e, b.e), lambda p: p[1] * p[2])) / (a.norm * b.norm) >= 0.95
+), reach AS (
+  SELECT vec_id AS u, vec_id AS w FROM v
+  UNION SELECT r.u, l.w FROM reach r JOIN link l ON r.w = l.u
+)
+SELECT v.vec_id, (SELECT count(*) FROM link WHERE u = v.vec_id) AS n_links,
+       min(r.w) AS component_id, v.vec_id = min(r.w) AS kept
+FROM v JOIN reach r ON r.u = v.vec_id GROUP BY v.vec_id
+"""
+
 
 def _url_filters(rounds: int = 20, damping: float = 0.85) -> str:
     """The propagation unrolled: one relation per round."""
@@ -136,4 +157,5 @@ ORACLES = {
     "op1_url_filters": _url_filters(),
     "op2_line_dedup": OP2_LINE_DEDUP,
     "op3_quality_rules": OP3_QUALITY_RULES,
+    "op4_embedding_near_dedup": OP4_EMBEDDING_NEAR_DEDUP,
 }

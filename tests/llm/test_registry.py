@@ -121,5 +121,6 @@ def test_oracles_run_on_an_empty_table():
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT)")
     con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[], label INTEGER)")
     for sql in Q.oracle_sql().values():
         assert con.execute(sql).fetchall() == []
