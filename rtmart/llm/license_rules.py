@@ -72,12 +72,12 @@ upl 1 0|unicode 3 0|beerware|hpnd|icu|libpng 2 0|naist 2003|ntp|odbl 1 0|sleepyc
 
 #: (tier, label, keyword, pattern)
 PLAIN = [
-    (TITLE, "mit", "mit", "(?:the )?mit licen[cs]e"),
-    (NAME, "mit", "mit", "mit licen[cs]ed"),
+    (TITLE, "mit", "licen", "(?:the )?mit licen[cs]e"),
+    (NAME, "mit", "licen", "mit licen[cs]ed"),
     (TITLE, "mit", "permission", "permission is hereby granted free of charge to any person obtaining a copy"),
     (HINT, "mit", "merchantability", "the software is provided as is without warranty of any kind"),
     (TITLE, "x11", "x11", "x11 licen[cs]e"),
-    (TITLE, "isc", "isc", "isc licen[cs]e"),
+    (TITLE, "isc", "licen", "isc licen[cs]e"),
     (TITLE, "isc", "permission", "permission to use copy modify and or distribute this software"),
     (TITLE, "zlib", "zlib", "zlib(?: libpng)? licen[cs]e"),
     (HINT, "zlib", "altered", "altered source versions must be plainly marked as such"),
@@ -110,13 +110,13 @@ PLAIN = [
     (NAME, "public-domain", "domain", "dedicated to the public domain"),
     (TITLE, "postgresql", "postgresql", "postgresql licen[cs]e"),
     (TITLE, "openssl", "openssl", "openssl licen[cs]e"),
-    (TITLE, "php", "php", "php licen[cs]e"),
+    (TITLE, "php", "licen", "php licen[cs]e"),
     (TITLE, "ruby", "ruby", "ruby licen[cs]e"),
     (TITLE, "python", "python", "python software foundation licen[cs]e"),
     (TITLE, "ncsa", "ncsa", "(?:university of illinois )?ncsa open source licen[cs]e"),
-    (TITLE, "beerware", "beer", "beer ware licen[cs]e"),
+    (TITLE, "beerware", "licen", "beer ware licen[cs]e"),
     (TITLE, "ofl", "font", "open font licen[cs]e"),
-    (TITLE, "vim", "vim", "vim licen[cs]e"),
+    (TITLE, "vim", "licen", "vim licen[cs]e"),
     (TITLE, "upl", "permissive", "universal permissive licen[cs]e"),
     (TITLE, "ms-pl", "microsoft", "microsoft public licen[cs]e"),
     (TITLE, "ms-rl", "microsoft", "microsoft reciprocal licen[cs]e"),

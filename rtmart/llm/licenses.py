@@ -24,25 +24,24 @@ from rtmart.operators.lineage import cut_lineage
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 BASE_SCORE = 0.5
 
-WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"       # before lower-casing
-NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"              # after
+NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"              # after lower-casing
 
 
 def _prefilter(rules: list[tuple]) -> str:
-    """A pattern over raw text that every text with a base phrase or a rule's keyword passes."""
-    keywords = sorted({r[2] for r in rules if r[2] != "cc"} | {"general", "reserved"})
-    edge = "0-9A-Za-z\\x{80}-\\x{10FFFF}"
-    return f"(?<![{edge}])(?i:{'|'.join(keywords)}|cc)"
+    """A pattern over normalised text that every text with a base phrase or a rule's keyword passes."""
+    return " (?:" + "|".join(sorted({r[2] for r in rules} | {p.split()[0] for p in BASE})) + ")"
 
 
 def scanned_texts(docs: DataFrame, rules: list[tuple]) -> DataFrame:
     """doc_id, key, n_words of every row; norm (' w1 w2 ... ') where a keyword stands."""
-    text = T.whole_text()
-    norm = F.concat(F.lit(" "), F.trim(F.regexp_replace(ascii_lower(text), NOT_WORD, " ")), F.lit(" "))
-    return docs.select(
-        "doc_id", T.row_key().alias("key"),
-        F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"),
-        F.when(text.rlike(_prefilter(rules)), norm).alias("norm"))
+    words = F.trim(F.regexp_replace(ascii_lower(T.whole_text()), NOT_WORD, " "))
+    norm = F.concat(F.lit(" "), words, F.lit(" "))
+    texts = docs.select("doc_id", T.row_key().alias("key"), norm.alias("norm"))
+    spaces = F.length("norm") - F.length(F.translate("norm", " ", ""))
+    return texts.select(
+        "doc_id", "key",
+        F.when(F.length("norm") > 2, spaces - 1).otherwise(0).cast("long").alias("n_words"),
+        F.when(F.col("norm").rlike(_prefilter(rules)), F.col("norm")).alias("norm"))
 
 
 def _places(words: Column, phrase: str) -> Column:
