@@ -31,12 +31,14 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 WORD_START = "▁"
 #: Labelled texts learned from at most, and words of a language.
 SAMPLE_TEXTS = 6000
-SAMPLE_WORDS = 60000
+SAMPLE_WORDS = 30000
 ROUNDS = 4
 #: Letters that are segmented together; longer words are cut.
 LETTERS = 24
 #: Characters of a text that are split into words at once.
 CHARS_AT_ONCE = 1 << 20
+#: Words whose segmentations are summed together.
+WORDS_AT_ONCE = 8192
 #: Occurrences that the pooled distribution counts for in each language's.
 POOLED = 2000.0
 
@@ -130,7 +132,7 @@ def forward(lengths: np.ndarray, ids: dict, prob: np.ndarray) -> np.ndarray:
     return alpha
 
 
-def word_scores(words: list[str], index: dict, prob: np.ndarray, at_once: int = 20000) -> np.ndarray:
+def word_scores(words: list[str], index: dict, prob: np.ndarray, at_once: int = WORDS_AT_ONCE) -> np.ndarray:
     """(words, languages): log of the summed probability of all segmentations."""
     out = np.zeros((len(words), prob.shape[1]))
     order = sorted(range(len(words)), key=lambda i: len(words[i]))
@@ -149,8 +151,8 @@ def expected_counts(words: list[str], weights: np.ndarray, index: dict, prob: np
     """(pieces, languages): expected uses of each piece, by language."""
     total = np.zeros_like(prob)
     order = sorted(range(len(words)), key=lambda i: len(words[i]))
-    for k in range(0, len(order), 20000):
-        part = order[k:k + 20000]
+    for k in range(0, len(order), WORDS_AT_ONCE):
+        part = order[k:k + WORDS_AT_ONCE]
         lengths, ids = segment_ids([WORD_START + words[i][:LETTERS] for i in part], index)
         alpha = forward(lengths, ids, prob)
         width, rows = alpha.shape[0] - 1, np.arange(len(part))
