@@ -1,5 +1,7 @@
 """DuckDB SQL for the operators that SQL can express."""
 
+from rtmart.llm.license_rules import CONFIDENCE, license_rules
+
 OP2_LINE_DEDUP = r"""
 WITH docs AS (
   SELECT doc_id, source, text, md5(concat_ws('|', doc_id, source, md5(text))) AS k FROM documents
@@ -153,9 +155,65 @@ FROM judged LEFT JOIN hosts USING (host)
 """
 
 
+def _license_scans() -> str:
+    """Words stand between spaces of their own, so neighbouring matches share none."""
+    def spaced(pattern: str) -> str:
+        parts = [part.replace(" ", "  ") for part in pattern.split(" ?")]
+        return " " + "(?:  )?".join(parts) + " "
+
+    rules = ",\n".join(
+        f"({i}, {tier}, '{label}', '{keyword}', '{spaced(pattern)}', {CONFIDENCE[tier]})"
+        for i, (tier, label, keyword, pattern) in enumerate(license_rules()))
+    return r"""
+WITH rules(rule, tier, label, keyword, pattern, sure) AS (VALUES
+""" + rules + r"""
+), n AS (
+  SELECT doc_id, trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g')) AS t FROM documents
+), w AS (
+  SELECT doc_id, t, CASE WHEN t = '' THEN [] ELSE string_split(t, ' ') END AS words FROM n
+), positions AS (
+  SELECT doc_id, words, unnest(range(len(words))) AS i FROM w
+), base AS (
+  SELECT doc_id, i, unnest(list_filter([
+    CASE WHEN words[i + 1] = 'cc' AND words[i + 2] = 'by' THEN 'cc-by' END,
+    CASE WHEN words[i + 1] = 'general' AND words[i + 2] = 'public' AND words[i + 3] = 'license'
+         THEN 'gpl' END,
+    CASE WHEN words[i + 1] = 'all' AND words[i + 2] = 'rights' AND words[i + 3] = 'reserved'
+         THEN 'reserved' END], lambda x: x IS NOT NULL)) AS label FROM positions
+), places AS (
+  SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY doc_id
+), tried AS (
+  SELECT doc_id, r.*, regexp_extract_all(s, pattern) AS m, string_split_regex(s, pattern) AS g
+  FROM (SELECT doc_id, t, ' ' || replace(t, ' ', '  ') || ' ' AS s FROM n WHERE t <> '') d
+  JOIN rules r ON contains(' ' || t, ' ' || keyword)
+), cut AS (
+  SELECT doc_id, rule, tier, label, sure, k, (length(m[k]) - length(replace(m[k], ' ', ''))) // 2 AS mw,
+         (length(g[k]) - length(replace(g[k], ' ', ''))) // 2 AS gw
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS k FROM tried)
+), spans AS (
+  SELECT doc_id, tier, label, sure, mw, sum(gw + mw) OVER (PARTITION BY doc_id, rule ORDER BY k) - mw AS a
+  FROM cut
+), kept AS (
+  SELECT DISTINCT x.doc_id, x.label, x.sure FROM spans x WHERE NOT EXISTS (
+    SELECT 1 FROM spans y WHERE y.doc_id = x.doc_id AND y.a <= x.a AND y.a + y.mw >= x.a + x.mw
+    AND (y.tier < x.tier OR (y.tier = x.tier AND y.mw > x.mw)))
+), labelled AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(sure) AS sure
+  FROM (SELECT * FROM kept UNION ALL SELECT doc_id, label, 0.5 FROM base) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(sure, 0)::DOUBLE AS score
+FROM w LEFT JOIN places USING (doc_id) LEFT JOIN labelled USING (doc_id)
+"""
+
+
 ORACLES = {
     "op1_url_filters": _url_filters(),
     "op2_line_dedup": OP2_LINE_DEDUP,
     "op3_quality_rules": OP3_QUALITY_RULES,
     "op4_embedding_near_dedup": OP4_EMBEDDING_NEAR_DEDUP,
+    "op9_license_scans": _license_scans(),
 }

@@ -125,6 +125,19 @@ def test_license_scans_equal_brute_force(spark):
         assert r.score == pytest.approx(best) and 0 <= r.score <= 1
 
 
+def test_license_oracle_on_hard_texts(spark):
+    import duckdb
+    from rtmart.llm.oracle import ORACLES
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [[k, t] for k, t in enumerate(LICENSE_TEXTS)])
+    found = con.execute(ORACLES["op9_license_scans"])
+    names = [d[0] for d in found.description]
+    want = sorted(map(str, found.fetchall()))
+    got = licenses.scan_licenses(docs_of(spark, LICENSE_TEXTS)).select(*names).collect()
+    assert sorted(str(tuple(r)) for r in got) == want
+
+
 # -- secret scans ----------------------------------------------------------
 
 SECRET_TEXTS = [
