@@ -4,7 +4,7 @@ Unit vectors are projected on many Gaussian directions. Two vectors collide on
 a direction when one lies in the window centred on the other; near pairs
 collide on most directions, far pairs on few, so a pair is verified (cosine in
 double precision) only when its count reaches a bound that near pairs miss
-with a probability of ``MISS`` at most. A one-dimensional window alone holds a
+with a probability of ``COUNT_MISS`` at most. A one-dimensional window alone holds a
 fixed share of all rows, whatever its width, so counting starts only for pairs
 that meet in a cell of several sorted projections cut at fixed widths; there
 are enough cell tables that a pair at the threshold misses all of them with a
@@ -38,11 +38,14 @@ from rtmart.operators.lineage import cut_lineage
 
 MIN_COSINE = 0.95
 #: Cells are so many times as wide as a near pair's typical difference.
-CELL_WIDTH = 4.0
+CELL_WIDTH = 6.0
 #: Half a counting window, in the same unit.
 WINDOW = 1.5
 COUNTED = 64
-MISS = 0.005
+MISS = 0.002
+#: The same for the count; a far lower bound costs next to nothing, as far
+#: pairs collide on a quarter of the directions.
+COUNT_MISS = 1e-5
 #: Rows of one cell that one chunk holds.
 CHUNK = 512
 BLOCK = 256
@@ -70,7 +73,7 @@ def plan(rows: int, min_cosine: float = MIN_COSINE) -> dict:
     bound, missed = 0, 0.0
     while True:                   # the largest bound that near pairs rarely miss
         missed += math.comb(COUNTED, bound) * p ** bound * (1 - p) ** (COUNTED - bound)
-        if missed > MISS:
+        if missed > COUNT_MISS:
             break
         bound += 1
     return {"min_cosine": min_cosine, "width": width, "window": WINDOW * near,
