@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rtmart.llm import text as T
 from rtmart.llm.graph import connected_components
+from rtmart.llm.runs import blocks, whole_groups
 from rtmart.operators.lineage import cut_lineage
 
 SEED = 42
@@ -187,40 +188,19 @@ def near_links(nodes: DataFrame, radius: int) -> DataFrame:
         F.xxhash64("place", F.least("c", "d"), F.greatest("c", "d")).alias("spot"), "fp")
 
     def run(batches):
-        spots, fps = np.empty(0, np.int64), np.empty(0, np.int64)
-
-        def links(s, f):
-            """Whole groups, packed into blocks."""
-            cuts = np.flatnonzero(np.diff(s)) + 1
-            starts = np.concatenate(([0], cuts, [len(s)]))
-            at = 0
+        for table in whole_groups(batches, "spot"):
+            spots = table.column("spot").to_numpy()
+            fps = table.column("fp").to_numpy()
             us, vs = [], []
-            while at < len(starts) - 1:
-                to = at + 1
-                while to < len(starts) - 1 and starts[to + 1] - starts[at] <= BLOCK:
-                    to += 1
-                block = slice(starts[at], starts[to])
-                group = np.repeat(np.arange(to - at), np.diff(starts[at:to + 1]))
-                values = f[block]
+            for start, end, groups in blocks(spots, BLOCK):
+                group = np.repeat(np.arange(len(groups)), np.diff([*groups, end]))
+                values = fps[start:end]
                 for i, j in spanning_links(values.view(np.uint64), group, radius):
                     us.append(values[i])
                     vs.append(values[j])
-                at = to
-            return pa.RecordBatch.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
 
-        for batch in batches:
-            s = np.concatenate((spots, batch.column("spot").to_numpy(zero_copy_only=False)))
-            f = np.concatenate((fps, batch.column("fp").to_numpy(zero_copy_only=False)))
-            if not len(s):
-                continue
-            whole = int(np.searchsorted(s, s[-1]))    # the last group may go on
-            spots, fps = s[whole:], f[whole:]
-            if whole:
-                yield links(s[:whole], f[:whole])
-        if len(spots):
-            yield links(spots, fps)
-
     return (dealt.repartition("spot").sortWithinPartitions("spot")
             .mapInArrow(run, "u long, v long"))
 
