@@ -49,6 +49,8 @@ COUNT_MISS = 1e-5
 #: Rows of one cell that one chunk holds.
 CHUNK = 512
 BLOCK = 256
+#: Rows of small cells that are compared together.
+PACKED = 64
 SEED = 13
 
 
@@ -157,33 +159,46 @@ def _forest(i: np.ndarray, j: np.ndarray, n: int) -> list[tuple[int, int]]:
     return [(k, int(parent[k])) for k in np.flatnonzero(parent != np.arange(n))]
 
 
-def _compare(units, table, own, low, high, group, weight, p):
-    """(links per row, forest) of one block of whole groups; rows of one length."""
-    n = len(units)
-    _, _, counted = _directions(units.shape[1], p["per_cell"], p["tables"])
-    projected = (units @ counted).astype(np.float32)
-    codes = cell_codes(units, p)
-    links = np.zeros(n, np.int64)
-    found_i, found_j = [np.empty(0, int)], [np.empty(0, int)]
+def _colliding(projected: np.ndarray, group: np.ndarray, p: dict):
+    """(i, j) arrays, i < j: pairs of one group that collide on enough directions."""
+    n = len(group)
     for q in range(0, n, BLOCK):
         count = np.zeros((min(BLOCK, n - q), n), np.uint8)
-        for k in range(COUNTED):          # the window centred on each query
+        for k in range(COUNTED):                    # the window centred on each query
             count += np.abs(projected[q:q + BLOCK, k, None] - projected[None, :, k]) <= p["window"]
         i, j = np.nonzero(count >= p["bound"])
         i += q
         keep = (i < j) & (group[i] == group[j])
-        i, j = i[keep], j[keep]
+        yield i[keep], j[keep]
+
+
+def _compare(units, table, own, low, high, group, weight, p):
+    """(links per row, forest) of one block of whole groups; rows of one length."""
+    n = len(units)
+    _, _, counted = _directions(units.shape[1], p["per_cell"], p["tables"])
+    links = np.zeros(n, np.int64)
+    found_i, found_j = [np.empty(0, int)], [np.empty(0, int)]
+    codes = None
+    for i, j in _colliding((units @ counted).astype(np.float32), group, p):
         # rows of one chunk meet in several chunk pairs: only one of them counts
         same = own[i] == own[j]
         mine = ~same | np.where(own[i] == 0, high[i] <= 1, low[i] == 0)
         i, j = i[mine], j[mine]
         near = np.einsum("ij,ij->i", units[i], units[j]) >= p["min_cosine"]
         i, j = i[near], j[near]
+        if not len(i):
+            continue
+        if group[0] != group[-1]:                # few of the rows are near another
+            rows, at = np.unique(np.concatenate((i, j)), return_inverse=True)
+            codes = cell_codes(units[rows], p)
+        else:
+            at = np.concatenate((i, j))
+            codes = cell_codes(units, p) if codes is None else codes
         for s in range(0, len(i), 1 << 14):      # met in an earlier table already?
-            a, b = i[s:s + (1 << 14)], j[s:s + (1 << 14)]
-            first = (codes[a] == codes[b]).argmax(axis=1) == table[a]
-            found_i.append(a[first])
-            found_j.append(b[first])
+            a, b = at[s:len(i)][:1 << 14], at[len(i) + s:][:1 << 14]
+            first = (codes[a] == codes[b]).argmax(axis=1) == table[i[s:s + (1 << 14)]]
+            found_i.append(i[s:s + (1 << 14)][first])
+            found_j.append(j[s:s + (1 << 14)][first])
     i, j = np.concatenate(found_i), np.concatenate(found_j)
     np.add.at(links, i, weight[j])
     np.add.at(links, j, weight[i])
@@ -209,7 +224,7 @@ def near_pairs(reps: DataFrame, p: dict) -> DataFrame:
     def run(batches):
         for table in whole_groups(batches, "spot"):
             spots = table.column("spot").to_numpy()
-            for start, end, groups in blocks(spots, BLOCK):
+            for start, end, groups in blocks(spots, PACKED):
                 part = table.slice(start, end - start)
                 group = np.repeat(np.arange(len(groups)), np.diff([*groups, end]))
                 c = {x: part.column(x).to_numpy() for x in ("node", "n", "t", "own", "low", "high")}
