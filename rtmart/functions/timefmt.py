@@ -25,7 +25,8 @@ def millis_to_hour(ms) -> Column:
 def valid_time(text) -> Column:
     """True for a null and for a 'yyyy-MM-dd HH:mm:ss' text."""
     t = _c(text)
-    return t.isNull() | F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss")).isNotNull()
+    shaped = (F.length(t) == 19) & (F.substring(t, 11, 1) == " ")
+    return t.isNull() | (shaped & t.try_cast("timestamp").isNotNull())
 
 
 def millis_to_minute(ms) -> Column:
