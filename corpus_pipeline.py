@@ -19,7 +19,7 @@ from rtmart.operators.lineage import cut_lineage
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Lines frequent in a host go from the texts, and documents that the rules reject go."""
     return keep_good(docs)
 
 

@@ -14,7 +14,7 @@ a text all of whose lines go becomes empty; an empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from rtmart.llm import text as T
 from rtmart.operators.lineage import cut_lineage
@@ -55,13 +55,6 @@ def boilerplate(places: DataFrame, min_sites: int) -> DataFrame:
                     F.col("first.pos").alias("first_pos")))
 
 
-def _without(text: Column, removed: Column) -> Column:
-    """The text without the lines at the removed positions, in linear time."""
-    return T.let(F.split(text, "\n"), lambda x: F.array_join(
-        F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), removed),
-                    lambda p: F.get(x, p)), "\n"))
-
-
 def _shortened(docs: DataFrame, min_sites: int) -> tuple[DataFrame, dict]:
     """Packed rows with n_removed, and the columns that replace the caller's."""
     places = cut_lineage(line_places(docs), "line-places")
@@ -71,7 +64,7 @@ def _shortened(docs: DataFrame, min_sites: int) -> tuple[DataFrame, dict]:
             .groupBy("key").agg(F.collect_set("pos").alias("removed")))
     rows = T.packed(docs, F.col("text").alias("text")).join(gone, "key", "left")
     changed = F.col("removed").isNotNull()
-    new = {"text": F.when(changed, _without(F.col("text"), F.col("removed")))
+    new = {"text": F.when(changed, T.without_lines(F.col("text"), F.col("removed")))
            .otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
         given = F.col(f"in_{docs.columns.index('n_chars')}")

@@ -2,10 +2,12 @@
 
 A line is hashed after normalising; its distinct documents are counted per
 host. Lines found in more than ``max_docs`` documents of one host are removed
-from all of them but the first (smallest doc_id), and a document left with
-too few of its words is rejected, beside those that the base rules reject.
+from the texts of all of them but the first (smallest doc_id), and a document
+whose shortened text holds too few of its words is rejected, beside those that
+the base rules reject. Counts other than removed_words are of the given text.
 
-Defined cases: a null text is empty (0 words: base_failed); a null source is a
+Defined cases: a null text is empty (0 words: base_failed) and stays null; a
+text all of whose lines go becomes empty; a null source is a
 host of its own; repeated rows are one document and get the same verdict; a
 null doc_id is carried as null; an empty table gives no rows.
 """
@@ -50,13 +52,13 @@ def _repeated(w: Column) -> Column:
 
 
 def text_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id, key and the base counts of each row; no shuffle.
+    """Packed rows with their text and its base counts; no shuffle.
 
     Windows are compared by 64-bit hash within one text.
     """
     text = T.whole_text()
-    base = docs.select(
-        "doc_id", T.row_key().alias("key"),
+    base = T.packed(
+        docs, F.col("doc_id").alias("doc_id"), F.col("text").alias("text"),
         T.let(T.words(text), lambda w: F.struct(
             F.size(w).cast("long").alias("n_words"),
             _repeated(w).cast("long").alias("n_repeat_words"))).alias("w"),
@@ -65,18 +67,16 @@ def text_statistics(docs: DataFrame) -> DataFrame:
         .alias("n_symbols"),
         T.let(T.word_lines(text), lambda x: F.size(x) - F.size(F.array_distinct(x)))
         .cast("long").alias("n_dup_lines"))
-    return base.select("doc_id", "key", "w.n_words", "word_chars", "n_symbols",
-                       "n_dup_lines", "w.n_repeat_words")
+    return base.select(*[c for c in base.columns if c != "w"], "w.n_words", "w.n_repeat_words")
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
-    """One small row per line: its hash within the host, its document, its words."""
+    """One small row per line with a word: its hash within the host, document, position."""
     lines = docs.select("doc_id", "source", T.row_key().alias("key"),
-                        F.posexplode(T.word_lines(T.whole_text())).alias("pos", "line"))
-    return lines.select(
+                        F.posexplode(F.split(T.whole_text(), "\n")).alias("pos", "line"))
+    return lines.where(F.col("line").rlike(T.NOT_SPACE)).select(
         "doc_id", "key", "pos",
-        F.xxhash64("source", T.normalised_line(F.col("line"))).alias("line_hash"),
-        F.size(T.words(F.col("line"))).alias("line_words"))
+        F.xxhash64("source", T.normalised_line(F.col("line"))).alias("line_hash"))
 
 
 def frequent_lines(lines: DataFrame, max_docs: int) -> DataFrame:
@@ -96,31 +96,48 @@ def frequent_lines(lines: DataFrame, max_docs: int) -> DataFrame:
             .select("line_hash", F.col("first.key").alias("first_key")))
 
 
-def quality_rules(docs: DataFrame, max_docs: int = 50, min_left_percent: int = 10,
-                  min_words: int = 10, max_repeat_percent: int = 20) -> DataFrame:
-    """doc_id, key, counts, removed_words, base_failed and kept per row of ``docs``."""
+def _judged(docs: DataFrame, max_docs: int = 50, min_left_percent: int = 10,
+            min_words: int = 10, max_repeat_percent: int = 20) -> DataFrame:
+    """Packed rows: shortened text, changed, counts, removed_words, base_failed and kept."""
     lines = cut_lineage(document_lines(docs), "quality-lines")
-    removed = (lines.join(frequent_lines(lines, max_docs), "line_hash")
-               .where(F.col("key") != F.col("first_key"))
-               # repeated rows list the same places
-               .groupBy("key", "pos").agg(F.max("line_words").alias("line_words"))
-               .groupBy("key").agg(F.sum("line_words").alias("removed")))
+    gone = (lines.join(frequent_lines(lines, max_docs), "line_hash")
+            .where(F.col("key") != F.col("first_key"))
+            # a set: repeated rows list the same places
+            .groupBy("key").agg(F.collect_set("pos").alias("removed")))
+    changed = F.col("removed").isNotNull()
+    rows = (text_statistics(docs).join(gone, "key", "left")
+            .withColumn("changed", changed)
+            .withColumn("text", F.when(changed, T.without_lines(F.col("text"), F.col("removed")))
+                        .otherwise(F.col("text"))))
+    left = F.when(F.col("changed"), F.size(T.words(F.col("text")))).otherwise(F.col("n_words"))
     failed = ((F.col("n_words") < min_words)
               | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")))
-    left = F.col("n_words") - F.col("removed_words")
-    return (text_statistics(docs).join(removed, "key", "left")
-            .withColumn("removed_words", F.coalesce("removed", F.lit(0)).cast("long"))
+    return (rows.withColumn("removed_words", (F.col("n_words") - left).cast("long"))
             .withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed")
-                        & (100 * left >= min_left_percent * F.col("n_words")))
-            .drop("removed"))
+                        & (100 * (F.col("n_words") - F.col("removed_words"))
+                           >= min_left_percent * F.col("n_words"))))
+
+
+def quality_rules(docs: DataFrame, **limits) -> DataFrame:
+    """Per row of ``docs``: doc_id, key, counts, removed_words, base_failed, kept, and
+    the shortened text with its n_chars."""
+    return _judged(docs.select("doc_id", "source", "text"), **limits).select(
+        "doc_id", "key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "removed_words", "base_failed", "kept", "text",
+        F.length("text").cast("long").alias("n_chars"))
 
 
 def keep_good(docs: DataFrame, **limits) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, unchanged."""
-    rejected = quality_rules(docs, **limits).where(~F.col("kept")).select("key").distinct()
-    rows = T.packed(docs).join(rejected, "key", "left_anti")
-    return T.unpacked(rows, docs.columns)
+    """The rows of ``docs`` that the rules keep, with shortened texts; n_chars,
+    where there is one, follows them."""
+    rows = _judged(docs, **limits).where("kept")
+    new = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        given = F.col(f"in_{docs.columns.index('n_chars')}")
+        new["n_chars"] = (F.when(F.col("changed"), F.length("text")).otherwise(given)
+                          .cast(docs.schema["n_chars"].dataType))
+    return T.unpacked(rows, docs.columns, **new)
 
 
 def op3_quality_rules(spark, sf_dir: str) -> DataFrame:

@@ -88,6 +88,21 @@ def test_depleted_documents_go_and_the_first_stays(spark):
     assert {r.doc_id for r in left.collect()} == {k for k, v in kept.items() if v}
 
 
+def test_a_frequent_line_of_one_host_stands_in_its_first_document_only(spark):
+    rng = random.Random(4)
+    notice, own = "Terms of  THIS host apply", [prose(rng, 30) for _ in range(61)]
+    rows = [(k, f"{own[k]}\n\n{notice}\nend {k}", "h") for k in range(60)] + [(60, own[60], "other")]
+    docs = clashing(spark, rows + rows[5:6])                        # a repeated row
+    want = {k: f"{own[k]}\n\nend {k}" for k in range(1, 60)} | {0: rows[0][1], 60: own[60]}
+    out = quality.keep_good(docs).collect()
+    assert len(out) == 62
+    for r in out:
+        assert r.text == want[r.doc_id] and r.n_chars == len(r.text)
+    for r in quality.quality_rules(docs).collect():
+        assert r.text == want[r.doc_id] and r.n_chars == len(r.text)
+        assert r.removed_words == (5 if 0 < r.doc_id < 60 else 0)
+
+
 # -- line dedup ------------------------------------------------------------
 
 def test_line_dedup_by_distinct_sites(spark):
