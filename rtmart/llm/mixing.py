@@ -2,10 +2,13 @@
 
 The words of each source are laid end to end and cut into blocks of fixed
 length. A source gets as many slots as its target asks for; a multinomial draw
-spreads them over the output shards. Slot k of epoch e holds the block that a
-pseudorandom permutation of the source's block numbers gives to k, so an epoch
-takes every block once. Slots and blocks are joined by source and block
-number. The last slot of a source is cut so that its words meet the target.
+decides how many of them each output shard holds. Slot k of epoch e holds the
+block that a pseudorandom permutation of the source's block numbers gives to k,
+so an epoch takes every block once. Slots and blocks are joined by source and
+block number. The last slot of a source is cut so that its words meet the target.
+
+The mix is mixed_blocks: a row per slot, with its shard and the block's joined
+words. The documents' pieces and the words taken of each are read off it.
 
 Defined cases: null text has no words; a null source is a source of its own,
 last in order; repeated rows are separate documents of equal standing; sources
@@ -207,6 +210,57 @@ def n_shards(sources: DataFrame, block: int) -> int:
     return max(1, int(-(-words // (block * SLOTS_PER_SHARD))))
 
 
+def _mix(rows: DataFrame, sources: DataFrame, given: list[str], block: int) -> DataFrame:
+    """src, shard, slot, block, words, text, places: a row per slot.
+
+    ``places`` lists the pieces of documents in the block: at, n, and the ``given``
+    columns of their rows.
+    """
+    pieces = rows.select(
+        *given, "src",
+        F.explode(T.let(T.words(T.whole_text()), lambda w: _blocks_of(w, block))).alias("p"))
+    pieces = pieces.select("src", F.col("p.block").alias("block"), F.struct(
+        F.col("p.at").alias("at"), F.col("p.n").alias("n"),
+        F.array_join("p.words", " ").alias("piece"), *given).alias("piece"))
+    # grouped by the join's key, so texts are dealt once for both
+    whole = pieces.groupBy("src", "block").agg(F.array_sort(
+        F.collect_list("piece"), lambda x, y: (x["at"] - y["at"]).cast("int")).alias("pieces"))
+    slots = draw_slots(sources, n_shards(sources, block), block)
+    text = F.array_join(F.transform("pieces", lambda x: x["piece"]), " ")
+    full = F.aggregate("pieces", F.lit(0).cast("long"), lambda n, x: n + x["n"])
+    mix = whole.join(slots, ["src", "block"]).withColumns(
+        {"full": full, "text": text, "w": F.col("words").cast("int")})
+    return mix.select(
+        "src", "shard", "slot", "block", "words",
+        F.when(F.col("words") < F.col("full"), F.expr("substring_index(text, ' ', w)"))
+        .otherwise(F.col("text")).alias("text"),
+        F.transform("pieces", lambda x: F.struct(
+            x["at"].alias("at"), x["n"].alias("n"), *[x[c].alias(c) for c in given]))
+        .alias("places"))
+
+
+def mixed_blocks(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
+    """The mix: source, shard, slot, block, words and the joined text of each slot."""
+    rows, sources = layout(docs.select("doc_id", "source", "text"))
+    mix = _mix(rows, sources, [], block)
+    return mix.select(F.when(F.col("src") != "", F.expr("substring(src, 2)")).alias("source"),
+                      "shard", "slot", "block", "words", "text")
+
+
+def _taken_pieces(mix: DataFrame, given: list[str]) -> DataFrame:
+    """shard, slot, at, n, piece and the given columns: the mix's texts, by document."""
+    def cut(w: Column) -> Column:
+        inside = F.filter("places", lambda p: p["at"] < F.size(w))
+        return F.transform(inside, lambda p: F.struct(
+            p["at"].alias("at"), *[p[c].alias(c) for c in given],
+            F.slice(w, (p["at"] + 1).cast("int"), p["n"].cast("int")).alias("words")))
+
+    drawn = mix.select("shard", "slot", F.explode(T.let(F.split("text", " "), cut)).alias("p"))
+    return drawn.select("shard", "slot", F.col("p.at").alias("at"),
+                        *[F.col(f"p.{c}").alias(c) for c in given],
+                        F.size("p.words").alias("n"), F.array_join("p.words", " ").alias("piece"))
+
+
 def mixed_documents(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     """The mix as rows of documents: a row per drawn piece of a document.
 
@@ -217,41 +271,31 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     given = [F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(docs.columns) if c != "text"]
     rows, sources = layout(docs.select(*given, "doc_id", "source", "text"))
     names = [f"in_{i}" for i, c in enumerate(docs.columns) if c != "text"]
-    pieces = rows.select(
-        *names, "src",
-        F.explode(T.let(T.words(T.whole_text()), lambda w: _blocks_of(w, block))).alias("p"))
-    pieces = pieces.select(*names, "src", F.col("p.block").alias("block"),
-                           F.col("p.at").alias("at"), F.col("p.n").alias("n"),
-                           F.array_join("p.words", " ").alias("piece"))
-    slots = draw_slots(sources, n_shards(sources, block), block)
-    drawn = pieces.join(slots, ["src", "block"])
-    n = F.least(F.col("n"), F.col("words") - F.col("at")).cast("int")
-    drawn = drawn.withColumn("m", n).where(F.col("m") > 0).withColumn(
-        "text", F.when(F.col("m") < F.col("n"), F.expr("substring_index(piece, ' ', m)"))
-        .otherwise(F.col("piece")))
-    new = {"text": F.col("text")}
+    drawn = _taken_pieces(_mix(rows, sources, names, block), names)
+    new = {"text": F.col("piece")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.length("piece").cast(docs.schema["n_chars"].dataType)
     return T.unpacked(drawn, docs.columns, **new)
 
 
 def taken_words(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
-    """doc_id, size, source_size, target, taken per row: the mix, counted."""
+    """doc_id, size, source_size, target, taken, mix_digest per row, read off the mix.
+
+    ``mix_digest`` is made of the row's words in the mix and the shards, slots
+    and places where they stand.
+    """
+    row = ["src", "part", "rn"]
     rows, sources = layout(docs.select("doc_id", "source", "text"))
-    rows = rows.select("doc_id", "src", "part", "rn", "size", "start", "source_size", "target")
-    rows = cut_lineage(rows, "mix-layout")
-    slots = draw_slots(sources, n_shards(sources, block), block)
-    pieces = rows.select("src", "part", "rn", F.explode(_blocks_of(None, block)).alias("p"))
-    pieces = pieces.select("src", "part", "rn", F.col("p.block").alias("block"),
-                           F.col("p.at").alias("at"), F.col("p.n").alias("n"))
-    taken = (pieces.join(slots, ["src", "block"])
-             .select("src", "part", "rn",
-                     F.greatest(F.lit(0), F.least(F.col("n"), F.col("words") - F.col("at")))
-                     .alias("taken"))
-             .groupBy("src", "part", "rn").agg(F.sum("taken").alias("taken")))
-    return rows.join(taken, ["src", "part", "rn"], "left").select(
+    named = rows.withColumn("row", F.struct(*row))
+    taken = (_taken_pieces(_mix(named, sources, ["row"], block), ["row"])
+             .groupBy(*[F.col(f"row.{c}").alias(c) for c in row])
+             .agg(F.sum("n").alias("taken"),
+                  F.bit_xor(F.xxhash64("shard", "slot", "at", "piece")).alias("mix_digest")))
+    return rows.select(*row, "doc_id", "size", "source_size", "target").join(
+        taken, row, "left").select(
         "doc_id", "size", "source_size", "target",
-        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        F.coalesce("mix_digest", F.lit(0)).cast("long").alias("mix_digest"))
 
 
 def op8_mixing(spark, sf_dir: str) -> DataFrame:

@@ -317,6 +317,43 @@ def test_mixed_documents_are_pieces_of_the_documents(spark):
     assert words == {k: v for k, v in counted.items() if v}
 
 
+def test_the_mix_is_blocks_of_text_dealt_to_shards(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = [(k, prose(rng, rng.randrange(1, 90)), f"s{k % 3}") for k in range(60)] + [(90, "a b c", None)]
+    docs = clashing(spark, rows)
+    monkeypatch.setattr(mixing, "SLOTS_PER_SHARD", 8)
+    mix = mixing.mixed_blocks(docs, block=16).collect()
+    _, sources = mixing.layout(docs.select("doc_id", "source", "text"))
+    shards = mixing.n_shards(sources, 16)
+    sizes, slots, dealt, texts = {}, {}, {}, {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + len(B.words(t))
+    for r in mix:
+        assert len(r.text.split(" ")) == r.words <= 16
+        slots.setdefault(r.source, []).append(r.slot)
+        dealt.setdefault(r.source, {}).setdefault(r.shard, 0)
+        dealt[r.source][r.shard] += 1
+        texts.setdefault((r.source, r.block), set()).add(r.text)
+    want = targets(sizes)
+    seeds = {r.src[1:] or None: r.seed for r in sources.select(
+        "src", mixing.F.xxhash64("src", mixing.F.lit(mixing.SEED)).alias("seed")).collect()}
+    for s in sizes:
+        assert sorted(slots[s]) == list(range(len(slots[s])))
+        assert abs(sum(r.words for r in mix if r.source == s) - want[s]) <= 1
+        found, n = mixing.shard_counts(len(slots[s]), shards, seeds[s] & (2 ** 63 - 1))
+        assert dealt[s] == dict(zip(found.tolist(), n.tolist()))
+    assert shards > 2 and len({r.shard for r in mix}) > 2
+    # a block drawn again has the same text, but for the cut one
+    assert all(max(x, key=len).startswith(y) for x in texts.values() for y in x)
+    drawn = mixing.mixed_documents(docs, block=16).collect()
+    assert sorted(w for r in drawn for w in r.text.split(" ")) == sorted(
+        w for r in mix for w in r.text.split(" "))
+    few = {r.doc_id: r.mix_digest for r in mixing.taken_words(docs, block=16).collect()}
+    monkeypatch.setattr(mixing, "SLOTS_PER_SHARD", 1024)
+    one = {r.doc_id: r.mix_digest for r in mixing.taken_words(docs, block=16).collect()}
+    assert few != one
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 16, 17, 1000, 4097])
 def test_permutation(n):
     for seed in (0, 5, 2 ** 63):
