@@ -113,4 +113,4 @@ def pack(docs: DataFrame, max_len: int = MAX_LEN, buckets: int = BUCKETS,
 
 
 def op7_packing(spark, sf_dir: str) -> DataFrame:
-    return pack(T.documents(spark, sf_dir).select("doc_id", "source", "text")).drop("text")
+    return pack(T.documents(spark, sf_dir).select("doc_id", "source", "text"))

@@ -258,6 +258,19 @@ def test_packing_keeps_every_word_and_the_budget(spark):
     assert histogram == seen
 
 
+def test_the_packing_query_gives_the_texts(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").collect()
+    out = packing.op7_packing(spark, sf_small).collect()
+    assert all(len(r.text.split(" ")) == r.n_tokens for r in out)
+    got, want = {}, {}
+    for r in sorted(out, key=lambda r: r.piece):
+        got.setdefault(r.doc_id, []).extend(r.text.split(" "))
+    for r in docs:
+        if B.words(r.text):
+            want[r.doc_id] = B.words(r.text)
+    assert len({r.doc_id for r in docs}) == len(docs) and got == want
+
+
 # -- mixing ----------------------------------------------------------------
 
 def targets(sizes):
