@@ -103,6 +103,19 @@ def test_a_frequent_line_of_one_host_stands_in_its_first_document_only(spark):
         assert r.removed_words == (5 if 0 < r.doc_id < 60 else 0)
 
 
+def test_the_default_limits_reject_a_depleted_document(spark):
+    rng = random.Random(5)
+    notice = "\n".join(prose(rng, 19) for _ in range(10))             # 190 words
+    rows = [(k, f"{notice}\n{prose(rng, 12)}", "h") for k in range(52)]      # 12 of 202 words are left
+    rows += [(100 + k, f"{notice}\n{prose(rng, 24)}", "h") for k in range(4)]  # 24 of 214
+    rows += [(200 + k, f"{notice}\n{prose(rng, 12)}", "other") for k in range(50)]
+    got = {r.doc_id: r for r in quality.quality_rules(frame(spark, rows)).collect()}
+    assert got[0].kept and not any(got[k].kept for k in range(1, 52))
+    assert not any(got[k].base_failed for k in got)
+    assert all(got[100 + k].kept and len(B.words(got[100 + k].text)) == 24 for k in range(4))
+    assert all(got[200 + k].kept and got[200 + k].removed_words == 0 for k in range(50))
+
+
 # -- line dedup ------------------------------------------------------------
 
 def test_line_dedup_by_distinct_sites(spark):
