@@ -217,3 +217,91 @@ ORACLES = {
     "op4_embedding_near_dedup": OP4_EMBEDDING_NEAR_DEDUP,
     "op9_license_scans": _license_scans(),
 }
+
+
+# Every document's five failures, then every step of every order by brute force.
+ORACLES["op12_filter_interaction_audit"] = r"""
+WITH l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+                  max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+           FROM labels GROUP BY doc_id),
+d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM d),
+f AS (
+  SELECT w.part, coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic,
+         (CASE WHEN len(words) < 100 THEN 'A' ELSE '' END)
+         || (CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END)
+         || (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 10 * length(text)
+                  THEN 'C' ELSE '' END)
+         || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END)
+         || (CASE WHEN w.doc_id > min(w.doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END) AS fails
+  FROM w LEFT JOIN l ON l.doc_id = w.doc_id),
+c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+      FROM letter a, letter b, letter c, letter d, letter e
+      WHERE a.x <> b.x AND a.x <> c.x AND a.x <> d.x AND a.x <> e.x AND b.x <> c.x AND b.x <> d.x
+        AND b.x <> e.x AND c.x <> d.x AND c.x <> e.x AND d.x <> e.x),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS own, substr(filter_order, 1, step - 1) AS before
+      FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+t AS (
+  SELECT c.part, s.filter_order, s.step, s.own,
+         -- the letters that both strings have: none when nothing was failed before
+         CASE WHEN s.before = '' OR NOT regexp_matches(c.fails, '[' || s.before || ']') THEN 1 ELSE 0 END AS alive,
+         CASE WHEN contains(c.fails, s.own) THEN 1 ELSE 0 END AS hit,
+         CASE WHEN c.fails = s.own THEN 1 ELSE 0 END AS alone, c.n, c.good, c.toxic
+  FROM c, s),
+r AS (
+  SELECT part, filter_order, step, own,
+         CAST(sum(n * alive * (1 - hit)) AS BIGINT) AS kept, CAST(sum(n * alive * hit) AS BIGINT) AS removed,
+         CAST(sum(n * (1 - alive) * hit) AS BIGINT) AS redundant, CAST(sum(n * alone) AS BIGINT) AS unique_fails,
+         CAST(sum(good * alive * hit) AS BIGINT) AS good_lost,
+         CAST(sum(toxic * alive * hit) AS BIGINT) AS toxic_lost
+  FROM t GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM r"""
+
+
+def _codes_sql() -> str:
+    """Two rounds of assignment and averaging over (vector, part, position) rows."""
+    def assigned(books: str) -> str:
+        return f"""
+  SELECT vec_id, part, entry, dist FROM (
+    SELECT v.vec_id, v.part, b.entry, CAST(sum((v.x - b.x) * (v.x - b.x)) AS BIGINT) AS dist
+    FROM v JOIN {books} b ON b.part = v.part AND b.pos = v.pos
+    GROUP BY v.vec_id, v.part, b.entry)
+  QUALIFY row_number() OVER (PARTITION BY vec_id, part ORDER BY dist, entry) = 1"""
+
+    def moved(books: str, a: str) -> str:
+        return f"""
+  SELECT b.part, b.entry, b.pos, coalesce(m.x, b.x) AS x
+  FROM {books} b LEFT JOIN (
+    SELECT v.part, a.entry, v.pos,
+           CAST((sum(v.x) - ((sum(v.x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS x
+    FROM v JOIN {a} a ON a.vec_id = v.vec_id AND a.part = v.part GROUP BY v.part, a.entry, v.pos) m
+  ON m.part = b.part AND m.entry = b.entry AND m.pos = b.pos"""
+
+    return f"""
+WITH e AS (
+  SELECT vec_id, label, embedding, len(embedding) // 16 AS width FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS (
+  SELECT vec_id, (i - 1) // width AS part, (i - 1) % width AS pos,
+         CAST(floor(256 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x
+  FROM (SELECT vec_id, embedding, width, unnest(range(1, len(embedding) + 1)) AS i FROM e)),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM e
+          QUALIFY entry < 64),
+b0 AS MATERIALIZED (SELECT v.part, first.entry, v.pos, v.x FROM v JOIN first ON first.vec_id = v.vec_id),
+a0 AS MATERIALIZED ({assigned("b0")}),
+b1 AS MATERIALIZED ({moved("b0", "a0")}),
+a1 AS MATERIALIZED ({assigned("b1")}),
+b2 AS MATERIALIZED ({moved("b1", "a1")}),
+a2 AS MATERIALIZED ({assigned("b2")}),
+c AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code,
+             CAST(sum(dist) AS BIGINT) AS error FROM a2 GROUP BY vec_id)
+SELECT c.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY e.label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM b2) AS codebooks_sha256
+FROM c JOIN e ON e.vec_id = c.vec_id"""
+
+
+ORACLES["op13_vector_code_compression"] = _codes_sql()
