@@ -23,19 +23,21 @@ HOUR_BUCKETS = 24
 _COMMON = ["mid", "uid", "ar", "ch", "vc"]
 
 
-def parse_app_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
+def parse_app_log(raw: DataFrame, value_col: str = "value", keep=()) -> DataFrame:
     """Raw JSON log text -> typed columns plus ``is_valid``.
 
-    Columns: mid, uid, ar, ch, vc, ts (epoch ms), event_id, has_start, is_valid.
+    Columns: the ``keep`` columns, mid, uid, ar, ch, vc, ts (epoch ms),
+    event_id, has_start, is_valid.
     Invalid rows (malformed JSON, no device id, no numeric ts) are kept with
     ``is_valid = false`` so callers can quarantine them instead of failing.
     A JSON ``null`` start counts as absent.
     """
-    top = json_fields(raw, value_col, ["common", "start", "ts", "event_id"], prefix="_")
-    both = json_fields(top, "_common", _COMMON, keep=["_start", "_ts", "_event_id"])
+    top = json_fields(raw, value_col, ["common", "start", "ts", "event_id"], keep=keep,
+                      prefix="_")
+    both = json_fields(top, "_common", _COMMON, keep=[*keep, "_start", "_ts", "_event_id"])
     ts = F.col("_ts").try_cast("bigint")
     return both.select(
-        *_COMMON,
+        *keep, *_COMMON,
         ts.alias("ts"),
         F.col("_event_id").try_cast("bigint").alias("event_id"),
         F.col("_start").isNotNull().alias("has_start"),
@@ -43,12 +45,31 @@ def parse_app_log(raw: DataFrame, value_col: str = "value") -> DataFrame:
     )
 
 
-def valid_logs(parsed: DataFrame) -> DataFrame:
-    return parsed.where("is_valid").drop("is_valid")
+def parse_app_log_variant(raw: DataFrame, paths: dict[str, str] | None = None,
+                          value_col: str = "value") -> DataFrame:
+    """P1/P3 by schema on read: the columns of ``parse_app_log`` and one more
+    for each of ``paths`` (name -> JSON path of any depth, arrays by
+    ``[index]``), as text.
+
+    A text is parsed once into a VARIANT and its fields are taken from that; a
+    text that is no JSON gives no VARIANT and is not valid. A JSON ``null``
+    counts as absent.
+    """
+    # a generator is a barrier: filters on the fields do not parse again
+    doc = raw.select(F.explode(F.array(F.try_parse_json(value_col))).alias("_doc"))
+    field = lambda path: F.try_variant_get("_doc", path, "string")
+    ts = field("$.ts").try_cast("bigint")
+    start = F.try_variant_get("_doc", "$.start", "variant")
+    cols = [field(f"$.common.{c}").alias(c) for c in _COMMON]
+    more = [field(p).alias(n) for n, p in (paths or {}).items()]
+    out = doc.select(
+        *cols, ts.alias("ts"), field("$.event_id").try_cast("bigint").alias("event_id"),
+        (start.isNotNull() & ~F.is_variant_null(start)).alias("has_start"), *more)
+    return out.withColumn("is_valid", F.col("mid").isNotNull() & F.col("ts").isNotNull())
 
 
-def quarantined_logs(parsed: DataFrame) -> DataFrame:
-    return parsed.where(~F.col("is_valid"))
+def valid_logs(parsed: DataFrame) -> DataFrame:
+    return parsed.where("is_valid").drop("is_valid")
 
 
 def dau_first_touch(logs: DataFrame) -> DataFrame:
@@ -127,12 +148,6 @@ def dau_hour_compare(dau: DataFrame, date: str | None = None,
     return out.select("dt", "hr", "today", "yesterday")
 
 
-def new_devices(dau: DataFrame) -> DataFrame:
-    """Q15: devices whose first active day is ``dt`` -> (dt, new_mid)."""
-    first_day = dau.groupBy("mid").agg(F.min("dt").alias("dt"))
-    return first_day.groupBy("dt").agg(F.count(F.lit(1)).alias("new_mid"))
-
-
 def realtime_total(dau: DataFrame, date: str | None = None) -> DataFrame:
     """Per day, the rows {id: dau, value: total} and {id: new_mid, value: n}.
 

@@ -9,9 +9,10 @@ all orders never lands in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rtmart.functions import create_date, create_hour, invalid_texts, parse_typed, to_json_row
+from rtmart.functions import (checked_fields, create_date, create_hour, invalid_texts, parse_typed,
+                              to_json_row)
 from rtmart.operators.routing import QUARANTINE_TOPIC
 from rtmart.operators.upsert import latest_per_key
 from rtmart.schemas import ORDER_DETAIL_FIELDS, ORDER_INFO_FIELDS, PROVINCE_FIELDS
@@ -26,25 +27,29 @@ DWD_ORDER_DETAIL_TOPIC = "DWD_ORDER_DETAIL"
 
 
 # What makes a record usable; texts that fail go to the quarantine topic.
-ORDER_CHECKS = {"required": ("id", "user_id"), "times": ("create_time",)}
-DETAIL_CHECKS = {"required": ("id", "order_id"), "times": ("create_time",)}
+ORDER_CHECKS = {"required": ("id", "user_id", "create_time"), "times": ("create_time",)}
+DETAIL_CHECKS = {"required": ("id", "order_id", "create_time"), "times": ("create_time",)}
 
+# The change type of a removed row, lower case.
+DELETE = "delete"
 
-def _quarantine(texts: DataFrame) -> DataFrame:
+
+def quarantined(texts: DataFrame) -> DataFrame:
+    """(topic, value) messages of unusable texts."""
     return texts.select(F.lit(QUARANTINE_TOPIC).alias("topic"), "value")
 
 
 def order_info_quarantine(ods: DataFrame, value_col: str = "value") -> DataFrame:
     """(topic, value) of the order texts that ``order_info_typed`` leaves out."""
-    return _quarantine(invalid_texts(ods, value_col, ORDER_INFO_FIELDS, **ORDER_CHECKS))
+    return quarantined(invalid_texts(ods, value_col, ORDER_INFO_FIELDS, **ORDER_CHECKS))
 
 
 def order_detail_quarantine(ods: DataFrame, value_col: str = "value") -> DataFrame:
-    return _quarantine(invalid_texts(ods, value_col, ORDER_DETAIL_FIELDS, **DETAIL_CHECKS))
+    return quarantined(invalid_texts(ods, value_col, ORDER_DETAIL_FIELDS, **DETAIL_CHECKS))
 
 
 def province_quarantine(ods: DataFrame, value_col: str = "value") -> DataFrame:
-    return _quarantine(invalid_texts(ods, value_col, PROVINCE_FIELDS))
+    return quarantined(invalid_texts(ods, value_col, PROVINCE_FIELDS))
 
 
 def order_info_typed(ods: DataFrame, value_col: str = "value") -> DataFrame:
@@ -73,6 +78,11 @@ def province_latest(versions: DataFrame, order_cols=("batch_id", "seq")) -> Data
     return latest.select(*[n for n, _ in PROVINCE_FIELDS])
 
 
+def no_provinces(spark: SparkSession) -> DataFrame:
+    """A province table without rows (none has come yet)."""
+    return spark.createDataFrame([], ", ".join(f"{n} string" for n, _ in PROVINCE_FIELDS))
+
+
 # ---------------------------------------------------------------- user state
 
 def user_state_from_orders(orders: DataFrame) -> DataFrame:
@@ -159,6 +169,18 @@ def order_info_messages(dwd: DataFrame) -> DataFrame:
                       to_json_row(*[F.col(c) for c in dwd.columns]).alias("value"))
 
 
+def order_detail_topics(ods: DataFrame, value_col: str = "value") -> DataFrame:
+    """The detail job in one parse: (topic, value) of every text, the usable
+    ones as detail messages and the others as they came, to the quarantine."""
+    texts = ods.select(F.col(value_col).alias("_text"))
+    checked = checked_fields(texts, "_text", ORDER_DETAIL_FIELDS, ["_text"], **DETAIL_CHECKS)
+    names = [n for n, _ in ORDER_DETAIL_FIELDS]
+    return checked.select(
+        F.when(F.col("is_valid"), DWD_ORDER_DETAIL_TOPIC).otherwise(QUARANTINE_TOPIC).alias("topic"),
+        F.when(F.col("is_valid"), to_json_row(*[F.col(n) for n in names]))
+        .otherwise(F.col("_text")).alias("value"))
+
+
 def order_detail_messages(details: DataFrame) -> DataFrame:
     """K1 + K7: detail messages (topic, value)."""
     return details.select(F.lit(DWD_ORDER_DETAIL_TOPIC).alias("topic"),

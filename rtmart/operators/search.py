@@ -16,13 +16,17 @@ def match_terms(text: str) -> list[str]:
     return [t for t in re.split(_SPLIT, text.lower()) if t]
 
 
+def terms_column(field: str) -> F.Column:
+    """The field's terms (an empty one where it starts or ends with a separator)."""
+    return F.split(F.lower(F.col(field)), _SPLIT)
+
+
 def match_column(field: str, text: str) -> F.Column:
     """True when the field shares any term with ``text`` (a match query)."""
     terms = match_terms(text)
     if not terms:
         return F.lit(False)
-    tokens = F.split(F.lower(F.col(field)), _SPLIT)
-    return F.coalesce(F.arrays_overlap(tokens, F.array(*[F.lit(t) for t in terms])),
+    return F.coalesce(F.arrays_overlap(terms_column(field), F.array(*[F.lit(t) for t in terms])),
                       F.lit(False))
 
 

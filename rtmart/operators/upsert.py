@@ -55,6 +55,51 @@ def write_version(df: DataFrame, path: str, batch_id: int,
     w.parquet(target)
 
 
+def is_complete(spark: SparkSession, path: str, batch_id: int, kind: str = DELTA) -> bool:
+    """Whether version ``batch_id`` has been written to its end."""
+    jvm, root, fs = file_system(spark, f"{path.rstrip('/')}/batch_id={int(batch_id)}/kind={kind}")
+    return fs.exists(jvm.org.apache.hadoop.fs.Path(root, "_SUCCESS"))
+
+
+def write_version_once(df: DataFrame, path: str, batch_id: int,
+                       partition_by: list[str] | None = None) -> None:
+    """``write_version`` for versions that a file stream reads.
+
+    A version that is complete stays as it is: a replay gives the same rows
+    and must not put them under new file names, which the stream would take
+    as new input. It is written aside and renamed, so the stream finds all of
+    its files or none.
+    """
+    if is_complete(df.sparkSession, path, batch_id):
+        return
+    jvm, root, fs = file_system(df.sparkSession, path.rstrip("/"))
+    Path = jvm.org.apache.hadoop.fs.Path
+    name = f"batch_id={int(batch_id)}"
+    write_version(df, f"{path.rstrip('/')}/_aside", batch_id, partition_by)
+    fs.delete(Path(root, name), True)                 # an attempt that was not finished
+    if not fs.rename(Path(root, f"_aside/{name}"), Path(root, name)):
+        raise RuntimeError(f"could not put version {batch_id} in place below {path}")
+
+
+def version_numbers(spark: SparkSession, path: str) -> list[int]:
+    """The versions written to their end, ascending (a folder listing)."""
+    jvm, root, fs = file_system(spark, path)
+    if not fs.exists(root):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(root)]
+    numbers = sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("batch_id="))
+    return [n for n in numbers if any(is_complete(spark, path, n, k) for k in (DELTA, BASE))]
+
+
+def as_of_floor(spark: SparkSession, path: str) -> int | None:
+    """The earliest version that the table can still be read as of, if folds have dropped some."""
+    jvm, root, fs = file_system(spark, path)
+    if not fs.exists(root):
+        return None
+    names = [st.getPath().getName() for st in fs.listStatus(root)]
+    return max((int(n[len(FLOOR):]) for n in names if n.startswith(FLOOR)), default=None)
+
+
 def read_versions(spark: SparkSession, path: str, schema=None,
                   before: int | None = None) -> DataFrame:
     """All stored versions (columns ``batch_id`` and ``kind`` from the folders).
@@ -90,6 +135,7 @@ def read_first(spark: SparkSession, path: str, keys: list[str],
 
 
 FOLDED = "_folded_"      # lists the folders that a fold made redundant
+FLOOR = "_as_of_floor_"  # names the fold whose redundant folders are gone
 
 
 def file_system(spark: SparkSession, path: str):
@@ -99,6 +145,11 @@ def file_system(spark: SparkSession, path: str):
     return jvm, root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    _, root, fs = file_system(spark, path)
+    return fs.exists(root)
+
+
 def compact(spark: SparkSession, path: str, keys: list[str], order_cols: list[str],
             at: int, schema=None, drop_older: bool = True,
             partition_by: list[str] | None = None, since: int | None = None,
@@ -168,6 +219,8 @@ def drop_folded(spark: SparkSession, path: str, before: int) -> None:
         name = st.getPath().getName()
         if not name.startswith(FOLDED) or int(name[len(FOLDED):]) >= int(before):
             continue
+        floor = Path(f"{base}/{FLOOR}{int(name[len(FOLDED):])}")
+        fs.create(floor, True).close()       # before anything is gone
         source = fs.open(st.getPath())
         listed = bytes(source.readAllBytes()).decode().split("\n")
         source.close()

@@ -73,19 +73,21 @@ def order_wide_windowed(info: DataFrame, detail: DataFrame,
     return i.join(d, "order_id", "inner").where(shared).select(*ORDER_WIDE_COLUMNS)
 
 
-def order_wide_interval(info: DataFrame, detail: DataFrame, bound_s: int = 10) -> DataFrame:
+def order_wide_interval(info: DataFrame, detail: DataFrame, bound_s: int = 10,
+                        info_more: tuple = (), detail_more: tuple = ()) -> DataFrame:
     """Equi-join on order id plus |detail time - order time| <= bound_s.
 
     This is the event-time form of the sliding-window join; in streaming the
     same condition plus watermarks bounds the join state.
     """
-    i = _info_side(info).withColumn("_it", F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss"))
-    d = _detail_side(detail).withColumn("_dt", F.to_timestamp("_detail_time",
-                                                              "yyyy-MM-dd HH:mm:ss"))
+    i = _info_side(info, info_more).withColumn(
+        "_it", F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss"))
+    d = _detail_side(detail, detail_more).withColumn(
+        "_dt", F.to_timestamp("_detail_time", "yyyy-MM-dd HH:mm:ss"))
     bound = F.expr(f"INTERVAL {int(bound_s)} SECONDS")
     cond = ((i.order_id == d.order_id) & (d._dt >= i._it - bound) & (d._dt <= i._it + bound))
     j = i.join(d, cond, "inner").drop(d.order_id)
-    return j.select(*ORDER_WIDE_COLUMNS)
+    return j.select(*ORDER_WIDE_COLUMNS, *info_more, *detail_more)
 
 
 def sliding_window_counts(df: DataFrame, ts_col: str = "ts", window_s: int = WINDOW_SECONDS,

@@ -409,5 +409,80 @@ JOIN ({_SQL["detail_dims"]}) d ON d.order_detail_id = w.order_detail_id
 JOIN ({_SQL["order_user_dim"]}) u ON u.id = w.order_id"""
 
 
+_SQL["stream_sliding_window_counts"] = _SQL["sliding_window_counts"]
+_SQL["stream_dau_hours"] = _SQL["dau_hour_count"]
+
+_SQL["stream_progress"] = """
+WITH s AS (
+  SELECT least(greatest(floor((event_id - lo) / ((hi - lo) / 120)), 0), 119) AS slice
+  FROM events, (SELECT CAST(min(event_id) AS DOUBLE) AS lo, CAST(max(event_id) AS DOUBLE) AS hi FROM events))
+SELECT count(DISTINCT slice) AS batches, count(DISTINCT slice) AS ranges, count(*) AS n_rows,
+       CAST(0 AS BIGINT) AS gaps, CAST(0 AS BIGINT) AS late
+FROM s"""
+
+# Batch k holds the k-th quarter of the orders' period and was first run when
+# the provinces were at their k-th change.
+_SQL["stream_replay_dimension"] = _w(STATE, """
+SELECT r.id, r.user_id, r.create_time,
+       CASE WHEN r.rn = 1 AND st.user_id IS NULL THEN '1' ELSE '0' END AS if_first_order,
+       'V' || CAST(least(greatest(floor((t - lo) / ((hi - lo) / 4)), 0), 3) AS BIGINT) || '_' || n_name
+         AS province_name
+FROM (SELECT id, user_id, province_id, create_time, CAST(epoch(CAST(create_time AS TIMESTAMP)) AS DOUBLE) AS t,
+             row_number() OVER (PARTITION BY user_id ORDER BY create_time, id) AS rn FROM b) r
+LEFT JOIN st ON r.user_id = st.user_id
+LEFT JOIN nation ON n_nationkey = r.province_id,
+(SELECT min(CAST(epoch(CAST(create_time AS TIMESTAMP)) AS DOUBLE)) AS lo,
+        max(CAST(epoch(CAST(create_time AS TIMESTAMP)) AS DOUBLE)) AS hi FROM b)""")
+
+_SQL["stream_quarantine"] = _w(AL + ",\n" + OD, """
+SELECT 'route' AS job, CASE WHEN event_id % 50 = 0 THEN 'QUARANTINE'
+                            WHEN has_start AND event_id % 50 <> 1 THEN 'GMALL_START'
+                            ELSE 'GMALL_EVENT' END AS topic, count(*) AS n FROM al GROUP BY 2
+UNION ALL
+SELECT 'dau', 'QUARANTINE', count(*) FROM al WHERE event_id % 50 < 2
+UNION ALL
+SELECT 'dau', 'device_days', count(DISTINCT mid || strftime(ts_raw, '%Y-%m-%d')) FROM al WHERE event_id % 50 >= 2
+UNION ALL
+SELECT 'detail', CASE WHEN id % 50 < 2 THEN 'QUARANTINE' ELSE 'DWD_ORDER_DETAIL' END, count(*) FROM od GROUP BY 2""")
+
+_SQL["cdc_quarantine"] = _w(OI, f"""
+SELECT CASE WHEN id % 50 < 2 THEN 'QUARANTINE' ELSE 'ODS_ORDER_INFO' END AS topic,
+       CASE id % 50 WHEN 0 THEN '{{"table":"order_info","type":"INSERT","data":"oops ' || id || '"}}'
+                    WHEN 1 THEN 'garbage ' || id ELSE {_quoted_json('oi', _OI_COLS)} END AS value
+FROM oi WHERE id % 50 <> 2""")
+
+_SQL["dim_province_deleted"] = _w(OI, """
+SELECT oi.id, oi.province_id, p.name AS province_name, p.area_code AS province_area_code,
+       p.iso AS province_3166_2_code
+FROM oi LEFT JOIN (
+  SELECT n_nationkey AS k, CASE WHEN n_nationkey = 10 THEN 'BACK_' WHEN n_nationkey % 2 = 1 THEN 'OLD_' ELSE '' END
+         || n_name AS name, CAST(n_regionkey AS VARCHAR) AS area_code, 'ISO-' || n_nationkey AS iso
+  FROM nation WHERE n_nationkey % 5 <> 0 OR n_nationkey = 10) p ON p.k = oi.province_id""")
+
+_SQL["device_report"] = _w(DAU, """
+SELECT d.dt, count(DISTINCT d.mid) AS devices,
+       (SELECT count(DISTINCT x.mid) FROM dau x WHERE CAST(x.dt AS DATE)
+          BETWEEN CAST(d.dt AS DATE) - 6 AND CAST(d.dt AS DATE)) AS trailing,
+       (SELECT count(*) FROM (SELECT mid FROM dau GROUP BY mid HAVING min(dt) = d.dt)) AS new_mid
+FROM dau d GROUP BY d.dt""")
+
+_SQL["match_top20_index"] = """
+SELECT * FROM (SELECT 'red' AS query, p_partkey, p_name, p_retailprice FROM part
+WHERE list_has_any(string_split_regex(lower(p_name), '[^a-z0-9]+'), ['red'])
+ORDER BY p_retailprice NULLS FIRST, p_partkey LIMIT 20)
+UNION ALL
+SELECT * FROM (SELECT 'Blue, RING' AS query, p_partkey, p_name, p_retailprice FROM part
+WHERE list_has_any(string_split_regex(lower(p_name), '[^a-z0-9]+'), ['blue', 'ring'])
+ORDER BY p_retailprice NULLS FIRST, p_partkey LIMIT 20)"""
+
+_SQL["parse_app_log_variant"] = _w(AL, """
+SELECT CASE WHEN ok THEN mid END AS mid, CASE WHEN ok THEN uid END AS uid, CASE WHEN ok THEN ar END AS ar,
+       CASE WHEN ok THEN ch END AS ch, CASE WHEN ok THEN vc END AS vc, CASE WHEN ok THEN ts_ms END AS ts,
+       CASE WHEN ok THEN event_id END AS event_id, coalesce(ok AND has_start, FALSE) AS has_start,
+       CASE WHEN ok THEN CAST(event_id % 7 AS VARCHAR) END AS first_item, CASE WHEN ok THEN ch END AS second_tag,
+       CAST(NULL AS VARCHAR) AS absent, ok AS is_valid
+FROM (SELECT *, event_id % 50 <> 0 AS ok FROM al)""")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)

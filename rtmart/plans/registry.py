@@ -5,23 +5,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rtmart.functions import millis_to_day, millis_to_hour, millis_to_minute, to_json_row
 from rtmart.operators import dau as D
+from rtmart.operators import devices as DV
 from rtmart.operators import dims as DM
 from rtmart.operators import orders as O
 from rtmart.operators import routing as R
 from rtmart.operators import search as SE
+from rtmart.operators import text_index as TI
 from rtmart.operators import wide as W
 from rtmart.operators.lineage import cut_lineage
-from rtmart.operators.upsert import latest_per_key, read_latest, write_version
+from rtmart.operators.upsert import latest_per_key, read_latest, read_versions, write_version
 from rtmart.session import shared_path
 from rtmart.sinks.files import archive_log_lines
 from rtmart.sources import fixtures as FX
 from rtmart.sources.streams import file_stream
 from rtmart.sources.tables import query_list, read_table
 from rtmart.streaming import jobs as J
+from rtmart.streaming import late as LT
+from rtmart.streaming import progress as PG
+from rtmart.streaming import reports as RP
 from rtmart.streaming.staging import stage_time_slices
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -469,16 +475,21 @@ def q_stream_redelivery(spark, sf):
         "id", "user_id", "create_time", "if_first_order")
 
 
-def q_stream_dau_late(spark, sf):
-    """Every seventh log line arrives after all others, up to the whole
-    period late; none is lost."""
-    base = shared_path(spark, "stream_dau_late")
+def _late_logs(spark, sf, base):
+    """The log stream with every seventh line after all others."""
     cols = FX.app_log_columns(_t(spark, sf, "events"))
     ten_years = 10 * 366 * 86_400_000
     msgs = cols.select(
         to_json_row("common", "start", "ts", "event_id").alias("value"),
         (F.col("ts") + F.when(F.col("event_id") % 7 == 0, ten_years).otherwise(0)).alias("_t"))
-    raw = _stream_of(spark, msgs, base, time_col="_t")
+    return _stream_of(spark, msgs, base, time_col="_t")
+
+
+def q_stream_dau_late(spark, sf):
+    """Every seventh log line arrives after all others, up to the whole
+    period late; none is lost."""
+    base = shared_path(spark, "stream_dau_late")
+    raw = _late_logs(spark, sf, base)
     J.start_dau(raw, f"{base}/table", f"{base}/ckpt", available_now=True).awaitTermination()
     return J.read_dau_table(spark, f"{base}/table")
 
@@ -509,18 +520,209 @@ def q_stream_order_wide(spark, sf):
     return _run_wide(spark, info, det.unionByName(det), shared_path(spark, "stream_order_wide"))
 
 
+DELAY_S = 3600                    # how late a message is joined by the stream itself
+WATERMARK = f"{DELAY_S + 1} seconds"
+SPAN_S = 90 * 86400               # the test data covers years: folders of a quarter
+
+
+def _split(spark, path, base, seconds):
+    """Run the late split over the files that have come so far."""
+    LT.start_split(file_stream(spark, path, "value string"), seconds, base, f"{base}_ckpt", DELAY_S,
+                   available_now=True, span_s=SPAN_S).awaitTermination()
+
+
 def q_stream_order_wide_late(spark, sf):
-    """The same with every fifth detail arriving after all others, later than
-    the watermark; the batch pass over the messages makes up for them."""
+    """J1 + D2 with every fifth detail arriving after all others, later than
+    the watermark: split off before the join, and joined by scheduled passes
+    that read the late topics and the spans of time that these touch."""
     base = shared_path(spark, "stream_order_wide_late")
     info, det = _wide_inputs(spark, sf)
     last = det.agg(F.max("_t")).first()[0] or 0
     late = F.xxhash64("value") % 5 == 0
-    wide = _run_wide(spark, info, det.withColumn("_t", F.when(late, last).otherwise(F.col("_t"))),
-                     base)
-    owed = J.missing_wide(spark.read.parquet(f"{base}/info"), spark.read.parquet(f"{base}/detail"),
-                          wide)
-    return wide.unionByName(owed)
+    det = det.withColumn("_t", F.when(late, last).otherwise(F.col("_t")))
+    bounds = None
+    for part in (range(0, N_SLICES // 2), range(N_SLICES // 2, N_SLICES)):
+        for name, rows in (("info", info), ("detail", det)):
+            bounds = stage_time_slices(rows, "_t", f"{base}/in_{name}", N_SLICES, FILES_PER_SLICE,
+                                       bounds=bounds, keep=["value"], only=part)
+            _split(spark, f"{base}/in_{name}", f"{base}/{name}", _order_time())
+        J.start_wide(file_stream(spark, f"{base}/info/on_time", "value string"),
+                     file_stream(spark, f"{base}/detail/on_time", "value string"),
+                     f"{base}/wide", f"{base}/ckpt", available_now=True, bound_s=10,
+                     watermark=WATERMARK).awaitTermination()
+        LT.late_wide(spark, f"{base}/info", f"{base}/detail", f"{base}/late", 10, SPAN_S,
+                     final=part.stop == N_SLICES)
+    return LT.read_wide(spark, f"{base}/wide", f"{base}/late")
+
+
+def q_stream_sliding_window_counts(spark, sf):
+    """W2 as a stream, every seventh event arriving after all others: windows
+    counted with state, late events added by a pass over the late topic."""
+    base = shared_path(spark, "stream_sliding_window_counts")
+    ten_years = 10 * 366 * 86400
+    events = _t(spark, sf, "events").select(
+        "event_id", F.unix_micros(F.col("ts").cast("timestamp")).cast("string").alias("value"))
+    seconds = F.col("value").cast("double") / 1_000_000
+    came = events.withColumn("_t", seconds + F.when(F.col("event_id") % 7 == 0, ten_years).otherwise(0))
+    for part in (range(0, N_SLICES // 2), range(N_SLICES // 2, N_SLICES)):
+        stage_time_slices(came, "_t", f"{base}/in", N_SLICES, FILES_PER_SLICE, keep=["value"], only=part)
+        _split(spark, f"{base}/in", f"{base}/events", seconds)
+        on_time = file_stream(spark, f"{base}/events/on_time", "value string")
+        J.start_sliding_counts(on_time, F.timestamp_micros(F.col("value").cast("long")), f"{base}/counts",
+                               f"{base}/ckpt", watermark=WATERMARK,
+                               available_now=True).awaitTermination()
+        LT.late_counts(spark, f"{base}/events", "value string", f"{base}/late_counts")
+    return J.read_sliding_counts(spark, f"{base}/counts", f"{base}/late_counts")
+
+
+def q_stream_progress(spark, sf):
+    """The record of a query of over a hundred micro-batches; every range
+    once and without a gap."""
+    base = shared_path(spark, "stream_progress")
+    msgs = FX.app_log_columns(_t(spark, sf, "events")).select(
+        to_json_row("common", "start", "ts", "event_id").alias("value"), F.col("event_id").alias("_t"))
+    stage_time_slices(msgs, "_t", f"{base}/in", PROGRESS_BATCHES, 1, keep=["value"], rows_per_file=None)
+    log = PG.ProgressLog(spark, f"{base}/progress", fold_every=25).attach()
+    query = J.start_topic_stream(R.route_app_log(file_stream(spark, f"{base}/in", "value string", 1)),
+                                 f"{base}/topics", f"{base}/ckpt", available_now=True)
+    query.awaitTermination()
+    log.detach(query)
+    offsets = PG.batch_offsets(spark, f"{base}/progress").where(F.col("rows") > 0).persist()
+    gaps, late = PG.uncovered(offsets).count(), PG.late_rows(offsets)
+    return offsets.agg(F.count(F.lit(1)).alias("batches"), F.count_distinct("end_offset").alias("ranges"),
+                       F.sum("rows").alias("n_rows")).select(
+        "*", F.lit(gaps).cast("long").alias("gaps"), F.lit(late).cast("long").alias("late"))
+
+
+PROGRESS_BATCHES = 120
+
+
+def q_stream_replay_dimension(spark, sf):
+    """Every micro-batch fails after its write and before its
+    commit, the province dimension changes, and the batch is run again: it
+    still reads the provinces that it read first."""
+    base = shared_path(spark, "stream_replay_dimension")
+    before, batch = FX.split_orders_by_state_cutoff(oi_rows(spark, sf))
+    write_version(O.user_state_from_orders(before), f"{base}/state", 0)
+    stage_time_slices(FX.order_info_text(batch), _order_time(), f"{base}/in", N_SLICES, 1, keep=["value"],
+                      rows_per_file=None)
+    nation = _t(spark, sf, "nation")
+
+    def change_provinces(version):
+        rows = O.province_typed(FX.province_renamed(nation, f"V{version}_"))
+        write_version(rows.withColumns({"seq": F.lit(version).cast("long"), "deleted": F.lit(False)}),
+                      f"{base}/provinces", version)
+
+    change_provinces(0)
+    fn = J.first_order_batch_fn(spark, f"{base}/state", f"{base}/out",
+                                J.province_table(spark, f"{base}/provinces"))
+    failed = set()
+
+    def fails_once(df, batch_id):
+        fn(df, batch_id)
+        if batch_id not in failed:
+            failed.add(batch_id)
+            change_provinces(batch_id + 1)
+            raise RuntimeError(f"batch {batch_id} is lost after its write")
+
+    stream = file_stream(spark, f"{base}/in", "value string", 1)
+    while True:
+        query = (stream.writeStream.option("checkpointLocation", f"{base}/ckpt").foreachBatch(fails_once)
+                 .trigger(availableNow=True).start())
+        try:
+            query.awaitTermination()
+            break
+        except StreamingQueryException as lost:
+            if "is lost after its write" not in str(lost):
+                raise
+    return J.read_flagged_orders(spark, f"{base}/out").select(
+        "id", "user_id", "create_time", "if_first_order", "province_name")
+
+
+def q_stream_dau_hours(spark, sf):
+    """A1-A3 kept up to date: every seventh record arrives after all others and
+    moves its device-day to an earlier hour; the counts follow."""
+    base = shared_path(spark, "stream_dau_hours")
+    raw = _late_logs(spark, sf, base)
+    J.start_dau(raw, f"{base}/table", f"{base}/ckpt", available_now=True,
+                hours_path=f"{base}/hours").awaitTermination()
+    return RP.read_hour_counts(spark, f"{base}/hours")
+
+
+def q_stream_quarantine(spark, sf):
+    """Unusable texts in the log, device and detail jobs: as many come out, used
+    or quarantined, as go in."""
+    base = shared_path(spark, "stream_quarantine")
+    logs = FX.app_log_text_dirty(_t(spark, sf, "events"))
+    raw = _stream_of(spark, logs, f"{base}/logs")
+    routed = _run_topics(spark, R.route_app_log(raw), f"{base}/route")
+    J.start_dau(raw, f"{base}/dau", f"{base}/dau_ckpt", available_now=True,
+                quarantine_path=f"{base}/dau_bad").awaitTermination()
+    details = _stream_of(spark, FX.order_detail_text_dirty(od_rows(spark, sf)), f"{base}/details")
+    typed = _run_topics(spark, O.order_detail_topics(details), f"{base}/typed")
+    out = [routed.select(F.lit("route").alias("job"), F.col("topic").cast("string").alias("topic")),
+           read_versions(spark, f"{base}/dau_bad").select(F.lit("dau").alias("job"), "topic"),
+           J.read_dau_table(spark, f"{base}/dau").select(F.lit("dau").alias("job"),
+                                                        F.lit("device_days").alias("topic")),
+           typed.select(F.lit("detail").alias("job"), F.col("topic").cast("string").alias("topic"))]
+    return (out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+            .groupBy("job", "topic").agg(F.count(F.lit(1)).alias("n")))
+
+
+def q_cdc_quarantine(spark, sf):
+    """Whitelisted envelopes whose data is no array, and texts that are no
+    envelope, are quarantined; the others are routed."""
+    return R.route_canal(FX.canal_envelopes_dirty(oi_rows(spark, sf)))
+
+
+def q_dim_province_deleted(spark, sf):
+    """K3/Q14: provinces inserted, renamed, deleted and one brought back, by
+    change records; folded in between. Orders of a deleted province have none."""
+    base = shared_path(spark, "dim_province_deleted")
+    changes = R.route_maxwell(FX.province_change_envelopes(_t(spark, sf, "nation")), with_op=True,
+                              keep=("seq",))
+    stage_time_slices(changes, "seq", f"{base}/in", 4, 1, keep=["value", "op", "seq"], rows_per_file=None)
+    stream = file_stream(spark, f"{base}/in", "value string, op string, seq long", 1)
+    J.start_dim_province(stream, f"{base}/table", f"{base}/ckpt", available_now=True,
+                         compact_every=2).awaitTermination()
+    return O.province_enrich(orders_typed(spark, sf), J.read_provinces(spark, f"{base}/table")).select(
+        "id", "province_id", "province_name", "province_area_code", "province_3166_2_code")
+
+
+def q_device_report(spark, sf):
+    """A5/D1/R1 from bitmaps: each day's devices, those of the seven days up to
+    it, and its new ones; the days come in two versions, some in both."""
+    base = shared_path(spark, "device_report")
+    dau = cut_lineage(dau_docs(spark, sf).select("dt", "mid"), "device_days")
+    day = F.dayofmonth(F.to_date("dt"))
+    for version, days in ((0, dau.where(day % 2 == 0)), (1, dau.where((day % 2 == 1) | (day == 10)))):
+        known = DV.extend_dictionary(spark, f"{base}/dictionary", days, version)
+        write_version(DV.day_bitmaps(days, known), f"{base}/bitmaps", version)
+    return DV.device_report(read_versions(spark, f"{base}/bitmaps"))
+
+
+def q_match_top20_index(spark, sf):
+    """F6/T1 by the inverted index: parts indexed with stale names first, then
+    changed; the first page of two matches, one of several terms."""
+    base = shared_path(spark, "match_top20_index")
+    part = _t(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice")
+    stale = part.withColumns({"p_name": F.concat(F.lit("red old "), "p_name"),
+                              "p_retailprice": -F.col("p_retailprice")})
+    for version, docs in ((0, stale), (1, part.where("p_partkey % 3 <> 0")), (2, part.where("p_partkey % 3 = 0")),
+                          (3, part.where("p_partkey % 7 = 0"))):
+        TI.write_postings(spark, f"{base}/index", docs, "p_partkey", "p_name", "p_retailprice", version)
+    pages = [TI.first_page(spark, f"{base}/index", text, part, "p_partkey", "p_retailprice").select(
+        F.lit(text).alias("query"), "*") for text in ("red", "Blue, RING")]
+    return pages[0].unionByName(pages[1])
+
+
+def q_parse_app_log_variant(spark, sf):
+    """P1/P3 by schema on read: the fields of ``parse_app_log``, array elements
+    and deeper ones; texts that are no JSON are marked."""
+    logs = FX.app_log_text_nested(_t(spark, sf, "events"))
+    return D.parse_app_log_variant(logs, {
+        "first_item": "$.displays[0].item", "second_tag": "$.displays[0].tags[1]",
+        "absent": "$.displays[7].item"})
 
 
 def q_stream_order_pipeline(spark, sf):
@@ -596,6 +798,16 @@ _REGISTRY: dict[str, Query] = {
     "stream_order_wide_late": q_stream_order_wide_late,
     "stream_order_pipeline": q_stream_order_pipeline,
     "order_wide_full": q_order_wide_full,
+    "stream_sliding_window_counts": q_stream_sliding_window_counts,
+    "stream_progress": q_stream_progress,
+    "stream_replay_dimension": q_stream_replay_dimension,
+    "stream_dau_hours": q_stream_dau_hours,
+    "stream_quarantine": q_stream_quarantine,
+    "cdc_quarantine": q_cdc_quarantine,
+    "dim_province_deleted": q_dim_province_deleted,
+    "device_report": q_device_report,
+    "match_top20_index": q_match_top20_index,
+    "parse_app_log_variant": q_parse_app_log_variant,
 }
 
 

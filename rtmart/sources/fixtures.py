@@ -46,11 +46,32 @@ def app_log_text(events: DataFrame) -> DataFrame:
     return c.select(to_json_row("common", "start", "ts", "event_id").alias("value"))
 
 
+def app_log_text_dirty(events: DataFrame) -> DataFrame:
+    """Log lines, some unusable: by the event's id, one in 50 each is no JSON, or an
+    object that names no device."""
+    id_ = F.col("event_id").cast("string")
+    kind = F.col("event_id") % 50
+    return app_log_columns(events).select(
+        F.when(kind == 0, F.concat(F.lit("garbage "), id_))
+        .when(kind == 1, F.concat(F.lit('{"ts":"'), id_, F.lit('"}')))
+        .otherwise(to_json_row("common", "start", "ts", "event_id")).alias("value"))
+
+
+def app_log_text_nested(events: DataFrame) -> DataFrame:
+    """Log lines with an array of objects; one in 50 is cut off."""
+    displays = F.array(F.struct((F.col("event_id") % 7).alias("item"),
+                                F.array(F.lit("x"), F.col("common.ch")).alias("tags")))
+    text = to_json_row("common", "start", "ts", "event_id", displays.alias("displays"))
+    return app_log_columns(events).select(
+        F.when(F.col("event_id") % 50 == 0, F.substring(text, 1, 20)).otherwise(text).alias("value"))
+
+
 # ---------------------------------------------------------------- orders
 
 def order_info_rows(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """orders + customer -> typed order records (``oi``)."""
-    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    o = spread(orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                             "o_orderdate"))
     c = customer.select(F.col("c_custkey"), F.col("c_nationkey"))
     j = o.join(c, o.o_custkey == c.c_custkey, "inner")
     final = F.col("o_totalprice")
@@ -83,6 +104,17 @@ def _line_id() -> F.Column:
     return F.conv(F.substring(F.md5(values), 1, 15), 16, 10).cast("bigint")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer tasks than the session runs at once, dealt to as many.
+
+    A small test file is one or two tasks however wide the work after it is;
+    a scan that has enough tasks by itself stays as it is, without a shuffle.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    tasks = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df if tasks >= wanted else df.repartition(wanted)
+
+
 def order_detail_rows(lineitem: DataFrame, orders: DataFrame, part: DataFrame,
                       with_order_status: bool = False) -> DataFrame:
     """lineitem + orders + part -> typed order-detail records (``od``).
@@ -95,6 +127,7 @@ def order_detail_rows(lineitem: DataFrame, orders: DataFrame, part: DataFrame,
     """
     li = lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice",
                          "l_linenumber", _line_id().alias("line_id"))
+    li = spread(li)
     o = orders.select("o_orderkey", "o_orderdate", "o_orderstatus")
     p = part.select("p_partkey", "p_name")
     j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
@@ -144,8 +177,45 @@ def order_detail_text(od: DataFrame) -> DataFrame:
     return od.select(to_json_row(*_quoted(od)).alias("value"))
 
 
+def order_detail_text_dirty(od: DataFrame) -> DataFrame:
+    """ODS_ORDER_DETAIL messages, some unusable: by the line's id, one in 50 each is
+    no JSON, or has no time."""
+    kind = F.col("id") % 50
+    id_ = F.col("id").cast("string")
+    return od.select(
+        F.when(kind == 0, F.concat(F.lit("garbage "), id_))
+        .when(kind == 1, F.concat(F.lit('{"id":"'), id_, F.lit('","order_id":"1"}')))
+        .otherwise(to_json_row(*_quoted(od))).alias("value"))
+
+
 # ---------------------------------------------------------------- dimensions
 
+def province_renamed(nation: DataFrame, prefix: str) -> DataFrame:
+    """Province change texts, every name with ``prefix``."""
+    key = F.col("n_nationkey").cast("string")
+    return nation.select(to_json_row(
+        key.alias("id"), F.concat(F.lit(prefix), F.col("n_name")).alias("name"),
+        F.col("n_regionkey").cast("string").alias("area_code"),
+        F.concat(F.lit("CN-"), key).alias("iso_code"),
+        F.concat(F.lit("ISO-"), key).alias("iso_3166_2")).alias("value"))
+
+
+# The change records of the provinces, in order: type, names, keys.
+PROVINCE_CHANGES = [("bootstrap-insert", "OLD_", "n_nationkey >= 0"), ("update", "", "n_nationkey % 2 = 0"),
+                    ("delete", "", "n_nationkey % 5 = 0"), ("insert", "BACK_", "n_nationkey = 10")]
+
+
+def province_change_envelopes(nation: DataFrame) -> DataFrame:
+    """Maxwell envelopes (value, seq) of PROVINCE_CHANGES; a delete carries the removed row."""
+    out = None
+    for seq, (op, prefix, keys) in enumerate(PROVINCE_CHANGES):
+        data = province_renamed(nation.where(keys), prefix).select(F.concat(
+            F.lit(f'{{"database":"{DB_NAME}","table":"base_province","type":"{op}","ts":0,"data":'),
+            F.col("value"), F.lit("}")).alias("value"), F.lit(seq).cast("long").alias("seq"))
+        out = data if out is None else out.unionByName(data)
+    return out
+
+
 def province_versions(nation: DataFrame) -> DataFrame:
     """Province dimension change rows in two versions.
 
@@ -301,6 +371,20 @@ def canal_envelopes(oi: DataFrame, od: DataFrame, customer: DataFrame,
     return orders_env.unionByName(detail_env).unionByName(user_env)
 
 
+def canal_envelopes_dirty(oi: DataFrame) -> DataFrame:
+    """Order envelopes, some unusable: by the order's id, one in 50 each has data that is
+    no array, is no JSON, or is not whitelisted and has such data."""
+    id_ = F.col("id").cast("string")
+    kind = F.col("id") % 50
+    bad = lambda typ: F.concat(F.lit('{"table":"order_info","type":"%s","data":"oops ' % typ),
+                               id_, F.lit('"}'))
+    return oi.select(
+        F.when(kind == 0, bad("INSERT")).when(kind == 1, F.concat(F.lit("garbage "), id_))
+        .when(kind == 2, bad("UPDATE"))
+        .otherwise(to_json_row(F.array(F.struct(*_quoted(oi))).alias("data"), F.lit("order_info").alias("table"),
+                               F.lit("INSERT").alias("type"))).alias("value"))
+
+
 def maxwell_envelopes(oi: DataFrame, od: DataFrame, nation: DataFrame, customer: DataFrame,
                       part: DataFrame, region: DataFrame) -> DataFrame:
     """Maxwell-style envelopes (one row object each, typed values), column ``value``."""

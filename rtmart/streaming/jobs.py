@@ -5,13 +5,17 @@
 - daily active devices        -> ``start_dau`` (D1)
 - order job                   -> ``first_order_batch_fn`` / ``start_first_order`` (D3-D5, J2)
 - detail job                  -> ``start_topic_stream`` over typed details (K1, K7)
-- wide order                  -> ``wide_stream`` / ``start_wide``, ``missing_wide`` (J1/J5, D2)
+- wide order                  -> ``wide_stream`` / ``start_wide`` (J1/J5, D2), behind the late
+                                 split of ``rtmart.streaming.late``
+- sliding window counts       -> ``start_sliding_counts`` (W2)
 
 Every job takes a streaming DataFrame (Kafka in production, files in tests),
 uses the batch operators, and writes through a sink whose commit follows the
 checkpoint (offsets are committed after the output, as the original did by
-hand). Keyed outputs are version ``batch_id=N`` folders overwritten as a
-whole, so a replayed batch is idempotent; they are compacted on a schedule.
+hand; ``rtmart.streaming.progress`` keeps their record). Keyed outputs are
+version ``batch_id=N`` folders overwritten as a whole, so a replayed batch is
+idempotent; they are compacted on a schedule. A batch that reads a side table
+pins the version it read, so its replay reads the same rows.
 """
 
 from __future__ import annotations
@@ -22,59 +26,41 @@ from rtmart.functions import parse_typed
 from rtmart.operators import dau as D
 from rtmart.operators import orders as O
 from rtmart.operators import wide as W
+from rtmart.operators.asof import VersionedTable, pinned
 from rtmart.operators.joins import broadcast_if_small
-from rtmart.operators.upsert import (compact, compaction_plan, latest_per_key, read_first,
-                                     read_latest, read_versions, write_version)
+from rtmart.operators.upsert import (compact, compaction_plan, latest_per_key, path_exists, read_first,
+                                     read_latest, read_versions, write_version,
+                                     write_version_once)
 from rtmart.schemas import (DAU_INFO, DWD_ORDER_INFO_FIELDS, ORDER_DETAIL_FIELDS,
                             ORDER_WIDE_COLUMNS)
-from rtmart.sources.streams import kafka_sink_options
+from rtmart.sources.streams import kafka_sink_options, with_headers
+from rtmart.streaming.base import MICRO_BATCH, spark_of, trigger as _trigger
+from rtmart.streaming.reports import update_hour_counts
 
-MICRO_BATCH = "5 seconds"   # the reference's batch interval
+__all__ = ["MICRO_BATCH", "first_order_batch_fn", "path_exists", "province_table", "read_dau_table",
+           "read_flagged_orders", "read_provinces", "read_sliding_counts", "read_topics", "spark_of",
+           "start_dau", "start_dim_province", "start_first_order", "start_preview",
+           "start_sliding_counts", "start_topic_stream", "start_wide", "wide_stream"]
 
 
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
-def _trigger(writer, available_now: bool):
-    if available_now:
-        return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=MICRO_BATCH)
-
-
-def batch_offsets(query) -> list[dict]:
-    """The input offsets each finished micro-batch covered, per source
-    (start and end), from the query's progress reports -- driver-side
-    metadata only. The checkpoint commits them after the sink (W5)."""
-    out = []
-    for p in query.recentProgress:
-        for src in p.get("sources", []):
-            out.append({"batch_id": p["batchId"], "source": src.get("description"),
-                        "start": src.get("startOffset"), "end": src.get("endOffset"),
-                        "rows": src.get("numInputRows")})
-    return out
+# ---------------------------------------------------------------- routing / pass-through
 
+TOPIC_COLUMNS = ("topic", "key", "value", "op")
 
-# ---------------------------------------------------------------- routing / pass-through
 
 def start_topic_stream(routed: DataFrame, sink_path: str | None, checkpoint: str,
                        available_now: bool = False, kafka_bootstrap: str | None = None):
-    """K1/K2 stream form: rows (topic[, key], value).
+    """K1/K2 stream form: rows (topic[, key], value[, op]).
 
     Without ``kafka_bootstrap`` they are appended to a parquet table
     partitioned by topic (the file sink commits exactly once per batch); with
     it each row goes to the Kafka topic named in its ``topic`` column
-    (at-least-once, like the original producer; needs the connector jar).
+    (at-least-once, like the original producer; needs the connector jar),
+    its change type ``op`` as a header.
     """
-    cols = [c for c in ("topic", "key", "value") if c in routed.columns]
-    w = routed.select(*cols).writeStream.outputMode("append") \
+    cols = [c for c in TOPIC_COLUMNS if c in routed.columns]
+    rows = routed.select(*cols)
+    w = (with_headers(rows) if kafka_bootstrap else rows).writeStream.outputMode("append") \
         .option("checkpointLocation", checkpoint)
     if kafka_bootstrap:
         w = w.format("kafka")
@@ -87,8 +73,7 @@ def start_topic_stream(routed: DataFrame, sink_path: str | None, checkpoint: str
 
 def read_topics(spark: SparkSession, sink_path: str) -> DataFrame:
     df = spark.read.parquet(sink_path)
-    cols = [c for c in ("topic", "key", "value") if c in df.columns]
-    return df.select(*cols)
+    return df.select(*[c for c in TOPIC_COLUMNS if c in df.columns])
 
 
 # Columns that tell which of two changes of a key came last.
@@ -109,20 +94,33 @@ def _quarantine(rows: DataFrame, path: str | None, version: int) -> None:
         write_version(rows, path, version)
 
 
+DIM_COMPACT_EVERY = 100           # fold recent dimension versions every N batches
+DIM_FULL_COMPACT_EVERY = 2000     # ... and everything every M batches
+
+
 def start_dim_province(ods_province: DataFrame, table_path: str, checkpoint: str,
-                       available_now: bool = False, quarantine_path: str | None = None):
+                       available_now: bool = False, quarantine_path: str | None = None,
+                       compact_every: int = DIM_COMPACT_EVERY):
     """Province dimension job: each batch's last change per id is written as
     one version; readers take the last change over all versions (K3).
 
     The input carries the topic's ``partition`` and ``offset`` (changes of an
-    id share a partition), or a ``seq``.
+    id share a partition), or a ``seq``, and may carry the change's type
+    ``op``. A delete is kept as a tombstone, in folds too: the id is gone until
+    a later change brings it back. Folds let the table be read as of any
+    version since the fold before the last.
     """
     order = _change_order(ods_province)
 
     def upsert(batch: DataFrame, batch_id: int):
         if batch.isEmpty():                 # nothing to upsert (K4: no-op when empty)
             return
-        rows = O.province_typed(batch.select("value", *order))
+        now, since = compaction_plan(batch_id, compact_every, DIM_FULL_COMPACT_EVERY)
+        if now and path_exists(spark_of(batch), table_path):
+            compact(spark_of(batch), table_path, ["id"], order, at=batch_id, since=since)
+        op = F.col("op") if "op" in batch.columns else F.lit(None).cast("string")
+        deleted = F.coalesce(F.lower(op) == O.DELETE, F.lit(False))
+        rows = O.province_typed(batch.select("value", *order, deleted.alias("deleted")))
         write_version(latest_per_key(rows, ["id"], order), table_path, batch_id)
         _quarantine(O.province_quarantine(batch), quarantine_path, batch_id)
 
@@ -130,11 +128,18 @@ def start_dim_province(ods_province: DataFrame, table_path: str, checkpoint: str
     return _trigger(w, available_now).start()
 
 
+def province_table(spark: SparkSession, table_path: str,
+                   order: tuple[str, ...] = ("seq",)) -> VersionedTable:
+    """The province table, to be read as of a version; deleted ids are left out."""
+    return VersionedTable(spark, table_path, ["id"], list(order), deleted_col="deleted")
+
+
 def read_provinces(spark: SparkSession, table_path: str) -> DataFrame:
-    """The province table: the last change per id."""
+    """The province table: the last change per id, unless it was a delete."""
     order = _change_order(read_versions(spark, table_path))
-    return read_latest(spark, table_path, ["id"], order).select(
-        "id", "name", "area_code", "iso_code", "iso_3166_2")
+    last = read_latest(spark, table_path, ["id"], order)
+    return last.where(~F.col("deleted")).select("id", "name", "area_code", "iso_code",
+                                                "iso_3166_2")
 
 
 # ---------------------------------------------------------------- D1: daily active devices
@@ -145,7 +150,8 @@ DAU_KEYS, DAU_FIRST = ["dt", "mid"], ["ts", "event_id"]
 
 
 def start_dau(raw: DataFrame, table_path: str, checkpoint: str,
-              available_now: bool = False, compact_every: int = DAU_COMPACT_EVERY):
+              available_now: bool = False, compact_every: int = DAU_COMPACT_EVERY,
+              quarantine_path: str | None = None, hours_path: str | None = None):
     """Raw log text stream -> versioned table of the first record of each
     (event day, device).
 
@@ -157,18 +163,27 @@ def start_dau(raw: DataFrame, table_path: str, checkpoint: str,
     follow the session time zone, as in the batch form. Every
     ``compact_every`` batches the committed versions are folded, so reads do
     not grow with the number of micro-batches.
+
+    ``quarantine_path`` gets the texts that are no usable log record;
+    ``hours_path`` a table of counts per day and hour that is kept up to date
+    (``rtmart.streaming.reports``).
     """
     def upsert(batch: DataFrame, batch_id: int):
         now, since = compaction_plan(batch_id, compact_every, DAU_FULL_COMPACT_EVERY)
         if now and path_exists(spark_of(batch), table_path):
             compact(spark_of(batch), table_path, DAU_KEYS, DAU_FIRST, at=batch_id,
                     partition_by=["dt"], since=since, first=True)
-        rows = D.first_records(D.valid_logs(D.parse_app_log(batch))).persist()
+        parsed = D.parse_app_log(batch, keep=["value"]).persist()      # parsed once
+        rows = D.first_records(D.valid_logs(parsed)).persist()
         try:
+            _quarantine(O.quarantined(parsed.where(~F.col("is_valid"))), quarantine_path, batch_id)
             if not rows.isEmpty():          # no-op when a batch brings no record
+                if hours_path is not None:
+                    update_hour_counts(rows, table_path, hours_path, int(batch_id))
                 write_version(rows, table_path, batch_id, partition_by=["dt"])
         finally:
             rows.unpersist()
+            parsed.unpersist()
 
     w = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(upsert)
     return _trigger(w, available_now).start()
@@ -214,8 +229,16 @@ def _state_of(spark: SparkSession, state_path: str, version: int, orders: DataFr
             .select("user_id", F.lit(O.CONSUMED).alias("if_consumed")))
 
 
+def _provinces_of(spark: SparkSession, provinces, out_path: str, version: int) -> DataFrame:
+    if not isinstance(provinces, VersionedTable):
+        return provinces()
+    pin = pinned(spark, out_path, version, lambda: {"provinces": provinces.version()})
+    found = provinces.as_of(pin["provinces"])
+    return O.no_provinces(spark) if found is None else found
+
+
 def first_order_batch_fn(spark: SparkSession, state_path: str, out_path: str,
-                         provinces_loader, version_offset: int = 1,
+                         provinces, version_offset: int = 1,
                          compact_every: int = STATE_COMPACT_EVERY,
                          topic_path: str | None = None, quarantine_path: str | None = None):
     """The per-batch function of the order job (``foreachBatch``).
@@ -223,13 +246,20 @@ def first_order_batch_fn(spark: SparkSession, state_path: str, out_path: str,
     Batch N (version N + offset): read the state of the batch's users from
     versions < N, flag first orders, re-read and join the province dimension
     (W7: side data refreshed per batch), write the flagged orders and the new
-    users' state as version N. Re-running a batch id overwrites the same
-    versions and reads the same earlier state, so replays give the same
-    result; an order delivered again in a later batch does not change the one
-    already written (``read_flagged_orders`` keeps the first).
+    users' state as version N.
+
+    ``provinces`` is a ``VersionedTable``: the batch reads its newest version
+    and stores the number below ``out_path`` before it writes anything. A
+    re-run of the batch reads that version again and the same earlier state,
+    so it gives the same result even where the dimension has changed in
+    between. (A function that returns a frame is called at each run; then that
+    holds as long as its result stands still.) An order delivered again in a
+    later batch does not change the one already written
+    (``read_flagged_orders`` keeps the first).
 
     ``topic_path`` gets the flagged orders as messages keyed by user, the
-    input of the wide job (K2); ``quarantine_path`` the unusable texts. Every
+    input of the wide job (K2), written once: a replay leaves a finished
+    version under its file names. ``quarantine_path`` gets the unusable texts. Every
     ``compact_every`` batches the committed versions (< N) are folded.
     """
     def run(batch: DataFrame, batch_id: int):
@@ -247,12 +277,14 @@ def first_order_batch_fn(spark: SparkSession, state_path: str, out_path: str,
         state = None
         if path_exists(spark, state_path):
             state = _state_of(spark, state_path, version, orders).persist()
-        flagged = O.dwd_order_info(orders, state, provinces_loader()).persist()
+        flagged = O.dwd_order_info(orders, state, _provinces_of(spark, provinces, out_path,
+                                                                version)).persist()
         try:
             write_version(flagged, out_path, version)
             if topic_path is not None:
-                write_version(O.order_info_messages(flagged).repartition(TOPIC_PARTITIONS, "key"),
-                              topic_path, version)
+                write_version_once(
+                    O.order_info_messages(flagged).repartition(TOPIC_PARTITIONS, "key"),
+                    topic_path, version)
             write_version(O.new_user_state(orders, state), state_path, version)
             _quarantine(O.order_info_quarantine(batch), quarantine_path, version)
         finally:
@@ -263,11 +295,11 @@ def first_order_batch_fn(spark: SparkSession, state_path: str, out_path: str,
 
 
 def start_first_order(ods_orders: DataFrame, spark: SparkSession, state_path: str,
-                      out_path: str, checkpoint: str, provinces_loader,
+                      out_path: str, checkpoint: str, provinces,
                       available_now: bool = False, version_offset: int = 1,
                       compact_every: int = STATE_COMPACT_EVERY,
                       topic_path: str | None = None, quarantine_path: str | None = None):
-    fn = first_order_batch_fn(spark, state_path, out_path, provinces_loader, version_offset,
+    fn = first_order_batch_fn(spark, state_path, out_path, provinces, version_offset,
                               compact_every, topic_path, quarantine_path)
     w = ods_orders.writeStream.option("checkpointLocation", checkpoint).foreachBatch(fn)
     return _trigger(w, available_now).start()
@@ -292,8 +324,9 @@ def wide_stream(info_msgs: DataFrame, detail_msgs: DataFrame, bound_s: int = 10,
     the watermark (D2: replayed messages), then joined on order id with
     |detail time - order time| <= bound_s. Watermarks on both sides bound the
     join state; each matching pair is emitted once. Rows later than the
-    watermark are left out here; ``late_rows`` counts them and
-    ``missing_wide`` makes up for them.
+    watermark would be left out here: read the on-time topics of
+    ``late.start_split`` whose delay is below the watermark, then none is, and
+    ``late_wide`` joins the late ones.
 
     Streaming joins get no AQE skew handling, so the join key is salted:
     each detail takes one salt (a hash of its id), each order is copied once
@@ -333,23 +366,42 @@ def start_wide(info_msgs: DataFrame, detail_msgs: DataFrame, sink_path: str, che
     return _trigger(w, available_now).start()
 
 
-def late_rows(query) -> int:
-    """Rows that the query's stateful operators left out as later than the watermark."""
-    return sum(op.get("numRowsDroppedByWatermark", 0)
-               for p in query.recentProgress for op in p.get("stateOperators", []))
+# ---------------------------------------------------------------- W2: sliding window counts
+
+COUNTS_COMPACT_EVERY = 100
 
 
-def missing_wide(info_msgs: DataFrame, detail_msgs: DataFrame, wide: DataFrame,
-                 bound_s: int = 10) -> DataFrame:
-    """The wide rows that the stream owes for late messages.
+def start_sliding_counts(rows: DataFrame, ts, table_path: str, checkpoint: str,
+                         window_s: int = W.WINDOW_SECONDS, slide_s: int = W.SLIDE_SECONDS,
+                         watermark: str = "1 hour", available_now: bool = False,
+                         compact_every: int = COUNTS_COMPACT_EVERY):
+    """W2 as a stream: rows per sliding window of event time.
 
-    Batch form, run now and then over the retained messages of a period: the
-    pairs of ``order_wide_interval`` that are not in ``wide`` yet, to be
-    appended to it. Messages delivered again count once.
+    A stateful windowed aggregate in update mode: each micro-batch writes the
+    windows it changed, with their count so far, as one version; readers take
+    the last per window. The watermark ends the state of a window. Rows later
+    than it would be left out: read the on-time topic of ``late.start_split``
+    and add the late ones by ``late.late_counts``.
     """
-    info = parse_typed(info_msgs, "value", DWD_ORDER_INFO_FIELDS).dropDuplicates(["id"])
-    details = parse_typed(detail_msgs, "value", ORDER_DETAIL_FIELDS) \
-        .dropDuplicates(["order_id", "id"])
-    return W.order_wide_interval(info, details, bound_s).join(
-        wide.select("order_id", "order_detail_id"), ["order_id", "order_detail_id"],
-        "left_anti").select(*ORDER_WIDE_COLUMNS)
+    def upsert(batch: DataFrame, batch_id: int):
+        now, since = compaction_plan(batch_id, compact_every, 20 * compact_every)
+        if now and path_exists(spark_of(batch), table_path):
+            compact(spark_of(batch), table_path, ["window_start"], [], at=batch_id, since=since)
+        if not batch.isEmpty():
+            write_version(batch, table_path, batch_id)
+
+    timed = rows.select(ts.cast("timestamp").alias("_ts")).withWatermark("_ts", watermark)
+    counts = W.sliding_window_counts(timed, "_ts", window_s, slide_s)
+    w = (counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+         .foreachBatch(upsert))
+    return _trigger(w, available_now).start()
+
+
+def read_sliding_counts(spark: SparkSession, table_path: str,
+                        late_path: str | None = None) -> DataFrame:
+    """The last count of each window, and what late rows add to it."""
+    counts = read_latest(spark, table_path, ["window_start"], []).select(
+        "window_start", "window_end", "cnt")
+    if late_path is not None and path_exists(spark, late_path):
+        counts = counts.unionByName(read_versions(spark, late_path).select(*counts.columns))
+    return counts.groupBy("window_start", "window_end").agg(F.sum("cnt").alias("cnt"))

@@ -36,7 +36,8 @@ ROWS_PER_FILE = 500_000
 
 def stage_time_slices(df: DataFrame, time_col, path: str, n_slices: int,
                       files_per_slice: int, bounds: tuple | None = None,
-                      keep: list[str] | None = None, only: range | None = None) -> tuple:
+                      keep: list[str] | None = None, only: range | None = None,
+                      rows_per_file: int | None = ROWS_PER_FILE) -> tuple:
     """Write ``df`` as ``n_slices`` time slices under ``path``.
 
     ``time_col`` is a numeric column or expression (e.g. epoch seconds).
@@ -45,7 +46,7 @@ def stage_time_slices(df: DataFrame, time_col, path: str, n_slices: int,
     ``keep`` names the columns written (default: all); ``only`` writes a
     subset of slices (a later call appends the rest, read after the earlier
     ones). A slice has ``files_per_slice`` files, or more where they would
-    hold over ROWS_PER_FILE rows each.
+    hold over ``rows_per_file`` rows each (None: never).
     """
     t = F.col(time_col) if isinstance(time_col, str) else time_col
     cols = keep or list(df.columns)
@@ -60,7 +61,9 @@ def stage_time_slices(df: DataFrame, time_col, path: str, n_slices: int,
     idx = F.least(F.greatest(F.floor((F.col("_t") - lo) / width), F.lit(0)),
                   F.lit(n_slices - 1)).cast("int")
     slices = list(only if only is not None else range(n_slices))
-    files = max(files_per_slice, -(-row["n"] // (n_slices * ROWS_PER_FILE)))
+    files = files_per_slice
+    if rows_per_file:
+        files = max(files, -(-row["n"] // (n_slices * rows_per_file)))
     sliced = (staged.withColumn("_slice", idx).where(F.col("_slice").isin(slices))
               .withColumn("_file", F.pmod(F.xxhash64(*cols), F.lit(files))))
     (sliced.repartition(files * len(slices), "_slice", "_file").select(*cols, "_slice")
