@@ -1,6 +1,7 @@
 """The driver's contract for the training-data queries."""
 
 import inspect
+import os
 import subprocess
 import sys
 from pathlib import Path
@@ -21,7 +22,7 @@ ROOT = Path(__file__).parent.parent.parent
 
 def test_one_query_for_each_operator():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert "pipeline" in E.queries() and "pipeline" not in E.oracle_sql()
     assert set(Q.oracle_sql()) <= set(names)
 
@@ -48,6 +49,13 @@ def test_contract_columns(spark, sf_small):
         "op9_license_scans": {"doc_id": "bigint", "n_words": "bigint", "n_base": "bigint",
                               "first_word": "bigint", "last_word": "bigint", "base_labels": "string",
                               "labels": "string", "score": "double"},
+        "op11_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+        "op12_filter_interaction_audit": {
+            "part": "string", "filter_order": "string", "step": "int", "kept": "bigint", "removed": "bigint",
+            "redundant": "bigint", "unique_fails": "bigint", "good_lost": "bigint", "toxic_lost": "bigint",
+            "shapley": "bigint"},
+        "op13_vector_code_compression": {"vec_id": "bigint", "code": "string", "error": "bigint",
+                                         "label_error": "bigint", "codebooks_sha256": "string"},
         "op10_language_id": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string",
                              "score": "double"},
     }
@@ -104,16 +112,20 @@ def test_pipeline_repeats_itself(spark, sf_small):
 
 def test_the_rest_stands_without_the_subpackage(tmp_path):
     """A copy of the repository without the two folders and the pipeline still imports."""
-    files = subprocess.run(["git", "-C", str(ROOT), "ls-files"], capture_output=True, text=True).stdout.split()
-    for f in files:
-        if f.startswith(("rtmart/llm", "tests/llm", "corpus_pipeline")) or not f.endswith(".py"):
+    for f in ROOT.rglob("*.py"):
+        part = f.relative_to(ROOT)
+        if part.parts[:2] in (("rtmart", "llm"), ("tests", "llm")) or part.name == "corpus_pipeline.py" \
+                or part.parts[0].startswith("."):
             continue
-        target = tmp_path / f
+        target = tmp_path / part
         target.parent.mkdir(parents=True, exist_ok=True)
-        target.write_text((ROOT / f).read_text())
-    code = "import __spark_entry__ as e; q = e.queries(); assert 'dau_total' in q and 'pipeline' not in q; " \
-           "assert set(e.oracle_sql()) == set(q)"
-    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+        target.write_text(f.read_text())
+    code = "import __spark_entry__ as e; from pathlib import Path; " \
+           f"assert Path(e.__file__).resolve().parent == Path({str(tmp_path)!r}).resolve(), e.__file__; " \
+           "q = e.queries(); assert 'dau_total' in q and 'pipeline' not in q; " \
+           "assert not [n for n in q if n.startswith('op')]; assert set(e.oracle_sql()) == set(q)"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
     assert done.returncode == 0, done.stderr
 
 
@@ -121,6 +133,7 @@ def test_oracles_run_on_an_empty_table():
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT)")
     con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.execute("CREATE TABLE labels (doc_id BIGINT, quality INTEGER, toxic INTEGER)")
     con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[], label INTEGER)")
     for sql in Q.oracle_sql().values():
         assert con.execute(sql).fetchall() == []
