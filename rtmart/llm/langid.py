@@ -4,11 +4,13 @@ A language gives each piece of a fixed public vocabulary a probability. The
 likelihood of a word is the sum over all its segmentations into pieces, by the
 forward algorithm; a text's is the product over its words. Probabilities are
 learned by expectation maximisation (forward and backward) on the words of a
-bounded sample of labelled texts. Every text is scored whole: the distinct
-words of a batch are scored together, and each text adds up its words.
+sample of labelled texts, bounded for each language. Every text and every word
+is scored whole: the distinct words of a batch are scored together, and each
+text adds up its words.
 
 Letters are lower-cased; other characters only separate words. A character
-that no piece covers is an unknown piece of its own.
+that no piece covers is an unknown piece of its own. A language is learned
+however rare it is; one whose sampled texts hold no letter is not.
 
 Defined cases: null text or one without a letter is ``und`` with score 0, as
 is every text when no labelled text is to be learned from; ties go to the
@@ -18,27 +20,35 @@ gives no rows.
 
 from __future__ import annotations
 
+import os
 import re
 from array import array
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from rtmart.llm import text as T
+from rtmart.operators.joins import broadcast_if_small
+from rtmart.operators.lineage import cut_lineage
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 WORD_START = "▁"
-#: Labelled texts learned from at most, and words of a language.
-SAMPLE_TEXTS = 6000
+#: Distinct labelled texts of a language that are learned from at most, and its distinct words.
+SAMPLE_TEXTS = 1500
 SAMPLE_WORDS = 30000
+#: Letters of a word that are learned together; longer ones are learned in parts.
+LEARNED = 1000
 ROUNDS = 4
-#: Letters that are segmented together; longer words are cut.
+#: The longest piece that is used, in letters.
 LETTERS = 24
+#: Places of words whose pieces are looked up together, and between which sums are scaled.
+PLACES = 512
+RESCALE = 16
 #: Characters of a text that are split into words at once.
 CHARS_AT_ONCE = 1 << 20
-#: Words whose segmentations are summed together.
-WORDS_AT_ONCE = 8192
+#: Sums (words x places x languages) that are held together, but for a longer single word.
+CELLS = 1 << 20
 #: Occurrences that the pooled distribution counts for in each language's.
 POOLED = 2000.0
 
@@ -52,6 +62,8 @@ def vocabulary(path: str = VOCABULARY) -> list[str]:
     """Lower-case letter pieces of a sentencepiece model, at most LETTERS + 1 long."""
     import sentencepiece
 
+    if not os.path.exists(path):
+        raise FileNotFoundError(f"language ID needs the sentencepiece model of a public tokenizer at {path}")
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = (model.id_to_piece(i) for i in range(model.get_piece_size())
               if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
@@ -117,74 +129,114 @@ def segment_ids(words: list[str], index: dict) -> tuple[np.ndarray, dict]:
 
 # -- forward and backward -------------------------------------------------
 
-def forward(lengths: np.ndarray, ids: dict, prob: np.ndarray) -> np.ndarray:
-    """(positions, words, languages): mass of all segmentations of each start."""
-    width = int(lengths.max())
-    alpha = np.zeros((width + 1, len(lengths), prob.shape[1]))
-    alpha[0] = 1.0
-    for j in range(1, width + 1):
-        for length, found in ids.items():
-            if length <= j:
-                piece = found[:, j - length]
+def _blocks(words: list[str], langs: int):
+    """Runs of word numbers of similar length whose cells are bounded; a word beyond that is alone."""
+    order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    part: list[int] = []
+    for i in order:
+        if part and (len(part) + 1) * (len(words[i]) + 1) * langs > CELLS:
+            yield part
+            part = []
+        part.append(i)
+    if part:
+        yield part
+
+
+class Segments:
+    """The pieces that start at each place of some words, found a run of places at a time."""
+
+    def __init__(self, words: list[str], index: dict):
+        self.lengths, self.index = np.array([len(w) for w in words]), index
+        self.width, self.words, self.at, self.ids = int(self.lengths.max()), words, -PLACES, {}
+
+    def starting(self, place: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """(piece length, rows, piece numbers) of the pieces that start at the place."""
+        at = place - place % PLACES
+        if at != self.at:
+            reach = PLACES + max(self.index, default=1)
+            self.rows = np.flatnonzero(self.lengths > at)
+            some = [self.words[i][at:at + reach] for i in self.rows]
+            self.at, (_, self.ids) = at, segment_ids(some, self.index)
+        out = []
+        for length, found in self.ids.items():
+            if place - at < found.shape[1]:
+                piece = found[:, place - at]
                 on = np.flatnonzero(piece >= 0)
                 if len(on):
-                    alpha[j, on] += alpha[j - length, on] * prob[piece[on]]
-    return alpha
+                    out.append((length, self.rows[on], piece[on]))
+        return out
+
 
+def forward(words: list[str], index: dict, prob: np.ndarray, every: bool = False):
+    """(words, languages) log of the summed probability of all segmentations.
 
-def word_scores(words: list[str], index: dict, prob: np.ndarray, at_once: int = WORDS_AT_ONCE) -> np.ndarray:
+    The sums of the last places roll through a window as long as the longest
+    piece, so a word of any length is summed whole. With ``every``, also the
+    log sums of all places, (places, words, languages).
+    """
+    segments = Segments(words, index)
+    room = max(index, default=1) + 1
+    ahead = np.zeros((room, len(words), prob.shape[1]))
+    ahead[0] = 1.0
+    scale, out = np.zeros(ahead.shape[1:]), np.zeros(ahead.shape[1:])
+    kept = np.full((segments.width + 1, *scale.shape), -np.inf) if every else None
+    for place in range(segments.width + 1):
+        here = ahead[place % room]
+        done = np.flatnonzero(segments.lengths == place)
+        if len(done):
+            out[done] = np.log(here[done]) + scale[done]
+        if every:
+            with np.errstate(divide="ignore"):
+                kept[place] = np.log(here) + scale
+        if place == segments.width:
+            break
+        for length, rows, piece in segments.starting(place):
+            ahead[(place + length) % room, rows] += here[rows] * prob[piece]
+        ahead[place % room] = 0
+        if place % RESCALE == RESCALE - 1:
+            most = ahead.max(axis=0)
+            most[most == 0] = 1
+            ahead /= most
+            scale += np.log(most)
+    return (out, kept) if every else out
+
+
+def word_scores(words: list[str], index: dict, prob: np.ndarray) -> np.ndarray:
     """(words, languages): log of the summed probability of all segmentations."""
     out = np.zeros((len(words), prob.shape[1]))
-    order = sorted(range(len(words)), key=lambda i: len(words[i]))
-    for k in range(0, len(order), at_once):
-        part = order[k:k + at_once]
-        for c in range(0, max(len(words[i]) for i in part), LETTERS):
-            some = [i for i in part if len(words[i]) > c]
-            cut = [WORD_START + words[i][:LETTERS] if c == 0 else words[i][c:c + LETTERS] for i in some]
-            lengths, ids = segment_ids(cut, index)
-            alpha = forward(lengths, ids, prob)
-            out[some] += np.log(alpha[lengths, np.arange(len(some))])
+    for part in _blocks(words, prob.shape[1]):
+        out[part] = forward([WORD_START + words[i] for i in part], index, prob)
     return out
 
 
 def expected_counts(words: list[str], weights: np.ndarray, index: dict, prob: np.ndarray) -> np.ndarray:
     """(pieces, languages): expected uses of each piece, by language."""
-    total = np.zeros_like(prob)
-    order = sorted(range(len(words)), key=lambda i: len(words[i]))
-    for k in range(0, len(order), WORDS_AT_ONCE):
-        part = order[k:k + WORDS_AT_ONCE]
-        lengths, ids = segment_ids([WORD_START + words[i][:LETTERS] for i in part], index)
-        alpha = forward(lengths, ids, prob)
-        width, rows = alpha.shape[0] - 1, np.arange(len(part))
-        beta = np.zeros_like(alpha)
-        beta[lengths, rows] = 1.0
-        for j in range(width - 1, -1, -1):
-            for length, found in ids.items():
-                if j + length <= width:
-                    piece = found[:, j]
-                    on = np.flatnonzero(piece >= 0)
-                    if len(on):
-                        beta[j, on] += beta[j + length, on] * prob[piece[on]]
-        scale = weights[part] / alpha[lengths, rows]
-        for length, found in ids.items():
-            for j in range(width - length + 1):
-                piece = found[:, j]
-                on = np.flatnonzero(piece >= 0)
-                if len(on):
-                    use = alpha[j, on] * prob[piece[on]] * beta[j + length, on] * scale[on]
-                    np.add.at(total, piece[on], use)
+    total, logs = np.zeros_like(prob), np.log(prob)
+    for part in _blocks(words, prob.shape[1]):
+        marked = [WORD_START + words[i] for i in part]
+        whole, alpha = forward(marked, index, prob, every=True)
+        segments = Segments(marked, index)
+        beta = np.full_like(alpha, -np.inf)
+        beta[segments.lengths, np.arange(len(part))] = 0.0
+        for place in range(segments.width - 1, -1, -1):
+            for length, rows, piece in segments.starting(place):
+                way = logs[piece] + beta[place + length, rows]
+                beta[place, rows] = np.logaddexp(beta[place, rows], way)
+                share = np.exp(alpha[place, rows] + way - whole[rows])
+                np.add.at(total, piece, share * weights[part][rows])
     return total
 
 
 def fit(counts: dict[str, dict[str, int]], texts: dict[str, int], pieces: list[str]) -> dict:
     """A model from each language's word counts and number of texts."""
-    langs = sorted(counts)
-    words = sorted({w for c in counts.values() for w in c})
-    weights = np.array([[counts[lang].get(w, 0) for lang in langs] for w in words], float)
-    index = piece_index(pieces)
+    langs, index = sorted(counts), piece_index(pieces)
     prob = np.full((len(pieces) + 1, len(langs)), 1.0 / (len(pieces) + 1))
     for _ in range(ROUNDS):
-        used = expected_counts(words, weights, index, prob)
+        used = np.zeros_like(prob)
+        for k, lang in enumerate(langs):             # a language learns from its own words only
+            words = sorted(counts[lang])
+            weights = np.array([[float(counts[lang][w])] for w in words])
+            used[:, k:k + 1] = expected_counts(words, weights, index, prob[:, k:k + 1])
         pooled = used.sum(axis=1) + 0.1
         used = used + POOLED * (pooled / pooled.sum())[:, None]
         prob = used / used.sum(axis=0)
@@ -209,24 +261,36 @@ def text_words(text: str):
 
 
 def labelled_sample(docs: DataFrame, texts: int = SAMPLE_TEXTS, words: int = SAMPLE_WORDS):
-    """(word counts, text counts) by language of at most ``texts`` labelled training texts.
+    """(word counts, text counts) by language of a sample of the labelled training texts.
 
-    The texts with the smallest hashes: first their hashes, then the texts.
+    A language's distinct texts are counted approximately and sampled at the
+    rate that gives ``texts`` of them, by a hash of the text; of the sample the
+    ``texts`` smallest hashes are taken, so copies count once and a rare
+    language has all its texts. Words longer than LEARNED letters are learned
+    in parts.
     """
-    rank = F.xxhash64("doc_id", F.md5(T.whole_text()), F.lit(5))
-    training = docs.where(F.col("lang").isNotNull() & ~F.col("held_out"))
-    least = [r[0] for r in training.select(rank.alias("rank")).orderBy("rank").limit(texts).collect()]
-    if not least:
-        return {}, {}
-    chosen = training.where(rank <= least[-1]).select("lang", "text").limit(2 * texts)
-    number = {r["lang"]: r["n"] for r in chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    each = chosen.select("lang", F.explode(
-        F.regexp_extract_all(F.lower(T.whole_text()), F.lit("\\p{L}+"), F.lit(0))).alias("word"))
-    each = each.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.xxhash64(F.md5(T.whole_text()), F.lit(5))
+    training = docs.where(F.col("lang").isNotNull() & ~F.col("held_out") & F.col("text").isNotNull())
+    number = cut_lineage(training.groupBy("lang").agg(F.approx_count_distinct(rank, 0.02).alias("n")),
+                         "language-texts")
+    # the hash is uniform in 64 bits; an eighth more than wanted, so that hardly a sample falls short
+    rate = F.lit(1.125 * texts) / F.col("n")
+    known = broadcast_if_small(number.select(F.col("lang").alias("of"), rate.alias("rate")))
+    near = training.select("lang", "text", rank.alias("rank")).join(known, F.col("lang") == F.col("of")).drop("of")
+    near = near.where((F.col("rank") / F.lit(2.0 ** 63) + 1) / 2 < F.col("rate"))
+    sample = near.groupBy("lang", "rank").agg(F.min("text").alias("text"))
+    first = W.partitionBy("lang").orderBy("rank", "text")                # within the bounded sample
+    sample = cut_lineage(sample.withColumn("at", F.row_number().over(first)).where(F.col("at") <= texts)
+                         .select("lang", "text"), "language-sample")
+    part = F.regexp_extract_all(F.lower("text"), F.lit("\\p{L}{1,%d}" % LEARNED), F.lit(0))
+    each = sample.select("lang", F.explode(part).alias("word")).groupBy("lang", "word").agg(
+        F.count(F.lit(1)).alias("n"))
+    most = W.partitionBy("lang").orderBy(F.desc("n"), "word")
+    each = each.withColumn("at", F.row_number().over(most)).where(F.col("at") <= words)
     counts: dict[str, dict[str, int]] = {}
-    for r in each.orderBy(F.desc("n"), "lang", "word").limit(words * len(number)).collect():
+    for r in each.select("lang", "word", "n").collect():
         counts.setdefault(r["lang"], {})[r["word"]] = r["n"]
-    return counts, {k: v for k, v in number.items() if k in counts}
+    return counts, {r["lang"]: max(1, r["n"]) for r in number.collect() if r["lang"] in counts}
 
 
 def identify(docs: DataFrame, model: dict | None) -> DataFrame:

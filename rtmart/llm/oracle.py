@@ -94,7 +94,7 @@ FROM v JOIN reach r ON r.u = v.vec_id GROUP BY v.vec_id
 """
 
 
-def _url_filters(rounds: int = 20, damping: float = 0.85) -> str:
+def _url_filters(rounds: int = 90, damping: float = 0.85) -> str:
     """The propagation unrolled: one relation per round."""
     ranks = "r0 AS (SELECT kind, host, seed AS rank FROM seeds)"
     for i in range(rounds):

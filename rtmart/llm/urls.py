@@ -10,13 +10,14 @@ is written to the shared folder.
 
 Defined cases: a null url or one without ``://`` has empty host and path, fits
 no rule and is allowed; null html has no links; repeated rows are judged
-alike and count as pages each; hosts that no seed reaches are allowed; an
-empty table gives no rows.
+alike and count as pages each; hosts that no seed reaches, or only with a rank
+below the tolerance, are allowed; rules of one length go by their text; long
+pages are searched for links whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rtmart.operators.lineage import cut_lineage
 
@@ -29,6 +30,9 @@ RULES = [
     ("block", "com/de/"),
 ]
 
+#: Rounds of propagation between looks at how far ranks still move.
+LOOK = 8
+
 #: The host of an absolute or protocol-relative link.
 LINK_HOST = r"""(?i)\bhref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
@@ -50,33 +54,26 @@ def with_host_and_path(pages: DataFrame) -> DataFrame:
         F.regexp_extract("rest", "^[^/?#]*([^?#]*)", 1).alias("path"), "html")
 
 
-def rules_frame(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
-    """verdict, rule, rule_host, rule_path."""
-    rows = [(v, r, *[x for x in (r.partition("/")[0].lower(), "/" + r.partition("/")[2])])
-            for v, r in rules]
-    return spark.createDataFrame(rows, "verdict string, rule string, rule_host string, rule_path string")
-
+def rule_that_fits(rules: list[tuple[str, str]], host: Column, path: Column) -> Column:
+    """The longest rule (verdict, rule) that fits; null where none does.
 
-def rules_by_host(hosts: DataFrame, rules: DataFrame) -> DataFrame:
-    """host, rules: those whose host is the host or one of its parent domains, longest first."""
-    labels = F.split("host", "\\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(
-        F.slice(labels, i, F.size(labels)), "."))
-    each = hosts.select("host", F.explode(suffixes).alias("rule_host"))
-    return (each.join(rules, "rule_host").groupBy("host")
-            .agg(F.sort_array(F.collect_list(F.struct(
-                F.length("rule").alias("length"), "verdict", "rule", "rule_path")), asc=False)
-                .alias("rules")))
+    The rules are constants and are compared row by row, so no host, however
+    many pages it has, is gathered for them.
+    """
+    longest = sorted(rules, key=lambda r: (-len(r[1]), r[1], r[0]))
+    table = F.array(*[F.struct(F.lit(v).alias("verdict"), F.lit(r).alias("rule"),
+                               F.lit(r.partition("/")[0].lower()).alias("host"),
+                               F.lit("/" + r.partition("/")[2]).alias("path")) for v, r in longest])
+    return F.get(F.filter(table, lambda r: (
+        (host == r["host"]) | F.endswith(host, F.concat(F.lit("."), r["host"]))) & path.startswith(r["path"])), F.lit(0))
 
 
-def judged_by_rule(pages: DataFrame, rules: DataFrame) -> DataFrame:
+def judged_by_rule(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     """page_id, host, path, rule, rule_verdict (null where no rule fits)."""
-    by_host = rules_by_host(pages.select("host").distinct(), rules)
-    fits = F.get(F.filter("rules", lambda r: F.col("path").startswith(r["rule_path"])), F.lit(0))
-    return (pages.select("page_id", "host", "path").join(by_host, "host", "left")
-            .withColumn("hit", fits)
-            .select("page_id", "host", "path", F.col("hit.rule").alias("rule"),
-                    F.col("hit.verdict").alias("rule_verdict")))
+    hit = rule_that_fits(rules, F.col("host"), F.col("path")) if rules else F.lit(None).cast(
+        "struct<verdict:string,rule:string>")
+    return pages.select("page_id", "host", "path", hit.alias("hit")).select(
+        "page_id", "host", "path", F.col("hit.rule").alias("rule"), F.col("hit.verdict").alias("rule_verdict"))
 
 
 def host_links(pages: DataFrame) -> DataFrame:
@@ -88,12 +85,15 @@ def host_links(pages: DataFrame) -> DataFrame:
             .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")))
 
 
-def propagate(links: DataFrame, seeds: DataFrame, rounds: int, damping: float,
-              tolerance: float) -> DataFrame:
+def propagate(links: DataFrame, seeds: DataFrame, damping: float = 0.85, tolerance: float = 1e-6,
+              most_rounds: int = 1000) -> DataFrame:
     """kind, host, rank: trust along the links, distrust against them.
 
     ``seeds``: kind, host, seed, summing to 1 per kind. What reaches a host
-    without a way on returns to the seeds. Ends early once ranks stand still.
+    without a way on returns to the seeds. Goes on until all ranks together
+    move by less than the tolerance in a round, which damping brings about after
+    about log(tolerance) / log(damping) rounds (looked at every LOOK rounds);
+    ``most_rounds`` only raises.
     """
     def shares(kind: str, a: str, b: str) -> DataFrame:
         total = links.groupBy(a).agg(F.sum("n").alias("total"))
@@ -105,7 +105,8 @@ def propagate(links: DataFrame, seeds: DataFrame, rounds: int, damping: float,
         shares("distrust", "dst", "src")), "url-ways")
     ranks = seeds.select("kind", "host", F.col("seed").alias("rank"))
     nothing = F.lit(0.0)
-    for _ in range(rounds):
+    moved = None
+    for k in range(1, most_rounds + 1):
         sent = (ways.join(ranks, ["kind", "host"])
                 .groupBy("kind", F.col("to").alias("host"))
                 .agg(F.sum(F.col("rank") * F.col("share")).alias("got")))
@@ -121,14 +122,15 @@ def propagate(links: DataFrame, seeds: DataFrame, rounds: int, damping: float,
         back = F.when(F.col("kind") == "trust", F.lit(lost.get("trust", 0.0))) \
             .otherwise(F.lit(lost.get("distrust", 0.0)))
         rank = (1 - damping) * F.col("seed") + damping * (F.col("got") + back * F.col("seed"))
-        moved = state.agg(F.sum(F.abs(rank - F.col("old")))).first()[0] or 0.0
         ranks = state.select("kind", "host", rank.alias("rank"))
-        if moved < tolerance:
-            break
-    return ranks
+        if k == 1 or k % LOOK == 0:
+            moved = state.agg(F.sum(F.abs(rank - F.col("old")))).first()[0] or 0.0
+            if moved < tolerance:
+                return ranks
+    raise RuntimeError(f"ranks still move by {moved} after {most_rounds} rounds; tolerance {tolerance}")
 
 
-def blocked_hosts(judged: DataFrame, links: DataFrame, rounds: int = 20, damping: float = 0.85,
+def blocked_hosts(judged: DataFrame, links: DataFrame, damping: float = 0.85,
                   tolerance: float = 1e-6, block_share: float = 0.5,
                   seed_share: float = 0.5) -> DataFrame:
     """Hosts where distrust is at least block_share of trust and distrust.
@@ -145,7 +147,7 @@ def blocked_hosts(judged: DataFrame, links: DataFrame, rounds: int = 20, damping
     total = seeds.groupBy("kind").agg(F.sum("seed").alias("total"))     # two rows
     seeds = cut_lineage(seeds.join(F.broadcast(total), "kind").select(
         "kind", "host", (F.col("seed") / F.col("total")).alias("seed")), "url-seeds")
-    ranks = propagate(links, seeds, rounds, damping, tolerance)
+    ranks = propagate(links, seeds, damping, tolerance)
     of = lambda k: F.sum(F.when(F.col("kind") == k, F.col("rank")).otherwise(0.0))
     return (ranks.groupBy("host").agg(of("trust").alias("t"), of("distrust").alias("d"))
             .where((F.col("d") > 0) & (F.col("d") >= block_share * (F.col("t") + F.col("d"))))
@@ -154,9 +156,8 @@ def blocked_hosts(judged: DataFrame, links: DataFrame, rounds: int = 20, damping
 
 def judge_pages(pages: DataFrame, rules: list[tuple[str, str]] = RULES, **options) -> DataFrame:
     """page_id, host, path, rule, verdict of every page."""
-    spark = pages.sparkSession
     split = with_host_and_path(pages)
-    judged = cut_lineage(judged_by_rule(split, rules_frame(spark, rules)), "url-judged")
+    judged = cut_lineage(judged_by_rule(split, rules), "url-judged")
     links = cut_lineage(host_links(split), "url-links")
     blocked = blocked_hosts(judged, links, **options)
     verdict = F.coalesce("rule_verdict", F.when(F.col("blocked"), "block").otherwise("allow"))

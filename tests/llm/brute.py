@@ -125,8 +125,9 @@ def secret_base(text):
 
 
 def segmentations(word, probability):
-    """Summed probability of all ways to cut the word into pieces."""
-    if not word:
-        return 1.0
-    return sum(probability[word[:k]] * segmentations(word[k:], probability)
-               for k in range(1, len(word) + 1) if word[:k] in probability)
+    """Summed probability of all ways to cut the word into pieces, start by start."""
+    sums = [1.0] + [0.0] * len(word)
+    for start in range(len(word)):
+        for end in range(start + 1, len(word) + 1):
+            sums[end] += sums[start] * probability.get(word[start:end], 0.0)
+    return sums[-1]
