@@ -38,20 +38,28 @@ DELTA = "delta"
 BASE = "base"
 
 
+BLOOM_VALUES = 1_000_000      # distinct values a row group's Bloom filter is sized for
+
+
 def write_version(df: DataFrame, path: str, batch_id: int,
-                  partition_by: list[str] | None = None, kind: str = DELTA) -> None:
+                  partition_by: list[str] | None = None, kind: str = DELTA,
+                  bloom: list[str] | None = None) -> None:
     """Write one batch's rows as version ``batch_id``.
 
     The directory of a version is overwritten as a whole, so a replayed batch
     (at-least-once delivery) replaces its own earlier attempt: idempotent.
     ``partition_by`` adds sub-folders (e.g. ``dt``) so readers of one key
-    value prune the others.
+    value prune the others; ``bloom`` names columns that get a Parquet Bloom
+    filter, so that readers of a few values skip whole row groups.
     """
     target = f"{path.rstrip('/')}/batch_id={int(batch_id)}/kind={kind}"
     if partition_by:   # few files per folder; AQE still splits a hot value
         w = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
     else:
         w = df.write.mode("overwrite")
+    for c in bloom or []:
+        w = (w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+             .option(f"parquet.bloom.filter.expected.ndv#{c}", str(BLOOM_VALUES)))
     w.parquet(target)
 
 
@@ -153,9 +161,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def compact(spark: SparkSession, path: str, keys: list[str], order_cols: list[str],
             at: int, schema=None, drop_older: bool = True,
             partition_by: list[str] | None = None, since: int | None = None,
-            first: bool = False) -> None:
+            first: bool = False, cluster_by: list[str] | None = None) -> None:
     """Fold stored versions into the base of version ``at``.
 
+    ``cluster_by`` sorts the folded rows by these columns over all files and
+    adds Bloom filters on them: a read of a few keys then touches the few row
+    groups that may hold them, however large the base is.
+
     ``first`` keeps the first row per key (see ``read_first``) instead of the
     latest.
 
@@ -188,7 +200,10 @@ def compact(spark: SparkSession, path: str, keys: list[str], order_cols: list[st
         order = ["batch_id", "kind"] + [c for c in order_cols if c not in ("batch_id", "kind")]
     folded = latest_per_key(versions, keys, order, first=first).drop("kind", "batch_id")
     folded.write.mode("overwrite").parquet(staged)
-    write_version(spark.read.parquet(staged), base, at, partition_by, kind=BASE)
+    rows = spark.read.parquet(staged)
+    if cluster_by:
+        rows = rows.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+    write_version(rows, base, at, partition_by, kind=BASE, bloom=cluster_by)
     jvm, root, fs = file_system(spark, base)
     Path = jvm.org.apache.hadoop.fs.Path
     lo = -1 if since is None else int(since)

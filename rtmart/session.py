@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # A batch's users reach the state scan as a list of values.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

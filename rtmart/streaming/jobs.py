@@ -214,19 +214,30 @@ STATE_FULL_COMPACT_EVERY = 1000   # ... and all user state every M batches
 TOPIC_PARTITIONS = 4              # files of a version of the message topic
 
 
+STATE_KEYS = 1000                 # users looked up as a pushed list of values
+
+
 def _state_of(spark: SparkSession, state_path: str, version: int, orders: DataFrame):
     """The consumed ones among a batch's users, from the versions before it.
 
-    The batch's users are bounded by the micro-batch: broadcast (their count
-    checked on the persisted batch), the stored state is only scanned and
-    filtered, neither shuffled nor aggregated, however long the history. Rows
-    only ever say consumed, so no latest version has to be found.
+    Folded state is sorted by user and has Bloom filters. The users of a
+    micro-batch, up to STATE_KEYS of them, go to the scan as a list of values,
+    which skips every row group that holds none of them: the read grows with
+    the batch, not with the history. (Parquet takes lists of values up to
+    ``spark.sql.parquet.pushdown.inFilterThreshold``; see ``session``.) The
+    users of a larger batch are broadcast, their count checked on the persisted
+    batch, and the stored state is scanned and filtered, neither shuffled nor
+    aggregated. Rows only ever say consumed, so no latest version has to be
+    found.
     """
     users = orders.select(F.col("user_id").cast("string").alias("user_id")).distinct()
-    users = broadcast_if_small(users, max_bytes=None)
     stored = read_versions(spark, state_path, before=version).select("user_id")
-    return (stored.join(users, "user_id", "left_semi").distinct()
-            .select("user_id", F.lit(O.CONSUMED).alias("if_consumed")))
+    few = [r["user_id"] for r in users.limit(STATE_KEYS + 1).collect()]
+    if len(few) <= STATE_KEYS:
+        found = stored.where(F.col("user_id").isin([u for u in few if u is not None]))
+    else:
+        found = stored.join(broadcast_if_small(users, max_bytes=None), "user_id", "left_semi")
+    return found.distinct().select("user_id", F.lit(O.CONSUMED).alias("if_consumed"))
 
 
 def _provinces_of(spark: SparkSession, provinces, out_path: str, version: int) -> DataFrame:
@@ -268,7 +279,8 @@ def first_order_batch_fn(spark: SparkSession, state_path: str, out_path: str,
         version = int(batch_id) + version_offset
         now, since = compaction_plan(version, compact_every, STATE_FULL_COMPACT_EVERY)
         if now and path_exists(spark, state_path):
-            compact(spark, state_path, ["user_id"], [], at=version, since=since)
+            compact(spark, state_path, ["user_id"], [], at=version, since=since,
+                    cluster_by=["user_id"])
         now, since = compaction_plan(version, compact_every, None)
         if now and path_exists(spark, out_path):
             # append-only output: fold recent deltas into a segment, never all

@@ -1,5 +1,7 @@
 """Plan shape: pruning, pushdown, map-side combine, broadcast, top-k, skew."""
 
+from pyspark.sql import functions as F
+
 from rtmart.operators.upsert import read_versions, write_version
 from rtmart.plans import queries
 from rtmart.session import shared_path
@@ -72,9 +74,44 @@ def test_detail_ids_need_no_shuffle_of_the_lines(spark, sf_small):
     assert df.select("id").distinct().count() == df.count()
 
 
-def test_state_is_filtered_before_any_exchange(spark):
-    """The order job's state read: scan, semi-join with the batch's users, and
-    only then a shuffle (of the few that are left)."""
+def _scanned(df):
+    """(rows, files' scan metrics) that the scan of a plan without exchanges gave out."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return leaves.apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_state_lookup_skips_the_row_groups_of_other_users(spark, monkeypatch):
+    """The rows read for a few users stay the same while the state grows."""
+    from rtmart.operators.upsert import compact, read_versions
+    monkeypatch.setattr("rtmart.operators.upsert.BLOOM_VALUES", 5000)
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", "65536")              # many row groups in a small test
+    hadoop.set("parquet.page.size", "8192")
+    try:
+        read = []
+        for users in (40_000, 800_000):
+            path = shared_path(spark, "t_state_skip")
+            for b in range(2):
+                write_version(spark.range(b * users // 2, (b + 1) * users // 2).selectExpr(
+                    "cast(id * 7 as string) AS user_id", "'1' AS if_consumed"), path, b)
+            compact(spark, path, ["user_id"], [], at=2, cluster_by=["user_id"])
+            known = read_versions(spark, path).where("kind = 'base'").select("user_id")
+            wanted = known.where(F.col("user_id").isin(["7", "70007", "3", "x"] + ["-1"] * 9))
+            assert sorted(r.user_id for r in wanted.collect()) == ["7", "70007"]
+            read.append(_scanned(wanted))
+            orders = spark.createDataFrame([(7,), (70007,), (3,)], "user_id long")
+            assert sorted(r.user_id for r in J._state_of(spark, path, 2, orders).collect()) == ["7", "70007"]
+        assert known.count() == 800_000 and read[1] < 80_000 and read[1] <= 4 * read[0], read
+    finally:
+        hadoop.unset("parquet.block.size")
+        hadoop.unset("parquet.page.size")
+
+
+def test_state_is_filtered_before_any_exchange(spark, monkeypatch):
+    """The order job's state read for many users: scan, semi-join with the
+    batch's users, and only then a shuffle (of the few that are left)."""
+    monkeypatch.setattr(J, "STATE_KEYS", 2)
     path = shared_path(spark, "t_state_plan")
     for b in range(3):
         write_version(spark.range(100 * b, 100 * b + 100).selectExpr(
