@@ -121,7 +121,8 @@ def inverse_root(table: dict, ridge: float = 1e-6) -> np.ndarray:
     return (vectors[:, keep] / np.sqrt(values[keep])) @ vectors[:, keep].T
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 1.0, rounds: int = 60, seed: int = 11) -> tuple[np.ndarray, float]:
+def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 1.0, rounds: int = 60,
+            seed: int = 11) -> tuple[np.ndarray, float]:
     """Weights and shift of a linear machine with squared hinge loss, by dual coordinate descent.
 
     ``y`` is +1 or -1.

@@ -65,7 +65,8 @@ def rule_that_fits(rules: list[tuple[str, str]], host: Column, path: Column) ->
                                F.lit(r.partition("/")[0].lower()).alias("host"),
                                F.lit("/" + r.partition("/")[2]).alias("path")) for v, r in longest])
     return F.get(F.filter(table, lambda r: (
-        (host == r["host"]) | F.endswith(host, F.concat(F.lit("."), r["host"]))) & path.startswith(r["path"])), F.lit(0))
+        (host == r["host"]) | F.endswith(host, F.concat(F.lit("."), r["host"])))
+        & path.startswith(r["path"])), F.lit(0))
 
 
 def judged_by_rule(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
