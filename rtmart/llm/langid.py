@@ -276,12 +276,17 @@ def labelled_sample(docs: DataFrame, texts: int = SAMPLE_TEXTS, words: int = SAM
     # the hash is uniform in 64 bits; an eighth more than wanted, so that hardly a sample falls short
     rate = F.lit(1.125 * texts) / F.col("n")
     known = broadcast_if_small(number.select(F.col("lang").alias("of"), rate.alias("rate")))
-    near = training.select("lang", "text", rank.alias("rank")).join(known, F.col("lang") == F.col("of")).drop("of")
-    near = near.where((F.col("rank") / F.lit(2.0 ** 63) + 1) / 2 < F.col("rate"))
-    sample = near.groupBy("lang", "rank").agg(F.min("text").alias("text"))
-    first = W.partitionBy("lang").orderBy("rank", "text")                # within the bounded sample
-    sample = cut_lineage(sample.withColumn("at", F.row_number().over(first)).where(F.col("at") <= texts)
-                         .select("lang", "text"), "language-sample")
+    # hashes first, and the texts of the chosen rows only: one row of each text, however many copies it has
+    hashed = training.select("lang", "text", rank.alias("rank"),
+                             F.xxhash64(F.col("doc_id"), F.lit(9)).alias("key"))
+    near = hashed.drop("text").join(known, F.col("lang") == F.col("of")).where(
+        (F.col("rank") / F.lit(2.0 ** 63) + 1) / 2 < F.col("rate"))
+    near = near.groupBy("lang", "rank").agg(F.min("key").alias("key"))
+    first = W.partitionBy("lang").orderBy("rank")                        # within the bounded sample
+    chosen = near.withColumn("at", F.row_number().over(first)).where(F.col("at") <= texts).drop("at")
+    chosen = broadcast_if_small(cut_lineage(chosen, "language-ranks"))
+    sample = cut_lineage(hashed.join(chosen, ["lang", "rank", "key"], "left_semi").groupBy("lang", "rank")
+                         .agg(F.min("text").alias("text")).select("lang", "text"), "language-sample")
     part = F.regexp_extract_all(F.lower("text"), F.lit("\\p{L}{1,%d}" % LEARNED), F.lit(0))
     each = sample.select("lang", F.explode(part).alias("word")).groupBy("lang", "word").agg(
         F.count(F.lit(1)).alias("n"))
