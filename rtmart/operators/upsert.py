@@ -89,6 +89,36 @@ def write_version_once(df: DataFrame, path: str, batch_id: int,
         raise RuntimeError(f"could not put version {batch_id} in place below {path}")
 
 
+def write_files_once(df: DataFrame, path: str, batch_id: int) -> None:
+    """Add one batch's rows to a plain folder of files, once.
+
+    The rows are written aside first; a batch that is complete there is not
+    written again, and its files are then moved into the folder under their
+    names. A replay finds it complete and moves what is left.
+    """
+    spark = df.sparkSession
+    aside = f"{path.rstrip('/')}/_aside"
+    if not is_complete(spark, aside, batch_id):
+        write_version(df, aside, batch_id)
+    jvm, root, fs = file_system(spark, path.rstrip("/"))
+    Path = jvm.org.apache.hadoop.fs.Path
+    written = Path(root, f"_aside/batch_id={int(batch_id)}/kind={DELTA}")
+    for st in fs.listStatus(written):
+        name = st.getPath().getName()
+        if name.startswith("part-") and not fs.rename(st.getPath(), Path(root, f"batch-{int(batch_id)}-{name}")):
+            raise RuntimeError(f"could not put {name} of batch {batch_id} in place below {path}")
+    drop_versions(spark, aside, before=batch_id)
+
+
+def drop_versions(spark: SparkSession, path: str, before: int) -> None:
+    """Delete the versions earlier than ``before``, for good."""
+    _, root, fs = file_system(spark, path)
+    for st in fs.listStatus(root) if fs.exists(root) else []:
+        name = st.getPath().getName()
+        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) < int(before):
+            fs.delete(st.getPath(), True)
+
+
 def version_numbers(spark: SparkSession, path: str) -> list[int]:
     """The versions written to their end, ascending (a folder listing)."""
     jvm, root, fs = file_system(spark, path)

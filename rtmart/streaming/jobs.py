@@ -5,7 +5,7 @@
 - daily active devices        -> ``start_dau`` (D1)
 - order job                   -> ``first_order_batch_fn`` / ``start_first_order`` (D3-D5, J2)
 - detail job                  -> ``start_topic_stream`` over typed details (K1, K7)
-- wide order                  -> ``wide_stream`` / ``start_wide`` (J1/J5, D2), behind the late
+- wide order                  -> ``wide_batch_fn`` / ``start_wide`` (J1/J5, D2), behind the late
                                  split of ``rtmart.streaming.late``
 - sliding window counts       -> ``start_sliding_counts`` (W2)
 
@@ -26,11 +26,11 @@ from rtmart.functions import parse_typed
 from rtmart.operators import dau as D
 from rtmart.operators import orders as O
 from rtmart.operators import wide as W
-from rtmart.operators.asof import VersionedTable, pinned
+from rtmart.operators.asof import VersionedTable, last_pin, pinned
 from rtmart.operators.joins import broadcast_if_small
-from rtmart.operators.upsert import (compact, compaction_plan, latest_per_key, path_exists, read_first,
-                                     read_latest, read_versions, write_version,
-                                     write_version_once)
+from rtmart.operators.upsert import (compact, compaction_plan, drop_versions, latest_per_key, path_exists,
+                                     read_first, read_latest, read_versions, version_numbers,
+                                     write_files_once, write_version, write_version_once)
 from rtmart.schemas import (DAU_INFO, DWD_ORDER_INFO_FIELDS, ORDER_DETAIL_FIELDS,
                             ORDER_WIDE_COLUMNS)
 from rtmart.sources.streams import kafka_sink_options, with_headers
@@ -40,7 +40,7 @@ from rtmart.streaming.reports import update_hour_counts
 __all__ = ["MICRO_BATCH", "first_order_batch_fn", "path_exists", "province_table", "read_dau_table",
            "read_flagged_orders", "read_provinces", "read_sliding_counts", "read_topics", "spark_of",
            "start_dau", "start_dim_province", "start_first_order", "start_preview",
-           "start_sliding_counts", "start_topic_stream", "start_wide", "wide_stream"]
+           "start_sliding_counts", "start_topic_stream", "start_wide", "wide_batch_fn"]
 
 
 # ---------------------------------------------------------------- routing / pass-through
@@ -325,56 +325,105 @@ def read_flagged_orders(spark: SparkSession, out_path: str) -> DataFrame:
 
 # ---------------------------------------------------------------- J1/J5 + D2: wide order
 
-JOIN_SALTS = 4   # state partitions a single hot order's details are spread over
-
-
-def wide_stream(info_msgs: DataFrame, detail_msgs: DataFrame, bound_s: int = 10,
-                watermark: str = "1 hour", salts: int = JOIN_SALTS) -> DataFrame:
-    """Stream-stream inner join of order and detail messages.
+def _once(new: DataFrame, before: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Each key's row: the open one of earlier batches, else one of this batch (``_new``)."""
+    both = new.withColumn("_new", F.lit(True))
+    if before is not None:
+        both = both.unionByName(before.withColumn("_new", F.lit(False)))
+    rest = [c for c in new.columns if c not in keys]
+    first = both.groupBy(*keys).agg(F.min(F.struct("_new", *rest)).alias("_r"))
+    return first.select(*keys, "_r.*")
+
+
+def _open_rows(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """What the last batch before ``batch_id`` left open."""
+    last = max((n for n in version_numbers(spark, path) if n < batch_id), default=None)
+    if last is None:
+        return None
+    return read_versions(spark, path).where(F.col("batch_id") == F.lit(last)).drop("batch_id", "kind")
+
+
+def wide_batch_fn(sink_path: str, open_path: str, bound_s: int = 10, delay_s: int = 3600):
+    """The per-batch function of the wide job (``foreachBatch``).
+
+    A batch holds order (``is_order``) and detail messages. Orders are
+    deduplicated by id and details by (order id, detail id) (D2: replayed
+    messages), then joined on order id with |detail time - order time| <=
+    bound_s, this batch's rows with each other and with the rows left open by
+    the batches before; each pair comes in the batch that brings its second
+    message.
+
+    The watermark is the smaller of the largest event times that both sides
+    have had in earlier batches, less ``delay_s``. Rows earlier than it are
+    left out: read the on-time topics of ``late.start_split`` whose delay is
+    below ``delay_s``, then none is, and ``late_wide`` joins the late ones. A
+    row stays open until the watermark has passed every partner and copy of it
+    that may come. Open rows are a version of two tables below ``open_path``,
+    the largest times a pin of the batch, so a replay gives the same pairs.
+
+    The join is a batch join: a hot order's details are split at run time
+    (AQE) like those of any other join.
+    """
+    sides = (("orders", F.col("is_order"), DWD_ORDER_INFO_FIELDS, ["id"]),
+             ("details", ~F.col("is_order"), ORDER_DETAIL_FIELDS, ["order_id", "id"]))
+    reach = max(int(bound_s), int(delay_s))
 
-    Orders are deduplicated by id and details by (order id, detail id) within
-    the watermark (D2: replayed messages), then joined on order id with
-    |detail time - order time| <= bound_s. Watermarks on both sides bound the
-    join state; each matching pair is emitted once. Rows later than the
-    watermark would be left out here: read the on-time topics of
-    ``late.start_split`` whose delay is below the watermark, then none is, and
-    ``late_wide`` joins the late ones.
+    def watermark(seen: dict | None):
+        times = [(seen or {}).get(name) for name, *_ in sides]
+        return None if None in times else min(times) - delay_s
 
-    Streaming joins get no AQE skew handling, so the join key is salted:
-    each detail takes one salt (a hash of its id), each order is copied once
-    per salt, and the join matches (order id, salt). An order with a huge
-    number of lines spreads over ``salts`` state partitions; every pair still
-    meets exactly once.
-    """
-    info = parse_typed(info_msgs, "value", DWD_ORDER_INFO_FIELDS)
-    info = (info.withColumn("_it", F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss"))
-                .withWatermark("_it", watermark).dropDuplicatesWithinWatermark(["id"]))
-    det = parse_typed(detail_msgs, "value", ORDER_DETAIL_FIELDS)
-    det = (det.withColumn("_dt", F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss"))
-              .withWatermark("_dt", watermark)
-              .dropDuplicatesWithinWatermark(["order_id", "id"]))
-    i = info.select(F.col("id").alias("order_id"), "order_status", "create_time", "user_id",
-                    "benefit_reduce_amount", "feight_fee", "original_total_amount",
-                    "final_total_amount", "if_first_order", "province_name",
-                    "province_area_code", F.col("create_date").alias("dt"), "_it",
-                    F.explode(F.sequence(F.lit(0), F.lit(max(salts, 1) - 1))).alias("_salt"))
-    d = det.select(F.col("id").alias("order_detail_id"), F.col("order_id").alias("_oid"),
-                   "sku_id", F.col("order_price").alias("sku_price"), "sku_num", "sku_name",
-                   "_dt", F.pmod(F.xxhash64("id"), F.lit(max(salts, 1))).cast("int")
-                   .alias("_dsalt"))
-    bound = F.expr(f"INTERVAL {int(bound_s)} SECONDS")
-    cond = ((i.order_id == d._oid) & (i._salt == d._dsalt)
-            & (d._dt >= i._it - bound) & (d._dt <= i._it + bound))
-    return i.join(d, cond, "inner").select(*ORDER_WIDE_COLUMNS)
+    def run(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        spark, number = spark_of(batch), int(batch_id)
+        before = last_pin(spark, open_path, number)
+        passed = watermark(before)
+        rows = {}
+        for name, mine, fields, keys in sides:
+            new = parse_typed(batch.where(mine), "value", fields).withColumn("_t", F.unix_timestamp(
+                F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss")))
+            new = new.where(F.col("_t").isNotNull() if passed is None else F.col("_t") >= F.lit(passed))
+            rows[name] = _once(new, _open_rows(spark, f"{open_path}/{name}", number), keys).persist()
+        try:
+            def seen() -> dict:
+                here = {name: df.agg(F.max("_t")).first()[0] for name, df in rows.items()}
+                return {name: max((t for t in ((before or {}).get(name), here[name]) if t is not None),
+                                  default=None) for name in rows}
+
+            until = watermark(pinned(spark, open_path, number, seen))
+            owed = F.col("_new") | F.col("_detail_new")
+            pairs = W.order_wide_interval(
+                rows["orders"], rows["details"].withColumnRenamed("_new", "_detail_new"), bound_s,
+                info_more=("_new",), detail_more=("_detail_new",)).where(owed)
+            write_files_once(pairs.select(*ORDER_WIDE_COLUMNS), sink_path, number)
+            for name, df in rows.items():
+                still = df if until is None else df.where(F.col("_t") >= F.lit(until - reach))
+                write_version(still.drop("_new"), f"{open_path}/{name}", number)
+                # a replay of this batch needs the version before it
+                older = [n for n in version_numbers(spark, f"{open_path}/{name}") if n < number]
+                if older:
+                    drop_versions(spark, f"{open_path}/{name}", before=older[-1])
+        finally:
+            for df in rows.values():
+                df.unpersist()
+    return run
 
 
 def start_wide(info_msgs: DataFrame, detail_msgs: DataFrame, sink_path: str, checkpoint: str,
                available_now: bool = False, bound_s: int = 10, watermark: str = "1 hour",
-               salts: int = JOIN_SALTS):
-    """Append the wide rows to a parquet table (exactly-once file sink)."""
-    w = (wide_stream(info_msgs, detail_msgs, bound_s, watermark, salts).writeStream
-         .outputMode("append").format("parquet").option("path", sink_path)
-         .option("checkpointLocation", checkpoint))
+               salts: int | None = None):
+    """Append the wide rows to a parquet table, each batch's once.
+
+    What is open between batches lies below the checkpoint. ``salts`` has no
+    effect any more: the join splits a hot order by itself.
+    """
+    spark = spark_of(info_msgs)
+    delay_s = spark.range(1).select(F.unix_seconds(
+        F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {watermark}"))).first()[0]
+    both = info_msgs.select("value", F.lit(True).alias("is_order")).unionByName(
+        detail_msgs.select("value", F.lit(False).alias("is_order")))
+    fn = wide_batch_fn(sink_path, f"{checkpoint.rstrip('/')}/open", bound_s, delay_s)
+    w = both.writeStream.option("checkpointLocation", checkpoint).foreachBatch(fn)
     return _trigger(w, available_now).start()
 
 

@@ -3,10 +3,14 @@
 In production the input is a Kafka topic. Here a DataFrame derived from the
 given tables is written once to the shared folder (cutting its lineage, so
 the upstream joins run once), then all time slices are written by one job
-into ``_slice=k`` folders, spread evenly over files whose number follows the
-row count. The file times of slice k are then set in slice order (a metadata
+into ``_slice=k`` folders. Every slice has the same number of files, which
+follows the row count: a stream that reads so many files a micro-batch
+(``slice_files``) reads whole slices, so no batch holds later rows than the
+next one. The file times of slice k are then set in slice order (a metadata
 call per file), so the file source reads the slices in order; this needs a
 file system that keeps such times (an object store may not).
+
+A stateless job needs no order: its input is written as it is (``stage_files``).
 """
 
 from __future__ import annotations
@@ -31,13 +35,40 @@ def _order_slices(spark, path: str, slices) -> None:
             fs.setTimes(st.getPath(), now + 1000 * int(k), -1)
 
 
-ROWS_PER_FILE = 500_000
+ROWS_PER_FILE = 200_000
+ROWS_PER_SLICE = 16_000_000
+
+
+def _fill_slices(df: DataFrame, path: str, slices, files: int) -> None:
+    """Add empty files to slices that have fewer than ``files``: the rows of a
+    file may be too few to make one."""
+    spark = df.sparkSession
+    jvm, _, fs = file_system(spark, path)
+    Path = jvm.org.apache.hadoop.fs.Path
+    missing = []
+    for k in slices:
+        folder = Path(f"{path.rstrip('/')}/_slice={k}")
+        have = len(fs.listStatus(folder)) if fs.exists(folder) else 0
+        missing += [(folder, n) for n in range(have, files)]
+    if not missing:
+        return
+    empty = f"{path.rstrip('/')}_empty"
+    df.limit(0).coalesce(1).write.mode("overwrite").parquet(empty)
+    source = next(st.getPath() for st in fs.listStatus(Path(empty))
+                  if st.getPath().getName().endswith(".parquet"))
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder, n in missing:
+        fs.mkdirs(folder)
+        jvm.org.apache.hadoop.fs.FileUtil.copy(fs, source, fs, Path(folder, f"empty-{n:05d}.parquet"),
+                                               False, True, conf)
+    fs.delete(Path(empty), True)
 
 
 def stage_time_slices(df: DataFrame, time_col, path: str, n_slices: int,
                       files_per_slice: int, bounds: tuple | None = None,
                       keep: list[str] | None = None, only: range | None = None,
-                      rows_per_file: int | None = ROWS_PER_FILE) -> tuple:
+                      rows_per_file: int | None = ROWS_PER_FILE,
+                      rows_per_slice: int | None = None, stored: bool = False) -> tuple:
     """Write ``df`` as ``n_slices`` time slices under ``path``.
 
     ``time_col`` is a numeric column or expression (e.g. epoch seconds).
@@ -46,17 +77,22 @@ def stage_time_slices(df: DataFrame, time_col, path: str, n_slices: int,
     ``keep`` names the columns written (default: all); ``only`` writes a
     subset of slices (a later call appends the rest, read after the earlier
     ones). A slice has ``files_per_slice`` files, or more where they would
-    hold over ``rows_per_file`` rows each (None: never).
+    hold over ``rows_per_file`` rows each (None: never). There are more slices
+    where they would hold over ``rows_per_slice`` rows each (None: never).
+    ``stored``: ``df`` is read from files and need not be copied first.
     """
     t = F.col(time_col) if isinstance(time_col, str) else time_col
     cols = keep or list(df.columns)
+    timed = df.select(*cols, t.cast("double").alias("_t"))
     staged_path = f"{path.rstrip('/')}_staged"
-    staged = write_and_read(df.select(*cols, t.cast("double").alias("_t")), staged_path)
+    staged = timed if stored else write_and_read(timed, staged_path)
     row = staged.agg(F.min("_t").alias("lo"), F.max("_t").alias("hi"),
                      F.count(F.lit(1)).alias("n")).first()
     if bounds is None:
         bounds = (float(row["lo"] or 0.0), float(row["hi"] or 0.0))
     lo, hi = bounds
+    if rows_per_slice:
+        n_slices = max(n_slices, -(-row["n"] // rows_per_slice))
     width = (hi - lo) / n_slices if hi > lo else 1.0
     idx = F.least(F.greatest(F.floor((F.col("_t") - lo) / width), F.lit(0)),
                   F.lit(n_slices - 1)).cast("int")
@@ -64,11 +100,32 @@ def stage_time_slices(df: DataFrame, time_col, path: str, n_slices: int,
     files = files_per_slice
     if rows_per_file:
         files = max(files, -(-row["n"] // (n_slices * rows_per_file)))
-    sliced = (staged.withColumn("_slice", idx).where(F.col("_slice").isin(slices))
-              .withColumn("_file", F.pmod(F.xxhash64(*cols), F.lit(files))))
-    (sliced.repartition(files * len(slices), "_slice", "_file").select(*cols, "_slice")
+    sliced = staged.withColumn("_slice", idx).where(F.col("_slice").isin(slices))
+    file = (F.col("_slice") - slices[0]) * files + F.pmod(F.xxhash64(*cols), F.lit(files)).cast("int")
+    (sliced.repartitionById(files * len(slices), file).select(*cols, "_slice")
            .write.mode("append").partitionBy("_slice").parquet(path))
+    _fill_slices(staged.select(*cols), path, slices, files)
     _order_slices(df.sparkSession, path, slices)
-    _, root, fs = file_system(df.sparkSession, staged_path)
-    fs.delete(root, True)
+    if not stored:
+        _, root, fs = file_system(df.sparkSession, staged_path)
+        fs.delete(root, True)
     return bounds
+
+
+def slice_files(spark, path: str) -> int:
+    """The files of one slice below ``path``: what a micro-batch reads."""
+    jvm, root, fs = file_system(spark, path)
+    folders = [st.getPath() for st in fs.listStatus(root) if st.isDirectory()
+               and st.getPath().getName().startswith("_slice=")]
+    return max((len(fs.listStatus(f)) for f in folders), default=1)
+
+
+def stage_files(df: DataFrame, path: str, batches: int, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Write ``df`` once, as its tasks give it, for a job that needs no order.
+
+    Returns the files a micro-batch is to read for ``batches`` of them.
+    """
+    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
+    _, root, fs = file_system(df.sparkSession, path)
+    files = sum(st.getPath().getName().endswith(".parquet") for st in fs.listStatus(root))
+    return max(1, -(-files // batches))

@@ -50,7 +50,7 @@ def main() -> None:
         df = qs[name](spark, sf)
         plan = df._jdf.queryExecution().executedPlan().toString()
         out += [f"## `{name}`", "", note, "", "```", _clean(plan).rstrip(), "```", ""]
-    # the streaming wide join: salted key, dedup and join state, watermarks
+    # the source of the wide job
     from rtmart.plans import registry as G
     from rtmart.session import shared_path
     from rtmart.sources.streams import file_stream
@@ -66,9 +66,8 @@ def main() -> None:
                      f"{base}/wide", f"{base}/ckpt", available_now=True)
     q.awaitTermination()
     out += ["## `stream_order_wide` (streaming)", "",
-            "Salted stream-stream join: orders are copied once per salt, each detail takes "
-            "one salt; both inputs are deduplicated within the watermark; state is bounded by "
-            "the watermarks and lives in RocksDB.", "", "```",
+            "The source of the wide job; each micro-batch is deduplicated and joined as a batch, "
+            "with the rows left open by earlier ones.", "", "```",
             _clean(q._jsq.explainInternal(False)).rstrip(), "```", ""]
     with open(os.path.join(ROOT, "docs", "PLANS.md"), "w") as f:
         f.write("\n".join(out))
