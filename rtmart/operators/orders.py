@@ -162,11 +162,12 @@ def dwd_order_info(orders: DataFrame, state: DataFrame | None,
     return province_enrich(first_order_flag(orders, state), provinces)
 
 
-def order_info_messages(dwd: DataFrame) -> DataFrame:
-    """K2 + K7: keyed messages (topic, key = user id, value = JSON of the order)."""
+def order_info_messages(dwd: DataFrame, keep: tuple = ()) -> DataFrame:
+    """K2 + K7: keyed messages (topic, key = user id, value = JSON of the order);
+    ``keep`` are columns that come along."""
     return dwd.select(F.lit(DWD_ORDER_INFO_TOPIC).alias("topic"),
                       F.col("user_id").cast("string").alias("key"),
-                      to_json_row(*[F.col(c) for c in dwd.columns]).alias("value"))
+                      to_json_row(*[F.col(c) for c in dwd.columns]).alias("value"), *keep)
 
 
 def order_detail_topics(ods: DataFrame, value_col: str = "value") -> DataFrame:
@@ -181,7 +182,7 @@ def order_detail_topics(ods: DataFrame, value_col: str = "value") -> DataFrame:
         .otherwise(F.col("_text")).alias("value"))
 
 
-def order_detail_messages(details: DataFrame) -> DataFrame:
-    """K1 + K7: detail messages (topic, value)."""
+def order_detail_messages(details: DataFrame, keep: tuple = ()) -> DataFrame:
+    """K1 + K7: detail messages (topic, value); ``keep`` are columns that come along."""
     return details.select(F.lit(DWD_ORDER_DETAIL_TOPIC).alias("topic"),
-                          to_json_row(*[F.col(c) for c in details.columns]).alias("value"))
+                          to_json_row(*[F.col(c) for c in details.columns]).alias("value"), *keep)

@@ -424,9 +424,12 @@ def q_stream_restart(spark, sf):
     return J.read_dau_table(spark, f"{base}/table")
 
 
+def _seconds(create_time):
+    return F.unix_timestamp(F.to_timestamp(create_time, "yyyy-MM-dd HH:mm:ss"))
+
+
 def _order_time():
-    return F.unix_timestamp(F.to_timestamp(F.get_json_object("value", "$.create_time"),
-                                           "yyyy-MM-dd HH:mm:ss"))
+    return _seconds(F.get_json_object("value", "$.create_time"))
 
 
 def _stage_order_batch(spark, sf, base, again=False):
@@ -435,7 +438,7 @@ def _stage_order_batch(spark, sf, base, again=False):
     of them once more after that."""
     before, batch = FX.split_orders_by_state_cutoff(oi_rows(spark, sf))
     write_version(O.user_state_from_orders(before), f"{base}/state", 0)
-    msgs = FX.order_info_text(batch).withColumn("_t", _order_time())
+    msgs = FX.order_info_text(batch, ("create_time",)).withColumn("_t", _seconds("create_time"))
     if again:
         a_century = 100 * 366 * 86400
         msgs = msgs.unionByName(msgs.withColumn("_t", F.col("_t") + a_century))
@@ -505,9 +508,9 @@ def q_stream_dau_late(spark, sf):
 
 def _wide_inputs(spark, sf):
     """(order messages, detail messages) with their event times ``_t``."""
-    info = O.order_info_messages(dwd_orders(spark, sf)).select("value")
-    det = O.order_detail_messages(details_typed(spark, sf)).select("value")
-    return info.withColumn("_t", _order_time()), det.withColumn("_t", _order_time())
+    info = O.order_info_messages(dwd_orders(spark, sf), ("create_time",))
+    det = O.order_detail_messages(details_typed(spark, sf), ("create_time",))
+    return tuple(msgs.select("value", _seconds("create_time").alias("_t")) for msgs in (info, det))
 
 
 def _run_wide(spark, info, det, base):
@@ -739,14 +742,16 @@ def q_stream_order_pipeline(spark, sf):
     """The order job feeding the wide job: ODS orders -> flagged and enriched
     DWD_ORDER_INFO messages keyed by user -> joined with the detail messages."""
     base = shared_path(spark, "stream_order_pipeline")
-    orders = FX.order_info_text(oi_rows(spark, sf)).withColumn("_t", _order_time())
+    orders = oi_rows(spark, sf)
+    orders = FX.order_info_text(orders, ("create_time",)).withColumn("_t", _seconds("create_time"))
     bounds = stage_time_slices(orders, "_t", f"{base}/in", N_SLICES, FILES_PER_SLICE,
                                keep=["value"], rows_per_slice=ROWS_PER_SLICE)
     J.start_first_order(_sliced_stream(spark, f"{base}/in"), spark,
                         f"{base}/state", f"{base}/out", f"{base}/ckpt_orders",
                         lambda: provinces(spark, sf), available_now=True,
                         topic_path=f"{base}/dwd").awaitTermination()
-    det = O.order_detail_messages(details_typed(spark, sf)).withColumn("_t", _order_time())
+    det = O.order_detail_messages(details_typed(spark, sf), ("create_time",)).withColumn(
+        "_t", _seconds("create_time"))
     stage_time_slices(det, "_t", f"{base}/detail", N_SLICES, FILES_PER_SLICE, bounds=bounds,
                       keep=["value"], rows_per_slice=ROWS_PER_SLICE)
     info = file_stream(spark, f"{base}/dwd", "topic string, key string, value string",

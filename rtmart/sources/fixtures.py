@@ -151,9 +151,10 @@ def _quoted(df: DataFrame) -> list:
     return [F.col(c).cast("string").alias(c) for c in df.columns]
 
 
-def order_info_text(oi: DataFrame) -> DataFrame:
-    """ODS_ORDER_INFO messages: one JSON object per order, values quoted."""
-    return oi.select(to_json_row(*_quoted(oi)).alias("value"))
+def order_info_text(oi: DataFrame, keep: tuple = ()) -> DataFrame:
+    """ODS_ORDER_INFO messages: one JSON object per order, values quoted; ``keep``
+    are columns that come along."""
+    return oi.select(to_json_row(*_quoted(oi)).alias("value"), *keep)
 
 
 def order_info_text_dirty(oi: DataFrame) -> DataFrame:
