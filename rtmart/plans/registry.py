@@ -549,7 +549,7 @@ def q_stream_order_wide_late(spark, sf):
     the watermark: split off before the join, and joined by scheduled passes
     that read the late topics and the spans of time that these touch."""
     base = shared_path(spark, "stream_order_wide_late")
-    info, det = _wide_inputs(spark, sf)
+    info, det = [cut_lineage(rows, "wide_late_input") for rows in _wide_inputs(spark, sf)]
     last = det.agg(F.max("_t")).first()[0] or 0
     late = F.xxhash64("value") % 5 == 0
     det = det.withColumn("_t", F.when(late, last).otherwise(F.col("_t")))
@@ -557,7 +557,7 @@ def q_stream_order_wide_late(spark, sf):
     for part in (range(0, N_SLICES // 2), range(N_SLICES // 2, N_SLICES)):
         for name, rows in (("info", info), ("detail", det)):
             bounds = stage_time_slices(rows, "_t", f"{base}/in_{name}", N_SLICES, FILES_PER_SLICE,
-                                       bounds=bounds, keep=["value"], only=part)
+                                       bounds=bounds, keep=["value"], only=part, stored=True)
             _split(spark, f"{base}/in_{name}", f"{base}/{name}", _order_time())
         J.start_wide(file_stream(spark, f"{base}/info/on_time", "value string"),
                      file_stream(spark, f"{base}/detail/on_time", "value string"),
