@@ -617,8 +617,8 @@ def q_stream_replay_dimension(spark, sf):
     base = shared_path(spark, "stream_replay_dimension")
     before, batch = FX.split_orders_by_state_cutoff(oi_rows(spark, sf))
     write_version(O.user_state_from_orders(before), f"{base}/state", 0)
-    stage_time_slices(FX.order_info_text(batch), _order_time(), f"{base}/in", N_SLICES, 1, keep=["value"],
-                      rows_per_file=None)
+    msgs = FX.order_info_text(batch, ("create_time",)).withColumn("_t", _seconds("create_time"))
+    stage_time_slices(msgs, "_t", f"{base}/in", N_SLICES, 1, keep=["value"])
     nation = _t(spark, sf, "nation")
 
     def change_provinces(version):
@@ -638,7 +638,7 @@ def q_stream_replay_dimension(spark, sf):
             change_provinces(batch_id + 1)
             raise RuntimeError(f"batch {batch_id} is lost after its write")
 
-    stream = file_stream(spark, f"{base}/in", "value string", 1)
+    stream = _sliced_stream(spark, f"{base}/in")
     while True:
         query = (stream.writeStream.option("checkpointLocation", f"{base}/ckpt").foreachBatch(fails_once)
                  .trigger(availableNow=True).start())
