@@ -65,9 +65,11 @@ def update_hour_counts(firsts: DataFrame, table_path: str, hours_path: str, batc
         old = read_hour_counts(spark, hours_path, days, before=batch_id, zeros=True)
         changes = changes.unionByName(old)
     counts = changes.groupBy("dt", "hr").agg(F.sum("cnt").alias("cnt"))
-    # at most 24 rows a day; only this batch's folders are overwritten
-    (counts.select("hr", "cnt", "dt", F.lit(int(batch_id)).cast("long").alias("batch_id")).coalesce(1)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # at most 24 rows a day; only this batch's folders are overwritten. Days are dealt out
+    # by a shuffle: a coalesce would run all aggregates before it in one task, one after
+    # another, and hold the memory of each
+    (counts.select("hr", "cnt", "dt", F.lit(int(batch_id)).cast("long").alias("batch_id"))
+     .hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("dt", "batch_id").parquet(hours_path))
     _drop_old(spark, hours_path, days)
 
