@@ -97,6 +97,104 @@ def scores(net: dict, x: np.ndarray, pairs: list[np.ndarray] | None = None, at_o
     return 1 / (1 + np.exp(-np.clip(net["slope"] * z + net["offset"], -60, 60)))
 
 
+#: The learned arrays, in the order of a gradient's places.
+LEARNED = ["tables", "bias", "weights", "shift"]
+SHAPES = [(KERNEL, CHARS, FILTERS), (FILTERS,), (len(PARTS) * FILTERS,), ()]
+PLACES = sum(int(np.prod(s)) for s in SHAPES)
+#: Raw scores are counted in bins of 1 / FINE from -SPAN to SPAN.
+FINE, SPAN = 32, 40
+BINS = 2 * SPAN * FINE
+
+
+def bins(z: np.ndarray) -> np.ndarray:
+    """The bin of each raw score; the outer bins take what lies beyond."""
+    return np.clip(np.floor((z + SPAN) * FINE), 0, BINS - 1).astype(np.int64)
+
+
+def low_edge(bin: int) -> float:
+    return bin / FINE - SPAN
+
+
+def hidden(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """The windows with either side of the context hidden half of the time."""
+    seen = x.copy()
+    for a, b in (PARTS[0], PARTS[2]):          # the candidate must count by itself too
+        seen[rng.random(len(seen)) < 0.5, a:b] = 0
+    return seen
+
+
+def gradient(net: dict, x: np.ndarray, label: bool, most: float = np.inf,
+             pairs: list[np.ndarray] | None = None, at_once: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """(sum of the log loss's gradient over windows of one label, by PLACES; raw scores).
+
+    Windows with a raw score above ``most`` add nothing.
+    """
+    first, last = pairs or pair_tables(net)
+    total = [np.zeros(s) for s in SHAPES]
+    heads, tails, backs, zs = [], [], [], []
+    for k in range(0, len(x), at_once):
+        padded = np.pad(x[k:k + at_once].T.astype(np.int32), ((BEFORE, AFTER), (0, 0)))
+        pair = padded[:-1] * CHARS + padded[1:]
+        tops, where = [], []
+        for a, b in PARTS:
+            out = first.take(pair[a:b], axis=0).astype(np.float32, copy=False)
+            out += last.take(pair[a + 2:b + 2], axis=0)
+            # positive floats are in order as integers, so one maximum finds the place too,
+            # which stands in the lowest five bits
+            bits = out.view(np.int32)
+            bits &= ~31
+            bits |= np.arange(b - a, dtype=np.int32)[:, None, None]
+            top = bits.max(axis=0)
+            where.append((top & 31) + a)
+            tops.append((top & ~31).view(np.float32))
+        pooled, at = np.maximum(np.concatenate(tops, axis=1), 0), np.concatenate(where, axis=1)
+        z = pooled @ net["weights"] + net["shift"]
+        zs.append(z)
+        d = 1 / (1 + np.exp(-np.clip(z.astype(float), -60, 60))) - float(label)
+        d[z > most] = 0
+        back = (d[:, None] * net["weights"] * (pooled > 0)).ravel()
+        total[1] += back.reshape(-1, len(PARTS), FILTERS).sum(axis=(0, 1))
+        total[2] += d @ pooled
+        total[3] += d.sum()
+        live = np.flatnonzero(back)
+        row, filter = np.divmod(live, len(PARTS) * FILTERS)
+        place = at.ravel()[live] * len(z) + row
+        filter %= FILTERS
+        flat = pair.ravel()
+        heads.append(flat[place] * FILTERS + filter)
+        tails.append(flat[place + 2 * len(z)] * FILTERS + filter)
+        backs.append(back[live])
+    if backs:
+        back = np.concatenate(backs)
+        for k, place in ((0, heads), (2, tails)):
+            by_pair = np.bincount(np.concatenate(place), back, CHARS * CHARS * FILTERS)
+            by_pair = by_pair.reshape(CHARS, CHARS, FILTERS)
+            total[0][k] += by_pair.sum(axis=1)
+            total[0][k + 1] += by_pair.sum(axis=0)
+    return np.concatenate([t.ravel() for t in total]), np.concatenate(zs) if zs else np.zeros(0)
+
+
+class Adam:
+    """Steps of a net by gradients over PLACES."""
+
+    def __init__(self, rate: float = 0.01):
+        self.rate, self.step = rate, 0
+        self.first, self.second = np.zeros(PLACES), np.zeros(PLACES)
+
+    def moved(self, net: dict, g: np.ndarray) -> dict:
+        self.step += 1
+        self.first = 0.9 * self.first + 0.1 * g
+        self.second = 0.999 * self.second + 0.001 * g ** 2
+        by = self.rate * (self.first / (1 - 0.9 ** self.step)) / (
+            np.sqrt(self.second / (1 - 0.999 ** self.step)) + 1e-8)
+        out, a = dict(net), 0
+        for name, shape in zip(LEARNED, SHAPES):
+            n = int(np.prod(shape))
+            out[name] = (net[name] - by[a:a + n].reshape(shape)).astype(np.float32)
+            a += n
+        return out
+
+
 def train(x: np.ndarray, y: np.ndarray, batch: int = 128, rate: float = 0.01, steps: int = 40,
           min_recall: float = 0.99, seed: int = 17) -> dict:
     """Fit on four fifths of the findings, both labels weighing the same, either
@@ -116,9 +214,8 @@ def train(x: np.ndarray, y: np.ndarray, batch: int = 128, rate: float = 0.01, st
            "bias": np.zeros(FILTERS, np.float32),
            "weights": rng.normal(0, 0.1, len(PARTS) * FILTERS).astype(np.float32),
            "shift": np.float32(0), "slope": 1.0, "offset": 0.0}
-    learned = ["tables", "bias", "weights", "shift"]
-    first = {k: np.zeros_like(net[k]) for k in learned}
-    second = {k: np.zeros_like(net[k]) for k in learned}
+    first = {k: np.zeros_like(net[k]) for k in LEARNED}
+    second = {k: np.zeros_like(net[k]) for k in LEARNED}
     order = rng.permutation(len(x))
     fit, held = order[len(x) // 5:], order[:len(x) // 5]
     if len(set(y[held].tolist())) < 2 or len(set(y[fit].tolist())) < 2:
@@ -130,9 +227,7 @@ def train(x: np.ndarray, y: np.ndarray, batch: int = 128, rate: float = 0.01, st
             p = scores(net, x[pools[1]])
             pools[1] = pools[1][p <= np.quantile(p, 0.95)]
         now = np.concatenate([rng.choice(pool, batch // 2) for pool in pools])
-        seen = x[now].copy()
-        for a, b in (PARTS[0], PARTS[2]):          # the candidate must count by itself too
-            seen[rng.random(len(seen)) < 0.5, a:b] = 0
+        seen = hidden(x[now], rng)
         padded, where, pooled, z = _forward(net, seen)
         d = ((1 / (1 + np.exp(-np.clip(z, -60, 60))) - y[now]) / len(now)).astype(np.float32)
         grad = {"weights": pooled.T @ d, "shift": d.sum(), "bias": np.zeros_like(net["bias"]),
@@ -144,7 +239,7 @@ def train(x: np.ndarray, y: np.ndarray, batch: int = 128, rate: float = 0.01, st
             grad["bias"] += g.sum(axis=0)
             for k in range(KERNEL):
                 np.add.at(grad["tables"][k], (padded[rows, w + k], filters), g)
-        for k in learned:
+        for k in LEARNED:
             first[k] = 0.9 * first[k] + 0.1 * grad[k]
             second[k] = 0.999 * second[k] + 0.001 * grad[k] ** 2
             net[k] = net[k] - rate * (first[k] / (1 - 0.9 ** step)) / (
@@ -159,14 +254,44 @@ def train(x: np.ndarray, y: np.ndarray, batch: int = 128, rate: float = 0.01, st
     return net
 
 
-def _calibrated(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def settled(net: dict, found: np.ndarray, clean: np.ndarray, min_recall: float = 0.99) -> dict:
+    """The net calibrated, and its threshold, by the counts of raw scores (by BINS)
+    of all findings and of all clean candidates; see ``train``."""
+    z = (np.arange(BINS) + 0.5) / FINE - SPAN
+    both = found.sum() + clean.sum()             # both labels weigh the same
+    weight = np.r_[found / max(found.sum(), 1), clean / max(clean.sum(), 1)] * both / 2
+    slope, offset = _calibrated(np.r_[z, z], np.repeat([1.0, 0.0], BINS), weight)
+    out = dict(net, slope=slope, offset=offset)
+    out["least"] = (least_score(found, min_recall) + min(
+        least_score(found, min_recall), raw_probability(low_edge(quantile_bin(clean, 0.95))))) / 2
+    raw = np.log(out["least"] / (1 - out["least"]))
+    out["threshold"] = float(1 / (1 + np.exp(-np.clip(slope * raw + offset, -60, 60))))
+    return out
+
+
+def raw_probability(z):
+    return 1 / (1 + np.exp(-np.clip(z, -60.0, 60.0)))
+
+
+def quantile_bin(counts: np.ndarray, share: float) -> int:
+    """The bin in which the row at ``share`` of all, in ascending order, lies."""
+    return int(np.searchsorted(np.cumsum(counts), int(np.floor(share * counts.sum())), "right").clip(0, BINS - 1))
+
+
+def least_score(found: np.ndarray, min_recall: float = 0.99) -> float:
+    """The largest bin edge that ``min_recall`` of the counted findings reach, uncalibrated."""
+    return float(raw_probability(low_edge(quantile_bin(found, 1 - min_recall))))
+
+
+def _calibrated(z: np.ndarray, y: np.ndarray, weight: np.ndarray | float = 1.0) -> tuple[float, float]:
     """Slope and offset of a logistic fit of the outcomes on the raw scores."""
     # counts smoothed towards even odds, so separable scores stay finite
-    t = np.where(y > 0.5, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+    n, true = np.sum(weight * np.ones(len(y))), np.sum(weight * y)
+    t = np.where(y > 0.5, (true + 1) / (true + 2), 1 / (n - true + 2))
     a, b = 1.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a * z + b, -60, 60)))
-        w, r = p * (1 - p) + 1e-6, p - t
+        w, r = weight * (p * (1 - p) + 1e-6), weight * (p - t)
         h = np.array([[np.sum(w * z * z), np.sum(w * z)], [np.sum(w * z), np.sum(w)]]) + 1e-6 * np.eye(2)
         move = np.linalg.solve(h, np.array([np.sum(r * z), np.sum(r)]))
         a, b = a - np.clip(move[0], -1, 1), b - np.clip(move[1], -1, 1)

@@ -286,6 +286,60 @@ def test_model_adds_spans_and_base_ones_stay(spark):
     assert sum("model:" in r.spans for r in out[300:]) >= 7
 
 
+def test_gradient_equals_differences():
+    rng = np.random.default_rng(3)
+    x = rng.integers(1, secret_net.CHARS, (40, secret_net.WIDTH)).astype(np.uint8)
+    y = np.r_[np.ones(20), np.zeros(20)].astype(np.float32)
+    net = secret_net.train(x, y, steps=3)
+    net = {k: v.astype(np.float64) if k in secret_net.LEARNED else v for k, v in net.items()}
+    for label in (True, False):
+        g, z = secret_net.gradient(net, x, label)
+        assert np.allclose(z, secret_net._forward(net, x)[-1], atol=1e-5)
+        loss = lambda n: np.logaddexp(0, (-1 if label else 1) * secret_net._forward(n, x)[-1]).sum()
+        flat = np.concatenate([np.ravel(net[k]) for k in secret_net.LEARNED])
+        for at in [*np.argsort(-np.abs(g))[:12], secret_net.PLACES - 1, secret_net.PLACES - 5]:
+            ends = []
+            for step in (1e-4, -1e-4):
+                moved, a = dict(net), 0
+                changed = flat.copy()
+                changed[at] += step
+                for k, shape in zip(secret_net.LEARNED, secret_net.SHAPES):
+                    n = int(np.prod(shape))
+                    moved[k] = changed[a:a + n].reshape(shape)
+                    a += n
+                ends.append(loss(moved))
+            assert g[at] == pytest.approx((ends[0] - ends[1]) / 2e-4, rel=0.05, abs=1e-2)
+
+
+def test_every_candidate_of_every_text_is_learned_from(spark):
+    """Each text has many more findings and clean candidates than a start of two would take."""
+    texts = [" ".join(f"token = key{k}x{j}abc plainword{j} otherword{k}" for j in range(30)) for k in range(12)]
+    docs = docs_of(spark, texts)
+    net = secrets.fitted(secrets.training_windows(docs), 2)
+    spread_out = secrets._rows(docs).select("key", "text")
+    one, many = [{(r.found, r.place): r.value for r in secrets.round_sums(
+        spread_out.repartition(n), net, np.inf).collect()} for n in (1, 7)]
+    assert one[True, -1] == 12 * 30 and one[False, -1] == 12 * 60
+    assert sum(v for (f, p), v in one.items() if p >= secret_net.PLACES) == 12 * 90
+    assert one.keys() == many.keys() and all(abs(one[k] - many[k]) <= 8 for k in one)
+    assert (secrets.fitted_to_all(docs, net)["tables"] != net["tables"]).any()
+
+
+def test_threshold_keeps_the_share_of_all_findings(spark, sf_mid):
+    docs = spark.read.parquet(f"{sf_mid}/documents.parquet").limit(600).cache()
+    windows = secrets.training_windows(docs)
+    net = secrets.fitted_to_all(docs, secrets.fitted(windows, 50))
+    found = secrets.finding_counts(windows, net)
+    rows = windows.where("found").collect()
+    assert found.sum() == len(rows)
+    clean = secrets._counted(secrets.scanned(docs, net, 1.0).where("bin IS NOT NULL")
+                             .select(F.inline(F.arrays_zip("bin", "n"))))
+    settled = secret_net.settled(net, found, clean)
+    p = secret_net.scores(settled, secret_net.from_bytes([bytes(r.window) for r in rows]))
+    assert (p >= settled["threshold"] - 1e-9).mean() >= 0.99
+    assert settled["least"] >= secret_net.least_score(found) / 2
+
+
 # -- language ID -----------------------------------------------------------
 
 def test_forward_sums_all_segmentations():
