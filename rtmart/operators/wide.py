@@ -101,7 +101,8 @@ def sliding_window_counts(df: DataFrame, ts_col: str = "ts", window_s: int = WIN
                     F.date_format("w.end", fmt).alias("window_end"), "cnt")
 
 
-def detail_amount_split(info: DataFrame, detail: DataFrame) -> DataFrame:
+def detail_amount_split(info: DataFrame, detail: DataFrame, more: tuple = (),
+                        stored: bool = False) -> DataFrame:
     """Each line's share of the order's paid amount, in whole cents.
 
     Weight of a line = price x quantity (the reference's "original amount"
@@ -109,39 +110,50 @@ def detail_amount_split(info: DataFrame, detail: DataFrame) -> DataFrame:
     the largest detail id also takes the remainder, so the shares of an order
     add up to its paid amount exactly. Per-order sums are aggregates joined
     back by order id -- never a whole order in one task.
+
+    The lines are read three times, twice narrow for the sums of an order;
+    ``stored``: the inputs are read from files, and are not written again for
+    that. ``more`` are columns of the details that come along.
     """
     # decimals: the product of two amounts in cents outgrows 64 bits
     cents = lambda c: F.round(F.col(c) * 100).cast("decimal(19,0)")
+    weight = cents("order_price") * F.col("sku_num").cast("decimal(19,0)")
+    values = ("order_price", "sku_num")          # smaller to shuffle than the weight
     lines = detail.select(F.col("id").alias("order_detail_id"), "order_id",
-                          (cents("order_price") * F.col("sku_num").cast("decimal(19,0)"))
-                          .alias("w"))
+                          *dict.fromkeys([*more, *values]))
     orders = info.select(F.col("id").alias("order_id"), cents("final_total_amount").alias("fc"))
-    # four consumers below: parse and join once, narrow, in the shared folder
-    base = cut_lineage(lines.join(orders, "order_id"), "amount_split")
-    per_order = base.groupBy("order_id").agg(F.sum("w").alias("tw"),
-                                             F.max("order_detail_id").alias("last_id"))
-    shared = (base.join(per_order, "order_id")
-                  .withColumn("share", F.when(F.col("tw") == 0, F.lit(0).cast("bigint"))
-                              .otherwise(F.expr("(fc * w) div tw"))))
-    rem = (shared.groupBy("order_id")
-                 .agg((F.max("fc") - F.sum("share")).alias("rem")))
-    out = shared.join(rem, "order_id").withColumn(
-        "cents", F.col("share") + F.when(F.col("order_detail_id") == F.col("last_id"),
-                                         F.col("rem")).otherwise(F.lit(0)))
+    if not stored:
+        lines = cut_lineage(lines, "amount_split")
+        orders = cut_lineage(orders, "amount_split_orders")
+    share = (F.when(F.col("tw") == 0, F.lit(0).cast("bigint")).otherwise(F.expr("(fc * w) div tw")))
+    totals = lines.groupBy("order_id").agg(F.sum(weight).alias("tw"),
+                                           F.max("order_detail_id").alias("last_id"))
+    # an order's values are the same on all its lines
+    per_order = (lines.select("order_id", *values).join(totals.join(orders, "order_id"), "order_id")
+                      .withColumn("w", weight).withColumn("share", share).groupBy("order_id")
+                      .agg(F.max("fc").alias("fc"), F.max("tw").alias("tw"),
+                           F.max("last_id").alias("last_id"),
+                           (F.max("fc") - F.sum("share")).alias("rem")))
+    out = lines.join(per_order, "order_id").withColumn("w", weight).withColumn(
+        "cents", share + F.when(F.col("order_detail_id") == F.col("last_id"),
+                                F.col("rem")).otherwise(F.lit(0)))
     return out.select("order_detail_id", "order_id", F.col("cents").cast("bigint").alias("cents"),
-                      (F.col("cents").cast("double") / 100.0).alias("final_detail_amount"))
+                      (F.col("cents").cast("double") / 100.0).alias("final_detail_amount"), *more)
+
+
+# Detail columns of the full wide row, beside the ids and the amount.
+FULL_DETAIL_COLUMNS = ("sku_id", "order_price", "sku_num", "sku_name", "spu_id", "tm_id",
+                       "category3_id", "spu_name", "tm_name", "category3_name")
 
 
-def order_wide_full(info: DataFrame, detail: DataFrame, split: DataFrame) -> DataFrame:
+def order_wide_full(info: DataFrame, split: DataFrame) -> DataFrame:
     """The wide row with all its fields.
 
     ``info``: flagged and enriched orders with user_age_group and user_gender;
-    ``detail``: details with their SKU, SPU, trademark and category;
-    ``split``: the amount split of the same orders and details.
+    ``split``: the amount split of the details of these orders, with
+    FULL_DETAIL_COLUMNS: SKU, SPU, trademark and category come along, so that
+    the lines are joined by order id only, as they lie after the split.
     """
     i = _info_side(info, ("user_age_group", "user_gender"))
-    d = _detail_side(detail, ("spu_id", "tm_id", "category3_id", "spu_name", "tm_name",
-                              "category3_name"))
-    shares = split.select("order_id", "order_detail_id", "final_detail_amount")
-    return (i.join(d, "order_id").join(shares, ["order_id", "order_detail_id"])
+    return (i.join(split.withColumnRenamed("order_price", "sku_price"), "order_id")
             .select(*ORDER_WIDE_FULL_COLUMNS))

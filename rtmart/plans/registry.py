@@ -131,7 +131,7 @@ def state_and_batch(spark, sf):
 
 def dwd_orders(spark, sf):
     """All orders as one batch against an empty state: flagged and enriched."""
-    orders = cut_lineage(orders_typed(spark, sf), "dwd_orders")
+    orders = cut_lineage(orders_typed(spark, sf), "dwd_orders", "zstd")
     return O.dwd_order_info(orders, None, provinces(spark, sf))
 
 
@@ -258,10 +258,11 @@ def q_order_user_dim(spark, sf):
 
 def q_order_wide_full(spark, sf):
     """The wide row with its amount share and every dimension."""
-    info = cut_lineage(DM.order_user_dim(dwd_orders(spark, sf), user_dim(spark, sf)), "wide_info")
-    details = cut_lineage(DM.detail_dims(details_typed(spark, sf), *sku_dims(spark, sf)),
-                          "wide_detail")
-    return W.order_wide_full(info, details, W.detail_amount_split(info, details))
+    info = cut_lineage(DM.order_user_dim(dwd_orders(spark, sf), user_dim(spark, sf)), "wide_info", "zstd")
+    # the wide row has the order's time; a detail's own is only checked
+    details = cut_lineage(DM.detail_dims(details_typed(spark, sf).drop("create_time"), *sku_dims(spark, sf)),
+                          "wide_detail", "zstd")
+    return W.order_wide_full(info, W.detail_amount_split(info, details, W.FULL_DETAIL_COLUMNS, stored=True))
 
 
 def q_order_info_quarantine(spark, sf):

@@ -125,15 +125,15 @@ def order_detail_rows(lineitem: DataFrame, orders: DataFrame, part: DataFrame,
     status rides along (the change-data adapters need it; the orders join is
     already there).
     """
-    li = lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice",
-                         "l_linenumber", _line_id().alias("line_id"))
-    li = spread(li)
+    # ids and texts are made after the joins: their source values are smaller to shuffle
+    li = spread(lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
+                                "l_extendedprice", "l_linenumber"))
     o = orders.select("o_orderkey", "o_orderdate", "o_orderstatus")
     p = part.select("p_partkey", "p_name")
     j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
            .join(p, li.l_partkey == p.p_partkey, "left"))
     return j.select(
-        F.col("line_id").alias("id"),
+        _line_id().alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"),
         F.col("l_extendedprice").alias("order_price"),

@@ -305,6 +305,36 @@ def test_amount_split_of_very_large_amounts(spark):
     assert got == {11: 2_500_000_000, 12: 2_500_000_000}
 
 
+def test_full_wide_row_is_shuffled_by_order_once(spark):
+    """The lines are not shuffled again, wide, to meet their shares."""
+    info = spark.createDataFrame(
+        [(k, 10.0) for k in range(40)], "id long, final_total_amount double")
+    for c in ("order_status create_time user_id benefit_reduce_amount feight_fee original_total_amount "
+              "if_first_order province_name province_area_code create_date user_age_group user_gender").split():
+        info = info.withColumn(c, F.lit("x"))
+    det = spark.createDataFrame([(10 * k + j, k, float(j + 1), 1) for k in range(40) for j in range(3)],
+                                "id long, order_id long, order_price double, sku_num long")
+    for c in W.FULL_DETAIL_COLUMNS:
+        if c not in det.columns:
+            det = det.withColumn(c, F.concat(F.lit(c), F.col("id").cast("string")))
+    out = W.order_wide_full(info, W.detail_amount_split(info, det, W.FULL_DETAIL_COLUMNS, stored=True))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plan = out.select("*")._jdf.queryExecution().executedPlan().toString()
+        shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+        rows = out.collect()
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert shuffles and not any("order_detail_id" in x.split("hashpartitioning(")[1].split("),")[0]
+                                for x in shuffles), shuffles
+    assert len(rows) == 120
+    assert {r.order_detail_id: r.final_detail_amount for r in rows if r.order_id == 7} == \
+        {70: 1.66, 71: 3.33, 72: 5.01}
+
+
 def test_last_change_of_a_dimension_row_wins(spark):
     from rtmart.operators import dims as DM
     ods = spark.createDataFrame([('{"id":"1","tm_name":"Zed"}', 1), ('{"id":"1","tm_name":"Acme"}', 2),
