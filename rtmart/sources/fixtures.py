@@ -130,8 +130,9 @@ def order_detail_rows(lineitem: DataFrame, orders: DataFrame, part: DataFrame,
                                 "l_extendedprice", "l_linenumber"))
     o = orders.select("o_orderkey", "o_orderdate", "o_orderstatus")
     p = part.select("p_partkey", "p_name")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-           .join(p, li.l_partkey == p.p_partkey, "left"))
+    # orders last: the lines then lie by order, as envelopes of an order need them
+    j = (li.join(p, li.l_partkey == p.p_partkey, "left")
+           .join(o, li.l_orderkey == o.o_orderkey, "inner"))
     return j.select(
         _line_id().alias("id"),
         F.col("l_orderkey").alias("order_id"),
