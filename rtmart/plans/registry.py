@@ -4,6 +4,7 @@ DataFrame. Keys match ``rtmart.plans.oracle.oracle_sql``."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -336,9 +337,24 @@ def _stream_of(spark, msgs, base, time_col=None, n_slices=N_SLICES, more=()):
     return _sliced_stream(spark, f"{base}/in", schema)
 
 
+# Files that a task of a topic stream holds open at once: one a topic, so that no text is sorted.
+OPEN_TOPICS = 12
+
+
+@contextmanager
+def _setting(spark, key, value):
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _run_topics(spark, routed, base):
-    J.start_topic_stream(routed, f"{base}/topics", f"{base}/ckpt",
-                         available_now=True).awaitTermination()
+    with _setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_TOPICS)):
+        J.start_topic_stream(routed, f"{base}/topics", f"{base}/ckpt",
+                             available_now=True).awaitTermination()
     return J.read_topics(spark, f"{base}/topics")
 
 

@@ -1,5 +1,7 @@
 """Shuffles and sorts that the work at size has no need of."""
 
+from pyspark.sql import functions as F
+
 from rtmart.plans import registry as Q
 from rtmart.sources import fixtures as FX
 
@@ -17,3 +19,18 @@ def test_lines_of_an_order_are_not_shuffled_again_for_its_envelope(spark, sf_mid
             spark.conf.set(c, v)
     shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x]
     assert shuffles and not any("chunk" in x for x in shuffles), shuffles
+
+
+def test_topic_streams_write_without_sorting_texts(spark, monkeypatch):
+    seen = []
+
+    class Query:
+        def awaitTermination(self):
+            seen.append(int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")))
+
+    monkeypatch.setattr(Q.J, "start_topic_stream", lambda *a, **k: Query())
+    monkeypatch.setattr(Q.J, "read_topics", lambda *a: None)
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    Q._run_topics(spark, spark.range(1).select(F.lit("a").alias("topic")), "x")
+    assert seen == [Q.OPEN_TOPICS] and Q.OPEN_TOPICS > 9          # topics of a job, quarantine too
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
