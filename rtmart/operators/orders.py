@@ -87,8 +87,9 @@ def no_provinces(spark: SparkSession) -> DataFrame:
 
 def user_state_from_orders(orders: DataFrame) -> DataFrame:
     """Every ordering user is consumed -> (user_id string, if_consumed)."""
-    return (orders.select(F.col("user_id").cast("string").alias("user_id")).distinct()
-                  .select("user_id", F.lit(CONSUMED).alias("if_consumed")))
+    return (orders.select("user_id").distinct()
+                  .select(F.col("user_id").cast("string").alias("user_id"),
+                          F.lit(CONSUMED).alias("if_consumed")))
 
 
 def _state_by_long_key(state: DataFrame) -> DataFrame:
@@ -109,7 +110,13 @@ def user_state_lookup(batch: DataFrame, state: DataFrame) -> DataFrame:
                          .alias("if_consumed")))
 
 
-def first_order_flag(batch: DataFrame, state: DataFrame | None = None) -> DataFrame:
+def first_orders(batch: DataFrame) -> DataFrame:
+    """One row per user of the batch: the earliest order ``f`` (create_time, id)."""
+    return batch.groupBy("user_id").agg(F.min(F.struct("create_time", "id")).alias("f"))
+
+
+def first_order_flag(batch: DataFrame, state: DataFrame | None = None,
+                     firsts: DataFrame | None = None) -> DataFrame:
     """D3 + D4: ``if_first_order`` per order of the batch.
 
     A user already consumed in ``state`` gets '0' on every order. Otherwise the
@@ -117,9 +124,10 @@ def first_order_flag(batch: DataFrame, state: DataFrame | None = None) -> DataFr
     others '0' -- exactly one first order per user (the reference's comment;
     its code left two same-batch orders both '1' and skipped lone orders).
     The batch is read twice here: pass one that is stored (a table, or a
-    persisted micro-batch), not one still to be parsed.
+    persisted micro-batch), not one still to be parsed. ``firsts`` are its
+    ``first_orders`` where the caller holds them.
     """
-    firsts = batch.groupBy("user_id").agg(F.min(F.struct("create_time", "id")).alias("f"))
+    firsts = first_orders(batch) if firsts is None else firsts
     if state is not None:
         consumed = _state_by_long_key(state).where(F.col("if_consumed") == CONSUMED) \
                                             .select("user_id")
@@ -157,9 +165,9 @@ def province_enrich(orders: DataFrame, provinces: DataFrame) -> DataFrame:
 
 
 def dwd_order_info(orders: DataFrame, state: DataFrame | None,
-                   provinces: DataFrame) -> DataFrame:
+                   provinces: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """The detail-layer order job for one batch: flag, then enrich."""
-    return province_enrich(first_order_flag(orders, state), provinces)
+    return province_enrich(first_order_flag(orders, state, firsts), provinces)
 
 
 def order_info_messages(dwd: DataFrame, keep: tuple = ()) -> DataFrame:

@@ -165,11 +165,15 @@ def read_latest(spark: SparkSession, path: str, keys: list[str], order_cols: lis
 
 
 def read_first(spark: SparkSession, path: str, keys: list[str],
-               order_cols: list[str] | None = None) -> DataFrame:
+               order_cols: list[str] | None = None, columns: tuple = ()) -> DataFrame:
     """The first row per key over the stored versions, by ``order_cols`` or
-    else by version: what came first stays, whatever is delivered again."""
+    else by version: what came first stays, whatever is delivered again.
+    ``columns``: those wanted, keys included (default: all)."""
     order = order_cols or ["batch_id", "kind"]
-    return latest_per_key(read_versions(spark, path), keys, order, first=True).drop("kind")
+    rows = read_versions(spark, path)
+    if columns:
+        rows = rows.select(*columns, *[c for c in ["batch_id", "kind", *order] if c not in columns])
+    return latest_per_key(rows, keys, order, first=True).drop("kind")
 
 
 FOLDED = "_folded_"      # lists the folders that a fold made redundant

@@ -441,6 +441,9 @@ def q_stream_restart(spark, sf):
     return J.read_dau_table(spark, f"{base}/table")
 
 
+FLAG_COLUMNS = ("id", "user_id", "create_time", "if_first_order")
+
+
 def _seconds(create_time):
     return F.unix_timestamp(F.to_timestamp(create_time, "yyyy-MM-dd HH:mm:ss"))
 
@@ -453,14 +456,14 @@ def _stage_order_batch(spark, sf, base, again=False):
     """Seed user state (version 0) from orders before the cutoff; stage the
     later orders as ODS messages in create-time slices, and with ``again`` all
     of them once more after that."""
-    before, batch = FX.split_orders_by_state_cutoff(oi_rows(spark, sf))
+    before, batch = FX.split_orders_by_state_cutoff(cut_lineage(oi_rows(spark, sf), "order_rows"))
     write_version(O.user_state_from_orders(before), f"{base}/state", 0)
-    msgs = FX.order_info_text(batch, ("create_time",)).withColumn("_t", _seconds("create_time"))
+    rows = batch.withColumn("_t", _seconds("create_time"))
     if again:
         a_century = 100 * 366 * 86400
-        msgs = msgs.unionByName(msgs.withColumn("_t", F.col("_t") + a_century))
-    stage_time_slices(msgs, "_t", f"{base}/in", N_SLICES * (1 + again), FILES_PER_SLICE,
-                      keep=["value"], rows_per_slice=ROWS_PER_SLICE)
+        rows = rows.unionByName(rows.withColumn("_t", F.col("_t") + a_century))
+    stage_time_slices(rows, "_t", f"{base}/in", N_SLICES * (1 + again), FILES_PER_SLICE, keep=batch.columns,
+                      rows_per_slice=ROWS_PER_SLICE, stored=True, made=(FX.order_info_value(batch),))
     return _sliced_stream(spark, f"{base}/in")
 
 
@@ -471,8 +474,7 @@ def q_stream_first_order(spark, sf):
     stream = _stage_order_batch(spark, sf, base)
     J.start_first_order(stream, spark, f"{base}/state", f"{base}/out", f"{base}/ckpt",
                         lambda: provinces(spark, sf), available_now=True).awaitTermination()
-    return J.read_flagged_orders(spark, f"{base}/out").select(
-        "id", "user_id", "create_time", "if_first_order")
+    return J.read_flagged_orders(spark, f"{base}/out", FLAG_COLUMNS)
 
 
 def q_stream_replay(spark, sf):
@@ -489,8 +491,7 @@ def q_stream_replay(spark, sf):
 
     (stream.writeStream.option("checkpointLocation", f"{base}/ckpt").foreachBatch(twice)
         .trigger(availableNow=True).start().awaitTermination())
-    return J.read_flagged_orders(spark, f"{base}/out").select(
-        "id", "user_id", "create_time", "if_first_order")
+    return J.read_flagged_orders(spark, f"{base}/out", FLAG_COLUMNS)
 
 
 def q_stream_redelivery(spark, sf):
@@ -500,8 +501,7 @@ def q_stream_redelivery(spark, sf):
     stream = _stage_order_batch(spark, sf, base, again=True)
     J.start_first_order(stream, spark, f"{base}/state", f"{base}/out", f"{base}/ckpt",
                         lambda: provinces(spark, sf), available_now=True).awaitTermination()
-    return J.read_flagged_orders(spark, f"{base}/out").select(
-        "id", "user_id", "create_time", "if_first_order")
+    return J.read_flagged_orders(spark, f"{base}/out", FLAG_COLUMNS)
 
 
 def _late_logs(spark, sf, base):

@@ -152,10 +152,15 @@ def _quoted(df: DataFrame) -> list:
     return [F.col(c).cast("string").alias(c) for c in df.columns]
 
 
+def order_info_value(oi: DataFrame) -> F.Column:
+    """The text of an ODS_ORDER_INFO message: one JSON object, values quoted."""
+    return to_json_row(*_quoted(oi)).alias("value")
+
+
 def order_info_text(oi: DataFrame, keep: tuple = ()) -> DataFrame:
     """ODS_ORDER_INFO messages: one JSON object per order, values quoted; ``keep``
     are columns that come along."""
-    return oi.select(to_json_row(*_quoted(oi)).alias("value"), *keep)
+    return oi.select(order_info_value(oi), *keep)
 
 
 def order_info_text_dirty(oi: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from rtmart.operators import dau as D
 from rtmart.operators import orders as O
 from rtmart.operators import wide as W
 from rtmart.operators.asof import VersionedTable, last_pin, pinned
-from rtmart.operators.joins import broadcast_if_small
+from rtmart.operators.joins import DEFAULT_BROADCAST_MAX_ROWS
 from rtmart.operators.upsert import (compact, compaction_plan, drop_versions, latest_per_key, path_exists,
                                      read_first, read_latest, read_versions, version_numbers,
                                      write_files_once, write_version, write_version_once)
@@ -217,9 +217,11 @@ TOPIC_PARTITIONS = 4              # files of a version of the message topic
 STATE_KEYS = 1000                 # users looked up as a pushed list of values
 
 
-def _state_of(spark: SparkSession, state_path: str, version: int, orders: DataFrame):
+def _state_of(spark: SparkSession, state_path: str, version: int, users: DataFrame):
     """The consumed ones among a batch's users, from the versions before it.
 
+    ``users`` has a row per user and is stored (persisted): it is counted first.
+
     Folded state is sorted by user and has Bloom filters. The users of a
     micro-batch, up to STATE_KEYS of them, go to the scan as a list of values,
     which skips every row group that holds none of them: the read grows with
@@ -230,13 +232,15 @@ def _state_of(spark: SparkSession, state_path: str, version: int, orders: DataFr
     aggregated. Rows only ever say consumed, so no latest version has to be
     found.
     """
-    users = orders.select(F.col("user_id").cast("string").alias("user_id")).distinct()
+    users = users.select(F.col("user_id").cast("string").alias("user_id"))
     stored = read_versions(spark, state_path, before=version).select("user_id")
-    few = [r["user_id"] for r in users.limit(STATE_KEYS + 1).collect()]
-    if len(few) <= STATE_KEYS:
+    n = users.count()
+    if n <= STATE_KEYS:
+        few = [r["user_id"] for r in users.collect()]
         found = stored.where(F.col("user_id").isin([u for u in few if u is not None]))
     else:
-        found = stored.join(broadcast_if_small(users, max_bytes=None), "user_id", "left_semi")
+        few = n <= DEFAULT_BROADCAST_MAX_ROWS
+        found = stored.join(F.broadcast(users) if few else users, "user_id", "left_semi")
     return found.distinct().select("user_id", F.lit(O.CONSUMED).alias("if_consumed"))
 
 
@@ -286,21 +290,24 @@ def first_order_batch_fn(spark: SparkSession, state_path: str, out_path: str,
             # append-only output: fold recent deltas into a segment, never all
             compact(spark, out_path, ["id"], [], at=version, since=since, first=True)
         orders = O.order_info_typed(batch).persist()   # parsed once, read often
+        # a row per user, for the state read, the flags and the new state alike
+        firsts = O.first_orders(orders).persist()
         state = None
         if path_exists(spark, state_path):
-            state = _state_of(spark, state_path, version, orders).persist()
-        flagged = O.dwd_order_info(orders, state, _provinces_of(spark, provinces, out_path,
-                                                                version)).persist()
+            state = _state_of(spark, state_path, version, firsts).persist()
+        flagged = O.dwd_order_info(orders, state, _provinces_of(spark, provinces, out_path, version), firsts)
+        if topic_path is not None:                     # written twice
+            flagged = flagged.persist()
         try:
             write_version(flagged, out_path, version)
             if topic_path is not None:
                 write_version_once(
                     O.order_info_messages(flagged).repartition(TOPIC_PARTITIONS, "key"),
                     topic_path, version)
-            write_version(O.new_user_state(orders, state), state_path, version)
+            write_version(O.new_user_state(firsts, state), state_path, version)
             _quarantine(O.order_info_quarantine(batch), quarantine_path, version)
         finally:
-            for df in (flagged, state, orders):
+            for df in (flagged, state, firsts, orders):
                 if df is not None:
                     df.unpersist()
     return run
@@ -317,10 +324,11 @@ def start_first_order(ods_orders: DataFrame, spark: SparkSession, state_path: st
     return _trigger(w, available_now).start()
 
 
-def read_flagged_orders(spark: SparkSession, out_path: str) -> DataFrame:
+def read_flagged_orders(spark: SparkSession, out_path: str, columns: tuple = ()) -> DataFrame:
     """Each order as first written: a later redelivery finds its user consumed
-    and would turn its flag to '0'."""
-    return read_first(spark, out_path, ["id"]).drop("batch_id")
+    and would turn its flag to '0'. With ``columns`` (the id first) only these
+    are read and shuffled."""
+    return read_first(spark, out_path, ["id"], columns=columns).drop("batch_id")
 
 
 # ---------------------------------------------------------------- J1/J5 + D2: wide order

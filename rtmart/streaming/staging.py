@@ -68,7 +68,8 @@ def stage_time_slices(df: DataFrame, time_col, path: str, n_slices: int,
                       files_per_slice: int, bounds: tuple | None = None,
                       keep: list[str] | None = None, only: range | None = None,
                       rows_per_file: int | None = ROWS_PER_FILE,
-                      rows_per_slice: int | None = None, stored: bool = False) -> tuple:
+                      rows_per_slice: int | None = None, stored: bool = False,
+                      made: tuple = ()) -> tuple:
     """Write ``df`` as ``n_slices`` time slices under ``path``.
 
     ``time_col`` is a numeric column or expression (e.g. epoch seconds).
@@ -80,6 +81,8 @@ def stage_time_slices(df: DataFrame, time_col, path: str, n_slices: int,
     hold over ``rows_per_file`` rows each (None: never). There are more slices
     where they would hold over ``rows_per_slice`` rows each (None: never).
     ``stored``: ``df`` is read from files and need not be copied first.
+    ``made``: columns (e.g. texts) written in place of the kept ones, made from
+    them after the shuffle.
     """
     t = F.col(time_col) if isinstance(time_col, str) else time_col
     cols = keep or list(df.columns)
@@ -100,11 +103,12 @@ def stage_time_slices(df: DataFrame, time_col, path: str, n_slices: int,
     files = files_per_slice
     if rows_per_file:
         files = max(files, -(-row["n"] // (n_slices * rows_per_file)))
+    out = list(made) or cols
     sliced = staged.withColumn("_slice", idx).where(F.col("_slice").isin(slices))
     file = (F.col("_slice") - slices[0]) * files + F.pmod(F.xxhash64(*cols), F.lit(files)).cast("int")
-    (sliced.repartitionById(files * len(slices), file).select(*cols, "_slice")
+    (sliced.repartitionById(files * len(slices), file).select(*out, "_slice")
            .write.mode("append").partitionBy("_slice").parquet(path))
-    _fill_slices(staged.select(*cols), path, slices, files)
+    _fill_slices(staged.select(*out), path, slices, files)
     _order_slices(df.sparkSession, path, slices)
     if not stored:
         _, root, fs = file_system(df.sparkSession, staged_path)
