@@ -67,7 +67,7 @@ def start_topic_stream(routed: DataFrame, sink_path: str | None, checkpoint: str
         for k, v in kafka_sink_options(kafka_bootstrap).items():
             w = w.option(k, v)
     else:
-        w = w.format("parquet").partitionBy("topic").option("path", sink_path)
+        w = w.format("parquet").option("compression", "zstd").partitionBy("topic").option("path", sink_path)
     return _trigger(w, available_now).start()
 
 
