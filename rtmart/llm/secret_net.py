@@ -40,15 +40,18 @@ def text_codes(text: str) -> np.ndarray:
 
 def windows(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """(candidates, WIDTH) codes around text[start:end]; 0 where there is no character."""
-    none = len(codes)
-    start, end = start[:, None], end[:, None]
-    left = start + np.arange(-LEFT, 0)
-    place = np.arange(INSIDE)
-    inside = np.where((end - start > INSIDE) & (place >= INSIDE - TAIL), end - INSIDE + place, start + place)
-    right = end + np.arange(RIGHT)
-    at = np.concatenate([np.where(left < 0, none, left), np.where(inside < end, inside, none),
-                         np.minimum(right, none)], axis=1)
-    return np.append(codes, np.uint8(0))[at]
+    padded = np.zeros(LEFT + len(codes) + INSIDE, np.uint8)
+    padded[LEFT:LEFT + len(codes)] = codes
+    runs = lambda n: np.ndarray((len(padded) - n + 1, n), np.uint8, padded, 0, (1, 1))     # noqa: E731
+    out = np.empty((len(start), WIDTH), np.uint8)
+    shown = out[:, LEFT:LEFT + INSIDE]
+    out[:, :LEFT + INSIDE] = runs(LEFT + INSIDE)[start]
+    shown *= np.arange(INSIDE) < (end - start)[:, None]
+    long = np.flatnonzero(end - start > INSIDE)
+    if len(long):
+        shown[long, INSIDE - TAIL:] = runs(TAIL)[end[long] + LEFT - TAIL]
+    out[:, LEFT + INSIDE:] = runs(RIGHT)[end + LEFT]
+    return out
 
 
 def from_bytes(rows: list[bytes]) -> np.ndarray:
@@ -85,13 +88,17 @@ def scores(net: dict, x: np.ndarray, pairs: list[np.ndarray] | None = None, at_o
     """
     first, last = pairs or pair_tables(net)
     z = np.empty(len(x))
+    held = [np.empty((max(b - a for a, b in PARTS), at_once, FILTERS), first.dtype) for _ in range(2)]
     for k in range(0, len(x), at_once):
-        padded = np.pad(x[k:k + at_once].T.astype(np.int32), ((BEFORE, AFTER), (0, 0)))
+        n = min(at_once, len(x) - k)
+        padded = np.zeros((WIDTH + BEFORE + AFTER, n), np.int32)
+        padded[BEFORE:BEFORE + WIDTH] = x[k:k + at_once].T
         pair = padded[:-1] * CHARS + padded[1:]
         pooled = []
         for a, b in PARTS:
-            out = first.take(pair[a:b], axis=0)
-            out += last.take(pair[a + 2:b + 2], axis=0)
+            out, more = [m[:b - a] if n == at_once else np.empty((b - a, n, FILTERS), m.dtype) for m in held]
+            first.take(pair[a:b], axis=0, out=out, mode="clip")
+            out += last.take(pair[a + 2:b + 2], axis=0, out=more, mode="clip")
             pooled.append(out.max(axis=0))
         z[k:k + at_once] = np.maximum(np.concatenate(pooled, axis=1), 0) @ net["weights"] + net["shift"]
     return 1 / (1 + np.exp(-np.clip(net["slope"] * z + net["offset"], -60, 60)))
@@ -123,6 +130,28 @@ def hidden(x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     return seen
 
 
+def _alike(x: np.ndarray) -> np.ndarray:
+    """The windows in an order that puts those with the same empty places together."""
+    inside = np.count_nonzero(x[:, LEFT:LEFT + INSIDE], axis=1)
+    return np.argsort(inside + 64 * (x[:, LEFT - 1] == 0) + 128 * (x[:, LEFT + INSIDE] == 0), kind="stable")
+
+
+def _telling_places(padded: np.ndarray) -> list[np.ndarray]:
+    """By part, the places at which the kernel sees a character in some column, and the last of the others.
+
+    All the others give the same value, so the maxima are those over all places.
+    """
+    seen = np.r_[0, np.cumsum(padded.any(axis=1))]
+    empty = seen[KERNEL:] == seen[:-KERNEL]
+    out = []
+    for a, b in PARTS:
+        keep = ~empty[a:b]
+        none = np.flatnonzero(~keep)
+        keep[none[-1:]] = True
+        out.append(np.flatnonzero(keep) + a)
+    return out
+
+
 def gradient(net: dict, x: np.ndarray, label: bool, most: float = np.inf,
              pairs: list[np.ndarray] | None = None, at_once: int = 256) -> tuple[np.ndarray, np.ndarray]:
     """(sum of the log loss's gradient over windows of one label, by PLACES; raw scores).
@@ -131,25 +160,36 @@ def gradient(net: dict, x: np.ndarray, label: bool, most: float = np.inf,
     """
     first, last = pairs or pair_tables(net)
     total = [np.zeros(s) for s in SHAPES]
-    heads, tails, backs, zs = [], [], [], []
+    zs = np.empty(len(x), np.result_type(net["weights"], np.float32))
+    order = _alike(x)
+    first, last = [t.astype(np.float32, copy=False) for t in (first, last)]
+    seen = np.ascontiguousarray(x[order].T)
+    # the same memory for each block: fresh memory costs more than the sums
+    held = [np.empty((max(b - a for a, b in PARTS), at_once, FILTERS), np.float32) for _ in range(2)]
+    rows = np.repeat(np.arange(at_once), len(PARTS) * FILTERS)
+    filters = np.tile(np.arange(FILTERS), at_once * len(PARTS))
     for k in range(0, len(x), at_once):
-        padded = np.pad(x[k:k + at_once].T.astype(np.int32), ((BEFORE, AFTER), (0, 0)))
+        block = order[k:k + at_once]
+        padded = np.zeros((WIDTH + BEFORE + AFTER, len(block)), np.int32)
+        padded[BEFORE:BEFORE + WIDTH] = seen[:, k:k + at_once]
         pair = padded[:-1] * CHARS + padded[1:]
         tops, where = [], []
-        for a, b in PARTS:
-            out = first.take(pair[a:b], axis=0).astype(np.float32, copy=False)
-            out += last.take(pair[a + 2:b + 2], axis=0)
+        for (a, _), places in zip(PARTS, _telling_places(padded)):
+            out, more = [m[:len(places), :len(block)] if len(block) == at_once
+                         else np.empty((len(places), len(block), FILTERS), np.float32) for m in held]
+            first.take(pair[places], axis=0, out=out, mode="clip")
+            out += last.take(pair[places + 2], axis=0, out=more, mode="clip")
             # positive floats are in order as integers, so one maximum finds the place too,
             # which stands in the lowest five bits
             bits = out.view(np.int32)
             bits &= ~31
-            bits |= np.arange(b - a, dtype=np.int32)[:, None, None]
+            bits |= (places - a).astype(np.int32)[:, None, None]
             top = bits.max(axis=0)
             where.append((top & 31) + a)
             tops.append((top & ~31).view(np.float32))
         pooled, at = np.maximum(np.concatenate(tops, axis=1), 0), np.concatenate(where, axis=1)
         z = pooled @ net["weights"] + net["shift"]
-        zs.append(z)
+        zs[block] = z
         d = 1 / (1 + np.exp(-np.clip(z.astype(float), -60, 60))) - float(label)
         d[z > most] = 0
         back = (d[:, None] * net["weights"] * (pooled > 0)).ravel()
@@ -157,21 +197,12 @@ def gradient(net: dict, x: np.ndarray, label: bool, most: float = np.inf,
         total[2] += d @ pooled
         total[3] += d.sum()
         live = np.flatnonzero(back)
-        row, filter = np.divmod(live, len(PARTS) * FILTERS)
-        place = at.ravel()[live] * len(z) + row
-        filter %= FILTERS
-        flat = pair.ravel()
-        heads.append(flat[place] * FILTERS + filter)
-        tails.append(flat[place + 2 * len(z)] * FILTERS + filter)
-        backs.append(back[live])
-    if backs:
-        back = np.concatenate(backs)
-        for k, place in ((0, heads), (2, tails)):
-            by_pair = np.bincount(np.concatenate(place), back, CHARS * CHARS * FILTERS)
-            by_pair = by_pair.reshape(CHARS, CHARS, FILTERS)
-            total[0][k] += by_pair.sum(axis=1)
-            total[0][k + 1] += by_pair.sum(axis=0)
-    return np.concatenate([t.ravel() for t in total]), np.concatenate(zs) if zs else np.zeros(0)
+        filter, back = filters[live], back[live]
+        place = at.ravel()[live] * len(z) + rows[live]
+        flat = padded.ravel().astype(np.int64) * FILTERS
+        for k in range(KERNEL):
+            total[0][k] += np.bincount(flat[place + k * len(z)] + filter, back, CHARS * FILTERS).reshape(CHARS, FILTERS)
+    return np.concatenate([t.ravel() for t in total]), zs
 
 
 class Adam:
