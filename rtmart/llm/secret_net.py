@@ -27,30 +27,42 @@ AT_ONCE = 1 << 20
 _CODE = np.full(129, 97, np.uint8)
 _CODE[33:127] = np.arange(2, 96)
 _CODE[[32, 9, 10, 11, 12, 13]] = 96
+_CODE_BYTES = _CODE.tobytes().ljust(256, b"\x61")
+#: By the length of a candidate, which places of INSIDE show a character.
+_SHOWN = (np.arange(INSIDE) < np.arange(INSIDE + 1)[:, None]).astype(np.uint8)
 
 
 def text_codes(text: str) -> np.ndarray:
     """The code of every character."""
     out = np.empty(len(text), np.uint8)
     for a in range(0, len(text), AT_ONCE):
-        points = np.frombuffer(text[a:a + AT_ONCE].encode("utf-32-le", "surrogatepass"), np.uint32)
-        out[a:a + AT_ONCE] = _CODE[np.minimum(points, 128)]
+        part = text[a:a + AT_ONCE]
+        if part.isascii():
+            points = part.encode("ascii")
+        else:
+            points = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
+            points = np.minimum(points, 128).astype(np.uint8).tobytes()
+        out[a:a + AT_ONCE] = np.frombuffer(points.translate(_CODE_BYTES), np.uint8)
     return out
 
 
 def windows(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """(candidates, WIDTH) codes around text[start:end]; 0 where there is no character."""
-    padded = np.zeros(LEFT + len(codes) + INSIDE, np.uint8)
+    padded = np.zeros(LEFT + len(codes) + WIDTH, np.uint8)
     padded[LEFT:LEFT + len(codes)] = codes
-    runs = lambda n: np.ndarray((len(padded) - n + 1, n), np.uint8, padded, 0, (1, 1))     # noqa: E731
-    out = np.empty((len(start), WIDTH), np.uint8)
+
+    def runs(at, n):
+        # a run is copied as one item of n bytes, not byte by byte
+        return np.ndarray(len(padded) - n + 1, f"V{n}", padded, 0, (1,))[at].view(np.uint8).reshape(-1, n)
+
+    out = runs(start, WIDTH)
+    size = end - start
     shown = out[:, LEFT:LEFT + INSIDE]
-    out[:, :LEFT + INSIDE] = runs(LEFT + INSIDE)[start]
-    shown *= np.arange(INSIDE) < (end - start)[:, None]
-    long = np.flatnonzero(end - start > INSIDE)
+    shown *= _SHOWN[np.minimum(size, INSIDE)]
+    long = np.flatnonzero(size > INSIDE)
     if len(long):
-        shown[long, INSIDE - TAIL:] = runs(TAIL)[end[long] + LEFT - TAIL]
-    out[:, LEFT + INSIDE:] = runs(RIGHT)[end + LEFT]
+        shown[long, INSIDE - TAIL:] = runs(end[long] + LEFT - TAIL, TAIL)
+    out[:, LEFT + INSIDE:] = runs(end + LEFT, RIGHT)
     return out
 
 

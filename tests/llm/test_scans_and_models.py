@@ -539,3 +539,28 @@ def test_gradient_leaves_out_places_that_show_nothing(monkeypatch):
     whole, all_z = secret_net.gradient(net, x, False, at_once=32)
     assert np.array_equal(z, all_z) and np.allclose(g, whole, atol=1e-6)
     assert np.allclose(z, secret_net._forward(net, x)[-1], atol=1e-3)
+
+
+def test_keys_are_looked_for_in_long_candidates_only(monkeypatch):
+    """The access and hex patterns ran over every character of every text, in each of the passes."""
+    rng = np.random.default_rng(5)
+    odd = ["AKIA", "0123456789abcdef", "é", "漢", "\ud800", " ", "\n", "=", ":", '"', "token", "Secret", "api_key",
+           "\0", "\x7f", "a", "f" * 23, "Z" * 16, "g", "K", "plain words of a text "]
+    texts = ["".join(rng.choice(odd, n)) for n in rng.integers(0, 40, 500)]
+    searched = []
+
+    class Pattern:
+        def __init__(self, real):
+            self.real = real
+
+        def finditer(self, text, a=0, b=None):
+            searched.append((len(text) if b is None else b) - a)
+            return self.real.finditer(text, a, len(text) if b is None else b)
+
+    monkeypatch.setattr(secrets, "ACCESS", Pattern(secrets.ACCESS))
+    monkeypatch.setattr(secrets, "HEX", Pattern(secrets.HEX))
+    for text in texts + ["just some words of a plain text " * 50 + "f" * 30]:
+        searched.clear()
+        found = secrets.base_findings(text, *secrets.candidates(secret_net.text_codes(text)))
+        assert [f[:3] for f in found] == B.secret_base(text)
+    assert searched == [30, 30] and found[0][:3] == (1600, 2, 1630)
