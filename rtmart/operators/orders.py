@@ -170,12 +170,17 @@ def dwd_order_info(orders: DataFrame, state: DataFrame | None,
     return province_enrich(first_order_flag(orders, state, firsts), provinces)
 
 
+def _fields(rows: DataFrame) -> list:
+    """The columns of a record: all but helpers (``_t``)."""
+    return [F.col(c) for c in rows.columns if not c.startswith("_")]
+
+
 def order_info_messages(dwd: DataFrame, keep: tuple = ()) -> DataFrame:
     """K2 + K7: keyed messages (topic, key = user id, value = JSON of the order);
     ``keep`` are columns that come along."""
     return dwd.select(F.lit(DWD_ORDER_INFO_TOPIC).alias("topic"),
                       F.col("user_id").cast("string").alias("key"),
-                      to_json_row(*[F.col(c) for c in dwd.columns]).alias("value"), *keep)
+                      to_json_row(*_fields(dwd)).alias("value"), *keep)
 
 
 def order_detail_topics(ods: DataFrame, value_col: str = "value") -> DataFrame:
@@ -190,7 +195,12 @@ def order_detail_topics(ods: DataFrame, value_col: str = "value") -> DataFrame:
         .otherwise(F.col("_text")).alias("value"))
 
 
+def order_detail_value(details: DataFrame):
+    """The text of a detail message."""
+    return to_json_row(*_fields(details))
+
+
 def order_detail_messages(details: DataFrame, keep: tuple = ()) -> DataFrame:
     """K1 + K7: detail messages (topic, value); ``keep`` are columns that come along."""
     return details.select(F.lit(DWD_ORDER_DETAIL_TOPIC).alias("topic"),
-                          to_json_row(*[F.col(c) for c in details.columns]).alias("value"), *keep)
+                          order_detail_value(details).alias("value"), *keep)

@@ -43,7 +43,8 @@ BLOOM_VALUES = 1_000_000      # distinct values a row group's Bloom filter is si
 
 def write_version(df: DataFrame, path: str, batch_id: int,
                   partition_by: list[str] | None = None, kind: str = DELTA,
-                  bloom: list[str] | None = None) -> None:
+                  bloom: list[str] | None = None, compression: str | None = None,
+                  rebalance: bool = True) -> None:
     """Write one batch's rows as version ``batch_id``.
 
     The directory of a version is overwritten as a whole, so a replayed batch
@@ -51,12 +52,17 @@ def write_version(df: DataFrame, path: str, batch_id: int,
     ``partition_by`` adds sub-folders (e.g. ``dt``) so readers of one key
     value prune the others; ``bloom`` names columns that get a Parquet Bloom
     filter, so that readers of a few values skip whole row groups.
+    ``rebalance=False`` is for rows of which a task has few such values: they
+    are written as they lie, not shuffled into few files a folder.
     """
     target = f"{path.rstrip('/')}/batch_id={int(batch_id)}/kind={kind}"
     if partition_by:   # few files per folder; AQE still splits a hot value
-        w = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
+        df = df.hint("rebalance", *partition_by) if rebalance else df
+        w = df.write.mode("overwrite").partitionBy(*partition_by)
     else:
         w = df.write.mode("overwrite")
+    if compression:
+        w = w.option("compression", compression)
     for c in bloom or []:
         w = (w.option(f"parquet.bloom.filter.enabled#{c}", "true")
              .option(f"parquet.bloom.filter.expected.ndv#{c}", str(BLOOM_VALUES)))
@@ -70,8 +76,8 @@ def is_complete(spark: SparkSession, path: str, batch_id: int, kind: str = DELTA
 
 
 def write_version_once(df: DataFrame, path: str, batch_id: int,
-                       partition_by: list[str] | None = None) -> None:
-    """``write_version`` for versions that a file stream reads.
+                       partition_by: list[str] | None = None, **how) -> None:
+    """``write_version`` for versions that a file stream reads (``how``: its other options).
 
     A version that is complete stays as it is: a replay gives the same rows
     and must not put them under new file names, which the stream would take
@@ -83,7 +89,7 @@ def write_version_once(df: DataFrame, path: str, batch_id: int,
     jvm, root, fs = file_system(df.sparkSession, path.rstrip("/"))
     Path = jvm.org.apache.hadoop.fs.Path
     name = f"batch_id={int(batch_id)}"
-    write_version(df, f"{path.rstrip('/')}/_aside", batch_id, partition_by)
+    write_version(df, f"{path.rstrip('/')}/_aside", batch_id, partition_by, **how)
     fs.delete(Path(root, name), True)                 # an attempt that was not finished
     if not fs.rename(Path(root, f"_aside/{name}"), Path(root, name)):
         raise RuntimeError(f"could not put version {batch_id} in place below {path}")

@@ -4,7 +4,6 @@ DataFrame. Keys match ``rtmart.plans.oracle.oracle_sql``."""
 from __future__ import annotations
 
 from collections.abc import Callable
-from contextlib import contextmanager
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,9 +17,9 @@ from rtmart.operators import routing as R
 from rtmart.operators import search as SE
 from rtmart.operators import text_index as TI
 from rtmart.operators import wide as W
-from rtmart.operators.lineage import cut_lineage
+from rtmart.operators.lineage import cut_lineage, cut_small
 from rtmart.operators.upsert import latest_per_key, read_latest, read_versions, write_version
-from rtmart.session import shared_path
+from rtmart.session import setting, shared_path
 from rtmart.sinks.files import archive_log_lines
 from rtmart.sources import fixtures as FX
 from rtmart.sources.streams import file_stream
@@ -130,10 +129,14 @@ def state_and_batch(spark, sf):
     return O.user_state_from_orders(before), batch
 
 
-def dwd_orders(spark, sf):
-    """All orders as one batch against an empty state: flagged and enriched."""
-    orders = cut_lineage(orders_typed(spark, sf), "dwd_orders", "zstd")
-    return O.dwd_order_info(orders, None, provinces(spark, sf))
+def stored_orders(spark, sf):
+    return cut_small(orders_typed(spark, sf), "dwd_orders")
+
+
+def dwd_orders(spark, sf, orders=None):
+    """All orders as one batch against an empty state: flagged and enriched;
+    ``orders`` are the ``stored_orders`` where the caller holds them."""
+    return O.dwd_order_info(stored_orders(spark, sf) if orders is None else orders, None, provinces(spark, sf))
 
 
 def q_cdc_route_canal(spark, sf):
@@ -259,7 +262,7 @@ def q_order_user_dim(spark, sf):
 
 def q_order_wide_full(spark, sf):
     """The wide row with its amount share and every dimension."""
-    info = cut_lineage(DM.order_user_dim(dwd_orders(spark, sf), user_dim(spark, sf)), "wide_info", "zstd")
+    info = cut_small(DM.order_user_dim(dwd_orders(spark, sf), user_dim(spark, sf)), "wide_info")
     # the wide row has the order's time; a detail's own is only checked
     details = cut_lineage(DM.detail_dims(details_typed(spark, sf).drop("create_time"), *sku_dims(spark, sf)),
                           "wide_detail", "zstd")
@@ -341,18 +344,8 @@ def _stream_of(spark, msgs, base, time_col=None, n_slices=N_SLICES, more=()):
 OPEN_TOPICS = 12
 
 
-@contextmanager
-def _setting(spark, key, value):
-    before = spark.conf.get(key)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def _run_topics(spark, routed, base):
-    with _setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_TOPICS)):
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_TOPICS)):
         J.start_topic_stream(routed, f"{base}/topics", f"{base}/ckpt",
                              available_now=True).awaitTermination()
     return J.read_topics(spark, f"{base}/topics")
@@ -523,18 +516,29 @@ def q_stream_dau_late(spark, sf):
     return J.read_dau_table(spark, f"{base}/table")
 
 
-def _wide_inputs(spark, sf):
+def _wide_inputs(spark, sf, orders=None):
     """(order messages, detail messages) with their event times ``_t``."""
-    info = O.order_info_messages(dwd_orders(spark, sf), ("create_time",))
+    info = O.order_info_messages(dwd_orders(spark, sf, orders), ("create_time",))
     det = O.order_detail_messages(details_typed(spark, sf), ("create_time",))
     return tuple(msgs.select("value", _seconds("create_time").alias("_t")) for msgs in (info, det))
 
 
-def _run_wide(spark, info, det, base):
-    bounds = stage_time_slices(info, "_t", f"{base}/info", N_SLICES, FILES_PER_SLICE,
-                               keep=["value"], rows_per_slice=ROWS_PER_SLICE)
-    stage_time_slices(det, "_t", f"{base}/detail", N_SLICES, FILES_PER_SLICE,
-                      bounds=bounds, keep=["value"], rows_per_slice=ROWS_PER_SLICE)
+def _wide_slices(spark, sf, orders):
+    """(time bounds, number of slices) of the wide job's two inputs, from the stored orders.
+
+    Both inputs have the same slices, so that the two sides of a batch are of
+    one time and few rows stay open. The larger input says how many there are.
+    """
+    t = _seconds("create_time")
+    row = orders.agg(F.min(t).alias("lo"), F.max(t).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    most = max(row["n"], _t(spark, sf, "lineitem").count())
+    return (float(row["lo"] or 0.0), float(row["hi"] or 0.0)), max(N_SLICES, -(-most // ROWS_PER_SLICE))
+
+
+def _run_wide(spark, info, det, base, bounds, n_slices):
+    for name, rows in (("info", info), ("detail", det)):
+        stage_time_slices(rows, "_t", f"{base}/{name}", n_slices, FILES_PER_SLICE, bounds=bounds,
+                          keep=["value"], lying=True)
     i = _sliced_stream(spark, f"{base}/info")
     d = _sliced_stream(spark, f"{base}/detail")
     J.start_wide(i, d, f"{base}/wide", f"{base}/ckpt", available_now=True,
@@ -545,9 +549,11 @@ def _run_wide(spark, info, det, base):
 def q_stream_order_wide(spark, sf):
     """J1/J5 + D2 as a stream-stream join of the detail-layer messages, with
     every detail message delivered twice; equals ``order_wide_interval``."""
-    info, det = _wide_inputs(spark, sf)
+    orders = stored_orders(spark, sf)
+    info, det = _wide_inputs(spark, sf, orders)
     twice = det.select("*", F.explode(F.array(F.lit(0), F.lit(1)))).drop("col")
-    return _run_wide(spark, info, twice, shared_path(spark, "stream_order_wide"))
+    return _run_wide(spark, info, twice, shared_path(spark, "stream_order_wide"),
+                     *_wide_slices(spark, sf, orders))
 
 
 DELAY_S = 3600                    # how late a message is joined by the stream itself
@@ -556,8 +562,8 @@ SPAN_S = 90 * 86400               # the test data covers years: folders of a qua
 
 
 def _split(spark, path, base, seconds):
-    """Run the late split over the files that have come so far."""
-    LT.start_split(file_stream(spark, path, "value string"), seconds, base, f"{base}_ckpt", DELAY_S,
+    """Run the late split over the slices that have come so far, each a micro-batch."""
+    LT.start_split(_sliced_stream(spark, path), seconds, base, f"{base}_ckpt", DELAY_S,
                    available_now=True, span_s=SPAN_S).awaitTermination()
 
 
@@ -566,22 +572,28 @@ def q_stream_order_wide_late(spark, sf):
     the watermark: split off before the join, and joined by scheduled passes
     that read the late topics and the spans of time that these touch."""
     base = shared_path(spark, "stream_order_wide_late")
-    info, det = [cut_lineage(rows, "wide_late_input") for rows in _wide_inputs(spark, sf)]
-    last = det.agg(F.max("_t")).first()[0] or 0
-    late = F.xxhash64("value") % 5 == 0
-    det = det.withColumn("_t", F.when(late, last).otherwise(F.col("_t")))
-    bounds = None
-    for part in (range(0, N_SLICES // 2), range(N_SLICES // 2, N_SLICES)):
+    orders = stored_orders(spark, sf)
+    bounds, n_slices = _wide_slices(spark, sf, orders)
+    info, det = [rows.withColumn("_t", _seconds("create_time"))
+                 for rows in (dwd_orders(spark, sf, orders), details_typed(spark, sf))]
+    late = F.xxhash64(O.order_detail_value(det)) % 5 == 0
+    det = det.withColumn("_t", F.when(late, int(bounds[1]) + 1).otherwise(F.col("_t")))      # the last slice
+    with setting(spark, "spark.sql.parquet.compression.codec", "zstd"):
+        info, det = [cut_lineage(rows, "wide_late_input") for rows in (info, det)]
+    info, det = O.order_info_messages(info, ("_t",)), O.order_detail_messages(det, ("_t",))
+    half = n_slices // 2
+    for part in (range(0, half), range(half, n_slices)):
         for name, rows in (("info", info), ("detail", det)):
-            bounds = stage_time_slices(rows, "_t", f"{base}/in_{name}", N_SLICES, FILES_PER_SLICE,
-                                       bounds=bounds, keep=["value"], only=part, stored=True)
+            with setting(spark, "spark.sql.parquet.compression.codec", "zstd"):
+                stage_time_slices(rows, "_t", f"{base}/in_{name}", n_slices, FILES_PER_SLICE, bounds=bounds,
+                                  keep=["value"], only=part, stored=True, lying=True)
             _split(spark, f"{base}/in_{name}", f"{base}/{name}", _order_time())
         J.start_wide(file_stream(spark, f"{base}/info/on_time", "value string"),
                      file_stream(spark, f"{base}/detail/on_time", "value string"),
                      f"{base}/wide", f"{base}/ckpt", available_now=True, bound_s=10,
                      watermark=WATERMARK).awaitTermination()
         LT.late_wide(spark, f"{base}/info", f"{base}/detail", f"{base}/late", 10, SPAN_S,
-                     final=part.stop == N_SLICES)
+                     final=part.stop == n_slices)
     return LT.read_wide(spark, f"{base}/wide", f"{base}/late")
 
 
@@ -759,18 +771,19 @@ def q_stream_order_pipeline(spark, sf):
     """The order job feeding the wide job: ODS orders -> flagged and enriched
     DWD_ORDER_INFO messages keyed by user -> joined with the detail messages."""
     base = shared_path(spark, "stream_order_pipeline")
-    orders = oi_rows(spark, sf)
+    orders = cut_small(oi_rows(spark, sf), "order_rows")
+    bounds, n_slices = _wide_slices(spark, sf, orders)
     orders = FX.order_info_text(orders, ("create_time",)).withColumn("_t", _seconds("create_time"))
-    bounds = stage_time_slices(orders, "_t", f"{base}/in", N_SLICES, FILES_PER_SLICE,
-                               keep=["value"], rows_per_slice=ROWS_PER_SLICE)
+    stage_time_slices(orders, "_t", f"{base}/in", n_slices, FILES_PER_SLICE, bounds=bounds,
+                      keep=["value"], lying=True)
     J.start_first_order(_sliced_stream(spark, f"{base}/in"), spark,
                         f"{base}/state", f"{base}/out", f"{base}/ckpt_orders",
                         lambda: provinces(spark, sf), available_now=True,
                         topic_path=f"{base}/dwd").awaitTermination()
     det = O.order_detail_messages(details_typed(spark, sf), ("create_time",)).withColumn(
         "_t", _seconds("create_time"))
-    stage_time_slices(det, "_t", f"{base}/detail", N_SLICES, FILES_PER_SLICE, bounds=bounds,
-                      keep=["value"], rows_per_slice=ROWS_PER_SLICE)
+    stage_time_slices(det, "_t", f"{base}/detail", n_slices, FILES_PER_SLICE, bounds=bounds,
+                      keep=["value"], lying=True)
     info = file_stream(spark, f"{base}/dwd", "topic string, key string, value string",
                        J.TOPIC_PARTITIONS)
     J.start_wide(info.select("value"), _sliced_stream(spark, f"{base}/detail"),

@@ -334,12 +334,16 @@ def read_flagged_orders(spark: SparkSession, out_path: str, columns: tuple = ())
 # ---------------------------------------------------------------- J1/J5 + D2: wide order
 
 def _once(new: DataFrame, before: DataFrame | None, keys: list[str]) -> DataFrame:
-    """Each key's row: the open one of earlier batches, else one of this batch (``_new``)."""
+    """Each key's row: the open one of earlier batches, else one of this batch (``_new``).
+
+    The first key is the order's id, by which the rows are shuffled, once.
+    """
     both = new.withColumn("_new", F.lit(True))
     if before is not None:
         both = both.unionByName(before.withColumn("_new", F.lit(False)))
     rest = [c for c in new.columns if c not in keys]
-    first = both.groupBy(*keys).agg(F.min(F.struct("_new", *rest)).alias("_r"))
+    # by the order's id alone: the join that follows finds the rows as they lie
+    first = both.repartition(keys[0]).groupBy(*keys).agg(F.min(F.struct("_new", *rest)).alias("_r"))
     return first.select(*keys, "_r.*")
 
 
@@ -369,8 +373,9 @@ def wide_batch_fn(sink_path: str, open_path: str, bound_s: int = 10, delay_s: in
     that may come. Open rows are a version of two tables below ``open_path``,
     the largest times a pin of the batch, so a replay gives the same pairs.
 
-    The join is a batch join: a hot order's details are split at run time
-    (AQE) like those of any other join.
+    The join is a batch join. Both sides are shuffled by order id once, for the
+    deduplication and the join: an order's messages of a batch meet in one task,
+    which sorts them and spills.
     """
     sides = (("orders", F.col("is_order"), DWD_ORDER_INFO_FIELDS, ["id"]),
              ("details", ~F.col("is_order"), ORDER_DETAIL_FIELDS, ["order_id", "id"]))
@@ -423,7 +428,7 @@ def start_wide(info_msgs: DataFrame, detail_msgs: DataFrame, sink_path: str, che
     """Append the wide rows to a parquet table, each batch's once.
 
     What is open between batches lies below the checkpoint. ``salts`` has no
-    effect any more: the join splits a hot order by itself.
+    effect any more.
     """
     spark = spark_of(info_msgs)
     delay_s = spark.range(1).select(F.unix_seconds(

@@ -23,11 +23,13 @@ from rtmart.operators import wide as W
 from rtmart.operators.asof import last_pin, newest_version, pinned, read_pin
 from rtmart.operators.upsert import path_exists, read_versions, write_version, write_version_once
 from rtmart.schemas import DWD_ORDER_INFO_FIELDS, ORDER_DETAIL_FIELDS, ORDER_WIDE_COLUMNS
+from rtmart.session import setting
 from rtmart.streaming.base import trigger
 
 ON_TIME, LATE = "on_time", "late"
 SPAN_S = 3600
 NO_TIME = -1        # the folder of rows without an event time
+OPEN_SPANS = 32     # files that a task holds open at once: one a span, so that no text is sorted
 
 
 def span_of(seconds: Column, span_s: int) -> Column:
@@ -40,7 +42,9 @@ def split_batch(batch: DataFrame, batch_id: int, seconds: Column, base: str, del
     """Write one micro-batch to the two topics below ``base``.
 
     ``seconds`` is the rows' event time in epoch seconds; rows without one are
-    late by definition (folder ``NO_TIME``).
+    late by definition (folder ``NO_TIME``). On-time rows lie between the bound
+    and the largest time, in few spans: they are written as they lie. Late rows
+    may be of any span and are shuffled by it first.
     """
     spark = batch.sparkSession
     rows = batch.withColumn("_t", seconds.cast("double")).persist()
@@ -58,7 +62,9 @@ def split_batch(batch: DataFrame, batch_id: int, seconds: Column, base: str, del
         for topic, some in ((ON_TIME, ~late), (LATE, late)):
             part = out.where(some)
             if not part.isEmpty():
-                write_version_once(part, f"{base}/{topic}", batch_id, partition_by=["span"])
+                with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_SPANS)):
+                    write_version_once(part, f"{base}/{topic}", batch_id, partition_by=["span"],
+                                       compression="zstd", rebalance=topic == LATE)
     finally:
         rows.unpersist()
 
@@ -135,7 +141,8 @@ def _seen(spark: SparkSession, base: str, fields, keys: list[str], spans: list[i
         late.select("value", F.col("batch_id").cast("long").alias("_first")))
     typed = parse_typed(both, "value", fields, keep=["_first"])
     rest = [n for n, _ in fields if n not in keys]
-    once = typed.groupBy(*keys).agg(F.min("_first").alias("_first"), F.min(F.struct(*rest)).alias("_r"))
+    # by the order's id alone: the join that follows finds the rows as they lie
+    once = typed.repartition(keys[0]).groupBy(*keys).agg(F.min("_first").alias("_first"), F.min(F.struct(*rest)).alias("_r"))
     return once.select(*keys, "_r.*", F.col("_first"), (F.col("_first") > after).alias("_new"))
 
 

@@ -11,6 +11,8 @@ call per file), so the file source reads the slices in order; this needs a
 file system that keeps such times (an object store may not).
 
 A stateless job needs no order: its input is written as it is (``stage_files``).
+Where the bounds are known beforehand, slices too are written by the tasks that
+make the rows (``lying``), without a copy or a shuffle.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rtmart.operators.lineage import write_and_read
 from rtmart.operators.upsert import file_system
+from rtmart.session import setting
 
 
 def _order_slices(spark, path: str, slices) -> None:
@@ -64,12 +67,35 @@ def _fill_slices(df: DataFrame, path: str, slices, files: int) -> None:
     fs.delete(Path(empty), True)
 
 
+def _slice_of(bounds: tuple, n_slices: int):
+    """The slice of a row by its time ``_t``; times beyond the bounds are in the first and last."""
+    lo, hi = bounds
+    width = (hi - lo) / n_slices if hi > lo else 1.0
+    return F.least(F.greatest(F.floor((F.col("_t") - lo) / width), F.lit(0)),
+                   F.lit(n_slices - 1)).cast("int")
+
+
+def _write_as_they_lie(sliced: DataFrame, path: str, slices: list, files: int,
+                       rows_per_file: int | None) -> None:
+    """Write rows with their ``_slice`` by the tasks that have them.
+
+    A task holds a file of each slice open, so that no text is sorted. Slices
+    get empty files up to the largest number that one has below ``path``.
+    """
+    spark = sliced.sparkSession
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(len(slices) + 1)):
+        (sliced.write.mode("append").option("maxRecordsPerFile", rows_per_file or 0)
+               .partitionBy("_slice").parquet(path))
+    _fill_slices(spark.createDataFrame([], sliced.drop("_slice").schema), path, slices,
+                 max(files, slice_files(spark, path)))
+
+
 def stage_time_slices(df: DataFrame, time_col, path: str, n_slices: int,
                       files_per_slice: int, bounds: tuple | None = None,
                       keep: list[str] | None = None, only: range | None = None,
                       rows_per_file: int | None = ROWS_PER_FILE,
                       rows_per_slice: int | None = None, stored: bool = False,
-                      made: tuple = ()) -> tuple:
+                      made: tuple = (), lying: bool = False) -> tuple:
     """Write ``df`` as ``n_slices`` time slices under ``path``.
 
     ``time_col`` is a numeric column or expression (e.g. epoch seconds).
@@ -82,23 +108,30 @@ def stage_time_slices(df: DataFrame, time_col, path: str, n_slices: int,
     where they would hold over ``rows_per_slice`` rows each (None: never).
     ``stored``: ``df`` is read from files and need not be copied first.
     ``made``: columns (e.g. texts) written in place of the kept ones, made from
-    them after the shuffle.
+    them after the shuffle. ``lying``: the rows are written once, by the tasks
+    that make them, into ``n_slices`` between the ``bounds`` given; a slice has
+    the files that those tasks make.
     """
     t = F.col(time_col) if isinstance(time_col, str) else time_col
     cols = keep or list(df.columns)
     timed = df.select(*cols, t.cast("double").alias("_t"))
+    if lying:
+        slices = list(only if only is not None else range(n_slices))
+        sliced = timed.withColumn("_slice", _slice_of(bounds, n_slices))
+        if only is not None:
+            sliced = sliced.where(F.col("_slice").isin(slices))
+        _write_as_they_lie(sliced.select(*cols, "_slice"), path, slices, files_per_slice, rows_per_file)
+        _order_slices(df.sparkSession, path, slices)
+        return bounds
     staged_path = f"{path.rstrip('/')}_staged"
     staged = timed if stored else write_and_read(timed, staged_path)
     row = staged.agg(F.min("_t").alias("lo"), F.max("_t").alias("hi"),
                      F.count(F.lit(1)).alias("n")).first()
     if bounds is None:
         bounds = (float(row["lo"] or 0.0), float(row["hi"] or 0.0))
-    lo, hi = bounds
     if rows_per_slice:
         n_slices = max(n_slices, -(-row["n"] // rows_per_slice))
-    width = (hi - lo) / n_slices if hi > lo else 1.0
-    idx = F.least(F.greatest(F.floor((F.col("_t") - lo) / width), F.lit(0)),
-                  F.lit(n_slices - 1)).cast("int")
+    idx = _slice_of(bounds, n_slices)
     slices = list(only if only is not None else range(n_slices))
     files = files_per_slice
     if rows_per_file:
