@@ -1,16 +1,15 @@
 """Order x detail wide fact.
 
 The join key is the order id: an order row is unique per id, so a hot order
-only fans out on the detail side, which AQE's skew-join handling splits. No
-step here groups all lines of an order into one task: per-order totals are
-aggregates (combined map-side) joined back by key.
+only fans out on the detail side, which AQE's skew-join handling splits. The
+amount split alone needs all lines of an order in one task: it sums them where
+they are joined with their order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from rtmart.operators.lineage import cut_lineage
 from rtmart.schemas import ORDER_WIDE_COLUMNS, ORDER_WIDE_FULL_COLUMNS
 
 __all__ = ["ORDER_WIDE_COLUMNS", "order_wide", "order_wide_windowed", "order_wide_interval",
@@ -108,12 +107,13 @@ def detail_amount_split(info: DataFrame, detail: DataFrame, more: tuple = (),
     Weight of a line = price x quantity (the reference's "original amount"
     rule). share = floor(final_cents * weight / total_weight); the line with
     the largest detail id also takes the remainder, so the shares of an order
-    add up to its paid amount exactly. Per-order sums are aggregates joined
-    back by order id -- never a whole order in one task.
+    add up to its paid amount exactly.
 
-    The lines are read three times, twice narrow for the sums of an order;
-    ``stored``: the inputs are read from files, and are not written again for
-    that. ``more`` are columns of the details that come along.
+    The lines are shuffled by order id once and take their order's amount
+    there; the sums of an order are taken over its lines as they then lie. An
+    order's lines meet in one task, as they have to for the amount; those of a
+    large order are spilled. ``more`` are columns of the details that come
+    along. ``stored`` has no effect any more: the inputs are read once.
     """
     # decimals: the product of two amounts in cents outgrows 64 bits
     cents = lambda c: F.round(F.col(c) * 100).cast("decimal(19,0)")
@@ -122,21 +122,13 @@ def detail_amount_split(info: DataFrame, detail: DataFrame, more: tuple = (),
     lines = detail.select(F.col("id").alias("order_detail_id"), "order_id",
                           *dict.fromkeys([*more, *values]))
     orders = info.select(F.col("id").alias("order_id"), cents("final_total_amount").alias("fc"))
-    if not stored:
-        lines = cut_lineage(lines, "amount_split")
-        orders = cut_lineage(orders, "amount_split_orders")
     share = (F.when(F.col("tw") == 0, F.lit(0).cast("bigint")).otherwise(F.expr("(fc * w) div tw")))
-    totals = lines.groupBy("order_id").agg(F.sum(weight).alias("tw"),
-                                           F.max("order_detail_id").alias("last_id"))
-    # an order's values are the same on all its lines
-    per_order = (lines.select("order_id", *values).join(totals.join(orders, "order_id"), "order_id")
-                      .withColumn("w", weight).withColumn("share", share).groupBy("order_id")
-                      .agg(F.max("fc").alias("fc"), F.max("tw").alias("tw"),
-                           F.max("last_id").alias("last_id"),
-                           (F.max("fc") - F.sum("share")).alias("rem")))
-    out = lines.join(per_order, "order_id").withColumn("w", weight).withColumn(
-        "cents", share + F.when(F.col("order_detail_id") == F.col("last_id"),
-                                F.col("rem")).otherwise(F.lit(0)))
+    order = Window.partitionBy("order_id")
+    out = (lines.join(orders, "order_id").withColumn("w", weight)
+                .withColumns({"tw": F.sum("w").over(order), "last_id": F.max("order_detail_id").over(order)})
+                .withColumn("share", share).withColumn("rem", F.col("fc") - F.sum("share").over(order))
+                .withColumn("cents", F.col("share") + F.when(
+                    F.col("order_detail_id") == F.col("last_id"), F.col("rem")).otherwise(F.lit(0))))
     return out.select("order_detail_id", "order_id", F.col("cents").cast("bigint").alias("cents"),
                       (F.col("cents").cast("double") / 100.0).alias("final_detail_amount"), *more)
 

@@ -262,11 +262,13 @@ def q_order_user_dim(spark, sf):
 
 def q_order_wide_full(spark, sf):
     """The wide row with its amount share and every dimension."""
-    info = cut_small(DM.order_user_dim(dwd_orders(spark, sf), user_dim(spark, sf)), "wide_info")
+    orders = stored_orders(spark, sf)
+    # users first, the flag by order id last: the orders then lie as the lines that they are joined with
+    info = O.dwd_order_info(DM.order_user_dim(orders, user_dim(spark, sf)), None, provinces(spark, sf),
+                            O.first_orders(orders))
     # the wide row has the order's time; a detail's own is only checked
-    details = cut_lineage(DM.detail_dims(details_typed(spark, sf).drop("create_time"), *sku_dims(spark, sf)),
-                          "wide_detail", "zstd")
-    return W.order_wide_full(info, W.detail_amount_split(info, details, W.FULL_DETAIL_COLUMNS, stored=True))
+    details = DM.detail_dims(details_typed(spark, sf).drop("create_time"), *sku_dims(spark, sf))
+    return W.order_wide_full(info, W.detail_amount_split(orders, details, W.FULL_DETAIL_COLUMNS))
 
 
 def q_order_info_quarantine(spark, sf):
