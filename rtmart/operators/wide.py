@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from rtmart.functions import text_seconds
 from rtmart.schemas import ORDER_WIDE_COLUMNS, ORDER_WIDE_FULL_COLUMNS
 
 __all__ = ["ORDER_WIDE_COLUMNS", "order_wide", "order_wide_windowed", "order_wide_interval",
@@ -79,11 +80,9 @@ def order_wide_interval(info: DataFrame, detail: DataFrame, bound_s: int = 10,
     This is the event-time form of the sliding-window join; in streaming the
     same condition plus watermarks bounds the join state.
     """
-    i = _info_side(info, info_more).withColumn(
-        "_it", F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss"))
-    d = _detail_side(detail, detail_more).withColumn(
-        "_dt", F.to_timestamp("_detail_time", "yyyy-MM-dd HH:mm:ss"))
-    bound = F.expr(f"INTERVAL {int(bound_s)} SECONDS")
+    i = _info_side(info, info_more).withColumn("_it", text_seconds("create_time"))
+    d = _detail_side(detail, detail_more).withColumn("_dt", text_seconds("_detail_time"))
+    bound = F.lit(int(bound_s))
     cond = ((i.order_id == d.order_id) & (d._dt >= i._it - bound) & (d._dt <= i._it + bound))
     j = i.join(d, cond, "inner").drop(d.order_id)
     return j.select(*ORDER_WIDE_COLUMNS, *info_more, *detail_more)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rtmart.functions import millis_to_day, millis_to_hour, millis_to_minute, to_json_row
+from rtmart.functions import millis_to_day, millis_to_hour, millis_to_minute, text_seconds, to_json_row
 from rtmart.operators import dau as D
 from rtmart.operators import devices as DV
 from rtmart.operators import dims as DM
@@ -440,7 +440,7 @@ FLAG_COLUMNS = ("id", "user_id", "create_time", "if_first_order")
 
 
 def _seconds(create_time):
-    return F.unix_timestamp(F.to_timestamp(create_time, "yyyy-MM-dd HH:mm:ss"))
+    return text_seconds(create_time)
 
 
 def _order_time():

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rtmart.functions import parse_typed
+from rtmart.functions import parse_typed, text_seconds
 from rtmart.operators import dau as D
 from rtmart.operators import orders as O
 from rtmart.operators import wide as W
@@ -33,6 +33,7 @@ from rtmart.operators.upsert import (compact, compaction_plan, drop_versions, la
                                      write_files_once, write_version, write_version_once)
 from rtmart.schemas import (DAU_INFO, DWD_ORDER_INFO_FIELDS, ORDER_DETAIL_FIELDS,
                             ORDER_WIDE_COLUMNS)
+from rtmart.session import setting
 from rtmart.sources.streams import kafka_sink_options, with_headers
 from rtmart.streaming.base import MICRO_BATCH, spark_of, trigger as _trigger
 from rtmart.streaming.reports import update_hour_counts
@@ -386,15 +387,18 @@ def wide_batch_fn(sink_path: str, open_path: str, bound_s: int = 10, delay_s: in
         return None if None in times else min(times) - delay_s
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        spark, number = spark_of(batch), int(batch_id)
+        # the rows are kept for a few reads: packing them tighter costs more than it saves
+        with setting(spark_of(batch), "spark.sql.inMemoryColumnarStorage.compressed", "false"):
+            if not batch.isEmpty():
+                join(batch, int(batch_id))
+
+    def join(batch: DataFrame, number: int) -> None:
+        spark = spark_of(batch)
         before = last_pin(spark, open_path, number)
         passed = watermark(before)
         rows = {}
         for name, mine, fields, keys in sides:
-            new = parse_typed(batch.where(mine), "value", fields).withColumn("_t", F.unix_timestamp(
-                F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss")))
+            new = parse_typed(batch.where(mine), "value", fields).withColumn("_t", text_seconds("create_time"))
             new = new.where(F.col("_t").isNotNull() if passed is None else F.col("_t") >= F.lit(passed))
             rows[name] = _once(new, _open_rows(spark, f"{open_path}/{name}", number), keys).persist()
         try:
